@@ -6,7 +6,7 @@ from importlib import import_module
 
 from lakeaudit.suite.registry import ORACLES, QUERIES
 
-MODULES = ("relational",)
+MODULES = ("relational", "texts")
 
 for _name in MODULES:
     import_module(f"lakeaudit.suite.{_name}")

@@ -158,12 +158,12 @@ def iso_records_orders(lake):
 
 @query("like_filter", """
     SELECT p_partkey, p_name, p_brand, p_type FROM part
-    WHERE p_type ILIKE '%a%' AND lower(p_brand) = lower('BRAND#1') AND regexp_matches(p_name, '(?is)^[p-z].*[0-4]$')
+    WHERE p_type ILIKE '%a%' AND lower(p_brand) = lower('BRAND#12') AND regexp_matches(p_name, '(?is)^[p-z].*[a-g]$')
 """)
 def like_filter(lake):
     part = lake.table("part").select("p_partkey", "p_name", "p_brand", "p_type")
     return filters.where_given(
-        part, {"p_brand": "BRAND#1", "p_type": None}, {"p_type": "%A%", "p_name": "[p-z]%[0-4]"}
+        part, {"p_brand": "BRAND#12", "p_type": None}, {"p_type": "%A%", "p_name": "[p-z]%[a-g]"}
     )
 
 
@@ -231,12 +231,13 @@ def left_join_default(lake):
 
 @query("left_null_flag", """
     SELECT c_custkey, c_mktsegment,
-           CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) THEN 0 ELSE 1 END AS without_orders
+           CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT') THEN 0 ELSE 1 END AS without_orders
     FROM customer
 """)
 def left_null_flag(lake):
     customers = lake.table("customer").select("c_custkey", "c_mktsegment")
-    return joins.missing_flag(customers, lake.table("orders"), "c_custkey", "o_custkey", "without_orders")
+    urgent = lake.table("orders").where(F.col("o_orderpriority") == "1-URGENT")
+    return joins.missing_flag(customers, urgent, "c_custkey", "o_custkey", "without_orders")
 
 
 @query("outer_apply", """
@@ -385,6 +386,9 @@ def top_sessions(lake):
     return workload.top_sessions(sessions, requests, "c_custkey")
 
 
-@query("set_difference", "SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("set_difference", """
+    SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'
+""")
 def set_difference(lake):
-    return joins.set_minus(lake.table("customer").select("c_custkey"), lake.table("orders").select("o_custkey"))
+    urgent = lake.table("orders").where(F.col("o_orderpriority") == "1-URGENT")
+    return joins.set_minus(lake.table("customer").select("c_custkey"), urgent.select("o_custkey"))
