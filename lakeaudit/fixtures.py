@@ -7,6 +7,7 @@ filled in; the oracle queries use them as common table expressions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakeaudit.sources.tables import Lake
 
@@ -78,10 +79,8 @@ FROM {events}
 """
 
 # One customer's orders can be a large part of all orders, so they are packed into
-# documents of about this many orders, by order key; most customers have one document.
-ITEMS_PER_DOCUMENT = 100
-
-CUSTOMER_DOCUMENTS = """
+# documents of about a hundred orders, by order key; most customers have one document.
+CUSTOMER_ITEMS = """
 SELECT o.o_custkey AS custkey, CAST(o.o_orderkey % n.documents AS BIGINT) AS document_no,
        o.o_orderkey, o.o_orderstatus
 FROM {orders} o
@@ -123,5 +122,21 @@ def deep_json(lake: Lake) -> DataFrame:
     return lake.sql(DEEP_JSON, "events")
 
 
-def customer_items(lake: Lake) -> DataFrame:
-    return lake.sql(CUSTOMER_DOCUMENTS, "orders")
+def customer_documents(lake: Lake) -> DataFrame:
+    """A document per customer (or per hundred of a customer's orders) with its orders."""
+    entry = F.struct("o_orderkey", "o_orderstatus")
+    orders = lake.sql(CUSTOMER_ITEMS, "orders").groupBy("custkey", "document_no").agg(
+        F.sort_array(F.collect_list(entry)).alias("orders")
+    )
+    customers = lake.table("customer").select(
+        F.col("c_custkey").alias("custkey"),
+        F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")).alias("summary"),
+    )
+    return customers.join(orders, "custkey").select("custkey", "document_no", "summary", "orders")
+
+
+CUSTOMER_DOCUMENTS = f"""
+SELECT custkey, document_no, {{{{'name': c_name, 'segment': c_mktsegment}}}} AS summary, orders FROM (
+  SELECT custkey, document_no, list({{{{'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus}}}} ORDER BY o_orderkey) AS orders
+  FROM ({CUSTOMER_ITEMS}) items GROUP BY custkey, document_no) JOIN {{customer}} ON c_custkey = custkey
+"""

@@ -44,15 +44,10 @@ def conditional_counts(df: DataFrame, conditions: Mapping[str, Column], total: s
     return df.agg(*counts, *([F.count(F.lit(1)).alias(total)] if total else []))
 
 
-def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count of every table in one row and one job."""
-    counts: DataFrame | None = None
-    for name, df in tables.items():
-        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        counts = one if counts is None else counts.unionByName(one)
-    return counts.agg(
-        *[F.max(F.when(F.col("name") == n, F.col("n"))).alias(f"{n}_rows") for n in tables]
-    )
+def table_counts(inventory: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Row count of every table side by side; ``inventory`` has table_name and row_count."""
+    count = lambda n: F.sum(F.when(F.col("table_name") == n, F.col("row_count")))
+    return inventory.agg(*[F.coalesce(count(n), F.lit(0)).alias(f"{n}_rows") for n in names])
 
 
 def severity_bands(rows: DataFrame, metric: str = "avg_fragmentation_in_percent") -> DataFrame:

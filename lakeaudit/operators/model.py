@@ -20,25 +20,33 @@ KEY_TYPES = profile.WHOLE + (T.StringType,)
 KEY_SHARE = 0.5
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """The same few rows as local data, for results that are bounded by the schema."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
-        out = out.unionByName(part)
+        out = out.union(part)
     return out
 
 
-def key_candidates(tables: Mapping[str, DataFrame]) -> list[tuple[str, tuple[str, ...]]]:
+def key_candidates(tables: Mapping[str, DataFrame], kinds: tuple = KEY_TYPES) -> list[tuple[str, tuple[str, ...]]]:
     """Single columns that may be keys, by one sketch scan per table in one job.
 
     Only one figure per column reaches the driver.
     """
     parts = []
     for table, df in tables.items():
-        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, KEY_TYPES)]
-        sketches = [F.struct(F.lit(c).alias("column_name"), F.approx_count_distinct(c).alias("about"),
-                             F.count(c).alias("filled")) for c in columns]
-        counted = df.agg(F.count(F.lit(1)).alias("n"), F.array(*sketches).alias("s"))
-        parts.append(counted.select(F.lit(table).alias("table_name"), "n", F.explode("s").alias("s")))
+        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
+        if not columns:
+            continue
+        sketches = ", ".join(
+            f"named_struct('column_name', '{c}', 'about', approx_count_distinct({c}), 'filled', count({c}))" for c in columns
+        )
+        counted = df.agg(F.expr("count(1) AS n"), F.expr(f"array({sketches}) AS s"))
+        parts.append(counted.selectExpr(f"'{table}' AS table_name", "n", "explode(s) AS s"))
     likely = (F.col("n") > 0) & (F.col("s.filled") == F.col("n")) & (F.col("s.about") >= KEY_SHARE * F.col("n"))
     rows = _union(parts).where(likely).select("table_name", "s.column_name").collect()
     return sorted((r["table_name"], (r["column_name"],)) for r in rows)
@@ -48,28 +56,29 @@ def check_keys(tables: Mapping[str, DataFrame], candidates: Sequence[tuple[str,
     """Exact check of each candidate: rows, rows with a NULL, and whether it is a key."""
     parts = []
     for table, columns in candidates:
-        sizes = tables[table].groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-        has_null = F.lit(False)
-        for c in columns:
-            has_null = has_null | F.col(c).isNull()
+        texts = {f.name for f in tables[table].schema.fields if isinstance(f.dataType, T.StringType)}
+        key = [F.expr(f"{profile.compact_key(c) if c in texts else c} AS {c}") for c in columns]
+        missing = " OR ".join(f"{c} IS NULL" for c in columns)
+        sizes = tables[table].groupBy(*key).agg(F.expr("count(1) AS n"))
         checked = sizes.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-            F.count(F.lit(1)).alias("distinct_count"),
-            F.coalesce(F.sum(F.when(has_null, F.col("n"))), F.lit(0)).alias("null_rows"),
+            F.expr("coalesce(sum(n), 0) AS row_count"),
+            F.expr("count(1) AS distinct_count"),
+            F.expr(f"coalesce(sum(CASE WHEN {missing} THEN n END), 0) AS null_rows"),
         )
-        unique = (F.col("row_count") == F.col("distinct_count")) & (F.col("null_rows") == 0) & (F.col("row_count") > 0)
-        parts.append(checked.select(
-            F.lit(table).alias("table_name"), F.lit(",".join(columns)).alias("key_columns"),
-            "row_count", "distinct_count", "null_rows", unique.alias("is_key"),
+        parts.append(checked.selectExpr(
+            f"'{table}' AS table_name", f"'{','.join(columns)}' AS key_columns", "row_count", "distinct_count", "null_rows",
+            "row_count = distinct_count AND null_rows = 0 AND row_count > 0 AS is_key",
         ))
     return _union(parts)
 
 
 def find_keys(
-    tables: Mapping[str, DataFrame], composites: Sequence[tuple[str, Sequence[str]]] = ()
+    tables: Mapping[str, DataFrame],
+    composites: Sequence[tuple[str, Sequence[str]]] = (),
+    kinds: tuple = KEY_TYPES,
 ) -> DataFrame:
-    """Keys among all single columns and the given composites."""
-    checked = check_keys(tables, [*key_candidates(tables), *composites])
+    """Keys among all single columns of the given kinds and the given composites."""
+    checked = check_keys(tables, [*key_candidates(tables, kinds), *composites])
     return checked.where("is_key").select("table_name", "key_columns", "row_count")
 
 
@@ -104,7 +113,7 @@ def relationships(
     of all columns are grouped by value, and each pair counts the values both sides have.
     ``parent_coverage`` tells a real reference from a chance inclusion of small numbers.
     """
-    keys = find_keys(tables) if keys is None else keys
+    keys = find_keys(tables, kinds=profile.WHOLE) if keys is None else keys
     key_set = {(r["table_name"], r["key_columns"]) for r in keys.select("table_name", "key_columns").collect()}
     whole = [(t, f.name) for t, df in tables.items() for f in df.schema.fields if isinstance(f.dataType, profile.WHOLE)]
     spans = {
@@ -127,18 +136,18 @@ def relationships(
     used = sorted({side for pair in pairs for side in pair})
     number = {side: i for i, side in enumerate(used)}
     values = _union([
-        tables[t].where(F.col(c).isNotNull()).select(F.lit(number[t, c]).alias("side"), F.col(c).cast("long").alias("value"))
+        tables[t].where(f"{c} IS NOT NULL").selectExpr(f"{number[t, c]} AS side", f"CAST({c} AS BIGINT) AS value")
         for t, c in used
     ]).distinct()
     # At most one entry per column in a group, however often a value occurs.
     holders = values.groupBy("value").agg(F.collect_set("side").alias("sides"))
-    has = lambda side: F.array_contains("sides", number[side])
-    sizes = [F.count_if(has(side)).alias(f"n{i}") for side, i in number.items()]
-    both = [F.count_if(has(child) & has(parent)).alias(f"b{i}") for i, (child, parent) in enumerate(pairs)]
+    flags = holders.selectExpr(*[f"array_contains(sides, {i}) AS h{i}" for i in number.values()])
+    sizes = [F.expr(f"count_if(h{i}) AS n{i}") for i in number.values()]
+    both = [F.expr(f"count_if(h{number[c]} AND h{number[p]}) AS b{i}") for i, (c, p) in enumerate(pairs)]
     cells = ", ".join(
         f"'{c[0]}', '{c[1]}', '{p[0]}', '{p[1]}', n{number[c]}, n{number[p]}, b{i}" for i, (c, p) in enumerate(pairs)
     )
-    rows = holders.agg(*sizes, *both).selectExpr(
+    rows = flags.agg(*sizes, *both).selectExpr(
         f"stack({len(pairs)}, {cells}) AS (parent_table, parent_column, referenced_table, referenced_column, "
         "child_values, key_values, matched_values)"
     )
@@ -158,8 +167,10 @@ def _ranges(tables, columns) -> dict[str, dict[str, tuple]]:
     for t, df in tables.items():
         own = [c for table, c in columns if table == t]
         if own:
-            spans = [F.struct(F.lit(c).alias("c"), F.min(c).cast("long").alias("lo"), F.max(c).cast("long").alias("hi")) for c in own]
-            parts.append(df.agg(F.array(*spans).alias("s")).select(F.lit(t).alias("t"), F.explode("s").alias("s")))
+            spans = ", ".join(
+                f"named_struct('c', '{c}', 'lo', CAST(min({c}) AS BIGINT), 'hi', CAST(max({c}) AS BIGINT))" for c in own
+            )
+            parts.append(df.agg(F.expr(f"array({spans}) AS s")).selectExpr(f"'{t}' AS t", "explode(s) AS s"))
     out: dict[str, dict[str, tuple]] = {}
     for r in _union(parts).select("t", "s.*").collect():
         out.setdefault(r["t"], {})[r["c"]] = (r["lo"], r["hi"])
@@ -196,7 +207,6 @@ def orphan_rows(child: DataFrame, parent: DataFrame, child_column: str, parent_c
 
 
 def model_issues(
-    tables: Mapping[str, DataFrame],
     columns: DataFrame,
     keys: DataFrame,
     rels: DataFrame,

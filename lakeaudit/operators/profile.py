@@ -23,62 +23,84 @@ WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 NUMBERS = WHOLE + (T.FloatType, T.DoubleType, T.DecimalType)
 STAMPS = (T.TimestampType, T.TimestampNTZType)
 
-PROFILE_COLUMNS = (
-    "row_count", "null_count", "distinct_count", "min_number", "max_number", "mean_number",
-    "min_text", "max_text", "max_length",
-)
+PROFILE_TYPES = {
+    "row_count": "bigint", "null_count": "bigint", "distinct_count": "bigint", "min_number": "double", "max_number": "double",
+    "mean_number": "double", "min_text": "string", "max_text": "string", "max_length": "int",
+}
+PROFILE_COLUMNS = tuple(PROFILE_TYPES)
 
+# Measures by use: all, those of a column dictionary, and those type advice needs.
+MEASURES = frozenset(PROFILE_COLUMNS)
+SHAPE = frozenset({"row_count", "null_count", "max_length"})
+RANGE = SHAPE | {"min_number", "max_number"}
 
-def _measures(field: T.StructField, distinct: str | None) -> list[Column]:
-    col, kind = F.col(f"`{field.name}`"), field.dataType
-    nothing = lambda t: F.lit(None).cast(t)
+
+def compact_key(column: str) -> str:
+    """A text as grouping key: long ones by digest, so whole documents are not moved."""
+    return f"CASE WHEN length({column}) > 32 THEN unhex(sha2({column}, 256)) ELSE CAST({column} AS BINARY) END"
+
+
+def _measures(field: T.StructField, distinct: str) -> dict[str, str]:
+    """The aggregates that exist for a column's type."""
+    col, kind = f"`{field.name}`", field.dataType
     number, text = isinstance(kind, NUMBERS), isinstance(kind, T.StringType)
     stamp = isinstance(kind, STAMPS + (T.DateType,))
-    shown = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS") if stamp else col
-    if distinct is None or isinstance(kind, T.MapType):
-        count = nothing("long")
-    else:
-        count = F.approx_count_distinct(col) if distinct == "approx" else F.count_distinct(col)
-    length = F.max(F.length(col)) if text else F.max(F.size(col)) if isinstance(kind, T.ArrayType) else nothing("int")
-    return [
-        F.count(F.lit(1)),
-        F.count_if(col.isNull()),
-        count,
-        F.min(col).cast("double") if number else nothing("double"),
-        F.max(col).cast("double") if number else nothing("double"),
-        F.round(F.avg(col.cast("double")), 4) if number else nothing("double"),
-        F.min(shown) if text or stamp else nothing("string"),
-        F.max(shown) if text or stamp else nothing("string"),
-        length.cast("int"),
-    ]
-
-
-def profile(df: DataFrame, table: str, distinct: str | None = "approx") -> DataFrame:
+    shown = f"date_format({col}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')" if stamp else col
+    found = {"row_count": "count(1)", "null_count": f"count_if({col} IS NULL)"}
+    if not isinstance(kind, T.MapType):
+        exact = f"count(DISTINCT {compact_key(col) if text else col})"
+        found["distinct_count"] = exact if distinct == "exact" else f"approx_count_distinct({col})"
+    if number:
+        found["min_number"] = f"CAST(min({col}) AS DOUBLE)"
+        found["max_number"] = f"CAST(max({col}) AS DOUBLE)"
+        found["mean_number"] = f"round(avg(CAST({col} AS DOUBLE)), 4)"
+    if text or stamp:
+        found["min_text"], found["max_text"] = f"min({shown})", f"max({shown})"
+    if text:
+        found["max_length"] = f"max(length({col}))"
+    if isinstance(kind, T.ArrayType):
+        found["max_length"] = f"max(size({col}))"
+    return found
+
+
+def profile(df: DataFrame, table: str, measures: frozenset = MEASURES, distinct: str = "approx") -> DataFrame:
     """One row per column from one aggregation over the table.
 
-    ``distinct`` is ``approx`` (a fixed-size sketch per column), ``exact`` (which moves
-    every column's distinct values) or ``None``.
+    Only the wanted measures are computed. ``distinct`` is ``approx`` (a fixed-size
+    sketch per column) or ``exact`` (which moves every column's distinct values).
     """
-    cells, width = [], len(PROFILE_COLUMNS)
-    wide = []
+    wide, cells = [], []
     for i, field in enumerate(df.schema.fields):
-        wide += [m.alias(f"m{i}_{j}") for j, m in enumerate(_measures(field, distinct))]
-        row = ", ".join(f"m{i}_{j}" for j in range(width))
-        cells.append(f"{i + 1}, '{field.name}', '{field.dataType.simpleString()}', {row}")
-    names_ = ", ".join(("ordinal", "column_name", "data_type") + PROFILE_COLUMNS)
-    measured = df.agg(*wide).selectExpr(f"stack({len(cells)}, {', '.join(cells)}) AS ({names_})")
-    return measured.select(F.lit(table).alias("table_name"), "*")
-
-
-def profiles(tables: Mapping[str, DataFrame], distinct: str | None = "approx") -> DataFrame:
+        found = _measures(field, distinct)
+        cell = [str(i + 1), f"'{field.name}'", f"'{field.dataType.simpleString()}'"]
+        for name, kind in PROFILE_TYPES.items():
+            if name in found and name in measures:
+                wide.append(F.expr(f"{found[name]} AS {name}_{i}"))
+                cell.append(f"{name}_{i}")
+            else:
+                cell.append(f"CAST(NULL AS {kind})")
+        cells += cell
+    titles = ", ".join(("ordinal", "column_name", "data_type") + PROFILE_COLUMNS)
+    rows = f"stack({len(df.schema.fields)}, {', '.join(cells)}) AS ({titles})"
+    return df.agg(*wide).selectExpr(f"'{table}' AS table_name", rows)
+
+
+def profiles(tables: Mapping[str, DataFrame], measures: frozenset = MEASURES, distinct: str = "approx") -> DataFrame:
     """Profiles of several tables in one result."""
     out: DataFrame | None = None
     for name, df in tables.items():
-        one = profile(df, name, distinct)
+        one = profile(df, name, measures, distinct)
         out = one if out is None else out.unionByName(one)
     return out
 
 
+def schema_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Table, ordinal, name and type of every column, from the schemas alone."""
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(t, i, f.name, f.dataType.simpleString()) for t, df in tables.items() for i, f in enumerate(df.schema.fields, 1)]
+    return spark.createDataFrame(rows, "table_name string, ordinal int, column_name string, data_type string")
+
+
 def column_dictionary(profiled: DataFrame) -> DataFrame:
     """Name, type, nullability, length, precision and scale by ordinal."""
     kind = F.col("data_type")

@@ -28,12 +28,16 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
+        self._tables: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.{self.fmt}"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(self.path(name))
+        """The table; its files are listed and its schema read once per lake."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.format(self.fmt).load(self.path(name))
+        return self._tables[name]
 
     def sql(self, text: str, *names: str) -> DataFrame:
         """Run SQL text that names tables as ``{orders}`` placeholders."""

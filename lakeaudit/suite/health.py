@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeaudit import fixtures as fx
 from lakeaudit import session
-from lakeaudit.operators import aggregates, layout, model, profile, workload
+from lakeaudit.operators import aggregates, filters, layout, model, profile, workload
 from lakeaudit.operators.layout import LayoutSpec
 from lakeaudit.operators.profile import Constraint
 from lakeaudit.sources import inventory, sinks
@@ -59,13 +59,13 @@ def profile_sql(tables, distinct: bool) -> str:
     )
 
 
-def _profiles(lake, tables, distinct=None):
-    return profile.profiles({t: lake.table(t) for t in tables}, distinct)
+def _profiles(lake, tables, measures=profile.MEASURES, distinct="approx"):
+    return profile.profiles({t: lake.table(t) for t in tables}, measures, distinct)
 
 
 @query("table_profile", profile_sql(("customer", "orders", "documents"), True))
 def table_profile(lake):
-    return _profiles(lake, ("customer", "orders", "documents"), "exact")
+    return _profiles(lake, ("customer", "orders", "documents"), distinct="exact")
 
 
 DICTIONARY = """
@@ -77,7 +77,7 @@ DICTIONARY = """
 
 @query("column_dictionary", f"WITH p AS ({profile_sql(TABLES, False)}) {DICTIONARY}")
 def column_dictionary(lake):
-    return profile.column_dictionary(_profiles(lake, TABLES))
+    return profile.column_dictionary(_profiles(lake, TABLES, profile.SHAPE))
 
 
 SMALLEST = """CASE WHEN min_number >= -128 AND max_number <= 127 THEN 'TINYINT'
@@ -95,7 +95,7 @@ SMALLEST = """CASE WHEN min_number >= -128 AND max_number <= 127 THEN 'TINYINT'
       OR (data_type = 'bigint' AND small <> 'BIGINT'))
 """)
 def column_advice(lake):
-    return profile.column_advice(_profiles(lake, TABLES))
+    return profile.column_advice(_profiles(lake, TABLES, profile.RANGE))
 
 
 @query("inferred_ddl", f"""
@@ -109,7 +109,7 @@ def column_advice(lake):
       || string_agg(line, ',' || chr(10) ORDER BY ordinal) || chr(10) || ');' AS ddl FROM t GROUP BY table_name
 """)
 def inferred_ddl(lake):
-    return profile.inferred_ddl(_profiles(lake, TABLES))
+    return profile.inferred_ddl(_profiles(lake, TABLES, profile.RANGE))
 
 
 SPECS = (
@@ -158,23 +158,14 @@ def prev_page_compare(lake):
     SELECT * FROM frag WHERE page_count >= 100 AND avg_fragmentation_in_percent >= 10.0
 """)
 def threshold_filter(lake):
-    return layout_filter(lake, None)
+    return filters.fragmented(_fragmentation(lake))
 
 
 @query("threshold_filter_schema", FRAG + """
     SELECT * FROM frag WHERE page_count >= 20 AND avg_fragmentation_in_percent >= 50.0 AND schema_name = 'dbo'
 """)
 def threshold_filter_schema(lake):
-    return layout_filter(lake, "DBO", 20, 50.0)
-
-
-def layout_filter(lake, schema, pages=None, share=None):
-    from lakeaudit.operators import filters
-
-    return filters.fragmented(
-        _fragmentation(lake), filters.MIN_PAGE_COUNT if pages is None else pages,
-        filters.MIN_FRAGMENTATION if share is None else share, schema,
-    )
+    return filters.fragmented(_fragmentation(lake), 20, 50.0, "DBO")
 
 
 @query("top_fragmented", FRAG + """
@@ -306,7 +297,7 @@ SMALL = 100_000
     g AS (SELECT table_name, count(*) AS files, CAST(sum(file_bytes) AS BIGINT) AS bytes,
                  CAST(sum(row_count) AS BIGINT) AS row_count, count(*) FILTER (WHERE file_bytes < {SMALL}) AS small_files
           FROM f GROUP BY table_name)
-    SELECT *, round(bytes / row_count, 4) AS bytes_per_row, row_count // files AS rows_per_file,
+    SELECT *, bytes // row_count AS bytes_per_row, row_count // files AS rows_per_file,
       round(small_files / files, 4) AS small_file_share,
       CASE WHEN small_files / files > 0.5 THEN 'Medium' ELSE 'Info' END AS severity,
       CASE WHEN small_files / files > 0.5 THEN 'Compact the small files of this table' END AS recommendation FROM g
@@ -364,7 +355,7 @@ COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS entity, {len(cs)} AS n" for t, cs
     FROM ({COUNTS}) WHERE n > 5
 """)
 def wide_entity(lake):
-    return model.wide_entities(profile.column_dictionary(_profiles(lake, TABLES)), 5)
+    return model.wide_entities(profile.column_dictionary(_profiles(lake, TABLES, profile.SHAPE)), 5)
 
 
 VALUES = "\nUNION ALL ".join(
@@ -440,10 +431,13 @@ ISSUES = f"""
 """
 
 
-def _issues(lake, named):
-    keys = model.find_keys(_tables(lake), COMPOSITES[:1])
-    columns = profile.column_dictionary(_profiles(lake, ENTITIES))
-    return model.model_issues(_tables(lake), columns, keys, named, ENTITIES, 8), columns
+def _model(lake):
+    """The model's parts. They hold a few rows per column, so each is computed once."""
+    tables = _tables(lake)
+    keys = model.settle(model.find_keys(tables, COMPOSITES[:1]))
+    named = model.settle(model.relationships(tables, keys).where("same_name"))
+    columns = profile.schema_columns(_tables(lake, ENTITIES))
+    return columns, named, model.settle(model.model_issues(columns, keys, named, ENTITIES, 8))
 
 
 # The model looks for single keys and one composite that is not unique.
@@ -455,7 +449,7 @@ ISSUES = ISSUES.replace("SELECT * FROM keys)", "SELECT * FROM keys WHERE key_col
     FROM (SELECT unnest(['entities', 'attributes', 'relationships', 'identifiers', 'normalization']) AS category) c
 """)
 def issue_counts(lake):
-    return model.issue_counts(_issues(lake, _named(lake))[0])
+    return model.issue_counts(_model(lake)[2])
 
 
 @query("logical_model", RELS + ISSUES + f"""
@@ -468,9 +462,7 @@ def issue_counts(lake):
     UNION ALL SELECT 'summary', 'issues', CAST(count(*) AS VARCHAR) FROM issues
 """)
 def logical_model(lake):
-    named = _named(lake)
-    issues, columns = _issues(lake, named)
-    return model.logical_model(ENTITIES, columns, named, issues)
+    return model.logical_model(ENTITIES, *_model(lake))
 
 
 CONSTRAINTS = (

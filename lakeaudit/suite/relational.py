@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeaudit import fixtures as fx
 from lakeaudit.functions import formats
 from lakeaudit.operators import aggregates, compare, filters, joins, paging, sliding, workload
+from lakeaudit.sources import inventory
 from lakeaudit.sources import tables as src
 from lakeaudit.suite.registry import query
 
@@ -305,7 +306,7 @@ def conditional_counts(lake):
 
 @query("object_counts", "SELECT " + ", ".join(f"(SELECT count(*) FROM {t}) AS {t}_rows" for t in COUNTED))
 def object_counts(lake):
-    return aggregates.table_counts({t: lake.table(t) for t in COUNTED})
+    return aggregates.table_counts(inventory.file_rows(lake, COUNTED), COUNTED)
 
 
 @query("filtered_count", """
