@@ -6,7 +6,7 @@ from importlib import import_module
 
 from lakeaudit.suite.registry import ORACLES, QUERIES
 
-MODULES = ("relational", "texts", "health", "nestedviews")
+MODULES = ("relational", "texts", "health", "nestedviews", "streams")
 
 for _name in MODULES:
     import_module(f"lakeaudit.suite.{_name}")
