@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -174,13 +175,11 @@ class LimiterProcessor(StatefulProcessor):
         self.state = handle.getValueState("client", "times array<long>, violations int, blocked_until long")
 
     def handleInputRows(self, key, rows, timerValues):
-        from collections import deque
-
         saved = self.state.get()
         client = Client(deque(saved[0]), saved[1], saved[2]) if saved else Client()
         # One trigger's rows of one client; its size is set by the source's trigger options.
-        batch = pd.concat(list(rows)).sort_values(["_us", self.tie], kind="stable")
-        allowed, retry = client.run(batch["_us"].to_numpy(), self.limits)
+        batch = pd.concat(list(rows)).sort_values(["request_us", self.tie], kind="stable")
+        allowed, retry = client.run(batch["request_us"].to_numpy(), self.limits)
         batch["allowed"] = allowed
         batch["retry_after"] = pd.array(retry, dtype="Int64")
         batch.loc[allowed, "retry_after"] = pd.NA
@@ -188,9 +187,9 @@ class LimiterProcessor(StatefulProcessor):
         if self.expire:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-            newest = int(batch["_us"].iloc[-1])
+            newest = int(batch["request_us"].iloc[-1])
             self.handle.registerTimer((newest + self.limits.quiet_us) // 1000)
-        yield batch.drop(columns="_us")
+        yield batch.drop(columns="request_us")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.state.clear()
@@ -206,7 +205,7 @@ def rate_limit_stream(stream: DataFrame, client: str, ts: str, tie: str, limits:
     The session needs the RocksDB state store; ``ts`` must be a timestamp with a
     watermark when ``expire`` is set.
     """
-    timed = stream.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    timed = stream.withColumn("request_us", F.unix_micros(F.col(ts).cast("timestamp")))
     out = T.StructType([*stream.schema.fields, T.StructField("allowed", T.BooleanType()), T.StructField("retry_after", T.LongType())])
     return timed.groupBy(client).transformWithStateInPandas(
         LimiterProcessor(limits, expire, tie), out, "Append", "EventTime" if expire else "None"
