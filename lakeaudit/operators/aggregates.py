@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeaudit.functions.numbers import half_up, mean
+
 # Lower bounds of the two fragmentation bands.
 SEVERE_FROM = 30.0
 MEDIUM_FROM = 10.0
@@ -14,13 +16,6 @@ MEDIUM_FROM = 10.0
 PAGE_KB = 8
 SIZE_TYPE = "decimal(18,4)"
 
-MONEY = "decimal(28,4)"
-
-
-def money(value: Column) -> Column:
-    """Exact decimals, so that a sum does not depend on the order of its rows."""
-    return value.cast(MONEY)
-
 
 def space_by_group(df: DataFrame, keys: Sequence[str], total: Column, used: Column) -> DataFrame:
     """Rows, and total, used and unused space in KB by group, from page numbers."""
@@ -62,7 +57,7 @@ def severity_bands(rows: DataFrame, metric: str = "avg_fragmentation_in_percent"
 
 def metric_kpis(df: DataFrame, metric: str, prefix: str, empty: float | None = None) -> DataFrame:
     """Average (two digits) and maximum; ``empty`` is the value for no rows."""
-    average = F.round(F.avg(metric), 2)
+    average = half_up(mean(F.col(metric)), 2)
     highest = F.max(metric)
     if empty is not None:
         average, highest = F.coalesce(average, F.lit(empty)), F.coalesce(highest, F.lit(empty))

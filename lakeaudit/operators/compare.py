@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeaudit.functions.numbers import half_up
+
 
 def keyed_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Status of every key: only_left, only_right, changed, same or duplicate.
@@ -54,6 +56,6 @@ def snapshot_drift(
     return counts.select(
         "*",
         changes.alias("modification_counter"),
-        F.round(ratio, 4).alias("change_ratio"),
+        half_up(ratio, 4).alias("change_ratio"),
         F.coalesce(ratio > stale_ratio, changes > 0).alias("stale"),
     )

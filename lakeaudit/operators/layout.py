@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeaudit.functions.numbers import half_up
 from lakeaudit.operators import aggregates
 
 # Fixed value: rows of a fragmentation list when the caller gives no limit.
@@ -61,7 +62,7 @@ def layout_fragmentation(df: DataFrame, spec: LayoutSpec) -> DataFrame:
         "index_name",
         "column_name",
         F.when(F.col("column_name") == spec.position, "CLUSTERED").otherwise("NONCLUSTERED").alias("index_type"),
-        F.round(share, 4).alias("avg_fragmentation_in_percent"),
+        half_up(share, 4).alias("avg_fragmentation_in_percent"),
         "page_count",
     )
 

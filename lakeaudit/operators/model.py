@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeaudit.functions.numbers import half_up
 from lakeaudit.operators import aggregates, profile
 
 # Issue categories, and the most columns of a table without an issue.
@@ -155,8 +156,8 @@ def relationships(
     return rows.where(F.col("matched_values") >= min_coverage * F.col("child_values")).select(
         F.concat_ws("_", F.lit("fk"), "parent_table", "parent_column", "referenced_table").alias("constraint_name"),
         "parent_table", "parent_column", "referenced_table", "referenced_column", "child_values", "matched_values",
-        F.round(F.try_divide("matched_values", "child_values"), 4).alias("coverage"),
-        F.round(F.try_divide("matched_values", "key_values"), 4).alias("parent_coverage"),
+        half_up(F.try_divide("matched_values", "child_values"), 4).alias("coverage"),
+        half_up(F.try_divide("matched_values", "key_values"), 4).alias("parent_coverage"),
         (plain("parent_column") == plain("referenced_column")).alias("same_name"),
     )
 

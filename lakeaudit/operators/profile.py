@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeaudit.functions import names
+from lakeaudit.functions.numbers import half_up_sql
 
 # Fixed values -----------------------------------------------------------------
 # A text column longer than this is worth a note; the longest VARCHAR with a length.
@@ -53,7 +54,7 @@ def _measures(field: T.StructField, distinct: str) -> dict[str, str]:
     if number:
         found["min_number"] = f"CAST(min({col}) AS DOUBLE)"
         found["max_number"] = f"CAST(max({col}) AS DOUBLE)"
-        found["mean_number"] = f"round(avg(CAST({col} AS DOUBLE)), 4)"
+        found["mean_number"] = half_up_sql(f"avg(CAST({col} AS DOUBLE))", 4)
     if text or stamp:
         found["min_text"], found["max_text"] = f"min({shown})", f"max({shown})"
     if text:

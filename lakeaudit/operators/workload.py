@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lakeaudit.functions.numbers import half_up, mean, money
 from lakeaudit.operators import aggregates, layout
 
 # Metrics of a query ranking with the log column behind each, the
@@ -20,7 +21,7 @@ REPORT_ROWS = 5
 def query_stats(log: DataFrame, metric: str) -> DataFrame:
     """One row per query: executions, last run, and the average of the metric."""
     column = METRICS[metric]
-    value = F.count(F.lit(1)).cast("double") if column is None else F.round(F.avg(column), 4)
+    value = F.count(F.lit(1)).cast("double") if column is None else half_up(mean(F.col(column)), 4)
     return log.groupBy("query_id").agg(
         value.alias("metric_value"),
         F.count(F.lit(1)).alias("count_executions"),
@@ -31,7 +32,7 @@ def query_stats(log: DataFrame, metric: str) -> DataFrame:
 def whole_number_stats(log: DataFrame, metric: str) -> DataFrame:
     """The same from totals only: whole total divided by executions, without rest."""
     column = METRICS[metric]
-    total = F.lit(0) if column is None else F.col(column).cast("decimal(28,4)")
+    total = F.lit(0) if column is None else money(F.col(column))
     grouped = log.groupBy("query_id").agg(
         F.floor(F.sum(total)).cast("long").alias("total"),
         F.count(F.lit(1)).alias("count_executions"),

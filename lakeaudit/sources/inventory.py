@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeaudit.functions.numbers import half_up
 from lakeaudit.sources.tables import Lake
 
 # Fixed value: a file below this size counts as small.
@@ -50,7 +51,7 @@ def small_file_health(files: DataFrame, small_bytes: int = SMALL_FILE_BYTES) ->
         "*",
         F.expr("bytes div nullif(row_count, 0)").alias("bytes_per_row"),
         F.expr("row_count div files").alias("rows_per_file"),
-        F.round(share, 4).alias("small_file_share"),
+        half_up(share, 4).alias("small_file_share"),
         F.when(share > 0.5, "Medium").otherwise("Info").alias("severity"),
         F.when(share > 0.5, "Compact the small files of this table").alias("recommendation"),
     )

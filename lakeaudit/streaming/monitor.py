@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lakeaudit.functions.numbers import half_up, money
+
 # Kinds of rows in an execution log.
 START, SUCCESS, ERROR = "tool.start", "tool.success", "tool.error"
 
@@ -63,11 +65,11 @@ def status_windows(df: DataFrame, ts: str, active: Column, idle: Column, width:
 
 
 def _figures(value: Column) -> list[Column]:
-    return [F.count(F.lit(1)).alias("rows"), F.sum(value.cast("decimal(28,4)")).alias("_sum"), F.max(value).alias("max_value")]
+    return [F.count(F.lit(1)).alias("rows"), F.sum(money(value)).alias("_sum"), F.max(value).alias("max_value")]
 
 
 def _finished(df: DataFrame, key: str) -> DataFrame:
-    average = F.round(F.col("_sum").cast("double") / F.col("rows"), 4)
+    average = half_up(F.col("_sum").cast("double") / F.col("rows"), 4)
     return df.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "rows", average.alias("avg_value"), "max_value"
     )
@@ -143,13 +145,13 @@ def call_figures(calls: DataFrame) -> DataFrame:
         F.count_if(F.col("outcome") == SUCCESS).alias("ok"),
         F.count_if(F.col("outcome") == ERROR).alias("bad"),
     )
-    part = lambda p: F.round(F.percentile("elapsed_ms", F.lit(p), F.col("n")), 4)
+    part = lambda p: half_up(F.percentile("elapsed_ms", F.lit(p), F.col("n")), 4)
     return counted.groupBy("tool").agg(
         F.sum("n").alias("calls"),
         F.sum("ok").alias("succeeded"),
         F.sum("bad").alias("failed"),
         (F.sum("n") - F.sum("ok") - F.sum("bad")).alias("never_finished"),
-        F.round(F.try_divide(F.sum("ok"), F.sum("ok") + F.sum("bad")), 4).alias("success_rate"),
+        half_up(F.try_divide(F.sum("ok"), F.sum("ok") + F.sum("bad")), 4).alias("success_rate"),
         part(0.5).alias("p50_ms"),
         part(0.95).alias("p95_ms"),
     )

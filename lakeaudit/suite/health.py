@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from lakeaudit import fixtures as fx
 from lakeaudit import session
+from lakeaudit.functions.numbers import half_up_sql as hu
+from lakeaudit.functions.numbers import mean_sql
 from lakeaudit.operators import aggregates, filters, layout, model, profile, workload
 from lakeaudit.operators.layout import LayoutSpec
 from lakeaudit.operators.profile import Constraint
@@ -44,7 +46,7 @@ def _cells(table: str, column: str, ordinal: int, kind: str, distinct: bool) ->
     shown = f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f')" if stamp else column
     num = lambda f: f"CAST({f}({column}) AS DOUBLE)" if number else "NULL::DOUBLE"
     txt = lambda f: f"{f}({shown})" if stamp or kind == "string" else "NULL::VARCHAR"
-    mean = f"round(avg(CAST({column} AS DOUBLE)), 4)" if number else "NULL::DOUBLE"
+    mean = hu(f"avg(CAST({column} AS DOUBLE))", 4) if number else "NULL::DOUBLE"
     length = f"max(length({column}))" if kind == "string" else f"max(len({column}))" if "array" in kind else "NULL"
     return f"""SELECT '{table}' AS table_name, {ordinal} AS ordinal, '{column}' AS column_name, '{kind}' AS data_type,
       count(*) AS row_count, count(*) - count({column}) AS null_count,
@@ -126,10 +128,11 @@ def _frag_sql(spec: LayoutSpec, column: str) -> str:
     kind = "CLUSTERED" if column == spec.position else "NONCLUSTERED"
     return f"""SELECT 'dbo' AS schema_name, '{spec.table}' AS table_name, 'ix_{spec.table}_{column}' AS index_name,
       '{column}' AS column_name, '{kind}' AS index_type,
-      round(100.0 * count(*) FILTER (WHERE lo < (SELECT max({column}) FROM {spec.table} b
-        WHERE b.{spec.position} // {spec.page_rows} = page - 1)) / count(*), 4)::DOUBLE AS avg_fragmentation_in_percent,
-      count(*) AS page_count
-      FROM (SELECT {spec.position} // {spec.page_rows} AS page, min({column}) AS lo FROM {spec.table} GROUP BY 1)"""
+      {hu("100 * CAST(broken AS DOUBLE) / page_count", 4)} AS avg_fragmentation_in_percent,
+      page_count
+      FROM (SELECT count(*) AS page_count, count(*) FILTER (WHERE lo < (SELECT max({column}) FROM {spec.table} b
+              WHERE b.{spec.position} // {spec.page_rows} = page - 1)) AS broken
+            FROM (SELECT {spec.position} // {spec.page_rows} AS page, min({column}) AS lo FROM {spec.table} GROUP BY 1))"""
 
 
 FRAG = "WITH frag AS (" + "\nUNION ALL ".join(_frag_sql(s, c) for s in SPECS for c in s.columns) + ")\n"
@@ -206,7 +209,7 @@ def fragmentation_by_table(lake):
 
 
 WORKLOAD = fx.duck(fx.WORKLOAD, "events")
-SLOW = f"""slow AS (SELECT query_id, round(avg(duration_ms), 4) AS metric_value FROM ({WORKLOAD}) w GROUP BY query_id
+SLOW = f"""slow AS (SELECT query_id, {hu(mean_sql('duration_ms'), 4)} AS metric_value FROM ({WORKLOAD}) w GROUP BY query_id
       ORDER BY metric_value DESC, query_id LIMIT 10)"""
 
 
@@ -227,15 +230,15 @@ for _metric, _column in workload.METRICS.items():
     _total = f"CAST(floor(sum(CAST({_column} AS DECIMAL(28,4)))) AS BIGINT) // count(*)"
     _register_top(
         _metric,
-        "CAST(count(*) AS DOUBLE)" if _column is None else f"round(avg({_column}), 4)",
+        "CAST(count(*) AS DOUBLE)" if _column is None else hu(mean_sql(_column), 4),
         "count(*)" if _column is None else _total,
     )
 
 
 @query("kpi_summary", f"""
     WITH {SLOW}, f AS ({FRAG} SELECT avg_fragmentation_in_percent AS a FROM frag)
-    SELECT (SELECT round(avg(metric_value), 2) FROM slow) AS avg_duration_ms,
-      (SELECT max(metric_value) FROM slow) AS max_duration_ms, (SELECT coalesce(round(avg(a), 2), 0.0) FROM f) AS avg_fragmentation,
+    SELECT (SELECT {hu(mean_sql('metric_value'), 2)} FROM slow) AS avg_duration_ms,
+      (SELECT max(metric_value) FROM slow) AS max_duration_ms, (SELECT coalesce({hu(mean_sql('a'), 2)}, 0.0) FROM f) AS avg_fragmentation,
       (SELECT coalesce(max(a), 0.0) FROM f) AS max_fragmentation
 """)
 def kpi_summary(lake):
@@ -246,7 +249,7 @@ def kpi_summary(lake):
 
 
 @query("kpi_summary_log", f"""
-    SELECT round(avg(duration_ms), 2) AS avg_duration_ms, max(duration_ms) AS max_duration_ms FROM ({WORKLOAD}) w
+    SELECT {hu(mean_sql('duration_ms'), 2)} AS avg_duration_ms, max(duration_ms) AS max_duration_ms FROM ({WORKLOAD}) w
 """)
 def kpi_summary_log(lake):
     return aggregates.metric_kpis(fx.workload(lake), "duration_ms", "duration_ms")
@@ -255,9 +258,9 @@ def kpi_summary_log(lake):
 REPORT = f"""
     WITH {SLOW}, frag AS ({FRAG} SELECT * FROM frag), tt AS ({TOP_TABLES}),
     ti AS (SELECT * FROM frag ORDER BY avg_fragmentation_in_percent DESC, table_name, index_name LIMIT 5)
-    SELECT 'kpi' AS section, CAST(0 AS BIGINT) AS rank, 'avg_duration_ms' AS name, (SELECT round(avg(metric_value), 2) FROM slow) AS metric
+    SELECT 'kpi' AS section, CAST(0 AS BIGINT) AS rank, 'avg_duration_ms' AS name, (SELECT {hu(mean_sql('metric_value'), 2)} FROM slow) AS metric
     UNION ALL SELECT 'kpi', 0, 'max_duration_ms', (SELECT max(metric_value) FROM slow)
-    UNION ALL SELECT 'kpi', 0, 'avg_fragmentation', (SELECT round(avg(avg_fragmentation_in_percent), 2) FROM frag)
+    UNION ALL SELECT 'kpi', 0, 'avg_fragmentation', (SELECT {hu(mean_sql('avg_fragmentation_in_percent'), 2)} FROM frag)
     UNION ALL SELECT 'kpi', 0, 'severe', (SELECT count(*) FROM frag WHERE avg_fragmentation_in_percent >= 30)
     UNION ALL SELECT 'kpi', 0, 'medium', (SELECT count(*) FROM frag WHERE avg_fragmentation_in_percent >= 10 AND avg_fragmentation_in_percent < 30)
     UNION ALL SELECT 'kpi', 0, 'total', (SELECT count(*) FROM frag)
@@ -298,7 +301,7 @@ SMALL = 100_000
                  CAST(sum(row_count) AS BIGINT) AS row_count, count(*) FILTER (WHERE file_bytes < {SMALL}) AS small_files
           FROM f GROUP BY table_name)
     SELECT *, bytes // row_count AS bytes_per_row, row_count // files AS rows_per_file,
-      round(small_files / files, 4) AS small_file_share,
+      {hu('small_files / files', 4)} AS small_file_share,
       CASE WHEN small_files / files > 0.5 THEN 'Medium' ELSE 'Info' END AS severity,
       CASE WHEN small_files / files > 0.5 THEN 'Compact the small files of this table' END AS recommendation FROM g
 """)
@@ -370,7 +373,7 @@ RELS = f"""
           FROM dv a JOIN dv b ON a.v = b.v AND a.t <> b.t JOIN stats k ON k.t = b.t AND k.c = b.c AND k.n = k.d GROUP BY ALL),
     rels AS (SELECT 'fk_' || parent_table || '_' || parent_column || '_' || referenced_table AS constraint_name,
         parent_table, parent_column, referenced_table, referenced_column, s.d AS child_values, matched_values,
-        round(matched_values / s.d, 4) AS coverage, round(matched_values / k.d, 4) AS parent_coverage,
+        {hu('matched_values / s.d', 4)} AS coverage, {hu('matched_values / k.d', 4)} AS parent_coverage,
         regexp_replace(parent_column, '^[a-z]{{1,2}}_', '') = regexp_replace(referenced_column, '^[a-z]{{1,2}}_', '') AS same_name
       FROM m JOIN stats s ON s.t = parent_table AND s.c = parent_column
       JOIN stats k ON k.t = referenced_table AND k.c = referenced_column WHERE matched_values = s.d)

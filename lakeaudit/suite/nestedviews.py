@@ -10,6 +10,8 @@ from lakeaudit.plans import documents as plans
 from lakeaudit.suite import health
 from lakeaudit.suite.registry import query
 from lakeaudit.functions import formats
+from lakeaudit.functions.numbers import half_up_sql as hu
+from lakeaudit.functions.numbers import mean_sql
 from lakeaudit.suite.texts import _q
 
 DOCS = fx.CUSTOMER_DOCUMENTS.format(customer="customer", orders="orders")
@@ -150,7 +152,7 @@ STMTS = fx.duck(fx.STMTS, "events")
 TEXT_LOG = f"""
     WITH l AS (SELECT event_type || '#' || CAST(events.user_id % 20 AS VARCHAR) AS query_id, value,
                       s.sql_text, event_id FROM events JOIN ({STMTS}) s ON stmt_id = event_id),
-    top AS (SELECT query_id, round(avg(value), 4) AS metric_value, count(*) AS count_executions,
+    top AS (SELECT query_id, {hu(mean_sql('value'), 4)} AS metric_value, count(*) AS count_executions,
                    arg_min(sql_text, event_id) AS query_sql_text FROM l GROUP BY query_id
             ORDER BY metric_value DESC, query_id LIMIT 10)
 """

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeaudit import fixtures as fx
-from lakeaudit.functions import formats
+from lakeaudit.functions import formats, numbers
+from lakeaudit.functions.numbers import half_up_sql as hu
 from lakeaudit.operators import aggregates, compare, filters, joins, paging, sliding, workload
 from lakeaudit.sources import inventory
 from lakeaudit.sources import tables as src
@@ -114,7 +115,7 @@ def _drift_sql(base: str, cur: str) -> str:
         count(b.o_orderkey) AS base_rows, count(n.o_orderkey) AS current_rows
       FROM {base} b FULL OUTER JOIN {cur} n ON b.o_orderkey = n.o_orderkey)
     SELECT *, inserts + updates + deletes AS modification_counter,
-      round((inserts + updates + deletes) / base_rows, 4) AS change_ratio,
+      {hu('(inserts + updates + deletes) / base_rows', 4)} AS change_ratio,
       (inserts + updates + deletes) / base_rows > 0.2 AS stale FROM c
 """
 
@@ -194,7 +195,7 @@ def multiway_join(lake):
         (t("nation"), F.col("c_nationkey") == F.col("n_nationkey")),
         (t("region"), F.col("n_regionkey") == F.col("r_regionkey")),
     ])
-    price = F.sum(aggregates.money(F.col("l_extendedprice"))).alias("price")
+    price = F.sum(numbers.money(F.col("l_extendedprice"))).alias("price")
     return chain.groupBy("r_name", "n_name").agg(F.count(F.lit(1)).alias("line_count"), price)
 
 
@@ -219,7 +220,7 @@ def composite_key_join(lake):
 def left_join_default(lake):
     per_customer = lake.table("orders").groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("order_count"),
-        F.sum(aggregates.money(F.col("o_totalprice"))).alias("spent"),
+        F.sum(numbers.money(F.col("o_totalprice"))).alias("spent"),
         F.max_by("o_orderstatus", "o_orderkey").alias("last_status"),
     )
     customers = lake.table("customer").select("c_custkey", "c_name")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeaudit import fixtures as fx
+from lakeaudit.functions.numbers import half_up_sql as hu
+from lakeaudit.functions.numbers import mean_sql
 from lakeaudit.sources import sinks
 from lakeaudit.streaming import limiter, monitor, run
 from lakeaudit.streaming.limits import Limits
@@ -132,7 +134,7 @@ def session_status_stream(lake):
     return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-KPI = "count(*) AS rows, round(CAST(sum(CAST(value AS DECIMAL(28,4))) AS DOUBLE) / count(*), 4) AS avg_value, max(value) AS max_value"
+KPI = f"count(*) AS rows, {hu(mean_sql('value'), 4)} AS avg_value, max(value) AS max_value"
 
 
 @query("windowed_kpis", f"""
@@ -186,11 +188,11 @@ def tool_log_pairing(lake):
     return monitor.paired_calls(fx.toollog(lake))
 
 
-@query("tool_log_figures", CALLS + """
+@query("tool_log_figures", CALLS + f"""
     SELECT tool, count(*) AS calls, count(*) FILTER (WHERE outcome = 'tool.success') AS succeeded,
       count(*) FILTER (WHERE outcome = 'tool.error') AS failed, count(*) FILTER (WHERE outcome IS NULL) AS never_finished,
-      round(count(*) FILTER (WHERE outcome = 'tool.success') / nullif(count(outcome), 0), 4) AS success_rate,
-      round(quantile_cont(elapsed_ms, 0.5), 4) AS p50_ms, round(quantile_cont(elapsed_ms, 0.95), 4) AS p95_ms
+      {hu("count(*) FILTER (WHERE outcome = 'tool.success') / nullif(count(outcome), 0)", 4)} AS success_rate,
+      {hu('quantile_cont(elapsed_ms, 0.5)', 4)} AS p50_ms, {hu('quantile_cont(elapsed_ms, 0.95)', 4)} AS p95_ms
     FROM calls GROUP BY tool
 """)
 def tool_log_figures(lake):
