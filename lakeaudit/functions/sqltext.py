@@ -88,28 +88,25 @@ def require_readonly(spark: SparkSession, sql: str) -> None:
 
 def plain_name(part: Column) -> Column:
     """A name without its brackets or quotes, trimmed and lower-cased."""
-    inner = F.regexp_replace(F.trim(part), r"^\[(.*)\]$", "$1")
-    return F.lower(F.trim(F.regexp_replace(inner, r'^"(.*)"$', "$1")))
+    name = F.trim(part)
+    inside = F.when(name.rlike(r'^["\[]'), F.substring(name, F.lit(2), F.length(name) - 2)).otherwise(name)
+    return F.lower(F.trim(inside))
 
 
 def _names(code: Column, pattern: str) -> Column:
     return F.regexp_extract_all(code, F.lit(pattern), F.lit(1))
 
 
-def _reference(kind: str):
-    """Target text → schema and table (its last two parts), and how it was used."""
-
-    def build(target: Column) -> Column:
-        parts = F.regexp_extract_all(target, F.lit(f"({NAME})"), F.lit(1))
-        schema = F.when(F.size(parts) > 1, plain_name(F.element_at(parts, -2)))
-        return F.struct(
-            F.coalesce(schema, F.lit(DEFAULT_SCHEMA)).alias("schema_name"),
-            plain_name(F.element_at(parts, -1)).alias("table_name"),
-            (F.size(parts) == 1).alias("bare"),
-            F.lit(kind).alias("kind"),
-        )
-
-    return build
+def _uses(code: Column, pattern: str, kind: str) -> Column:
+    """Tables a pattern finds: schema and table are the last two parts of the name."""
+    # Two steps, so that a lambda sees the parts of a name as a value found once.
+    parts = F.transform(_names(code, pattern), lambda t: F.regexp_extract_all(t, F.lit(f"({NAME})"), F.lit(1)))
+    return F.transform(parts, lambda p: F.struct(
+        F.when(F.size(p) > 1, plain_name(F.get(p, F.size(p) - 2))).otherwise(F.lit(DEFAULT_SCHEMA)).alias("schema_name"),
+        plain_name(F.get(p, F.size(p) - 1)).alias("table_name"),
+        (F.size(p) == 1).alias("bare"),
+        F.lit(kind).alias("kind"),
+    ))
 
 
 def statement_references(df: DataFrame, sql: str = "sql_text") -> DataFrame:
@@ -120,9 +117,9 @@ def statement_references(df: DataFrame, sql: str = "sql_text") -> DataFrame:
     """
     code = F.coalesce(F.regexp_replace(F.col(sql), _CODE_AND_NAMES, "$1 "), F.lit(""))
     uses = F.concat(
-        F.transform(_names(F.col("_code"), READ_TARGET), _reference("read")),
-        F.transform(_names(F.col("_code"), WRITE_TARGET), _reference("write")),
-        F.transform(_names(F.col("_code"), DELETE_TARGET), _reference("write")),
+        _uses(F.col("_code"), READ_TARGET, "read"),
+        _uses(F.col("_code"), WRITE_TARGET, "write"),
+        _uses(F.col("_code"), DELETE_TARGET, "write"),
     )
     ctes = F.transform(
         F.concat(_names(F.col("_code"), CTE_FIRST), _names(F.col("_code"), CTE_NEXT)), plain_name
@@ -145,5 +142,6 @@ def referenced_tables(df: DataFrame, key: str = "stmt_id", sql: str = "sql_text"
     pairs = F.array_distinct(
         F.transform(F.col("references"), lambda r: F.struct(r["schema_name"], r["table_name"]))
     )
-    listed = statement_references(df.select(key, sql), sql).select(key, F.posexplode(pairs))
-    return listed.select(key, (F.col("pos") + 1).alias("position"), "col.schema_name", "col.table_name")
+    # The outer form: the inner one would add a filter that finds all references twice.
+    listed = statement_references(df.select(key, sql), sql).select(key, F.posexplode_outer(pairs))
+    return listed.where(F.col("pos").isNotNull()).select(key, (F.col("pos") + 1).alias("position"), "col.schema_name", "col.table_name")

@@ -20,29 +20,35 @@ def ordered_distinct(refs: DataFrame, key: str = "stmt_id") -> DataFrame:
     ).orderBy("first_stmt", "first_position")
 
 
-def table_edges(stmts: DataFrame, key: str = "stmt_id", sql: str = "sql_text") -> DataFrame:
-    """Table pairs with the statements behind them.
+def _uses_and_pairs(stmts: DataFrame, key: str, sql: str) -> DataFrame:
+    """Statements per table (edge ``names``) and per table pair, in one pass over the texts.
 
-    A written table depends on each table the statement reads (``writes_from``); in a
-    pure read the first table is paired with the others (``read_with``). That is one
-    edge per table named, not one per pair of tables.
+    A written table is paired with each table the statement reads; in a pure read the
+    first table is paired with the others. That is one pair per table named, not one
+    per pair of tables.
     """
     refs = sqltext.statement_references(stmts.select(key, sql), sql)
-    reads = F.array_distinct(F.transform(F.filter("references", lambda r: r["kind"] == "read"), _full_name))
-    writes = F.array_distinct(F.transform(F.filter("references", lambda r: r["kind"] == "write"), _full_name))
-    used = refs.select(reads.alias("reads"), writes.alias("writes"))
-    # The first written table of a statement, or else the first one read.
-    anchored = used.select(
+    names = lambda kind: F.array_distinct(
+        F.transform(F.filter("references", lambda r: r["kind"] == kind), _full_name)
+    )
+    used = refs.select(names("read").alias("reads"), names("write").alias("writes")).select(
         F.when(F.size("writes") > 0, "writes_from").otherwise("read_with").alias("edge"),
-        F.coalesce(F.get("writes", F.lit(0)), F.get("reads", F.lit(0))).alias("from_table"),
-        F.array_distinct(F.concat("reads", "writes")).alias("others"),
+        F.coalesce(F.get("writes", F.lit(0)), F.get("reads", F.lit(0))).alias("anchor"),
+        F.array_distinct(F.concat("reads", "writes")).alias("tables"),
     )
-    pairs = anchored.select("edge", "from_table", F.explode("others").alias("to_table"))
-    return (
-        pairs.where(F.col("from_table") != F.col("to_table"))
-        .groupBy("edge", "from_table", "to_table")
-        .agg(F.count(F.lit(1)).alias("statements"))
+    entry = lambda edge, a, b: F.struct(edge.alias("edge"), a.alias("from_table"), b.alias("to_table"))
+    named = F.transform("tables", lambda t: entry(F.lit("names"), t, t))
+    pairs = F.transform(
+        F.filter("tables", lambda t: t != F.col("anchor")), lambda t: entry(F.col("edge"), F.col("anchor"), t)
     )
+    # The outer form: the inner one would add a filter that finds all references twice.
+    entries = used.select(F.explode_outer(F.concat(named, pairs)).alias("e")).where(F.col("e").isNotNull())
+    return entries.groupBy("e.edge", "e.from_table", "e.to_table").agg(F.count(F.lit(1)).alias("statements"))
+
+
+def table_edges(stmts: DataFrame, key: str = "stmt_id", sql: str = "sql_text") -> DataFrame:
+    """Table pairs (``writes_from`` or ``read_with``) with the statements behind them."""
+    return _uses_and_pairs(stmts, key, sql).where(F.col("edge") != "names")
 
 
 def dependency_union(edges: DataFrame, table: str) -> DataFrame:
@@ -58,16 +64,14 @@ def dependency_union(edges: DataFrame, table: str) -> DataFrame:
 
 def dependency_degrees(stmts: DataFrame, key: str = "stmt_id", sql: str = "sql_text") -> DataFrame:
     """Statements naming each table, and how many tables it depends on and serves."""
-    refs = sqltext.referenced_tables(stmts, key, sql)
-    named = refs.select(F.concat_ws(".", "schema_name", "table_name").alias("table_name"), F.lit(1).alias("statements"),
-                        F.lit(0).alias("depends_on"), F.lit(0).alias("used_by"))
-    edges = table_edges(stmts, key, sql)
-    ends = edges.select(
-        F.explode(F.array(
-            F.struct(F.col("from_table").alias("table_name"), F.lit(1).alias("depends_on"), F.lit(0).alias("used_by")),
-            F.struct(F.col("to_table").alias("table_name"), F.lit(0).alias("depends_on"), F.lit(1).alias("used_by")),
-        )).alias("e")
-    ).select("e.table_name", F.lit(0).alias("statements"), "e.depends_on", "e.used_by")
-    return named.unionByName(ends).groupBy("table_name").agg(
-        F.sum("statements").alias("statements"), F.sum("depends_on").alias("depends_on"), F.sum("used_by").alias("used_by")
+    end = lambda table, statements, depends_on, used_by: F.struct(
+        table.alias("table_name"), statements.alias("statements"),
+        F.lit(depends_on).alias("depends_on"), F.lit(used_by).alias("used_by"),
+    )
+    no_count = F.lit(0).cast("long")
+    ends = F.when(
+        F.col("edge") == "names", F.array(end(F.col("from_table"), F.col("statements"), 0, 0))
+    ).otherwise(F.array(end(F.col("from_table"), no_count, 1, 0), end(F.col("to_table"), no_count, 0, 1)))
+    return _uses_and_pairs(stmts, key, sql).select(F.explode(ends).alias("e")).groupBy("e.table_name").agg(
+        F.sum("e.statements").alias("statements"), F.sum("e.depends_on").alias("depends_on"), F.sum("e.used_by").alias("used_by")
     )

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.window import Window
 
-from lakeaudit.streaming.limits import Client, Effect, Limits, count_after
+from lakeaudit.streaming.limits import Client, Effect, Limits
 
 PERIOD = ["_client", "_period"]
 
@@ -46,8 +46,10 @@ def rate_limit(df: DataFrame, client: str, ts: str, tie: str, limits: Limits) ->
         .mapInPandas(_effect_batches(limits), _with_key(df, client, "_period long, _lo long, _hi long, _count long, _shift long"))
     )
     last = periods.where(restless).select("_client", F.col("_last").alias("_period")).distinct()
-    starts = effects.unionByName(last, allowMissingColumns=True).groupBy("_client").applyInPandas(
-        _chain, _with_key(df, client, "_period long, _start long")
+    starts = (
+        effects.unionByName(last, allowMissingColumns=True)
+        .repartition("_client").sortWithinPartitions("_client", "_period", "_lo")
+        .mapInPandas(_start_batches, _with_key(df, client, "_period long, _start long"))
     )
     large = F.col("_size") > limits.max_requests
     keep = [*df.columns, *PERIOD, "_us"]
@@ -95,40 +97,48 @@ def _runs(batch: pd.DataFrame) -> Iterator[tuple[tuple, slice]]:
         yield (client[start], period[start]), slice(int(start), int(end))
 
 
+def _whole(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
+    """Rows whose columns after the first are whole numbers or missing."""
+    return pd.DataFrame(rows, columns=columns, dtype=object).astype({c: "Int64" for c in columns[1:]})
+
+
 def _effect_batches(limits: Limits):
     columns = ["_client", "_period", "_lo", "_hi", "_count", "_shift"]
 
-    def frame(key, effect):
-        rows = [(*key, *piece) for piece in effect.rows()]
-        return pd.DataFrame(rows, columns=columns).astype({c: "Int64" for c in columns[1:]})
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, effect = None, None
+        current, effect = None, Effect()
         for batch in batches:
-            times = batch["_us"].to_numpy()
+            times, done = batch["_us"].to_numpy(), []
             for key, part in _runs(batch):
                 if key != current:
-                    if effect is not None:
-                        yield frame(current, effect)
+                    if current is not None:
+                        done += [(*current, *piece) for piece in effect.rows()]
                     current, effect = key, Effect()
-                for now in times[part]:
-                    effect.check(int(now), limits)
-        if effect is not None:
-            yield frame(current, effect)
+                for now in times[part].tolist():
+                    effect.check(now, limits)
+            if done:
+                yield _whole(done, columns)
+        if current is not None:
+            yield _whole([(*current, *piece) for piece in effect.rows()], columns)
 
     return run
 
 
-def _chain(effects: pd.DataFrame) -> pd.DataFrame:
-    """Violation count at the start of each period of one client."""
-    rows, count = [], 0
-    for period, pieces in effects.sort_values(["_period", "_lo"]).groupby("_period", sort=True):
-        rows.append((pieces["_client"].iloc[0], period, count))
-        known = pieces.dropna(subset=["_lo"])
-        if len(known):
-            whole = lambda v: None if pd.isna(v) else int(v)
-            count = count_after([tuple(map(whole, r)) for r in known[["_lo", "_hi", "_count", "_shift"]].itertuples(index=False)], count)
-    return pd.DataFrame(rows, columns=["_client", "_period", "_start"])
+def _start_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Violation count at the start of every period; pieces come sorted by client and period."""
+    client, period, start, after = None, None, 0, 0
+    for batch in batches:
+        starts = []
+        columns = [batch[c].astype(object).where(batch[c].notna(), None).tolist() for c in ("_lo", "_hi", "_count", "_shift")]
+        for this, number, lo, hi, count, shift in zip(batch["_client"].tolist(), batch["_period"].tolist(), *columns):
+            if this != client:
+                client, period, after = this, None, 0
+            if number != period:
+                period, start = number, after
+                starts.append((client, period, start))
+            if lo is not None and lo <= start and (hi is None or start <= hi):
+                after = int(start + shift if count is None else count)
+        yield _whole(starts, ["_client", "_period", "_start"])
 
 
 def _decision_batches(limits: Limits, columns: list[str]):

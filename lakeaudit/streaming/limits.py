@@ -126,6 +126,7 @@ class Effect:
         self.tracks += forked
 
     def rows(self) -> list[tuple]:
+        """(low, high, count, shift) for all starts; together they cover every start once."""
         return sorted((p for t in self.tracks for p in t.pieces), key=lambda p: p[0])
 
 
@@ -164,11 +165,3 @@ def _split(pieces: list, limit: int) -> tuple[list, list]:
         if hi is None or hi >= edge:
             reached.append((max(lo, edge), hi, None, shift))
     return below, reached
-
-
-def count_after(rows: list[tuple], start: int) -> int:
-    """Violation count after a period that began with ``start``."""
-    for lo, hi, n, shift in rows:
-        if lo <= start and (hi is None or start <= hi):
-            return start + shift if n is None else n
-    raise ValueError(f"no piece for {start}")
