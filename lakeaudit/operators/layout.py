@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lakeaudit.functions.numbers import half_up
 from lakeaudit.operators import aggregates
@@ -92,15 +93,24 @@ def by_table(rows: DataFrame, limit: int = 5) -> DataFrame:
 
 
 def index_health(rows: DataFrame) -> DataFrame:
-    """Fragmentation rows with their severity and the counts of all rows."""
+    """Fragmentation rows with their severity and the counts of all rows.
+
+    There are a few rows per table, so the counts are a window over all of them and the
+    tables are scanned once.
+    """
     value = F.coalesce(F.col("avg_fragmentation_in_percent"), F.lit(0.0))
     severity = (
         F.when(value >= aggregates.SEVERE_FROM, "severe")
         .when(value >= aggregates.MEDIUM_FROM, "medium")
         .otherwise("low")
     )
-    # One row of counts, so this cross join adds columns and no rows.
-    return rows.withColumn("severity", severity).join(F.broadcast(aggregates.severity_bands(rows)))
+    everything = Window.partitionBy()
+    return rows.withColumn("severity", severity).select(
+        "*",
+        F.count_if(F.col("severity") == "severe").over(everything).alias("severe"),
+        F.count_if(F.col("severity") == "medium").over(everything).alias("medium"),
+        F.count(F.lit(1)).over(everything).alias("total"),
+    )
 
 
 def access_path_advice(foreign_keys: DataFrame, rows: DataFrame, limit: float = 10.0) -> DataFrame:

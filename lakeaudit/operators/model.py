@@ -19,11 +19,8 @@ KEY_TYPES = profile.WHOLE + (T.StringType,)
 # A column whose estimated distinct count is below this share of the rows is no key.
 # The estimate is off by about 5 %, so a real key is ten deviations away from it.
 KEY_SHARE = 0.5
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """The same few rows as local data, for results that are bounded by the schema."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+# Columns marked in one whole number.
+WORD_BITS = 60
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -136,13 +133,20 @@ def relationships(
         return spark.createDataFrame([], schema)
     used = sorted({side for pair in pairs for side in pair})
     number = {side: i for i, side in enumerate(used)}
+    # Each column has a bit, so the columns holding a value are a few numbers that combine
+    # before the only shuffle, however often the value occurs.
+    words = len(used) // WORD_BITS + 1
     values = _union([
-        tables[t].where(f"{c} IS NOT NULL").selectExpr(f"{number[t, c]} AS side", f"CAST({c} AS BIGINT) AS value")
-        for t, c in used
-    ]).distinct()
-    # At most one entry per column in a group, however often a value occurs.
-    holders = values.groupBy("value").agg(F.collect_set("side").alias("sides"))
-    flags = holders.selectExpr(*[f"array_contains(sides, {i}) AS h{i}" for i in number.values()])
+        tables[t].where(f"{c} IS NOT NULL").selectExpr(
+            f"CAST({c} AS BIGINT) AS value",
+            *[f"{1 << (i % WORD_BITS) if i // WORD_BITS == w else 0}L AS w{w}" for w in range(words)],
+        )
+        for (t, c), i in number.items()
+    ])
+    holders = values.groupBy("value").agg(*[F.expr(f"bit_or(w{w}) AS w{w}") for w in range(words)])
+    flags = holders.selectExpr(
+        *[f"w{i // WORD_BITS} & {1 << (i % WORD_BITS)}L <> 0 AS h{i}" for i in number.values()]
+    )
     sizes = [F.expr(f"count_if(h{i}) AS n{i}") for i in number.values()]
     both = [F.expr(f"count_if(h{number[c]} AND h{number[p]}) AS b{i}") for i, (c, p) in enumerate(pairs)]
     cells = ", ".join(

@@ -38,12 +38,22 @@ def with_page_numbers(df: DataFrame, info: dict[str, int]) -> DataFrame:
     return df.select("*", *[F.lit(v).cast("long").alias(k) for k, v in info.items()])
 
 
-def result_page(df: DataFrame, page: object, page_size: object, order_by: Sequence[str] = ()) -> DataFrame:
-    """One page of a capped result, in its own order or by ``order_by``."""
+def result_page(capped: DataFrame, page: object, page_size: object, order_by: Sequence[str] = ()) -> DataFrame:
+    """One page of a result cut by ``row_cap``, in its own order or by ``order_by``.
+
+    A capped result is short and in one place, so its rows are counted and numbered
+    there, and the query behind it runs once.
+    """
     number, size = normalise(page, page_size)
-    info = page_numbers(df.count(), number, size)
-    ordered = df.orderBy(*order_by) if order_by else df
-    return with_page_numbers(ordered.offset((info["page"] - 1) * size).limit(size), info)
+    order = Window.orderBy(*(order_by or [F.monotonically_increasing_id()]))
+    pages = F.greatest(F.lit(1), F.ceil(F.col("total_items") / F.lit(size))).cast("long")
+    counted = capped.withColumns({
+        "_no": F.row_number().over(order),
+        "total_items": F.count(F.lit(1)).over(Window.partitionBy()),
+    }).withColumns({"page": F.least(F.lit(number).cast("long"), pages), "page_size": F.lit(size).cast("long"), "total_pages": pages})
+    start = (F.col("page") - 1) * F.col("page_size")
+    rows = counted.where((F.col("_no") > start) & (F.col("_no") <= start + F.col("page_size"))).orderBy("_no")
+    return rows.select(*capped.columns, "page", "page_size", "total_items", "total_pages")
 
 
 def offset_page(

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from lakeaudit.functions.numbers import half_up, mean, money
 from lakeaudit.operators import aggregates, layout
+from lakeaudit.operators.small import settle
 
 # Metrics of a query ranking with the log column behind each, the
 # metric for an unknown name, and the sizes of the lists.
@@ -78,8 +79,8 @@ def performance_report(log: DataFrame, fragmentation_rows: DataFrame) -> DataFra
     The figures describe the lists the report is made from: the slowest queries and
     the fragmentation rows.
     """
-    slow = top_queries(log, "duration", TOP_QUERIES)
-    frag = fragmentation_rows
+    slow = settle(top_queries(log, "duration", TOP_QUERIES))
+    frag = settle(fragmentation_rows)
     query_kpi = aggregates.metric_kpis(slow, "metric_value", "duration_ms")
     frag_kpi = aggregates.metric_kpis(frag, "avg_fragmentation_in_percent", "fragmentation", empty=0.0)
     bands = aggregates.severity_bands(frag)

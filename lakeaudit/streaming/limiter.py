@@ -160,10 +160,10 @@ def _decision_batches(limits: Limits, columns: list[str]):
     return run
 
 
-def state_expiry(decisions: DataFrame, client: str, ts: str, limits: Limits) -> DataFrame:
-    """Clients whose newest accepted request is too old to matter any more."""
+def state_expiry(decisions: DataFrame, requests: DataFrame, client: str, ts: str, limits: Limits) -> DataFrame:
+    """Clients whose newest accepted request is too old to matter at the end of the log."""
     newest = decisions.groupBy(client).agg(F.max(F.when(F.col("allowed"), F.col(ts))).alias("newest"))
-    now = decisions.agg(F.max(ts).alias("now"))
+    now = requests.agg(F.max(ts).alias("now"))
     kept = F.make_dt_interval(secs=F.lit(limits.window + limits.breaker))
     return (
         newest.join(F.broadcast(now))  # one row

@@ -11,6 +11,7 @@ from lakeaudit.functions.numbers import mean_sql
 from lakeaudit.operators import aggregates, filters, layout, model, profile, workload
 from lakeaudit.operators.layout import LayoutSpec
 from lakeaudit.operators.profile import Constraint
+from lakeaudit.operators.small import settle
 from lakeaudit.sources import inventory, sinks
 from lakeaudit.sources.tables import TABLES
 from lakeaudit.suite.registry import query
@@ -437,10 +438,10 @@ ISSUES = f"""
 def _model(lake):
     """The model's parts. They hold a few rows per column, so each is computed once."""
     tables = _tables(lake)
-    keys = model.settle(model.find_keys(tables, COMPOSITES[:1]))
-    named = model.settle(model.relationships(tables, keys).where("same_name"))
+    keys = settle(model.find_keys(tables, COMPOSITES[:1]))
+    named = settle(model.relationships(tables, keys).where("same_name"))
     columns = profile.schema_columns(_tables(lake, ENTITIES))
-    return columns, named, model.settle(model.model_issues(columns, keys, named, ENTITIES, 8))
+    return columns, named, settle(model.model_issues(columns, keys, named, ENTITIES, 8))
 
 
 # The model looks for single keys and one composite that is not unique.

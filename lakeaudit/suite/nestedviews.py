@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeaudit import fixtures as fx
-from lakeaudit.operators import documents, layout, model, nested, profile, workload
+from lakeaudit.operators import documents, layout, nested, profile, workload
+from lakeaudit.operators.small import settle
 from lakeaudit.plans import documents as plans
 from lakeaudit.suite import health
 from lakeaudit.suite.registry import query
@@ -185,10 +186,10 @@ HEALTH = ("orders", "lineitem", "part", "events")
 
 
 def health_documents(lake):
-    profiled = health._profiles(lake, HEALTH, profile.RANGE)
-    fragmentation = layout.fragmentation({s.table: lake.table(s.table) for s in health.SPECS if s.table in HEALTH},
-                                         [s for s in health.SPECS if s.table in HEALTH])
-    rels = model.settle(health._named(lake).where(F.col("parent_table").isin(*HEALTH)))
+    specs = [s for s in health.SPECS if s.table in HEALTH]
+    profiled = settle(health._profiles(lake, HEALTH, profile.RANGE))
+    fragmentation = settle(layout.fragmentation({s.table: lake.table(s.table) for s in specs}, specs))
+    rels = settle(health._named(lake).where(F.col("parent_table").isin(*HEALTH)))
     issues = layout.access_path_advice(rels, fragmentation).where("issue IS NOT NULL")
     return documents.table_health(profiled, fragmentation, rels, profile.column_advice(profiled), issues)
 

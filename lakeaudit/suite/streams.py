@@ -69,7 +69,7 @@ def rate_limit_stream(lake):
     FROM sim GROUP BY user_id
 """)
 def state_expiry(lake):
-    return limiter.state_expiry(_limited(lake), "user_id", "ts", LIMITS)
+    return limiter.state_expiry(_limited(lake), _requests(lake), "user_id", "ts", LIMITS)
 
 
 @query("audit_stream", """

@@ -112,7 +112,7 @@ def test_stream_forgets_old_clients(spark, tmp_path):
     limits = Limits(10, 1, 10, 9)
     schema = "id long, client string, t long"
     # The second file lies far behind the first one's expiry, the third asks again.
-    for part in ([(1, "a", 0), (2, "a", 1)], [(3, "b", 500)], [(4, "b", 1000), (5, "a", 1000), (6, "a", 1001)]):
+    for part in ([(1, "a", 100), (2, "a", 101)], [(3, "b", 500)], [(4, "b", 1000), (5, "a", 1000), (6, "a", 1001)]):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     timed = stream.select("id", "client", F.timestamp_seconds("t").alias("ts")).withWatermark("ts", "0 seconds")
@@ -127,5 +127,5 @@ def test_state_expiry(spark):
     df = spark.createDataFrame(
         [("stale", 9000, True), ("empty", 9990, False), ("fresh", 9999, True), ("fresh", 10000, False)], "c string, t long, allowed boolean"
     ).select("c", F.timestamp_seconds("t").alias("ts"), "allowed")
-    rows = {r["c"]: r["expired"] for r in limiter.state_expiry(df, "c", "ts", Limits(60, 1, 10, 1)).collect()}
+    rows = {r["c"]: r["expired"] for r in limiter.state_expiry(df, df, "c", "ts", Limits(60, 1, 10, 1)).collect()}
     assert rows == {"stale": True, "empty": True, "fresh": False}
