@@ -10,11 +10,14 @@ from pyspark.sql import types as T
 COMPACT_CHARS = 240
 CUT_MARK = "…"
 ONE_LINE_CHARS = 220
-# White space as Python's str.split sees it.
-WHITE_SPACE = (
-    r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+# White space as Python's str.split sees it, without and with the plain blank.
+OTHER_SPACE = (
+    r"\x{09}-\x{0D}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
+WHITE_SPACE = rf"[\x{{20}}{OTHER_SPACE}]+"
+# Only runs that are not one plain blank already, which most are.
+SPACE_RUN = rf"[{OTHER_SPACE}][\x{{20}}{OTHER_SPACE}]*|\x{{20}}[\x{{20}}{OTHER_SPACE}]+"
 
 
 def iso_text(ts: Column) -> Column:
@@ -40,10 +43,10 @@ def iso_records(df: DataFrame) -> DataFrame:
 
 def compact_text(text: Column, max_chars: int = COMPACT_CHARS) -> Column:
     """White space collapsed and trimmed; a longer text is cut and marked."""
-    one = F.trim(F.regexp_replace(text, WHITE_SPACE, " "))
+    one = F.trim(F.regexp_replace(text, SPACE_RUN, " "))
     return F.when(F.length(one) > max_chars, F.concat(F.left(one, F.lit(max_chars)), F.lit(CUT_MARK))).otherwise(one)
 
 
 def one_line(text: Column, max_chars: int = ONE_LINE_CHARS) -> Column:
     """Line breaks as blanks, first characters only."""
-    return F.left(F.translate(text, "\r\n", "  "), F.lit(max_chars))
+    return F.translate(F.left(text, F.lit(max_chars)), "\r\n", "  ")

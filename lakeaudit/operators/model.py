@@ -143,12 +143,15 @@ def relationships(
         )
         for (t, c), i in number.items()
     ])
-    holders = values.groupBy("value").agg(*[F.expr(f"bit_or(w{w}) AS w{w}") for w in range(words)])
-    flags = holders.selectExpr(
-        *[f"w{i // WORD_BITS} & {1 << (i % WORD_BITS)}L <> 0 AS h{i}" for i in number.values()]
+    marks = [f"w{w}" for w in range(words)]
+    holders = values.groupBy("value").agg(*[F.expr(f"bit_or({m}) AS {m}") for m in marks])
+    # Values held by the same columns count together: few rows are left for the pairs.
+    alike = holders.groupBy(*marks).agg(F.expr("count(1) AS n"))
+    flags = alike.selectExpr(
+        "n", *[f"w{i // WORD_BITS} & {1 << (i % WORD_BITS)}L <> 0 AS h{i}" for i in number.values()]
     )
-    sizes = [F.expr(f"count_if(h{i}) AS n{i}") for i in number.values()]
-    both = [F.expr(f"count_if(h{number[c]} AND h{number[p]}) AS b{i}") for i, (c, p) in enumerate(pairs)]
+    sizes = [F.expr(f"sum(IF(h{i}, n, 0)) AS n{i}") for i in number.values()]
+    both = [F.expr(f"sum(IF(h{number[c]} AND h{number[p]}, n, 0)) AS b{i}") for i, (c, p) in enumerate(pairs)]
     cells = ", ".join(
         f"'{c[0]}', '{c[1]}', '{p[0]}', '{p[1]}', n{number[c]}, n{number[p]}, b{i}" for i, (c, p) in enumerate(pairs)
     )
