@@ -50,18 +50,25 @@ def _exists(dtype: T.DataType, tree: dict | None) -> bool:
     return False
 
 
+def _any_of(item: Column, fields: list[str]) -> Column:
+    return F.coalesce(*[F.when(item[k].isNotNull(), True) for k in fields], F.lit(False))
+
+
 def _projected(column: Column, dtype: T.DataType, tree: dict | None) -> Column:
     if tree is None:
         return column
     if isinstance(dtype, T.ArrayType):
-        items = F.filter(F.transform(column, lambda x: _projected(x, dtype.elementType, tree)), lambda x: x.isNotNull())
+        element = dtype.elementType
+        if isinstance(element, T.StructType) and all(t is None for k, t in tree.items() if k in element.names):
+            # Plain fields of list items: written so that a scan reads only these fields.
+            fields = [k for k in tree if k in element.names]
+            items = F.filter(F.arrays_zip(*[column.getField(k) for k in fields]), lambda x: _any_of(x, fields))
+        else:
+            items = F.filter(F.transform(column, lambda x: _projected(x, element, tree)), lambda x: x.isNotNull())
         return F.when(F.size(items) > 0, items)
     kept = [(k, t) for k, t in tree.items() if k in dtype.names and _exists(dtype[k].dataType, t)]
     parts = [_projected(column[k], dtype[k].dataType, t).alias(k) for k, t in kept]
-    anything = F.lit(False)
-    for part in parts:
-        anything = anything | part.isNotNull()
-    return F.when(anything, F.struct(*parts))
+    return F.when(F.coalesce(*[F.when(p.isNotNull(), True) for p in parts]), F.struct(*parts))
 
 
 def field_projection(df: DataFrame, fields: str | None) -> DataFrame:

@@ -58,6 +58,29 @@ def run_to_files(stream: DataFrame, name: str, fmt: str = "parquet", path: str |
     return f"{path}/rows"
 
 
+def run_updates(stream: DataFrame, keys: list[str], name: str, path: str | None = None) -> DataFrame:
+    """Process everything available in update mode; the newest row of every key is the table.
+
+    Each trigger's changed rows are one folder, written again as a whole when a trigger is
+    repeated after a failure.
+    """
+    path = path or session.work_path(stream.sparkSession, name)
+
+    def keep(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/rows/batch={batch}")
+
+    query = (
+        stream.writeStream.outputMode("update").foreachBatch(keep)
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    rows = stream.sparkSession.read.schema(schema).option("basePath", f"{path}/rows").parquet(f"{path}/rows")
+    newest = F.max_by(F.struct(*stream.columns), "batch").alias("row")
+    return rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(newest).select("row.*")
+
+
 def run_to_table(stream: DataFrame, name: str, path: str | None = None) -> DataFrame:
     rows = run_to_files(stream, name, path=path)
     return stream.sparkSession.read.schema(stream.schema).parquet(rows)

@@ -246,6 +246,38 @@ def result_views_model_summary(lake):
     )
 
 
+@query("result_views_model_standard", health.RELS + health.ISSUES + f"""
+    , a AS (SELECT table_name, ordinal, column_name FROM ({health.profile_sql(health.ENTITIES, False)}) WHERE ordinal <= 12)
+    SELECT table_name AS entity, string_agg(column_name, ',' ORDER BY ordinal) AS attributes,
+      (SELECT least(count(*), 12) FROM issues WHERE category = 'relationships') AS relationship_issues
+    FROM a GROUP BY table_name
+""")
+def result_views_model_standard(lake):
+    view = nested.logical_model_view(documents.model_document(*health._model(lake)), "standard")
+    issues = F.size(F.col("issues")["relationships"]).cast("long")
+    return view.select(F.explode("entities").alias("e"), issues.alias("relationship_issues")).select(
+        F.col("e.entity_name").alias("entity"), F.array_join(F.col("e.attributes.column_name"), ",").alias("attributes"),
+        "relationship_issues",
+    )
+
+
+@query("table_health_result", f"""
+    WITH frag AS ({health.FRAG} SELECT * FROM frag WHERE table_name IN {HEALTH_LIST}),
+    r AS (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY index_name) AS rn, count(*) OVER (PARTITION BY table_name) AS n FROM frag)
+    SELECT table_name, string_agg(index_name, ',' ORDER BY index_name) FILTER (WHERE rn <= 2) AS indexes,
+      2 AS page_size, max(n) AS total_items, CAST(ceil(max(n) / 2.0) AS BIGINT) AS total_pages FROM r GROUP BY table_name
+""")
+def table_health_result(lake):
+    """The whole way of a health request: view, budget, projection, then the first page."""
+    docs = nested.table_health_view(health_documents(lake), "standard")
+    page = nested.shape_result(docs, 100_000, "table_name,indexes.index_name", 1, 2)
+    block = F.col("_pagination.lists")["root.indexes"]
+    return page.select(
+        "table_name", F.array_join(F.col("indexes.index_name"), ",").alias("indexes"),
+        *[block[c].alias(c) for c in ("page_size", "total_items", "total_pages")],
+    )
+
+
 # The oracle takes the nodes from the part columns and reads no document.
 NODES = """
     WITH nodes AS (

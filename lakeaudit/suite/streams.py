@@ -167,6 +167,16 @@ def windowed_kpis_stream(lake):
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
+@query("windowed_kpis_updates", SLIDING)
+def windowed_kpis_updates(lake):
+    """Update mode: every window is there, also those the watermark has not closed."""
+    stream = monitor.kpis_stream(
+        run.stream_table(lake, "events", "ts"), "ts", "event_type", "value", "24 hours", "6 hours", "1 hour"
+    )
+    rows = run.run_updates(stream, ["window_start", "event_type"], "kpi-updates")
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
 @query("late_rows", """
     WITH m AS (SELECT o_orderdate, max(o_orderdate) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM orders)
     SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderdate < top - INTERVAL 90 DAY) AS late_rows FROM m
