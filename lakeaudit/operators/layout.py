@@ -37,13 +37,19 @@ def page_ranges(df: DataFrame, position: str, columns: Sequence[str], page_rows:
 def with_previous_page(pages: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each page next to the one directly before it.
 
-    A join on the page number shifted by one keeps the pages spread over all tasks; a
-    window over the whole table would sort them in one.
+    Every page hands its largest values on to the next page number and pages are grouped
+    by number: all tasks share the pages, where a window over the whole table would sort
+    them in one, and the table is read once, where a self-join would read it twice.
     """
-    before = pages.select(
-        (F.col("page") + 1).alias("page"), *[F.col(f"max_{c}").alias(f"prev_max_{c}") for c in columns]
-    )
-    return pages.join(before, "page", "left")
+    own = [c for c in pages.columns if c != "page"]
+    handed = [f"prev_max_{c}" for c in columns]
+    no_own = [F.lit(None).cast(pages.schema[c].dataType).alias(c) for c in own]
+    no_prev = [F.lit(None).cast(pages.schema[f"max_{c}"].dataType).alias(h) for c, h in zip(columns, handed)]
+    here = F.struct("page", *own, *no_prev)
+    after = F.struct((F.col("page") + 1).alias("page"), *no_own, *[F.col(f"max_{c}").alias(h) for c, h in zip(columns, handed)])
+    spread = pages.select(F.explode(F.array(here, after)).alias("p")).select("p.*")
+    grouped = spread.groupBy("page").agg(*[F.max(c).alias(c) for c in [*own, *handed]])
+    return grouped.where(F.col("rows").isNotNull())
 
 
 def layout_fragmentation(df: DataFrame, spec: LayoutSpec) -> DataFrame:

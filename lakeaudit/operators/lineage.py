@@ -52,14 +52,16 @@ def table_edges(stmts: DataFrame, key: str = "stmt_id", sql: str = "sql_text") -
 
 
 def dependency_union(edges: DataFrame, table: str) -> DataFrame:
-    """What a table is used by, stacked on what it uses; only the latter has a kind."""
-    used_by = edges.where(F.col("to_table") == table).select(
-        F.lit("referencing").alias("direction"), F.col("from_table").alias("entity"), "statements"
-    )
-    uses = edges.where(F.col("from_table") == table).select(
-        F.lit("referenced").alias("direction"), F.col("to_table").alias("entity"), "statements", F.col("edge").alias("kind")
+    """What a table is used by, stacked on what it uses; only the latter has a kind.
+
+    Both lists come from one pass over the edges.
+    """
+    entry = lambda direction, entity, kind: F.struct(
+        F.lit(direction).alias("direction"), F.col(entity).alias("entity"), F.col("statements"), kind.alias("kind")
     )
-    return used_by.unionByName(uses, allowMissingColumns=True)
+    used_by = F.when(F.col("to_table") == table, entry("referencing", "from_table", F.lit(None).cast("string")))
+    uses = F.when(F.col("from_table") == table, entry("referenced", "to_table", F.col("edge")))
+    return edges.select(F.explode(F.array(used_by, uses)).alias("e")).where(F.col("e").isNotNull()).select("e.*")
 
 
 def dependency_degrees(stmts: DataFrame, key: str = "stmt_id", sql: str = "sql_text") -> DataFrame:

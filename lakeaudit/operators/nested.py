@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeaudit import session
 from lakeaudit.functions import formats, jsonsize
 from lakeaudit.operators import paging, sliding
 
@@ -161,7 +162,8 @@ def token_budget(df: DataFrame, budget: int | None) -> DataFrame:
 def context_pack(df: DataFrame, key: str, order: str, text: str, budget: int) -> DataFrame:
     """Which texts of each key fit a token budget, taken in order."""
     chars = jsonsize.json_chars(F.col(text), T.StringType())
-    sized = df.select(key, order, jsonsize.tokens(chars).alias("tokens"))
+    # Three numbers per text, written once, so that the texts are read once.
+    sized = session.checkpointed(df.select(key, order, jsonsize.tokens(chars).alias("tokens")))
     packed = sliding.running_sum(sized, key, order, "tokens", "running_tokens")
     return packed.withColumn("fits", F.col("running_tokens") <= budget)
 

@@ -70,20 +70,26 @@ def profile(df: DataFrame, table: str, measures: frozenset = MEASURES, distinct:
     Only the wanted measures are computed. ``distinct`` is ``approx`` (a fixed-size
     sketch per column) or ``exact`` (which moves every column's distinct values).
     """
-    wide, cells = [], []
+    wide, apart, cells = [], [], []
     for i, field in enumerate(df.schema.fields):
         found = _measures(field, distinct)
         cell = [str(i + 1), f"'{field.name}'", f"'{field.dataType.simpleString()}'"]
         for name, kind in PROFILE_TYPES.items():
             if name in found and name in measures:
-                wide.append(F.expr(f"{found[name]} AS {name}_{i}"))
+                exact = name == "distinct_count" and distinct == "exact"
+                (apart if exact else wide).append(F.expr(f"{found[name]} AS {name}_{i}"))
                 cell.append(f"{name}_{i}")
             else:
                 cell.append(f"CAST(NULL AS {kind})")
         cells += cell
     titles = ", ".join(("ordinal", "column_name", "data_type") + PROFILE_COLUMNS)
     rows = f"stack({len(df.schema.fields)}, {', '.join(cells)}) AS ({titles})"
-    return df.agg(*wide).selectExpr(f"'{table}' AS table_name", rows)
+    measured = df.agg(*wide)
+    if apart:
+        # Exact counts have an aggregation of their own: next to smallest and largest texts
+        # they would be sorted instead of hashed. One row on either side.
+        measured = measured.join(F.broadcast(df.agg(*apart)))
+    return measured.selectExpr(f"'{table}' AS table_name", rows)
 
 
 def profiles(tables: Mapping[str, DataFrame], measures: frozenset = MEASURES, distinct: str = "approx") -> DataFrame:

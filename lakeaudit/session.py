@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on; cluster sizing (executors, memory, shuffle
 # partitions) is left to the deployment.
@@ -50,6 +50,14 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder once, for results several branches use."""
+    folder, context = shared_folder(df.sparkSession), df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for one run."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.window import Window
 
+from lakeaudit import session
 from lakeaudit.streaming.limits import Client, Effect, Limits
 
 PERIOD = ["_client", "_period"]
@@ -36,7 +37,8 @@ def rate_limit(df: DataFrame, client: str, ts: str, tie: str, limits: Limits) ->
     """
     keyed = df.withColumns({"_client": F.col(client), "_us": F.unix_micros(F.col(ts).cast("timestamp"))})
     keyed = keyed.withColumn("_slice", F.expr(f"(_us - pmod(_us, {limits.quiet_us}L)) div {limits.quiet_us}L"))
-    periods = _busy_periods(keyed, limits)
+    # One row per client and slice, used by every step.
+    periods = session.checkpointed(_busy_periods(keyed, limits))
     placed = keyed.join(periods, ["_client", "_slice"])
     restless = F.col("_busiest") > limits.max_requests
 

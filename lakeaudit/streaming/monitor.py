@@ -124,14 +124,20 @@ def late_rows(df: DataFrame, order: str, ts: str, delay_seconds: int, chunk: int
 # --- execution log ------------------------------------------------------------
 
 def paired_calls(log: DataFrame) -> DataFrame:
-    """One row per invocation with its outcome; an unfinished one has none."""
+    """One row per invocation with its outcome; an unfinished one has none.
+
+    The outcome is aggregated as a number and the tool is part of the key, as texts among
+    the aggregates would turn the hash aggregation into a sort.
+    """
     phase = F.col("phase")
-    return log.groupBy("invocation_id").agg(
-        F.max("tool").alias("tool"),
+    ended = F.max(F.when(phase == SUCCESS, 2).when(phase == ERROR, 1))
+    grouped = log.groupBy("invocation_id", "tool").agg(
         F.min(F.when(phase == START, F.col("ts"))).alias("started"),
-        F.max(F.when(phase.isin(SUCCESS, ERROR), phase)).alias("outcome"),
+        ended.alias("_ended"),
         F.max("elapsed_ms").alias("elapsed_ms"),
     )
+    outcome = F.when(F.col("_ended") == 2, SUCCESS).when(F.col("_ended") == 1, ERROR)
+    return grouped.select("invocation_id", "tool", "started", outcome.alias("outcome"), "elapsed_ms")
 
 
 def call_figures(calls: DataFrame) -> DataFrame:
