@@ -21,10 +21,11 @@ def scope_verdict(
     scope = filters.parse_scope(patterns)
     refs = sqltext.statement_references(df.select(key, sql), sql)
     outside = F.filter("references", lambda r: ~filters.in_scope(r["schema_name"], r["table_name"], scope))
-    names = F.array_distinct(F.transform(outside, lambda r: F.concat_ws(".", r["schema_name"], r["table_name"])))
-    return refs.select(
+    denied = refs.select(key, outside.alias("_outside"))
+    names = F.array_distinct(F.transform("_outside", lambda r: F.concat_ws(".", r["schema_name"], r["table_name"])))
+    return denied.select(
         key,
-        (F.size(outside) == 0).alias("allowed"),
+        (F.size("_outside") == 0).alias("allowed"),
         F.nullif(F.array_join(F.array_sort(names), ", "), F.lit("")).alias("denied_tables"),
     )
 

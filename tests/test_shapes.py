@@ -224,3 +224,37 @@ def test_plan_nodes_and_stubs(spark):
     ]
     assert rows[0]["object_name"] == "dbo.t" and rows[0]["predicate"] == "a = b and something much longe" and rows[1]["actual_rows"] == "7"
     assert [r["status"] for r in rows[3:]] == ["no plan", "no plan", "unreadable", "empty"]
+
+
+def test_documents_of_a_hot_customer_are_split(spark, tmp_path):
+    from lakeaudit import fixtures as fx
+    from lakeaudit.sources.tables import Lake
+
+    orders = [(i, 1 if i < 350 else 2, "O") for i in range(360)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    people = [(1, "one", "A"), (2, "two", "B"), (3, "none", "C")]
+    spark.createDataFrame(people, "c_custkey long, c_name string, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    docs = rows_of(fx.customer_documents(Lake(spark, str(tmp_path))))
+    assert sorted((d["custkey"], d["document_no"]) for d in docs) == [(1, 0), (1, 1), (1, 2), (1, 3), (2, 0)]
+    assert max(len(d["orders"]) for d in docs) <= 100
+    assert sorted(o["o_orderkey"] for d in docs for o in d["orders"]) == list(range(360))
+
+
+def test_projection_reads_only_the_named_nested_fields(spark, tmp_path, payload):
+    payload.write.parquet(f"{tmp_path}/docs")
+    narrow = nested.field_projection(spark.read.parquet(f"{tmp_path}/docs"), "summary.total,queries.query_id")
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    schema = plan[plan.index("ReadSchema:"):]
+    assert "query_id" in schema and "total" in schema
+    assert not any(name in schema for name in ("text", "ms:", "high", "database"))
+
+
+def test_hot_client_sessions_and_pages_stay_exact(spark):
+    """A third of all rows on one key, through the operators that cut keys into slices."""
+    df = spark.range(6000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97).alias("u"),
+        F.timestamp_seconds(F.col("id") * 7).alias("ts"),
+    )
+    assert monitor.sessions(df, "u", "ts", 22, slice_seconds=3600).agg(F.sum("events")).first()[0] == 6000
+    hot = sliding.sliding_counts(df, "u", "ts", 210).where("u = 0 AND id > 100 AND id % 97 <> 0")
+    assert {r["requests"] for r in hot.select("requests").distinct().collect()} <= {11, 12}
