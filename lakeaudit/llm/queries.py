@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeaudit.llm import interleave, mixing, secrets
+from lakeaudit.llm import chosen_path, interleave, mixing, secrets
 from lakeaudit.session import apply_defaults
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def query(name: str, oracle: str | None = None):
     return wrap
 
 
+@query("op1_chosen_path_join")
+def op1(read):
+    return chosen_path.near_duplicates(read("documents"))
+
+
 @query("op2_linked_secrets")
 def op2(read):
     return secrets.secret_report(read("documents"))
