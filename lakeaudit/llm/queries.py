@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeaudit.llm import chosen_path, interleave, mixing, secrets
+from lakeaudit.llm import chosen_path, host_bayes, interleave, mixing, secrets
 from lakeaudit.session import apply_defaults
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,11 @@ def op5(read):
     return mixing.taken_words(read("documents"))
 
 
+@query("op7_host_posteriors")
+def op7(read):
+    return host_bayes.judged(read("documents"), read("labels"))
+
+
 @query("op10_interleaved_shards")
 def op10(read):
     return interleave.sharded_documents(read("documents"))
