@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeaudit.llm import chosen_path, host_bayes, interleave, mixing, secrets
+from lakeaudit.llm import chosen_path, host_bayes, interleave, line_frequency, mixing, packing, secrets
 from lakeaudit.session import apply_defaults
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,11 +41,23 @@ def op2(read):
     return secrets.secret_report(read("documents"))
 
 
+@query("op3_pattern_packing")
+def op3(read):
+    import public_tokenizers
+
+    return packing.packed(read("documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op5_water_filled_mix")
 def op5(read):
     return mixing.taken_words(read("documents"))
 
 
+@query("op6_line_frequency")
+def op6(read):
+    return line_frequency.verdicts(read("documents"))
+
+
 @query("op7_host_posteriors")
 def op7(read):
     return host_bayes.judged(read("documents"), read("labels"))
