@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeaudit.llm import chosen_path, host_bayes, interleave, line_frequency, mixing, packing, secrets
+from lakeaudit.llm import chosen_path, host_bayes, interleave, line_frequency, mixing, packing, phrases, secrets, suffixes, vafile
 from lakeaudit.session import apply_defaults
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,29 @@ def op3(read):
     return packing.packed(read("documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query(
+    "op4_va_file",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_sum(list_transform(list_zip(q.v, c.v), x -> x[1] * x[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+      WHERE q.vec_id % 50 = 0
+    )
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+    ) WHERE rank <= 5
+    """,
+)
+def op4(read):
+    return vafile.nearest(read("embeddings"))
+
+
 @query("op5_water_filled_mix")
 def op5(read):
     return mixing.taken_words(read("documents"))
@@ -63,6 +86,16 @@ def op7(read):
     return host_bayes.judged(read("documents"), read("labels"))
 
 
+@query("op8_phrase_automata")
+def op8(read):
+    return phrases.repeat_report(read("documents"))
+
+
+@query("op9_radix_suffixes")
+def op9(read):
+    return suffixes.repeat_report(read("documents"))
+
+
 @query("op10_interleaved_shards")
 def op10(read):
     return interleave.sharded_documents(read("documents"))
