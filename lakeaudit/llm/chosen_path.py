@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lakeaudit.llm.common import Words, binary, grams, map_batches, mixed, parts, stored, text_key
 from lakeaudit.llm.components import components
+from lakeaudit.llm.rows import held, released
 
 SHINGLE = 5
 # The threshold as a fraction, so that the verification is exact.
@@ -355,11 +356,8 @@ def near_duplicates(documents: DataFrame, runs: int | None = None) -> DataFrame:
 
 def one_of_each(documents: DataFrame) -> DataFrame:
     """Documents without near duplicates: of each class the row with the least id stays."""
-    kept = (
-        near_duplicates(documents).where("doc_id = class_id OR doc_id IS NULL")
-        .select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).distinct()
-    )
-    keyed = documents.withColumn("__text_key", text_key())
-    joined = keyed.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__text_key") == F.col("__key")), "left_semi")
-    repeated = joined.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "__text_key"])
-    return repeated.unionByName(joined.where("doc_id IS NULL")).select(*documents.columns)
+    kept = near_duplicates(documents).where("doc_id = class_id OR doc_id IS NULL").select("doc_id", "key").distinct()
+    joined = held(documents).join(kept, F.col("doc").eqNullSafe(F.col("doc_id")) & (F.col("doc_key") == F.col("key")), "left_semi")
+    # Rows equal in id and text are copies too, but for those without an id, which have no class.
+    one = joined.where("doc IS NOT NULL").dropDuplicates(["doc", "doc_key"])
+    return released(one.unionByName(joined.where("doc IS NULL")))

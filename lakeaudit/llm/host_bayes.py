@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeaudit.llm.common import map_batches, stored, text_key, with_broadcast_if_small
+from lakeaudit.llm.rows import held, released
 
 # About this many labelled documents are used to fit; their ids' hashes decide which.
 FIT_ROWS = 20_000
@@ -306,11 +307,5 @@ def judged(documents: DataFrame, labels: DataFrame, host: Column | None = None,
 
 def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are kept, with all their columns."""
-    rejected = (
-        judged(documents, labels).where("NOT kept")
-        .select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).distinct()
-    )
-    keyed = documents.withColumn("__text_key", text_key())
-    return keyed.join(
-        rejected, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__text_key") == F.col("__key")), "left_anti"
-    ).select(*documents.columns)
+    rejected = judged(documents, labels).where("NOT kept").select("doc_id", "key").distinct()
+    return released(held(documents).join(rejected, F.col("doc").eqNullSafe(F.col("doc_id")) & (F.col("doc_key") == F.col("key")), "left_anti"))

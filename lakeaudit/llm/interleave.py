@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeaudit.llm.common import parts, seeded, slice_of, stored
+from lakeaudit.llm.rows import HELD
 
 SHARDS = 16
 SEED = 20
@@ -47,21 +48,25 @@ def interleaved_shards(rows: DataFrame, stratum: str, identity: list[str], shard
     hot stratum nor the whole order passes one task: both are numbered slice by slice.
     """
     slices = 4 * parts(rows.sparkSession)
-    keep = [c for c in rows.columns if c not in ("shard", "slot")]
-    order = [F.col(c).asc_nulls_first() for c in identity]
-    rows = rows.select(*keep, seeded(seed, *identity).alias("__order")).withColumn("__slice", slice_of(F.col("__order"), slices))
-    ranked = _numbered(rows, [stratum], "__slice", [F.col("__order"), *order], "__rank", "__stratum_rows").drop("__slice")
+    rows = rows.drop("shard", "slot")
+    own = [f"__id{k}" for k in range(len(identity))]
+    order = [F.col(c).asc_nulls_first() for c in own]
+    rows = rows.select(
+        F.struct("*").alias(HELD), F.col(stratum).alias("__stratum"), *[F.col(c).alias(o) for c, o in zip(identity, own, strict=True)],
+        seeded(seed, *identity).alias("__order"),
+    ).withColumn("__slice", slice_of(F.col("__order"), slices))
+    ranked = _numbered(rows, ["__stratum"], "__slice", [F.col("__order"), *order], "__rank", "__stratum_rows").drop("__slice")
     share = (F.col("__rank") + 0.5) / F.col("__stratum_rows")
     placed = ranked.withColumn("__share", share).withColumn("__slice", F.floor(F.col("__share") * slices).cast("int"))
     placed = stored(placed.withColumn("__all", F.lit(0)), "interleave")
-    by_share = [F.col("__share"), F.col(stratum).asc_nulls_last(), F.col("__order"), *order]
+    by_share = [F.col("__share"), F.col("__stratum").asc_nulls_last(), F.col("__order"), *order]
     numbered = _numbered(placed, ["__all"], "__slice", by_share, "__place", "__rows")
     shard = F.expr(f"(__place * {shards}) div __rows")
     first = F.expr(f"(shard * __rows + {shards - 1}) div {shards}")
     return (
         numbered.withColumn("shard", shard.cast("int"))
         .withColumn("slot", F.col("__place") - first)
-        .select(*keep, "shard", "slot")
+        .select(f"{HELD}.*", "shard", "slot")
     )
 
 

@@ -9,8 +9,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeaudit.llm.common import Words, binary, cover, grams, listed, map_batches, stored, text_key, with_broadcast_if_small
+from lakeaudit.llm.rows import HELD, held, released
 
 # A line is boilerplate of a host beyond this many of its distinct texts, or this share of them.
 LEAST_DOCUMENTS = 30
@@ -135,30 +137,23 @@ def judged(documents: DataFrame, host: Column | None = None, least: int = LEAST_
     )
 
 
-def _cleaning(place: int):
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for text, removed in zip(batch.column(place).cast(pa.binary()).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
-                gone = set(removed or ())
-                texts.append(text if not gone or text is None else b"\n".join(x for x in text.split(b"\n") if line_hash(x) not in gone))
-            columns = [pa.array(texts, pa.binary()).cast(pa.string()) if k == place else c for k, c in enumerate(batch.columns[:-1])]
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
-
-    return clean
+def _clean_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = []
+        for text, removed in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            gone = set(removed or ())
+            texts.append(text if not gone or text is None else b"\n".join(x for x in text.split(b"\n") if line_hash(x) not in gone))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).cast(pa.string())], [HELD, "clean"])
 
 
-def cleaned(documents: DataFrame, host: Column | None = None, least: int = LEAST_DOCUMENTS, share: float = HOST_SHARE) -> DataFrame:
+def cleaned(documents: DataFrame, least: int = LEAST_DOCUMENTS, share: float = HOST_SHARE) -> DataFrame:
     """The kept documents with all their columns, their frequent lines removed from the text."""
-    kept = (
-        judged(documents, host, least, share).where("kept")
-        .select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"), "removed").dropDuplicates(["__doc", "__key"])
-    )
-    keyed = documents.withColumn("__text_key", text_key())
-    joined = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__text_key") == F.col("__key")))
-    slim = joined.select(*documents.columns, "removed")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    return map_batches(slim, _cleaning(documents.columns.index("text")), schema)
+    verdict = judged(documents, None, least, share).where("kept").select(F.col("doc_id").cast("long").alias("own"), "key", F.col("host").alias("own_host"), "removed")
+    rows = held(documents).withColumn("doc_host", F.col(f"{HELD}.source").cast("string"))
+    same = F.col("doc").eqNullSafe(F.col("own")) & (F.col("doc_key") == F.col("key")) & F.col("doc_host").eqNullSafe(F.col("own_host"))
+    joined = rows.join(verdict.dropDuplicates(["own", "key", "own_host"]), same).select(HELD, F.col(f"{HELD}.text").alias("text"), "removed")
+    schema = T.StructType([joined.schema[HELD], T.StructField("clean", T.StringType())])
+    return released(map_batches(joined, _clean_batches, schema).select(F.col(HELD).withField("text", F.col("clean")).alias(HELD)))
 
 
 def verdicts(documents: DataFrame) -> DataFrame:

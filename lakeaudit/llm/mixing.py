@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeaudit.llm.common import WORD, parts, seeded, slice_of, stored, with_broadcast_if_small
+from lakeaudit.llm.rows import HELD, released
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -23,8 +24,9 @@ def filled_targets(sizes: DataFrame, share: float = SHARE, max_epochs: int = MAX
     Together the targets are ``share`` of all sizes. A source stops at ``max_epochs`` times
     its size, and what it can't take goes to the others by weight until none is above. In
     order of the level (target per weight) at which sources fill up, a source is full if the
-    level left by those before it reaches its own; the first that isn't full gives the
-    level of all the others. That is the fixed point of clamping and resharing.
+    level left by those before it reaches its own. Full sources raise that level, and passing
+    over one that isn't full would lower it, so the largest level of those not full holds for
+    all of them. That is the fixed point of clamping and resharing.
     """
     every = Window.partitionBy(F.lit(0))
     before = every.orderBy("__fills_at", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
@@ -36,11 +38,10 @@ def filled_targets(sizes: DataFrame, share: float = SHARE, max_epochs: int = MAX
         .withColumn("__fills_at", F.col("__cap") / F.col("weight"))
         .withColumn("__total", F.sum("source_size").over(every) * F.lit(share))
         .withColumn("__level", level)
-        .withColumn("__open", F.when(F.col("__fills_at") > F.col("__level"), F.col("__fills_at")))
-        .withColumn("__first_open", F.min("__open").over(every))
-        .withColumn("__final", F.min(F.when(F.col("__open") == F.col("__first_open"), F.col("__level"))).over(every))
-        .withColumn("target", F.when(F.col("__open").isNull(), F.col("__cap")).otherwise(F.least("__cap", F.col("__final") * F.col("weight"))))
-        .drop("__cap", "__fills_at", "__total", "__level", "__open", "__first_open", "__final")
+        .withColumn("__level", F.when(F.col("__fills_at") > F.col("__level"), F.col("__level")))
+        .withColumn("__final", F.max("__level").over(every))
+        .withColumn("target", F.when(F.col("__fills_at") > F.col("__final"), F.col("__final") * F.col("weight")).otherwise(F.col("__cap")))
+        .drop("__cap", "__fills_at", "__total", "__level", "__final")
     )
 
 
@@ -94,18 +95,15 @@ def mixture_plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: fl
 
 
 def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """Documents with ``size`` (words), ``source_size``, ``target``, ``whole`` and ``extra``.
+    """(held, size, source_size, target, whole, extra): the row itself, its words, and what is taken.
 
     A document is taken ``whole`` times in full, and ``extra`` words of it once more: all of
-    them, none, or, for one document of a source, the part that reaches the target. Columns
-    of the input with these names are replaced.
+    them, none, or, for one document of a source, the part that reaches the target.
 
     Sources are ordered by code point with null last; a null text has no words; a source
     without words has target 0; equal rows are taken alike; no rows give no rows.
     """
-    new = ("size", "source_size", "target", "whole", "extra")
-    keep = [c for c in documents.columns if c not in new]
-    rows = documents.select(*keep, word_count().alias("size"), seeded(seed, "doc_id", "text").alias("__order"))
+    rows = documents.select(F.struct("*").alias(HELD), "source", word_count().alias("size"), seeded(seed, "doc_id", "text").alias("__order"))
     plan = mixture_plan(stored(rows.select("source", "size", "__order"), "mixing-sizes"), weights, share, max_epochs)
     plan = with_broadcast_if_small(plan.withColumnRenamed("source", "__source"))
     extra = (
@@ -116,14 +114,15 @@ def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     return (
         rows.join(plan, F.col("source").eqNullSafe(F.col("__source")))
         .withColumn("extra", extra)
-        .select(*keep, *new)
+        .select(HELD, "size", "source_size", "target", "whole", "extra")
     )
 
 
 def taken_words(documents: DataFrame) -> DataFrame:
     """One row per document: how many of its words the mix takes, repeats counted."""
     rows = mixed(documents.select("doc_id", "source", "text"))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("extra")).alias("taken"), "source")
+    taken = (F.col("whole") * F.col("size") + F.col("extra")).alias("taken")
+    return rows.select(f"{HELD}.doc_id", "size", "source_size", "target", taken, f"{HELD}.source")
 
 
 def mixture(documents: DataFrame) -> DataFrame:
@@ -132,14 +131,13 @@ def mixture(documents: DataFrame) -> DataFrame:
     The copy of which only a part is taken holds that many leading words of the document.
     """
     rows = mixed(documents)
-    words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
+    words = F.regexp_extract_all(F.col(f"{HELD}.text"), F.lit(WORD), F.lit(0))
     cut = (F.col("extra") > 0) & (F.col("extra") < F.col("size"))
-    part = F.when(cut, F.array_join(F.slice(words, F.lit(1), F.col("extra").cast("int")), " ")).otherwise(F.col("text"))
+    part = F.array_join(F.slice(words, F.lit(1), F.col("extra").cast("int")), " ")
     # A document without words is taken as often as its source is taken whole, at least once.
     copies = F.when(F.col("size") == 0, F.greatest("whole", F.lit(1))).otherwise(F.col("whole") + (F.col("extra") > 0).cast("long"))
     rows = rows.where(copies > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
-    last_part = F.when(F.col("__copy") > F.col("whole"), part).otherwise(F.col("text"))
-    out = rows.withColumn("text", last_part)
+    new = F.col(HELD).withField("text", part)
     if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.when(cut & (F.col("__copy") > F.col("whole")), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*documents.columns)
+        new = new.withField("n_chars", F.length(part).cast(documents.schema["n_chars"].dataType))
+    return released(rows.withColumn(HELD, F.when(cut & (F.col("__copy") > F.col("whole")), new).otherwise(F.col(HELD))))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeaudit.llm.common import text_key
+from lakeaudit.llm.rows import HELD, held, released
 
 # The patterns of the base kinds, in the order in which equal starts are listed.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -155,11 +156,8 @@ def redacted(documents: DataFrame, window: int = WINDOW, mark: str = "[secret]")
     text changed.
     """
     found = with_spans(documents, window).where((F.size("strong") > 0) | (F.size("linked") > 0))
-    found = found.select(
-        F.col("doc_id").alias("__doc"), F.col("__key").alias("__doc_key"), F.array_sort(F.concat("strong", "linked")).alias("__found")
-    ).distinct()
-    keyed = documents.withColumn("__key", text_key())
-    joined = keyed.join(found, keyed["doc_id"].eqNullSafe(found["__doc"]) & (keyed["__key"] == found["__doc_key"]), "left")
+    found = found.select(F.col("doc_id").cast("long").alias("own"), F.col("__key").alias("own_key"), F.array_sort(F.concat("strong", "linked")).alias("found")).distinct()
+    joined = held(documents).withColumn("text", F.col(f"{HELD}.text")).join(found, F.col("doc").eqNullSafe(F.col("own")) & (F.col("doc_key") == F.col("own_key")), "left")
     start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
 
     def step(done: Column, x: Column) -> Column:
@@ -173,8 +171,8 @@ def redacted(documents: DataFrame, window: int = WINDOW, mark: str = "[secret]")
     def finish(done: Column) -> Column:
         return F.concat(done["text"], F.substring(F.col("text"), done["at"] + 1, F.length("text")))
 
-    changed = F.when(F.col("__found").isNotNull(), F.aggregate("__found", start, step, finish)).otherwise(F.col("text"))
-    out = joined.withColumn("__text", changed)
+    out = joined.withColumn("clean", F.when(F.col("found").isNotNull(), F.aggregate("found", start, step, finish)))
+    new = F.col(HELD).withField("text", F.col("clean"))
     if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__found").isNotNull(), F.length("__text").cast("long")).otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.col("__text")).select(*documents.columns)
+        new = new.withField("n_chars", F.length("clean").cast(documents.schema["n_chars"].dataType))
+    return released(out.withColumn(HELD, F.when(F.col("found").isNotNull(), new).otherwise(F.col(HELD))))
