@@ -29,9 +29,11 @@ FIT_ROWS = 20_000
 FEATURES = 50_000
 # A feature counts if its log-likelihood ratio is this high and its weight is above LEAST_WEIGHT.
 LEAST_RATIO = 12.0
-LEAST_WEIGHT = 1.0
+LEAST_WEIGHT = 2.5
 # Score bins of the Bayes factor: none, weak, clear, strong.
-BINS = (0.0, 2.0, 4.0)
+BINS = (0.0, 3.0, 5.0)
+LEAST_COUNT = 3
+STEPS = (0.05, 0.1, 0.2, 0.4, 0.6, 0.8)
 BEST = 3
 REJECT = 0.5
 TARGETS = ("low", "toxic")
@@ -45,26 +47,23 @@ def _code(kind: str, value: str) -> int:
 
 
 def word_features(word: str) -> tuple[int, ...]:
-    """The word itself, and its first four and five letters, without case and outer marks."""
+    """The word itself and its beginnings of four to seven letters, without case and outer marks."""
     plain = word.lower().strip(STRIPPED)
     if not plain:
         return ()
-    return tuple({_code("word", plain[:64]), _code("first4", plain[:4]), _code("first5", plain[:5])} if len(plain) > 3 else {_code("word", plain)})
+    return (_code("word", plain[:64]), *(_code("first", plain[:k]) for k in range(4, min(7, len(plain)) + 1)))
 
 
 def shape_features(words: list[str], distinct: set[str], upper: int, signs: int) -> list[int]:
-    """Binned shares: repeated neighbours, capitals, signs, lone bars, distinct words."""
+    """Steps that shares reach: of repeated neighbours, capitals, signs, lone bars, repeated words."""
     n = len(words)
     if not n:
         return [_code("shape", "empty")]
-    again = sum(map(operator.eq, words[1:], words)) / n
-    return [
-        _code("again", str(int(10 * again))),
-        _code("upper", str(int(10 * upper / len(distinct)))),
-        _code("signs", str(int(10 * signs / len(distinct)))),
-        _code("bars", str(int(10 * words.count("|") / n))),
-        _code("distinct", f"{int(10 * len(distinct) / n)} {int(math.log2(n))}"),
-    ]
+    counts = {
+        "again": (sum(map(operator.eq, words[1:], words)), n), "upper": (upper, len(distinct)),
+        "signs": (signs, len(distinct)), "bars": (words.count("|"), n), f"few distinct of 2^{int(math.log2(n))}": (n - len(distinct), n),
+    }
+    return [_code(kind, str(step)) for kind, (count, of) in counts.items() if count >= LEAST_COUNT for step in STEPS if count >= step * of]
 
 
 class _Known(dict):
@@ -145,8 +144,11 @@ def labelled_sample(labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
 
 def fitted(documents: DataFrame, sample: DataFrame) -> Model:
     """Feature weights from the sampled labels; the sample is bounded, so it is broadcast."""
-    texts = documents.join(F.broadcast(sample), F.col("doc_id").cast("long") == F.col("label_doc")).select("text", "low", "toxic")
-    totals = sample.agg(F.count(F.lit(1)).alias("docs"), F.sum("low").alias("low"), F.sum("toxic").alias("toxic")).first()
+    texts = documents.join(F.broadcast(sample), F.col("doc_id").cast("long") == F.col("label_doc"))
+    # Copies of one text would make its words look telling.
+    texts = texts.select("text", "low", "toxic", text_key().alias("fit_key")).dropDuplicates(["fit_key"]).select("text", "low", "toxic")
+    texts = stored(texts, "fit-texts")
+    totals = texts.agg(F.count(F.lit(1)).alias("docs"), F.sum("low").alias("low"), F.sum("toxic").alias("toxic")).first()
     docs = totals["docs"]
     rates = {t: (totals[t] or 0) / max(docs, 1) for t in TARGETS}
     weights: dict[int, list[float]] = {}
