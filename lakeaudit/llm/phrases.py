@@ -19,10 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeaudit.llm.common import Words, binary, cover, grams, listed, map_batches, mixed, signed, stored, text_key, window_anchors
+from lakeaudit.llm.common import Words, binary, listed, map_batches, mixed, signed, stored, text_key, window_anchors
+from lakeaudit.llm.rolling import Sums
 
 WINDOW = 20
-PHRASE = 5
+PHRASE = 8
 # Phrases of one automaton, which bounds a worker's memory.
 AUTOMATON = 20_000
 
@@ -31,10 +32,12 @@ def _digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _anchors(hashes: np.ndarray, window: int, phrase: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every phrase, and the place of each window's anchor phrase."""
-    phrases = grams(hashes, phrase)
-    return phrases, window_anchors(phrases, window - phrase + 1)
+def _anchors(sums: Sums, window: int, phrase: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each anchor phrase: its hash, its place, and the first and last window it stands for."""
+    phrases = sums.all_of(phrase)
+    at = window_anchors(phrases, window - phrase + 1)
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    return phrases[at[first]], at[first], first, np.append(first[1:], len(at))[: len(first)] - 1
 
 
 def _with_row(documents: DataFrame) -> DataFrame:
@@ -49,9 +52,7 @@ def _phrase_batches(window: int, phrase: int):
             found, sizes, digests = [], [], []
             for text in binary(batch.column(2)):
                 split = text.split()
-                hashes = words.hashes(split)
-                phrases, at = _anchors(hashes, window, phrase)
-                found.append(signed(phrases[np.unique(at)]))
+                found.append(signed(_anchors(Sums(words.hashes(split)), window, phrase)[0]))
                 sizes.append(len(split))
                 digests.append(_digest(split))
             yield pa.RecordBatch.from_arrays(
@@ -70,20 +71,21 @@ def _automaton(patterns: list[str]) -> ahocorasick.Automaton:
     return built
 
 
-def _shards(batches: Iterator[pa.RecordBatch], words: Words, phrase: int):
+def _shards(batches: Iterator[pa.RecordBatch], words: Words, window: int, phrase: int):
     """Documents in shards with the texts of their confirmed phrases, ``AUTOMATON`` at most unless one has more."""
     held, patterns = [], set()
     for batch in batches:
         confirmed = batch.column(3).to_pylist()
         for row, doc, text, mine in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), binary(batch.column(2)), confirmed, strict=True):
             split = text.split()
-            hashes = words.hashes(split)
-            places = np.flatnonzero(np.isin(signed(grams(hashes, phrase)), np.array(mine, np.int64)))
-            own = {f" {b' '.join(split[p : p + phrase]).decode('latin-1')} " for p in places.tolist()}
-            if held and len(patterns | own) > AUTOMATON:
+            sums = Sums(words.hashes(split))
+            hashes, places, first, last = _anchors(sums, window, phrase)
+            known = np.isin(signed(hashes), np.array(mine, np.int64))
+            own = {f" {b' '.join(split[p : p + phrase]).decode('latin-1')} " for p in places[known].tolist()}
+            if held and len(patterns) + len(own) > AUTOMATON:
                 yield held, list(patterns)
                 held, patterns = [], set()
-            held.append((row, doc, split, hashes))
+            held.append((row, doc, split, sums, hashes, places, first, last))
             patterns |= own
     if held:
         yield held, list(patterns)
@@ -104,34 +106,26 @@ def _mark_batches(window: int, phrase: int):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
-        for held, patterns in _shards(batches, words, phrase):
+        for held, patterns in _shards(batches, words, window, phrase):
             automata = [_automaton(patterns[k : k + AUTOMATON]) for k in range(0, len(patterns), AUTOMATON)]
-            for row, doc, split, hashes in held:
-                phrases, at = _anchors(hashes, window, phrase)
-                if not len(at):
-                    continue
-                windows = signed(grams(hashes, window))
-                first = np.flatnonzero(np.diff(at, prepend=-1))
-                last = np.append(first[1:], len(at)) - 1
-                known = _located(split, automata)[at[first]]
-                first, last = first[known], last[known]
-                if not len(first):
-                    continue
+            columns: list[list[np.ndarray]] = [[], [], [], [], []]
+            docs, windows = [], []
+            for row, doc, split, sums, hashes, places, first, last in held:
+                known = _located(split, automata)[places]
+                hashes, places, first, last = hashes[known], places[known], first[known], last[known]
                 # The context of an anchor is all words that its windows cover, as seen from the anchor.
-                context = np.zeros(len(first), np.uint64)
-                every = windows.view(np.uint64)
-                for k in range(int((last - first).max()) + 1):
-                    inside = first + k <= last
-                    context[inside] = mixed(context[inside] + every[first[inside] + k])
-                context = mixed(context ^ mixed((at[first] - first).astype(np.uint64)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(first), row), pa.int64()), pa.array([doc] * len(first), pa.int64()),
-                        pa.array(signed(phrases[at[first]])), pa.array(signed(context)), pa.array(first), pa.array(last),
-                        listed([windows[a : b + 1] for a, b in zip(first.tolist(), last.tolist(), strict=True)], pa.int64()),
-                    ],
-                    ["row", "doc_id", "phrase", "context", "first", "last", "windows"],
-                )
+                seen = (places - first) * window + (last - first)
+                context = mixed(sums.of(first, last + window) ^ mixed(seen.astype(np.uint64)))
+                for column, values in zip(columns, (np.full(len(first), row), signed(hashes), signed(context), first, last), strict=True):
+                    column.append(values)
+                docs += [doc] * len(first)
+                every = signed(sums.all_of(window))
+                windows += [every[a : b + 1] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+            row, hashes, context, first, last = (pa.array(np.concatenate(x), pa.int64()) for x in columns)
+            yield pa.RecordBatch.from_arrays(
+                [row, pa.array(docs, pa.int64()), hashes, context, first, last, listed(windows, pa.int64())],
+                ["row", "doc_id", "phrase", "context", "first", "last", "windows"],
+            )
 
     return emit
 
