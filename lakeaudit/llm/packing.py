@@ -27,7 +27,7 @@ END_ID = 1
 # Lengths are grouped in so many classes for the fit; a pattern has at most PATTERN documents.
 CLASSES = 128
 PATTERN = 4
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 SEED = 30
 
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
@@ -40,6 +40,8 @@ class WordIds(dict):
     each other. Plain words are looked up without case and without a mark behind them.
     """
 
+    _loaded: dict[str, WordIds] = {}
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -65,13 +67,20 @@ class WordIds(dict):
             self[word] = value
         return value
 
+    @classmethod
+    def of(cls, path: str) -> WordIds:
+        """The worker's own, kept from task to task, so that words are learned once."""
+        if path not in cls._loaded:
+            cls._loaded[path] = cls(path)
+        return cls._loaded[path]
+
     def ids(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def _piece_batches(path: str, max_tokens: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = WordIds.of(path)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             source, piece, start, length, crc, ids = [], [], [], [], [], []
