@@ -78,17 +78,6 @@ SELECT event_id, concat('{{"user":', CAST(user_id AS VARCHAR(20)), ',"cfg":{{"Pa
 FROM {events}
 """
 
-# One customer's orders can be a large part of all orders, so they are packed into
-# documents of about a hundred orders, by order key; most customers have one document.
-CUSTOMER_ITEMS = """
-SELECT o.o_custkey AS custkey, CAST(o.o_orderkey % n.documents AS BIGINT) AS document_no,
-       o.o_orderkey, o.o_orderstatus
-FROM {orders} o
-JOIN (SELECT o_custkey, CAST(ceil(count(*) / 100.0) AS BIGINT) AS documents FROM {orders} GROUP BY o_custkey) n
-  ON n.o_custkey = o.o_custkey
-"""
-
-
 def duck(text: str, *names: str) -> str:
     """A fixture text with DuckDB's view names in place of the placeholders."""
     return text.format(**{n: n for n in names}).strip()
@@ -122,21 +111,21 @@ def deep_json(lake: Lake) -> DataFrame:
     return lake.sql(DEEP_JSON, "events")
 
 
-def customer_documents(lake: Lake) -> DataFrame:
-    """A document per customer (or per hundred of a customer's orders) with its orders."""
-    entry = F.struct("o_orderkey", "o_orderstatus")
-    orders = lake.sql(CUSTOMER_ITEMS, "orders").groupBy("custkey", "document_no").agg(
-        F.sort_array(F.collect_list(entry)).alias("orders")
-    )
-    customers = lake.table("customer").select(
-        F.col("c_custkey").alias("custkey"),
-        F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")).alias("summary"),
+def order_documents(lake: Lake) -> DataFrame:
+    """A document per order with its lines, which are few by nature; an order without lines has none."""
+    entry = F.struct("l_partkey", "l_returnflag")
+    lines = lake.table("lineitem").groupBy(F.col("l_orderkey").alias("orderkey")).agg(F.sort_array(F.collect_list(entry)).alias("lines"))
+    orders = lake.table("orders").select(
+        F.col("o_orderkey").alias("orderkey"),
+        F.struct(F.concat(F.lit("Order "), F.col("o_orderkey")).alias("name"), F.col("o_orderpriority").alias("segment")).alias("summary"),
     )
-    return customers.join(orders, "custkey").select("custkey", "document_no", "summary", "orders")
+    none = F.array().cast("array<struct<l_partkey:bigint,l_returnflag:string>>")
+    return orders.join(lines, "orderkey", "left").select("orderkey", "summary", F.coalesce("lines", none).alias("lines"))
 
 
-CUSTOMER_DOCUMENTS = f"""
-SELECT custkey, document_no, {{{{'name': c_name, 'segment': c_mktsegment}}}} AS summary, orders FROM (
-  SELECT custkey, document_no, list({{{{'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus}}}} ORDER BY o_orderkey) AS orders
-  FROM ({CUSTOMER_ITEMS}) items GROUP BY custkey, document_no) JOIN {{customer}} ON c_custkey = custkey
+ORDER_DOCUMENTS = """
+SELECT o_orderkey AS orderkey, {'name': 'Order ' || o_orderkey, 'segment': o_orderpriority} AS summary, coalesce(lines, []) AS lines
+FROM orders LEFT JOIN (
+  SELECT l_orderkey, list({'l_partkey': l_partkey, 'l_returnflag': l_returnflag} ORDER BY l_partkey, l_returnflag) AS lines
+  FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey
 """

@@ -7,18 +7,32 @@ from pyspark.sql import functions as F
 
 from lakeaudit.functions.sqltext import DEFAULT_SCHEMA
 
-# A plain identifier, and a two-part name with optional brackets.
+# Fixed value: a plain identifier.
 IDENTIFIER = r"^[A-Za-z_][A-Za-z0-9_]*$"
-TWO_PART = r"^\s*(?:\[([^\]]+)\]|([^.\[\]]+))\s*\.\s*(?:\[([^\]]+)\]|([^.\[\]]+))\s*$"
+# What a written name is made of: a bracketed piece, a dot, or anything between those.
+PIECE = r"\[[^\]]*+\]|\.|[^\[\].]++"
 
 
 def parse_name(name: Column, default_schema: str = DEFAULT_SCHEMA) -> Column:
-    """Struct of schema, table and error for ``schema.table``, bracketed or bare names."""
-    part = lambda i: F.nullif(F.regexp_extract(name, TWO_PART, i), F.lit(""))
-    schema = F.trim(F.coalesce(part(1), part(2)))
-    table = F.trim(F.coalesce(part(3), part(4)))
-    two_part = name.rlike(TWO_PART)
-    bare = F.trim(F.regexp_replace(F.trim(name), r"^\[(.*)\]$", "$1"))
+    """Struct of schema, table and error for ``schema.table``, bracketed or bare names.
+
+    The name is cut into pieces; with one dot among them, and at most one piece that isn't
+    blank on either side, the sides are schema and table. Anything else is a table's name.
+    """
+    pieces = F.filter(F.regexp_extract_all(name, F.lit(PIECE), F.lit(0)), lambda p: F.trim(p) != "")
+    dot = F.array_position(pieces, F.lit("."))
+    sides = F.size(F.filter(pieces, lambda p: p != "."))
+    halves = (F.size(pieces) - sides == 1) & (sides <= 2) & (dot <= 2) & (F.size(pieces) - dot <= 1)
+    whole = F.regexp_replace(name, r"\[[^\]]*+\]|[^\[\]]++", "") == ""
+
+    def plain(piece: Column) -> Column:
+        bracketed = piece.startswith("[") & piece.endswith("]")
+        return F.trim(F.when(bracketed, F.substring(piece, F.lit(2), F.length(piece) - 2)).otherwise(piece))
+
+    two_part = halves & whole
+    schema = plain(F.coalesce(F.when(dot == 2, F.trim(F.get(pieces, F.lit(0)))), F.lit("")))
+    table = plain(F.coalesce(F.trim(F.get(pieces, dot.cast("int"))), F.lit("")))
+    bare = plain(F.trim(name))
     blank = F.coalesce(F.trim(name), F.lit("")) == ""
     error = (
         F.when(blank, F.lit("name is required"))

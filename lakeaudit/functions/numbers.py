@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(28,4)"
+MONEY = "decimal(38,12)"
 
 
 def half_up(value: Column, digits: int) -> Column:
@@ -20,14 +20,14 @@ def half_up_sql(expression: str, digits: int) -> str:
 
 
 def money(value: Column) -> Column:
-    """Exact decimals, so that a sum does not depend on the order of its rows."""
+    """Decimals of twelve digits behind the point, so that a sum does not depend on the order of its rows."""
     return value.cast(MONEY)
 
 
 def mean(value: Column) -> Column:
-    """Average by way of an exact sum."""
+    """Average by way of a decimal sum: exact for values with up to twelve digits behind the point."""
     return F.sum(money(value)).cast("double") / F.count(value)
 
 
 def mean_sql(expression: str) -> str:
-    return f"CAST(sum(CAST({expression} AS DECIMAL(28,4))) AS DOUBLE) / count({expression})"
+    return f"CAST(sum(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38,12))) AS DOUBLE) / count({expression})"

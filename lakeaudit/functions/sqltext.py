@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakeaudit.functions.clauses import DEFAULT_SCHEMA, read_references
+
+__all__ = ["DEFAULT_SCHEMA", "classify", "code_only", "readonly_report", "referenced_tables", "require_readonly", "statement_references", "strip_sql_text"]
 
 # Fixed values -----------------------------------------------------------------
 # Words that make a statement a write, and words one of which a read must have.
@@ -12,22 +18,13 @@ WRITE_WORDS = (
     "grant", "revoke", "deny", "exec", "execute", "backup", "restore", "dbcc",
 )
 READ_WORDS = ("select", "with")
-# Schema of a table named without one.
-DEFAULT_SCHEMA = "dbo"
-# Pieces of SQL text. A quote inside a text or a name is doubled.
+# Pieces of SQL text. A quote inside a text is doubled, which makes it two texts in a row.
+# Possessive groups: the matcher loops over them and never steps back into one.
 BLOCK_COMMENT = r"(?s)/\*.*?\*/"
-LINE_COMMENT = r"--[^\r\n]*(?:\r\n|\r|\n|\z)"
-TEXT_LITERAL = r"'[^']*(?:''[^']*)*'"
-QUOTED_NAME = r'"[^"]*(?:""[^"]*)*"'
-BRACKET_NAME = r"\[[^\]]+\]"
-# Names, and the words that stand before a table expression, a read and a written table.
-NAME = rf"(?:{BRACKET_NAME}|{QUOTED_NAME}|[A-Za-z_][A-Za-z0-9_]*)"
-DOTTED = rf"{NAME}(?:\s*\.\s*{NAME})*"
-CTE_FIRST = rf"(?i)\bwith\s+({NAME})(?:\s*\([^)]*\))?\s+as\s*\("
-CTE_NEXT = rf"(?i),\s*({NAME})(?:\s*\([^)]*\))?\s+as\s*\("
-READ_TARGET = rf"(?i)\b(?:from|join|using)\s+({DOTTED})"
-WRITE_TARGET = rf"(?i)\b(?:insert(?:\s+into)?|update|merge(?:\s+into)?)\s+({DOTTED})"
-DELETE_TARGET = rf"(?i)\bdelete\s+from\s+({DOTTED})"
+LINE_COMMENT = r"--[^\r\n]*+(?:\r\n|\r|\n|\z)"
+TEXT_LITERAL = r"(?:'[^']*+')++"
+QUOTED_NAME = r'(?:"[^"]*+")++'
+BRACKET_NAME = r"\[[^\]]++\]"
 # ------------------------------------------------------------------------------
 
 WRITE_PATTERN = r"(?i)\b(" + "|".join(WRITE_WORDS) + r")\b"
@@ -36,7 +33,6 @@ INTO_PATTERN = r"(?is)\bselect\b.*\binto\b"
 
 # One scan over the text: whichever piece starts first wins. Group 1 is kept.
 _CODE_ONLY = rf"(?s)({BRACKET_NAME})|/\*.*?\*/|{LINE_COMMENT}|{TEXT_LITERAL}|{QUOTED_NAME}"
-_CODE_AND_NAMES = rf"(?s)({BRACKET_NAME}|{QUOTED_NAME})|/\*.*?\*/|{LINE_COMMENT}|{TEXT_LITERAL}"
 
 
 def strip_sql_text(sql: Column) -> Column:
@@ -86,55 +82,29 @@ def require_readonly(spark: SparkSession, sql: str) -> None:
         raise ValueError("only read-only statements may run")
 
 
-def plain_name(part: Column) -> Column:
-    """A name without its brackets or quotes, trimmed and lower-cased."""
-    name = F.trim(part)
-    inside = F.when(name.rlike(r'^["\[]'), F.substring(name, F.lit(2), F.length(name) - 2)).otherwise(name)
-    return F.lower(F.trim(inside))
-
-
-def _names(code: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(code, F.lit(pattern), F.lit(1))
+_REFERENCE = T.StructType([T.StructField(n, T.StringType()) for n in ("schema_name", "table_name", "kind")])
 
 
-def _uses(code: Column, pattern: str, kind: str) -> Column:
-    """Tables a pattern finds: schema and table are the last two parts of the name."""
-    # Two steps, so that a lambda sees the parts of a name as a value found once.
-    parts = F.transform(_names(code, pattern), lambda t: F.regexp_extract_all(t, F.lit(f"({NAME})"), F.lit(1)))
-    return F.transform(parts, lambda p: F.struct(
-        F.when(F.size(p) > 1, plain_name(F.get(p, F.size(p) - 2))).otherwise(F.lit(DEFAULT_SCHEMA)).alias("schema_name"),
-        plain_name(F.get(p, F.size(p) - 1)).alias("table_name"),
-        (F.size(p) == 1).alias("bare"),
-        F.lit(kind).alias("kind"),
-    ))
+@F.pandas_udf(T.StructType([T.StructField("references", T.ArrayType(_REFERENCE)), T.StructField("readable", T.BooleanType())]))
+def _read_clauses(statements: pd.Series) -> pd.DataFrame:
+    known = {text: read_references(text) for text in statements.dropna().unique()}
+    found = [known.get(text, ([], True)) for text in statements]
+    names = ("schema_name", "table_name", "kind")
+    return pd.DataFrame({
+        "references": [[dict(zip(names, ref, strict=True)) for ref in refs] for refs, _ in found], "readable": [clear for _, clear in found],
+    })
 
 
 def statement_references(df: DataFrame, sql: str = "sql_text") -> DataFrame:
-    """Add ``references``: the tables a statement names, in reading order.
+    """Add ``references``, the tables a statement names, and ``readable``.
 
-    Names of common table expressions, and the SET of a merge branch, are no tables.
-    A table read and written by one statement has one entry per use.
+    Tables read come first, in reading order, then tables written; a table read and written
+    by one statement has one entry per use. Names of common table expressions are no
+    tables, and the target of an UPDATE or DELETE may be an alias of a table that it lists. A
+    statement that can't be read to its end is not ``readable``.
     """
-    code = F.coalesce(F.regexp_replace(F.col(sql), _CODE_AND_NAMES, "$1 "), F.lit(""))
-    uses = F.concat(
-        _uses(F.col("_code"), READ_TARGET, "read"),
-        _uses(F.col("_code"), WRITE_TARGET, "write"),
-        _uses(F.col("_code"), DELETE_TARGET, "write"),
-    )
-    ctes = F.transform(
-        F.concat(_names(F.col("_code"), CTE_FIRST), _names(F.col("_code"), CTE_NEXT)), plain_name
-    )
-    kept = F.filter(
-        F.col("_uses"),
-        lambda u: ~(u["bare"] & (F.array_contains(F.col("_ctes"), u["table_name"]) | (u["table_name"] == "set")))
-        & (u["table_name"] != ""),
-    )
-    refs = F.transform(kept, lambda u: F.struct(u["schema_name"], u["table_name"], u["kind"]))
-    return (
-        df.withColumn("_code", code)
-        .withColumns({"_uses": uses, "_ctes": ctes})
-        .select(*df.columns, F.array_distinct(refs).alias("references"))
-    )
+    read = df.withColumn("_read", _read_clauses(F.col(sql)))
+    return read.select(*df.columns, F.col("_read.references").alias("references"), F.col("_read.readable").alias("readable"))
 
 
 def referenced_tables(df: DataFrame, key: str = "stmt_id", sql: str = "sql_text") -> DataFrame:
@@ -142,6 +112,6 @@ def referenced_tables(df: DataFrame, key: str = "stmt_id", sql: str = "sql_text"
     pairs = F.array_distinct(
         F.transform(F.col("references"), lambda r: F.struct(r["schema_name"], r["table_name"]))
     )
-    # The outer form: the inner one would add a filter that finds all references twice.
+    # The outer form: the inner one would add a filter that reads all statements twice.
     listed = statement_references(df.select(key, sql), sql).select(key, F.posexplode_outer(pairs))
     return listed.where(F.col("pos").isNotNull()).select(key, (F.col("pos") + 1).alias("position"), "col.schema_name", "col.table_name")

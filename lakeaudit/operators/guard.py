@@ -10,23 +10,27 @@ from pyspark.sql import functions as F
 from lakeaudit.functions import sqltext
 from lakeaudit.operators import filters
 
+UNREADABLE = "(unreadable statement)"
+
 
 def scope_verdict(
     df: DataFrame, patterns: str | Iterable[str], key: str = "stmt_id", sql: str = "sql_text"
 ) -> DataFrame:
     """Allow a statement if every table it names is on the allow-list.
 
-    A statement names few tables, so they are tested inside its row: no shuffle.
+    A statement that can't be read to its end is denied. A statement names few tables, so
+    they are tested inside its row: no shuffle.
     """
     scope = filters.parse_scope(patterns)
     refs = sqltext.statement_references(df.select(key, sql), sql)
     outside = F.filter("references", lambda r: ~filters.in_scope(r["schema_name"], r["table_name"], scope))
-    denied = refs.select(key, outside.alias("_outside"))
+    denied = refs.select(key, "readable", outside.alias("_outside"))
     names = F.array_distinct(F.transform("_outside", lambda r: F.concat_ws(".", r["schema_name"], r["table_name"])))
+    unread = F.when(F.col("readable"), F.array().cast("array<string>")).otherwise(F.array(F.lit(UNREADABLE)))
     return denied.select(
         key,
-        (F.size("_outside") == 0).alias("allowed"),
-        F.nullif(F.array_join(F.array_sort(names), ", "), F.lit("")).alias("denied_tables"),
+        (F.col("readable") & (F.size("_outside") == 0)).alias("allowed"),
+        F.nullif(F.array_join(F.concat(F.array_sort(names), unread), ", "), F.lit("")).alias("denied_tables"),
     )
 
 

@@ -108,17 +108,44 @@ def shrink_lists(df: DataFrame, most: int | Column) -> DataFrame:
     return df.select(*[_cut(F.col(f.name), f.dataType, n).alias(f.name) for f in df.schema.fields])
 
 
-def _row_tokens(df: DataFrame, most: int | None) -> Column:
-    """Estimated tokens of a row with its lists cut to ``most`` items."""
+def _flat_list(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.ArrayType) and not _has_list(dtype.elementType)
+
+
+def _running_sizes(column: Column, element: T.DataType) -> Column:
+    each = F.transform(column, lambda x: jsonsize.json_chars(x, element).cast("long"))
+    return F.aggregate(each, F.array(F.lit(0).cast("long")), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
+
+
+def _with_item_sizes(df: DataFrame) -> DataFrame:
+    """Add ``_upto_<n>`` per plain list: the characters of its first k items, for every k."""
+    sizes = {}
+    for i, f in enumerate(df.schema.fields):
+        if _flat_list(f.dataType):
+            sizes[f"_upto_{i}"] = _running_sizes(F.col(f.name), f.dataType.elementType)
+    return df.withColumns(sizes) if sizes else df
+
+
+def _row_tokens(schema: T.StructType, most: int | None, summed: bool = False) -> Column:
+    """Estimated tokens of a row with its lists cut to ``most`` items.
+
+    With ``summed`` the sizes of plain lists are looked up in what ``_with_item_sizes`` added.
+    """
     parts = []
-    for f in df.schema.fields:
-        column = F.col(f.name) if most is None else _cut(F.col(f.name), f.dataType, F.lit(most))
-        parts.append(jsonsize.json_chars(column, f.dataType) + F.lit(len(f.name) + 4))
+    for i, f in enumerate(schema.fields):
+        column = F.col(f.name)
+        if summed and _flat_list(f.dataType):
+            kept = F.size(column) if most is None else F.least(F.size(column), F.lit(most))
+            inside = F.element_at(F.col(f"_upto_{i}"), kept + 1) + F.greatest(kept - 1, F.lit(0)) * 2 + 2
+            chars = F.when(column.isNull(), F.lit(4).cast("long")).otherwise(inside)
+        else:
+            chars = jsonsize.json_chars(column if most is None else _cut(column, f.dataType, F.lit(most)), f.dataType)
+        parts.append(chars + F.lit(len(f.name) + 4))
     return jsonsize.tokens(sum(parts[1:], parts[0]) + F.lit(2 * (len(parts) - 1) + 2))
 
 
 def token_estimate(df: DataFrame, out: str = "tokens") -> DataFrame:
-    return df.withColumn(out, _row_tokens(df, None))
+    return df.withColumn(out, _row_tokens(df.schema, None))
 
 
 def token_budget(df: DataFrame, budget: int | None) -> DataFrame:
@@ -130,14 +157,14 @@ def token_budget(df: DataFrame, budget: int | None) -> DataFrame:
     """
     if budget is None or budget <= 0:
         return df
-    full = _row_tokens(df, None)
+    full = _row_tokens(df.schema, None, summed=True)
     # One struct of step and size: the first step that fits ends the evaluation.
     tried = [F.when(full <= budget, F.struct(F.lit(-1).alias("most"), full.alias("tokens")))]
     for most in LADDER:
-        size = _row_tokens(df, most)
+        size = _row_tokens(df.schema, most, summed=True)
         tried.append(F.when(size <= budget, F.struct(F.lit(most).alias("most"), size.alias("tokens"))))
     tried.append(F.struct(F.lit(0).alias("most"), full.alias("tokens")))
-    sized = df.withColumn("_step", F.coalesce(*tried))
+    sized = _with_item_sizes(df).withColumn("_step", F.coalesce(*tried))
     most = F.col("_step.most")
     unchanged, given_up = most == -1, most == 0
     columns = []
@@ -163,7 +190,7 @@ def context_pack(df: DataFrame, key: str, order: str, text: str, budget: int) ->
     """Which texts of each key fit a token budget, taken in order."""
     chars = jsonsize.json_chars(F.col(text), T.StringType())
     # Three numbers per text, written once, so that the texts are read once.
-    sized = session.checkpointed(df.select(key, order, jsonsize.tokens(chars).alias("tokens")))
+    sized = session.stored(df.select(key, order, jsonsize.tokens(chars).alias("tokens")), "sizes")
     packed = sliding.running_sum(sized, key, order, "tokens", "running_tokens")
     return packed.withColumn("fits", F.col("running_tokens") <= budget)
 

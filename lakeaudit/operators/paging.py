@@ -5,22 +5,21 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Page size when none or a bad one is given, and the largest one.
+from lakeaudit.session import stored
+
+# Page size when none or a bad one is given, and the largest one unless told otherwise.
 DEFAULT_PAGE_SIZE = 10
 MAX_PAGE_SIZE = 200
 
-# A page ending before this row is taken by a top-k; a deeper one by row numbers.
-TOP_K_ROWS = 100_000
-
 
-def normalise(page: object, page_size: object) -> tuple[int, int]:
-    """Usable page number and size from whatever the caller gave."""
+def normalise(page: object, page_size: object, most: int = MAX_PAGE_SIZE) -> tuple[int, int]:
+    """Usable page number and size from whatever the caller gave; results report the size used."""
     ok = lambda n: isinstance(n, int) and not isinstance(n, bool) and n > 0
-    size = min(page_size, MAX_PAGE_SIZE) if ok(page_size) else DEFAULT_PAGE_SIZE
+    size = min(page_size, most) if ok(page_size) else DEFAULT_PAGE_SIZE
     return (page if ok(page) else 1), size
 
 
@@ -38,42 +37,26 @@ def with_page_numbers(df: DataFrame, info: dict[str, int]) -> DataFrame:
     return df.select("*", *[F.lit(v).cast("long").alias(k) for k, v in info.items()])
 
 
-def result_page(capped: DataFrame, page: object, page_size: object, order_by: Sequence[str] = ()) -> DataFrame:
-    """One page of a result cut by ``row_cap``, in its own order or by ``order_by``.
-
-    A capped result is short and in one place, so its rows are counted and numbered
-    there, and the query behind it runs once.
-    """
-    number, size = normalise(page, page_size)
-    order = Window.orderBy(*(order_by or [F.monotonically_increasing_id()]))
-    pages = F.greatest(F.lit(1), F.ceil(F.col("total_items") / F.lit(size))).cast("long")
-    counted = capped.withColumns({
-        "_no": F.row_number().over(order),
-        "total_items": F.count(F.lit(1)).over(Window.partitionBy()),
-    }).withColumns({"page": F.least(F.lit(number).cast("long"), pages), "page_size": F.lit(size).cast("long"), "total_pages": pages})
-    start = (F.col("page") - 1) * F.col("page_size")
-    rows = counted.where((F.col("_no") > start) & (F.col("_no") <= start + F.col("page_size"))).orderBy("_no")
-    return rows.select(*capped.columns, "page", "page_size", "total_items", "total_pages")
+def result_page(rows: DataFrame, page: object, page_size: object, order_by: Sequence[str] = (), most: int = MAX_PAGE_SIZE) -> DataFrame:
+    """One page of a result, in its own order or by ``order_by``, with the page block."""
+    number, size = normalise(page, page_size, most)
+    info = page_numbers(rows.count(), number, size)
+    ordered = rows.orderBy(*order_by) if order_by else rows
+    return with_page_numbers(ordered.offset((info["page"] - 1) * size).limit(size), info)
 
 
 def offset_page(
-    df: DataFrame, order_by: Sequence[str], page: object, page_size: object, limit: int
+    df: DataFrame, order_by: Sequence[str], page: object, page_size: object, limit: int, most: int = MAX_PAGE_SIZE
 ) -> DataFrame:
-    """One page of a list whose length is first capped at ``limit``.
+    """One page of a list whose length is first capped at ``limit``, in the order of the list.
 
-    Early pages are a top-k. A deep page would make every task hold all rows before
-    it, so it is cut out of the numbered rows instead.
+    Early and deep pages are the same expression; ``topKSortFallbackThreshold`` of the
+    session says when Spark sorts instead of holding the rows before the page.
     """
-    number, size = normalise(page, page_size)
+    number, size = normalise(page, page_size, most)
     info = page_numbers(min(df.count(), max(1, limit)), number, size)
     start = (info["page"] - 1) * size
-    take = min(size, info["total_items"] - start)
-    if start + take <= TOP_K_ROWS:
-        rows = df.orderBy(*order_by).offset(start).limit(take)
-    else:
-        wanted = F.col("row_no").between(start + 1, start + take)
-        rows = number_rows(df, order_by).where(wanted).drop("row_no")
-    return with_page_numbers(rows, info)
+    return with_page_numbers(df.orderBy(*order_by).offset(start).limit(min(size, info["total_items"] - start)), info)
 
 
 def page_info(df: DataFrame, page: object, page_size: object) -> DataFrame:
@@ -89,22 +72,16 @@ def page_info(df: DataFrame, page: object, page_size: object) -> DataFrame:
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """Add ``row_no`` (from 1) in the order of a unique, non-null key.
+    """Add ``row_no`` (from 1) in the order of any columns; NULL keys come first.
 
-    Rows fall into key ranges by fixed bounds, are numbered inside their range, and
-    shifted by the number of rows in the ranges before it: one shuffle, no global
-    sort. The bounds come from a bounded random sample of keys and only decide how
-    even the ranges are, never which rows appear.
+    Rows are dealt into key ranges and written once, numbered inside their range; then
+    each range is moved up by the rows of the ranges before it. So no task holds more than a
+    range, no bounds reach the driver, and the numbers stay the same when a task is repeated.
     """
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.struct(*order_by)
-    types = df.select(*order_by).schema.fields
-    bounds = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, types)])
-        for row in _range_bounds(df, order_by, buckets)
-    ]
-    ranged = df.withColumn("_range", _range_of(key, bounds))
+    ranged = df.repartitionByRange(buckets, *order_by).withColumn("_range", F.spark_partition_id())
+    ranged = stored(ranged, "numbered")
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     # One row per range, so this window holds at most `buckets` rows.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -118,23 +95,6 @@ def number_rows(df: DataFrame, order_by: Sequence[str], buckets: int | None = No
     )
 
 
-def _range_bounds(df: DataFrame, order_by: Sequence[str], buckets: int) -> list[tuple]:
-    sample = df.select(*order_by).orderBy(F.rand(11)).limit(buckets * 50).collect()
-    keys = sorted(tuple(row) for row in sample)
-    step = len(keys) / buckets
-    return sorted({keys[int(i * step)] for i in range(1, buckets)}) if keys else []
-
-
-def _range_of(key: Column, bounds: list[Column]) -> Column:
-    """Number of bounds at or below the key, found in two short steps."""
-    if not bounds:
-        return F.lit(0)
-    stride = max(1, math.isqrt(len(bounds)))
-    coarse = F.array(*bounds[stride - 1 :: stride])
-    passed = F.size(F.filter(coarse, lambda b: b <= key)) * F.lit(stride)
-    return passed + F.size(F.filter(F.slice(F.array(*bounds), passed + 1, stride), lambda b: b <= key))
-
-
 def assign_pages(df: DataFrame, order_by: Sequence[str], page_size: object) -> DataFrame:
     """Number every row and give the page it is on."""
     _, size = normalise(1, page_size)

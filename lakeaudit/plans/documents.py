@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 NODE = "RelOp"
 PREDICATES = ("SeekPredicate", "Filter", "Predicate")
 COUNTERS = "RunTimeCountersPerThread"
-PREDICATE_CHARS = 30
 RED_ABOVE, AMBER_ABOVE = 0.5, 0.1
 # ------------------------------------------------------------------------------
 
@@ -22,59 +20,85 @@ NODE_SCHEMA = (
     "plan_id long, status string, node_id long, parent_id long, physical_op string, logical_op string, "
     "cost_text string, object_name string, predicate string, actual_ms string, actual_rows string"
 )
+# Nodes handed back at a time.
+FRAME_ROWS = 20_000
+_NO_BRACKETS = str.maketrans("", "", "[]")
 _FIELDS = [c.split()[0] for c in NODE_SCHEMA.split(", ")]
 
 
-def _object(node) -> str | None:
-    for item in node.iter("Object"):
-        table = re.sub(r"[\[\]]", "", item.get("Table", ""))
-        if table:
-            schema = re.sub(r"[\[\]]", "", item.get("Schema", ""))
-            return f"{schema}.{table}" if schema else table
-    return None
+class _Operator:
+    """An operator that is still open, with what its subtree has shown so far."""
 
+    def __init__(self, number: int, parent: int | None, given: dict):
+        self.number, self.parent, self.given = number, parent, given
+        self.table: str | None = None
+        self.texts: dict[str, str] = {}
+        self.counters: dict | None = None
 
-def _predicate(node) -> str | None:
-    for kind in PREDICATES:
-        found = node.find(f".//{kind}")
-        text = "".join(found.itertext()).strip() if found is not None else ""
-        if text:
-            return text[:PREDICATE_CHARS]
-    return None
+    def adopt(self, child: _Operator) -> None:
+        """Take from a finished child what comes first in the document."""
+        self.table = self.table or child.table
+        self.counters = child.counters if self.counters is None else self.counters
+        for kind, text in child.texts.items():
+            self.texts.setdefault(kind, text)
 
+    def row(self, plan_id: int) -> tuple:
+        actual = self.counters or {}
+        predicate = next((self.texts[k] for k in PREDICATES if self.texts.get(k)), None)
+        return (
+            plan_id, "ok", self.number, self.parent, self.given.get("PhysicalOp", "Operation"), self.given.get("LogicalOp", ""),
+            self.given.get("EstimatedTotalSubtreeCost", "0"), self.table, predicate, actual.get("ActualElapsedms"), actual.get("ActualRows"),
+        )
 
-def _nodes(plan_id: int, text: str | None) -> Iterator[tuple]:
-    """Operators in document order, each under its nearest operator; else one stub row."""
+
+def _nodes(plan_id: int, text: str | None) -> list[tuple]:
+    """Operators in document order, each under its nearest operator; else one stub row.
+
+    One pass over the parse events: an operator hands what it holds to the one around
+    it when it ends, so no subtree is walked twice.
+    """
     stub = (None,) * (len(_FIELDS) - 2)
     if not text or not text.strip().startswith("<"):
-        yield plan_id, "no plan", *stub
-        return
+        return [(plan_id, "no plan", *stub)]
+    parser = ElementTree.XMLPullParser(("start", "end"))
+    rows: list[tuple] = []
+    open_ones: list[_Operator] = []
+    number = 0
     try:
-        root = ElementTree.fromstring(re.sub(r'\s+xmlns="[^"]+"', "", text, count=1))
+        parser.feed(text)
+        parser.close()
+        for event, element in parser.read_events():
+            tag = element.tag.rpartition("}")[2]
+            inner = open_ones[-1] if open_ones else None
+            if event == "start":
+                if tag.endswith(NODE):
+                    number += 1
+                    open_ones.append(_Operator(number, inner.number if inner else None, dict(element.attrib)))
+                elif inner and tag == COUNTERS and inner.counters is None:
+                    inner.counters = dict(element.attrib)
+                elif inner and tag == "Object" and not inner.table:
+                    names = [element.get(k, "").translate(_NO_BRACKETS) for k in ("Schema", "Table")]
+                    inner.table = ".".join(n for n in names if n) if names[1] else None
+                elif inner and tag in PREDICATES:
+                    inner.texts.setdefault(tag, "".join(element.itertext()).strip())
+            elif tag.endswith(NODE):
+                done = open_ones.pop()
+                rows.append(done.row(plan_id))
+                if open_ones:
+                    open_ones[-1].adopt(done)
     except ElementTree.ParseError:
-        yield plan_id, "unreadable", *stub
-        return
-    number, todo = 0, [(root, None)]
-    while todo:
-        element, parent = todo.pop()
-        if element.tag.endswith(NODE):
-            number += 1
-            counters = element.find(f".//{COUNTERS}")
-            actual = (lambda k: None) if counters is None else counters.get
-            yield (
-                plan_id, "ok", number, parent, element.get("PhysicalOp", "Operation"), element.get("LogicalOp", ""),
-                element.get("EstimatedTotalSubtreeCost", "0"), _object(element), _predicate(element),
-                actual("ActualElapsedms"), actual("ActualRows"),
-            )
-            parent = number
-        todo.extend((child, parent) for child in reversed(element))
-    if not number:
-        yield plan_id, "empty", *stub
+        return [(plan_id, "unreadable", *stub)]
+    return sorted(rows, key=lambda r: r[2]) or [(plan_id, "empty", *stub)]
 
 
 def _node_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [n for plan_id, text in zip(batch["plan_id"], batch["plan_xml"]) for n in _nodes(plan_id, text)]
+        rows: list[tuple] = []
+        for plan_id, text in zip(batch["plan_id"], batch["plan_xml"], strict=True):
+            rows += _nodes(plan_id, text)
+            if len(rows) >= FRAME_ROWS:
+                yield pd.DataFrame(rows, columns=_FIELDS, dtype=object)
+                rows = []
         yield pd.DataFrame(rows, columns=_FIELDS, dtype=object)
 
 

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Pages beyond so many rows are sorted by Spark instead of being held by each task.
+    "spark.sql.execution.topKSortFallbackThreshold": "100000",
 }
 
 
@@ -43,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
-        return folder.rstrip("/")
+        return folder.rstrip("/")  # whoever sets it answers for its being shared
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="lakeaudit-"))
@@ -58,6 +60,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read again, as Parquet.
+
+    Keeps column pruning and statistics, and survives lost executors.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for one run."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -4,21 +4,23 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeaudit.functions import sqltext
-from lakeaudit.operators import paging
+from lakeaudit.functions import formats, sqltext
+from lakeaudit.operators import guard, paging
+from lakeaudit.sources import sinks
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-# Fixed value: rows a query returns when the caller names no cap.
-DEFAULT_MAX_ROWS = 500
+# Fixed value: rows of a preview.
+PREVIEW_ROWS = 500
 
 
 class Lake:
@@ -84,20 +86,43 @@ def parse_params(params_json: str | None) -> list[Any] | dict[str, Any]:
     return params
 
 
+@dataclass(frozen=True)
+class ReadGuard:
+    """What a read must pass and leave behind: an allow-list of tables and an audit log."""
+
+    scope: str | Sequence[str] | None = None
+    audit_path: str | None = None
+    caller: str = ""
+    database: str = "lake"
+
+
 def param_query(
     spark: SparkSession,
     sql: str,
     params_json: str | None = None,
     tables: Mapping[str, DataFrame] | None = None,
     max_rows: int = 0,
+    guarded: ReadGuard | None = None,
 ) -> DataFrame:
-    """Guarded parameterised read, capped at ``max_rows`` (or the default)."""
-    sqltext.require_readonly(spark, sql)
-    for name, df in (tables or {}).items():
-        df.createOrReplaceTempView(name)
+    """Guarded parameterised read: read-only, in scope, and audited before it runs.
+
+    Tables are named in braces, ``{orders}``, and are known to this query only. A positive
+    ``max_rows`` caps the rows; otherwise all come back.
+    """
+    guarded = guarded or ReadGuard()
+    plain = sql.format(**{name: name for name in tables or {}})
+    sqltext.require_readonly(spark, plain)
+    if guarded.scope is not None:
+        guard.require_scope(spark, plain, guarded.scope)
     params = parse_params(params_json)
-    rows = spark.sql(sql, args=params or None)
-    return paging.row_cap(rows, max_rows if max_rows > 0 else DEFAULT_MAX_ROWS)
+    if guarded.audit_path:
+        asked = spark.createDataFrame([(plain, guarded.caller, params_json or "")], "q string, caller string, params string")
+        sinks.append_audit(sinks.audit_records(
+            asked, tool="param_query", database=guarded.database, sql=F.col("q"), prompt=F.lit(""), caller=F.col("caller"),
+            at=formats.iso_text(F.current_timestamp()), params=F.sha2("params", 256),
+        ), guarded.audit_path)
+    rows = spark.sql(sql, args=params or None, **(tables or {}))
+    return paging.row_cap(rows, max_rows) if max_rows > 0 else rows
 
 
 def run_query(
@@ -109,7 +134,8 @@ def run_query(
     page: int = 1,
     page_size: int = paging.DEFAULT_PAGE_SIZE,
     order_by: Sequence[str] = (),
+    guarded: ReadGuard | None = None,
 ) -> DataFrame:
     """``param_query`` followed by one page of its rows with the page numbers."""
-    rows = param_query(spark, sql, params_json, tables, max_rows)
+    rows = param_query(spark, sql, params_json, tables, max_rows, guarded)
     return paging.result_page(rows, page, page_size, order_by)

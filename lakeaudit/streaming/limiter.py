@@ -38,7 +38,7 @@ def rate_limit(df: DataFrame, client: str, ts: str, tie: str, limits: Limits) ->
     keyed = df.withColumns({"_client": F.col(client), "_us": F.unix_micros(F.col(ts).cast("timestamp"))})
     keyed = keyed.withColumn("_slice", F.expr(f"(_us - pmod(_us, {limits.quiet_us}L)) div {limits.quiet_us}L"))
     # One row per client and slice, used by every step.
-    periods = session.checkpointed(_busy_periods(keyed, limits))
+    periods = session.stored(_busy_periods(keyed, limits), "periods")
     placed = keyed.join(periods, ["_client", "_slice"])
     restless = F.col("_busiest") > limits.max_requests
 

@@ -228,7 +228,7 @@ def _register_top(metric: str, value: str, whole: str):
 
 
 for _metric, _column in workload.METRICS.items():
-    _total = f"CAST(floor(sum(CAST({_column} AS DECIMAL(28,4)))) AS BIGINT) // count(*)"
+    _total = f"CAST(floor(sum(CAST(CAST({_column} AS VARCHAR) AS DECIMAL(38,12)))) AS BIGINT) // count(*)"
     _register_top(
         _metric,
         "CAST(count(*) AS DOUBLE)" if _column is None else hu(mean_sql(_column), 4),

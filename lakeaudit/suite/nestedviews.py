@@ -15,25 +15,25 @@ from lakeaudit.functions.numbers import half_up_sql as hu
 from lakeaudit.functions.numbers import mean_sql
 from lakeaudit.suite.texts import _q
 
-DOCS = fx.CUSTOMER_DOCUMENTS.format(customer="customer", orders="orders")
+DOCS = fx.ORDER_DOCUMENTS.strip()
 # Lists and structs are compared as text or counts, which every engine prints alike.
-KEYS_TEXT = "array_to_string(list_transform({0}, lambda x: CAST(x.o_orderkey AS VARCHAR)), ',')"
+KEYS_TEXT = "array_to_string(list_transform({0}, lambda x: CAST(x.l_partkey AS VARCHAR)), ',')"
 
 
 def _keys_text(column: str):
-    return F.array_join(F.transform(F.col(column), lambda x: x["o_orderkey"].cast("string")), ",")
+    return F.array_join(F.transform(F.col(column), lambda x: x["l_partkey"].cast("string")), ",")
 
 
 @query("field_projection", f"""
-    SELECT custkey, summary.segment AS segment, {KEYS_TEXT.format('orders')} AS order_keys, 1 AS order_fields, 1 AS summary_fields
+    SELECT orderkey, summary.segment AS segment, CASE WHEN len(lines) > 0 THEN {KEYS_TEXT.format('lines')} END AS part_keys, 1 AS line_fields, 1 AS summary_fields
     FROM ({DOCS})
 """)
 def field_projection(lake):
-    rows = nested.field_projection(fx.customer_documents(lake), "custkey, summary.segment, orders.o_orderkey, no.such.path")
-    width = len(rows.schema["orders"].dataType.elementType.names)
+    rows = nested.field_projection(fx.order_documents(lake), "orderkey, summary.segment, lines.l_partkey, no.such.path")
+    width = len(rows.schema["lines"].dataType.elementType.names)
     return rows.select(
-        "custkey", F.col("summary.segment").alias("segment"), _keys_text("orders").alias("order_keys"),
-        F.lit(width).alias("order_fields"), F.lit(len(rows.schema["summary"].dataType.names)).alias("summary_fields"),
+        "orderkey", F.col("summary.segment").alias("segment"), _keys_text("lines").alias("part_keys"),
+        F.lit(width).alias("line_fields"), F.lit(len(rows.schema["summary"].dataType.names)).alias("summary_fields"),
     )
 
 
@@ -52,21 +52,21 @@ def token_estimate(lake):
 
 
 @query("shrink_lists", f"""
-    SELECT custkey, document_no, {KEYS_TEXT.format('orders[1:3]')} AS order_keys FROM ({DOCS})
+    SELECT orderkey, {KEYS_TEXT.format('lines[1:3]')} AS part_keys FROM ({DOCS})
 """)
 def shrink_lists(lake):
-    return nested.shrink_lists(fx.customer_documents(lake), 3).select("custkey", "document_no", _keys_text("orders").alias("order_keys"))
+    return nested.shrink_lists(fx.order_documents(lake), 3).select("orderkey", _keys_text("lines").alias("part_keys"))
 
 
-BUDGET = 120
+BUDGET = 60
 
 
 def _doc_tokens(n: str) -> str:
-    """Tokens of a document with its first n orders, from the text it would have."""
-    items = f"orders[1:{n}]"
-    return f"""greatest(1, (length('{{"custkey": ' || custkey || ', "document_no": ' || document_no || ', "summary": {{"name": "'
-      || summary.name || '", "segment": "' || summary.segment || '"}}, "orders": [' || array_to_string(list_transform({items},
-      lambda x: '{{"o_orderkey": ' || x.o_orderkey || ', "o_orderstatus": "' || x.o_orderstatus || '"}}'), ', ') || ']}}')) // 4)"""
+    """Tokens of a document with its first n lines, from the text it would have."""
+    items = f"lines[1:{n}]"
+    return f"""greatest(1, (length('{{"orderkey": ' || orderkey || ', "summary": {{"name": "'
+      || summary.name || '", "segment": "' || summary.segment || '"}}, "lines": [' || array_to_string(list_transform({items},
+      lambda x: '{{"l_partkey": ' || x.l_partkey || ', "l_returnflag": "' || x.l_returnflag || '"}}'), ', ') || ']}}')) // 4)"""
 
 
 STEPS = ", ".join(f"{_doc_tokens(str(n))} AS t{n}" for n in nested.LADDER)
@@ -81,18 +81,18 @@ def _budget_sql(budget: int) -> str:
     WITH d AS (SELECT *, {_doc_tokens('1000000')} AS full_size, {STEPS} FROM ({DOCS})),
     s AS (SELECT *, CASE WHEN full_size <= {budget} THEN -1 {step} ELSE 0 END AS most,
                  CASE WHEN full_size <= {budget} THEN full_size {size} ELSE full_size END AS size FROM d)
-    SELECT custkey AS doc_key, CASE WHEN most <> 0 THEN {KEYS_TEXT.format('orders[1:CASE WHEN most = -1 THEN 1000000 ELSE most END]')} END AS order_keys,
+    SELECT orderkey AS doc_key, CASE WHEN most <> 0 THEN {KEYS_TEXT.format('lines[1:CASE WHEN most = -1 THEN 1000000 ELSE most END]')} END AS part_keys,
       CASE WHEN most <> 0 THEN summary.name END AS name, CASE WHEN most = 0 THEN summary.name END AS original_name,
       CASE WHEN most <> -1 THEN size END AS estimated_tokens, CASE WHEN most <> -1 THEN CAST(most AS BIGINT) END AS list_max_items
     FROM s"""
 
 
 def _budgeted(lake, budget):
-    docs = fx.customer_documents(lake)
+    docs = fx.order_documents(lake)
     keyed = nested.token_budget(docs, budget)
     return keyed.select(
-        F.coalesce("custkey", F.regexp_extract("original_summary.name", r"(\d+)$", 1).cast("long")).alias("doc_key"),
-        _keys_text("orders").alias("order_keys"),
+        F.coalesce("orderkey", F.regexp_extract("original_summary.name", r"(\d+)$", 1).cast("long")).alias("doc_key"),
+        _keys_text("lines").alias("part_keys"),
         F.col("summary.name").alias("name"),
         F.col("original_summary.name").alias("original_name"),
         F.col("_truncation.estimated_tokens").alias("estimated_tokens"),
@@ -120,32 +120,33 @@ def context_pack(lake):
 
 
 @query("paged_nested_lists", f"""
-    WITH d AS (SELECT *, len(orders) AS total, greatest(1, CAST(ceil(len(orders) / 4.0) AS BIGINT)) AS pages FROM ({DOCS})),
+    WITH d AS (SELECT *, len(lines) AS total, greatest(1, CAST(ceil(len(lines) / 4.0) AS BIGINT)) AS pages FROM ({DOCS})),
     p AS (SELECT *, least(3, pages) AS page FROM d)
-    SELECT custkey, {KEYS_TEXT.format('orders[(page - 1) * 4 + 1 : page * 4]')} AS order_keys, 3 AS asked_page,
+    SELECT orderkey, {KEYS_TEXT.format('lines[(page - 1) * 4 + 1 : page * 4]')} AS part_keys, 3 AS asked_page,
       page, 4 AS page_size, total AS total_items, pages AS total_pages FROM p
 """)
 def paged_nested_lists(lake):
-    rows = nested.page_lists(fx.customer_documents(lake), 3, 4)
-    block = F.col("_pagination.lists")["root.orders"]
+    rows = nested.page_lists(fx.order_documents(lake), 3, 4)
+    block = F.col("_pagination.lists")["root.lines"]
     return rows.select(
-        "custkey", _keys_text("orders").alias("order_keys"), F.col("_pagination.page").alias("asked_page"),
+        "orderkey", _keys_text("lines").alias("part_keys"), F.col("_pagination.page").alias("asked_page"),
         *[block[c].alias(c) for c in ("page", "page_size", "total_items", "total_pages")],
     )
 
 
 @query("shaped_result", f"""
     WITH d AS (SELECT *, {_doc_tokens('1000000')} AS full_size, {STEPS} FROM ({DOCS})),
-    s AS (SELECT *, CASE WHEN full_size <= 120 THEN 1000000 {STEP_CASE} ELSE 0 END AS most FROM d),
-    c AS (SELECT *, orders[1:most] AS cut FROM s WHERE most > 0)
-    SELECT custkey, {KEYS_TEXT.format('cut[1:2]')} AS order_keys, len(cut) AS total_items FROM c
+    s AS (SELECT *, CASE WHEN full_size <= {BUDGET} THEN 1000000 {STEP_CASE} ELSE 0 END AS most FROM d),
+    c AS (SELECT *, lines[1:most] AS cut FROM s)
+    SELECT CASE WHEN most > 0 THEN orderkey END AS orderkey, CASE WHEN len(cut) > 0 THEN {KEYS_TEXT.format('cut[1:2]')} END AS part_keys,
+      nullif(len(cut), 0) AS total_items FROM c
 """)
 def shaped_result(lake):
     """Budget, projection and page in this order: the page counts what the budget left."""
-    rows = nested.shape_result(fx.customer_documents(lake), 120, "custkey,orders.o_orderkey", 1, 2)
-    return rows.where("custkey IS NOT NULL").select(
-        "custkey", _keys_text("orders").alias("order_keys"),
-        F.col("_pagination.lists")["root.orders"]["total_items"].alias("total_items"),
+    rows = nested.shape_result(fx.order_documents(lake), BUDGET, "orderkey,lines.l_partkey", 1, 2)
+    return rows.select(
+        "orderkey", _keys_text("lines").alias("part_keys"),
+        F.col("_pagination.lists")["root.lines"]["total_items"].alias("total_items"),
     )
 
 

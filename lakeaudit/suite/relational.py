@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeaudit import fixtures as fx
+from lakeaudit import session
 from lakeaudit.functions import formats, numbers
 from lakeaudit.functions.numbers import half_up_sql as hu
 from lakeaudit.operators import aggregates, compare, filters, joins, paging, sliding, workload
@@ -18,7 +19,7 @@ COUNTED = src.TABLES
 @query("param_query", """
     WITH capped AS (
       SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-      WHERE o_orderstatus = 'F' AND o_totalprice >= 1000.0 ORDER BY o_orderkey LIMIT 500),
+      WHERE o_orderstatus = 'F' AND o_totalprice >= 1000.0),
     n AS (SELECT count(*) AS total FROM capped),
     p AS (SELECT total, greatest(1, CAST(ceil(total / 25.0) AS BIGINT)) AS pages FROM n)
     SELECT c.o_orderkey, c.o_custkey, c.o_totalprice, least(2, pages) AS page,
@@ -27,20 +28,21 @@ COUNTED = src.TABLES
     WHERE rn > (least(2, pages) - 1) * 25 AND rn <= least(2, pages) * 25
 """)
 def param_query(lake):
-    sql = """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+    sql = """SELECT o_orderkey, o_custkey, o_totalprice FROM {orders}
              WHERE o_orderstatus = ? AND o_totalprice >= ? ORDER BY o_orderkey"""
     return src.run_query(
         lake.spark, sql, '["F", 1000.0]', {"orders": lake.table("orders")},
         page=2, page_size=25, order_by=["o_orderkey"],
+        guarded=src.ReadGuard(scope="*.orders", audit_path=session.work_path(lake.spark, "reads")),
     )
 
 
 @query("param_query_named", """
     SELECT l_returnflag, count(*) AS line_count FROM lineitem
-    WHERE l_quantity >= 10 AND l_linestatus = 'O' GROUP BY l_returnflag ORDER BY l_returnflag LIMIT 500
+    WHERE l_quantity >= 10 AND l_linestatus = 'O' GROUP BY l_returnflag ORDER BY l_returnflag
 """)
 def param_query_named(lake):
-    sql = """SELECT l_returnflag, count(*) AS line_count FROM lineitem
+    sql = """SELECT l_returnflag, count(*) AS line_count FROM {lineitem}
              WHERE l_quantity >= :least AND l_linestatus = :status GROUP BY l_returnflag ORDER BY l_returnflag"""
     return src.param_query(lake.spark, sql, '{"least": 10, "status": "O"}', {"lineitem": lake.table("lineitem")})
 
@@ -52,7 +54,7 @@ def param_query_named(lake):
 def row_cap(lake):
     keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
     rows = lake.table("lineitem").select(*keys, "l_extendedprice")
-    return paging.row_cap(rows.orderBy(F.col("l_extendedprice").desc(), *keys), src.DEFAULT_MAX_ROWS)
+    return paging.row_cap(rows.orderBy(F.col("l_extendedprice").desc(), *keys), src.PREVIEW_ROWS)
 
 
 def _sides(lake):
@@ -182,7 +184,7 @@ def in_list_filter(lake):
 
 
 @query("multiway_join", """
-    SELECT r_name, n_name, count(*) AS line_count, sum(CAST(l_extendedprice AS DECIMAL(28,4))) AS price
+    SELECT r_name, n_name, count(*) AS line_count, CAST(sum(CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(38,12))) AS DECIMAL(28,4)) AS price
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     GROUP BY r_name, n_name
@@ -195,7 +197,7 @@ def multiway_join(lake):
         (t("nation"), F.col("c_nationkey") == F.col("n_nationkey")),
         (t("region"), F.col("n_regionkey") == F.col("r_regionkey")),
     ])
-    price = F.sum(numbers.money(F.col("l_extendedprice"))).alias("price")
+    price = F.sum(numbers.money(F.col("l_extendedprice"))).cast("decimal(28,4)").alias("price")
     return chain.groupBy("r_name", "n_name").agg(F.count(F.lit(1)).alias("line_count"), price)
 
 
@@ -213,14 +215,14 @@ def composite_key_join(lake):
     SELECT c_custkey, c_name, coalesce(order_count, 0) AS order_count, coalesce(spent, 0) AS spent,
            coalesce(last_status, '') AS last_status
     FROM customer LEFT JOIN (
-      SELECT o_custkey, count(*) AS order_count, sum(CAST(o_totalprice AS DECIMAL(28,4))) AS spent,
+      SELECT o_custkey, count(*) AS order_count, CAST(sum(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(38,12))) AS DECIMAL(28,4)) AS spent,
              arg_max(o_orderstatus, o_orderkey) AS last_status
       FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey
 """)
 def left_join_default(lake):
     per_customer = lake.table("orders").groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("order_count"),
-        F.sum(numbers.money(F.col("o_totalprice"))).alias("spent"),
+        F.sum(numbers.money(F.col("o_totalprice"))).cast("decimal(28,4)").alias("spent"),
         F.max_by("o_orderstatus", "o_orderkey").alias("last_status"),
     )
     customers = lake.table("customer").select("c_custkey", "c_name")

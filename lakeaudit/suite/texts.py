@@ -34,12 +34,22 @@ REFS = f"""
 ALLOWED = "(schema_name = 'sales' OR (schema_name = 'dbo' AND table_name = 'regions') OR table_name = 'nation')"
 
 
-@query("strip_sql_text", f"""
-    SELECT stmt_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(sql_text,
-      {_q(sqltext.BLOCK_COMMENT)}, ' ', 'g'), {_q(sqltext.LINE_COMMENT)}, ' ', 'g'),
-      {_q(sqltext.TEXT_LITERAL)}, ' ', 'g'), {_q(sqltext.QUOTED_NAME)}, ' ', 'g') AS code
-    FROM ({STMTS}) s
-""")
+# Each statement form without comments and literals, written down by hand.
+STRIPPED_FORMS = """
+    CASE event_id % 8
+      WHEN 0 THEN 'SELECT * FROM sales.orders WHERE o_orderkey = ' || event_id
+      WHEN 1 THEN '  SELECT 1   FROM [dbo].[customer] c JOIN sales.orders o ON 1 = 1'
+      WHEN 2 THEN 'UPDATE sales.customers SET city =   WHERE id = ' || user_id
+      WHEN 3 THEN 'WITH a AS (SELECT * FROM sales.orders), b(x) AS (SELECT 1 FROM dbo.regions) SELECT * FROM a JOIN b ON 1 = 1'
+      WHEN 4 THEN 'DELETE t FROM dbo.target t JOIN dbo.other o ON o.id = t.id'
+      WHEN 5 THEN 'INSERT INTO sales.orders (id) VALUES (' || event_id || ')'
+      WHEN 6 THEN 'SELECT   AS s FROM nation'
+      ELSE 'MERGE INTO dbo.inventory AS t USING dbo.src AS s ON t.id = s.id WHEN MATCHED THEN UPDATE SET t.q = s.q'
+    END
+"""
+
+
+@query("strip_sql_text", f"SELECT event_id AS stmt_id, {STRIPPED_FORMS} AS code FROM events")
 def strip_sql_text(lake):
     return fx.stmts(lake).select("stmt_id", sqltext.strip_sql_text(F.col("sql_text")).alias("code"))
 
@@ -97,9 +107,33 @@ def scope_verdict(lake):
     return guard.scope_verdict(fx.stmts(lake), fx.SCOPE)
 
 
+# Statements with comma joins, aliases as targets and unreadable ends; verdicts written down by hand.
+TRICKY = (
+    ("SELECT * FROM sales.a x, secret.b y WHERE x.i = y.i", False, "secret.b"),
+    ("UPDATE t SET q = 1 FROM sales.stock t", True, None),
+    ("DELETE t FROM hr.staff AS t, sales.gone g WHERE t.i = g.i", False, "hr.staff"),
+    ("SELECT * FROM (SELECT i FROM sales.a, nation n) d, (sales.b JOIN secret.c ON 1 = 1)", False, "secret.c"),
+    ("SELECT * FROM sales.a JOIN sales.b USING (i), dbo.regions", True, None),
+    ("SELECT EXTRACT(YEAR FROM sold), 'it''s' FROM sales.a", True, None),
+    ("SELECT * FROM sales.a WHERE note = 'open", False, "(unreadable statement)"),
+    ("WITH c(i) AS (SELECT i FROM sales.a) SELECT * FROM c, secret.d", False, "secret.d"),
+)
+
+
+@query("scope_verdict_lists", f"""
+    WITH v AS (SELECT * FROM (VALUES {", ".join(f"({i}, {str(ok).lower()}, {'NULL' if no is None else _q(no)})" for i, (_, ok, no) in enumerate(TRICKY))})
+               AS v(form, allowed, denied_tables))
+    SELECT event_id AS stmt_id, allowed, denied_tables FROM events JOIN v ON form = event_id % 8
+""")
+def scope_verdict_lists(lake):
+    texts = F.element_at(F.array(*[F.lit(text) for text, _, _ in TRICKY]), (F.col("event_id") % 8 + 1).cast("int"))
+    statements = lake.table("events").select(F.col("event_id").alias("stmt_id"), texts.alias("sql_text"))
+    return guard.scope_verdict(statements, fx.SCOPE)
+
+
 EDGES = """
     WITH e AS (SELECT * FROM (VALUES (1, 'read_with', 'dbo.customer', 'sales.orders'),
-        (3, 'read_with', 'sales.orders', 'dbo.regions'), (4, 'read_with', 'dbo.target', 'dbo.other'),
+        (3, 'read_with', 'sales.orders', 'dbo.regions'), (4, 'writes_from', 'dbo.target', 'dbo.other'),
         (7, 'writes_from', 'dbo.inventory', 'dbo.src')) AS v(form, edge, from_table, to_table)),
     edges AS (SELECT edge, from_table, to_table, count(*) AS statements
               FROM events JOIN e ON form = event_id % 8 GROUP BY ALL)
