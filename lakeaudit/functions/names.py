@@ -46,6 +46,11 @@ def parse_name(name: Column, default_schema: str = DEFAULT_SCHEMA) -> Column:
     )
 
 
+def column(name: str) -> Column:
+    """The column of exactly this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def is_identifier(name: Column) -> Column:
     return F.coalesce(name.rlike(IDENTIFIER), F.lit(False))
 

@@ -19,13 +19,19 @@ SCOPE_PART = re.compile(r"\*|[a-z_][a-z0-9_]*")
 
 
 def sql_like(column: Column, pattern: str) -> Column:
-    """LIKE without regard to case, with ``[a-z]`` and ``[^a-z]`` classes."""
-    if "[" not in pattern:
-        return column.ilike(pattern)
-    pieces = re.findall(r"\[\^?[^\]]+\]|%|_|.", pattern, flags=re.S)
-    special = {"%": ".*", "_": "."}
-    regex = "".join(special.get(p) or (p if len(p) > 1 else re.escape(p)) for p in pieces)
-    return column.rlike(f"(?is)^{regex}$")
+    """LIKE without regard to case, with ``[a-z]`` and ``[^a-z]`` classes; a backslash is a character."""
+    return column.rlike("(?is)^" + "".join(_like_piece(p) for p in re.findall(r"\[\^?[^\]]+\]|.", pattern, flags=re.S)) + r"\z")
+
+
+def _like_piece(piece: str) -> str:
+    if len(piece) == 1:
+        return {"%": ".*", "_": "."}.get(piece) or re.escape(piece)
+    negated = piece[1] == "^"
+    inside = piece[2:-1] if negated else piece[1:-1]
+    # Only a hyphen between two characters means a range; all else stands for itself.
+    ranges = re.findall(r".-.|.", inside, flags=re.S)
+    escape = lambda c: c if c.isalnum() else "\\" + c
+    return f"[{'^' if negated else ''}{''.join(escape(r[0]) + ('-' + escape(r[2]) if len(r) == 3 else '') for r in ranges)}]"
 
 
 def where_given(
@@ -72,7 +78,7 @@ def parse_scope(patterns: str | Iterable[str]) -> list[tuple[str, str]]:
 
 
 def in_scope(schema: Column, table: Column, scope: Iterable[tuple[str, str]]) -> Column:
-    """Whether a table is on the allow-list. Plain comparisons, so the scan can use them."""
+    """Whether a table is on the allow-list, by plain comparisons of trimmed names."""
     schema = F.coalesce(F.nullif(F.lower(F.trim(schema)), F.lit("")), F.lit(DEFAULT_SCHEMA))
     table = F.coalesce(F.lower(F.trim(table)), F.lit(""))
 

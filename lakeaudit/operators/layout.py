@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lakeaudit.functions import names
 from lakeaudit.functions.numbers import half_up
-from lakeaudit.operators import aggregates
+from lakeaudit.operators import aggregates, paging
 
 # Fixed value: rows of a fragmentation list when the caller gives no limit.
 TOP_FRAGMENTED = 10
@@ -28,28 +29,32 @@ class LayoutSpec:
 
 
 def page_ranges(df: DataFrame, position: str, columns: Sequence[str], page_rows: int) -> DataFrame:
-    """Smallest and largest value of each column on every stored page."""
-    spans = [f(F.col(c)).alias(f"{p}_{c}") for c in columns for f, p in ((F.min, "min"), (F.max, "max"))]
-    page = F.expr(f"{position} div {int(page_rows)}").alias("page")
+    """Smallest and largest value of each column on every page of the position column."""
+    spans = [f(names.column(c)).alias(f"{p}_{c}") for c in columns for f, p in ((F.min, "min"), (F.max, "max"))]
+    at = names.column(position)
+    page = F.floor((at - F.pmod(at, F.lit(int(page_rows)))) / F.lit(int(page_rows))).cast("long").alias("page")
     return df.groupBy(page).agg(F.count(F.lit(1)).alias("rows"), *spans)
 
 
 def with_previous_page(pages: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Each page next to the one directly before it.
+    """Each page next to the last one before it, whatever page numbers are missing.
 
-    Every page hands its largest values on to the next page number and pages are grouped
-    by number: all tasks share the pages, where a window over the whole table would sort
-    them in one, and the table is read once, where a self-join would read it twice.
+    Pages lie in ranges; inside a range the page before is the neighbour, and the first
+    page of a range takes the last one of the ranges before, of which there are few.
     """
-    own = [c for c in pages.columns if c != "page"]
-    handed = [f"prev_max_{c}" for c in columns]
-    no_own = [F.lit(None).cast(pages.schema[c].dataType).alias(c) for c in own]
-    no_prev = [F.lit(None).cast(pages.schema[f"max_{c}"].dataType).alias(h) for c, h in zip(columns, handed)]
-    here = F.struct("page", *own, *no_prev)
-    after = F.struct((F.col("page") + 1).alias("page"), *no_own, *[F.col(f"max_{c}").alias(h) for c, h in zip(columns, handed)])
-    spread = pages.select(F.explode(F.array(here, after)).alias("p")).select("p.*")
-    grouped = spread.groupBy("page").agg(*[F.max(c).alias(c) for c in [*own, *handed]])
-    return grouped.where(F.col("rows").isNotNull())
+    ranged = paging.in_ranges(pages, ["page"])
+    tops = [names.column(f"max_{c}") for c in columns]
+    inside = Window.partitionBy("_range").orderBy("page")
+    last = ranged.groupBy("_range").agg(F.max("page").alias("page")).join(ranged, ["_range", "page"])
+    # One row per range.
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    handed = last.select("_range", F.last(F.struct(*tops)).over(earlier).alias("_handed"))
+    near = ranged.withColumns({f"_near_{i}": F.lag(top).over(inside) for i, top in enumerate(tops)}).withColumn("_first", F.row_number().over(inside) == 1)
+    found = [
+        F.when(F.col("_first"), F.col("_handed").getField(f"max_{c}")).otherwise(F.col(f"_near_{i}")).alias(f"prev_max_{c}")
+        for i, c in enumerate(columns)
+    ]
+    return near.join(F.broadcast(handed), "_range").select(*[names.column(c) for c in pages.columns], *found)
 
 
 def layout_fragmentation(df: DataFrame, spec: LayoutSpec) -> DataFrame:
@@ -58,10 +63,13 @@ def layout_fragmentation(df: DataFrame, spec: LayoutSpec) -> DataFrame:
     All columns of a table are measured in one scan.
     """
     pages = with_previous_page(page_ranges(df, spec.position, spec.columns, spec.page_rows), spec.columns)
-    broken = [F.count_if(F.col(f"min_{c}") < F.col(f"prev_max_{c}")).alias(f"b_{c}") for c in spec.columns]
+    broken = [F.count_if(names.column(f"min_{c}") < names.column(f"prev_max_{c}")).alias(f"b_{i}") for i, c in enumerate(spec.columns)]
     totals = pages.agg(F.count(F.lit(1)).alias("page_count"), *broken)
-    cells = ", ".join(f"'ix_{spec.table}_{c}', '{c}', b_{c}" for c in spec.columns)
-    rows = totals.selectExpr("page_count", f"stack({len(spec.columns)}, {cells}) AS (index_name, column_name, broken)")
+    cells = [
+        F.struct(F.lit(f"ix_{spec.table}_{c}").alias("index_name"), F.lit(c).alias("column_name"), F.col(f"b_{i}").alias("broken"))
+        for i, c in enumerate(spec.columns)
+    ]
+    rows = totals.select("page_count", F.explode(F.array(*cells)).alias("x")).select("page_count", "x.*")
     share = F.coalesce(F.try_divide(F.col("broken") * F.lit(100.0), F.col("page_count")), F.lit(0.0))
     return rows.select(
         F.lit(spec.schema).alias("schema_name"),

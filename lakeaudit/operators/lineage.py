@@ -8,15 +8,25 @@ from pyspark.sql import functions as F
 from lakeaudit.functions import sqltext
 
 
+# More than a statement can have tables.
+POSITIONS = 1 << 31
+
+
 def _full_name(ref):
     return F.concat_ws(".", ref["schema_name"], ref["table_name"])
 
 
 def ordered_distinct(refs: DataFrame, key: str = "stmt_id") -> DataFrame:
-    """Every table once, in the order of its first use."""
-    first = F.min(F.struct(key, "position")).alias("_first")
-    return refs.groupBy("schema_name", "table_name").agg(first).select(
-        "schema_name", "table_name", F.col(f"_first.{key}").alias("first_stmt"), F.col("_first.position").alias("first_position")
+    """Every table once, in the order of its first use; statements are numbered.
+
+    Statement and position are one decimal number, which is hashed where a struct would be sorted.
+    """
+    place = F.col(key).cast("decimal(20,0)") * F.lit(POSITIONS).cast("decimal(11,0)") + F.col("position")
+    first = refs.groupBy("schema_name", "table_name").agg(F.min(place.cast("decimal(32,0)")).alias("_first"))
+    position = F.pmod(F.col("_first"), F.lit(POSITIONS).cast("decimal(11,0)"))
+    return first.select(
+        "schema_name", "table_name",
+        ((F.col("_first") - position) / F.lit(POSITIONS)).cast("long").alias("first_stmt"), position.cast("int").alias("first_position"),
     ).orderBy("first_stmt", "first_position")
 
 

@@ -3,22 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeaudit.functions import names
 from lakeaudit.functions.numbers import half_up
 from lakeaudit.operators import aggregates, profile
+from lakeaudit.session import stored
 
 # Issue categories, and the most columns of a table without an issue.
 CATEGORIES = ("entities", "attributes", "relationships", "identifiers", "normalization")
 WIDE_COLUMNS = 30
 
-KEY_TYPES = profile.WHOLE + (T.StringType,)
-# A column whose estimated distinct count is below this share of the rows is no key.
-# The estimate is off by about 5 %, so a real key is ten deviations away from it.
-KEY_SHARE = 0.5
+# Types whose values can be compared across tables; floating numbers make no keys.
+KEY_TYPES = profile.WHOLE + (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
 # Columns marked in one whole number.
 WORD_BITS = 60
 
@@ -30,44 +32,50 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def key_candidates(tables: Mapping[str, DataFrame], kinds: tuple = KEY_TYPES) -> list[tuple[str, tuple[str, ...]]]:
-    """Single columns that may be keys, by one sketch scan per table in one job.
+def _no_rows(tables: Mapping[str, DataFrame], schema: str) -> DataFrame:
+    spark = next(iter(tables.values())).sparkSession if tables else SparkSession.getActiveSession()
+    return spark.createDataFrame([], schema)
 
-    Only one figure per column reaches the driver.
-    """
-    parts = []
-    for table, df in tables.items():
-        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
-        if not columns:
-            continue
-        sketches = ", ".join(
-            f"named_struct('column_name', '{c}', 'about', approx_count_distinct({c}), 'filled', count({c}))" for c in columns
-        )
-        counted = df.agg(F.expr("count(1) AS n"), F.expr(f"array({sketches}) AS s"))
-        parts.append(counted.selectExpr(f"'{table}' AS table_name", "n", "explode(s) AS s"))
-    likely = (F.col("n") > 0) & (F.col("s.filled") == F.col("n")) & (F.col("s.about") >= KEY_SHARE * F.col("n"))
-    rows = _union(parts).where(likely).select("table_name", "s.column_name").collect()
-    return sorted((r["table_name"], (r["column_name"],)) for r in rows)
+
+def _digest(columns: Sequence[Column]) -> list[Column]:
+    """128 bits that stand for the values; a NULL differs from any value and from its place."""
+    flags = [c.isNull() for c in columns]
+    return [F.xxhash64(F.lit(seed), *columns, *flags).alias(f"h{seed}") for seed in (1, 2)]
+
+
+def key_candidates(tables: Mapping[str, DataFrame], kinds: tuple = KEY_TYPES) -> list[tuple[str, tuple[str, ...]]]:
+    """All single columns of the given kinds."""
+    return [(t, (f.name,)) for t, df in tables.items() for f in df.schema.fields if isinstance(f.dataType, kinds)]
 
 
 def check_keys(tables: Mapping[str, DataFrame], candidates: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
-    """Exact check of each candidate: rows, rows with a NULL, and whether it is a key."""
+    """Exact check of each candidate: rows, rows with a NULL, and whether it is a key.
+
+    Each table is scanned once; a row becomes one short digest per candidate, and all
+    candidates are one grouped pass. Values that repeat combine before the shuffle.
+    """
     parts = []
-    for table, columns in candidates:
-        texts = {f.name for f in tables[table].schema.fields if isinstance(f.dataType, T.StringType)}
-        key = [F.expr(f"{profile.compact_key(c) if c in texts else c} AS {c}") for c in columns]
-        missing = " OR ".join(f"{c} IS NULL" for c in columns)
-        sizes = tables[table].groupBy(*key).agg(F.expr("count(1) AS n"))
-        checked = sizes.agg(
-            F.expr("coalesce(sum(n), 0) AS row_count"),
-            F.expr("count(1) AS distinct_count"),
-            F.expr(f"coalesce(sum(CASE WHEN {missing} THEN n END), 0) AS null_rows"),
-        )
-        parts.append(checked.selectExpr(
-            f"'{table}' AS table_name", f"'{','.join(columns)}' AS key_columns", "row_count", "distinct_count", "null_rows",
-            "row_count = distinct_count AND null_rows = 0 AND row_count > 0 AS is_key",
-        ))
-    return _union(parts)
+    for table, df in tables.items():
+        own = [
+            F.struct(F.lit(i).alias("k"), *_digest([names.column(c) for c in columns]), reduce(or_, [names.column(c).isNull() for c in columns]).alias("missing"))
+            for i, (t, columns) in enumerate(candidates) if t == table
+        ]
+        if own:
+            parts.append(df.select(F.explode(F.array(*own)).alias("x")).select("x.*"))
+    schema = "table_name string, key_columns string, row_count long, distinct_count long, null_rows long, is_key boolean"
+    if not parts:
+        return _no_rows(tables, schema)
+    sizes = _union(parts).groupBy("k", "h1", "h2", "missing").agg(F.count(F.lit(1)).alias("n"))
+    checked = sizes.groupBy("k").agg(
+        F.sum("n").alias("row_count"), F.count(F.lit(1)).alias("distinct_count"), F.sum(F.when(F.col("missing"), F.col("n")).otherwise(0)).alias("null_rows"),
+    )
+    # One row per candidate of the catalog.
+    listed = [(i, t, ",".join(columns)) for i, (t, columns) in enumerate(candidates)]
+    catalog = checked.sparkSession.createDataFrame(listed, "k int, table_name string, key_columns string")
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    found = catalog.join(checked, "k", "left").select("table_name", "key_columns", count("row_count"), count("distinct_count"), count("null_rows"))
+    is_key = (F.col("row_count") == F.col("distinct_count")) & (F.col("null_rows") == 0) & (F.col("row_count") > 0)
+    return found.withColumn("is_key", is_key)
 
 
 def find_keys(
@@ -101,64 +109,79 @@ def wide_entities(columns: DataFrame, most: int = WIDE_COLUMNS) -> DataFrame:
     return _issue(counts.where(F.col("n") > most), "normalization", text, "Medium")
 
 
+RELATIONSHIP_SCHEMA = (
+    "constraint_name string, parent_table string, parent_column string, referenced_table string, referenced_column string, "
+    "child_values long, matched_values long, coverage double, parent_coverage double, same_name boolean"
+)
+
+
+def _value_kind(dtype: T.DataType) -> str:
+    """Values are compared within a kind; decimals with those of the same scale."""
+    if isinstance(dtype, profile.WHOLE):
+        return "whole"
+    return f"decimal {dtype.scale}" if isinstance(dtype, T.DecimalType) else dtype.simpleString()
+
+
+def _holders(tables: Mapping[str, DataFrame], number: Mapping[tuple[str, str], int]) -> DataFrame:
+    """(n, held_by): how many distinct values are held by exactly these columns.
+
+    Each table is scanned once. A column has a bit, so the columns that hold a value are a
+    few whole numbers, which combine before the only shuffle of values.
+    """
+    words = len(number) // WORD_BITS + 1
+    parts = []
+    for table, df in tables.items():
+        cells = []
+        for field in df.schema.fields:
+            i = number.get((table, field.name))
+            if i is not None:
+                value = names.column(field.name)
+                value = value.cast("long") if isinstance(field.dataType, profile.WHOLE) else value
+                kind = F.lit(_value_kind(field.dataType))
+                marks = [F.lit(1 << (i % WORD_BITS) if i // WORD_BITS == w else 0).cast("long").alias(f"w{w}") for w in range(words)]
+                digest = F.struct(*[F.xxhash64(F.lit(seed), kind, value).alias(f"h{seed}") for seed in (1, 2)], *marks)
+                cells.append(F.when(value.isNotNull(), digest))
+        if cells:
+            parts.append(df.select(F.explode(F.array(*cells)).alias("x")).where("x IS NOT NULL").select("x.*"))
+    marks = [f"w{w}" for w in range(words)]
+    values = _union(parts).groupBy("h1", "h2").agg(*[F.bit_or(m).alias(m) for m in marks])
+    alike = values.groupBy(*marks).agg(F.count(F.lit(1)).alias("n"))
+    word = F.array(*[F.col(m) for m in marks])
+    held = F.filter(
+        F.sequence(F.lit(0), F.lit(len(number) - 1)),
+        lambda i: F.call_function("shiftright", F.get(word, F.floor(i / WORD_BITS).cast("int")), i % WORD_BITS).bitwiseAND(F.lit(1)) == 1,
+    )
+    return alike.select("n", held.alias("held_by"))
+
+
 def relationships(
-    tables: Mapping[str, DataFrame], keys: DataFrame | None = None, min_coverage: float = 1.0
+    tables: Mapping[str, DataFrame], keys: DataFrame | None = None, min_coverage: float = 1.0, kinds: tuple = KEY_TYPES
 ) -> DataFrame:
     """Columns whose values are contained in a key of another table.
 
-    Pairs are first pruned by type, key property and value range, so their number does
-    not grow with the square of the columns. The rest is one pass: distinct values
-    of all columns are grouped by value, and each pair counts the values both sides have.
+    Distinct values of all columns are grouped by value in one pass; columns held together
+    become pairs, which are rows, so the plan doesn't grow with their number.
     ``parent_coverage`` tells a real reference from a chance inclusion of small numbers.
     """
-    keys = find_keys(tables, kinds=profile.WHOLE) if keys is None else keys
-    key_set = {(r["table_name"], r["key_columns"]) for r in keys.select("table_name", "key_columns").collect()}
-    whole = [(t, f.name) for t, df in tables.items() for f in df.schema.fields if isinstance(f.dataType, profile.WHOLE)]
-    spans = {
-        (t, c): r[c]
-        for t, r in _ranges(tables, whole).items()
-        for c in r
-    }
-    pairs = [
-        (child, parent)
-        for parent in whole if parent in key_set
-        for child in whole
-        if child[0] != parent[0] and _may_contain(spans.get(parent), spans.get(child), min_coverage)
-    ]
-    spark = next(iter(tables.values())).sparkSession
-    schema = "constraint_name string, parent_table string, parent_column string, referenced_table string, " \
-             "referenced_column string, child_values long, matched_values long, coverage double, " \
-             "parent_coverage double, same_name boolean"
-    if not pairs:
-        return spark.createDataFrame([], schema)
-    used = sorted({side for pair in pairs for side in pair})
-    number = {side: i for i, side in enumerate(used)}
-    # Each column has a bit, so the columns holding a value are a few numbers that combine
-    # before the only shuffle, however often the value occurs.
-    words = len(used) // WORD_BITS + 1
-    values = _union([
-        tables[t].where(f"{c} IS NOT NULL").selectExpr(
-            f"CAST({c} AS BIGINT) AS value",
-            *[f"{1 << (i % WORD_BITS) if i // WORD_BITS == w else 0}L AS w{w}" for w in range(words)],
-        )
-        for (t, c), i in number.items()
-    ])
-    marks = [f"w{w}" for w in range(words)]
-    holders = values.groupBy("value").agg(*[F.expr(f"bit_or({m}) AS {m}") for m in marks])
-    # Values held by the same columns count together: few rows are left for the pairs.
-    alike = holders.groupBy(*marks).agg(F.expr("count(1) AS n"))
-    flags = alike.selectExpr(
-        "n", *[f"w{i // WORD_BITS} & {1 << (i % WORD_BITS)}L <> 0 AS h{i}" for i in number.values()]
-    )
-    sizes = [F.expr(f"sum(IF(h{i}, n, 0)) AS n{i}") for i in number.values()]
-    both = [F.expr(f"sum(IF(h{number[c]} AND h{number[p]}, n, 0)) AS b{i}") for i, (c, p) in enumerate(pairs)]
-    cells = ", ".join(
-        f"'{c[0]}', '{c[1]}', '{p[0]}', '{p[1]}', n{number[c]}, n{number[p]}, b{i}" for i, (c, p) in enumerate(pairs)
-    )
-    rows = flags.agg(*sizes, *both).selectExpr(
-        f"stack({len(pairs)}, {cells}) AS (parent_table, parent_column, referenced_table, referenced_column, "
-        "child_values, key_values, matched_values)"
+    keys = find_keys(tables, kinds=kinds) if keys is None else keys
+    columns = [(t, f.name) for t, df in tables.items() for f in df.schema.fields if isinstance(f.dataType, kinds)]
+    if not columns:
+        return _no_rows(tables, RELATIONSHIP_SCHEMA)
+    number = {c: i for i, c in enumerate(columns)}
+    holders = _holders(tables, number)
+    children = holders.select("n", "held_by", F.explode("held_by").alias("child"))
+    pairs = children.select("child", F.explode("held_by").alias("parent"), "n").groupBy("child", "parent").agg(F.sum("n").alias("n"))
+    pairs = stored(pairs, "pairs")
+    # The catalog has a row per column, the sizes too.
+    catalog = pairs.sparkSession.createDataFrame([(i, t, c) for (t, c), i in number.items()], "i int, t string, c string")
+    sizes = pairs.where("child = parent").select(F.col("child").alias("i"), F.col("n").alias("size"))
+    key_columns = keys.select(F.col("table_name").alias("t"), F.col("key_columns").alias("c")).distinct()
+    side = catalog.join(sizes, "i")
+    child = side.select(F.col("i").alias("child"), F.col("t").alias("parent_table"), F.col("c").alias("parent_column"), F.col("size").alias("child_values"))
+    parent = side.join(key_columns, ["t", "c"], "left_semi").select(
+        F.col("i").alias("parent"), F.col("t").alias("referenced_table"), F.col("c").alias("referenced_column"), F.col("size").alias("key_values")
     )
+    rows = pairs.withColumnRenamed("n", "matched_values").join(child, "child").join(parent, "parent").where("parent_table <> referenced_table")
     plain = lambda c: F.regexp_replace(c, "^[a-z]{1,2}_", "")
     return rows.where(F.col("matched_values") >= min_coverage * F.col("child_values")).select(
         F.concat_ws("_", F.lit("fk"), "parent_table", "parent_column", "referenced_table").alias("constraint_name"),
@@ -169,31 +192,6 @@ def relationships(
     )
 
 
-def _ranges(tables, columns) -> dict[str, dict[str, tuple]]:
-    """Smallest and largest value of each whole-number column, all tables in one job."""
-    parts = []
-    for t, df in tables.items():
-        own = [c for table, c in columns if table == t]
-        if own:
-            spans = ", ".join(
-                f"named_struct('c', '{c}', 'lo', CAST(min({c}) AS BIGINT), 'hi', CAST(max({c}) AS BIGINT))" for c in own
-            )
-            parts.append(df.agg(F.expr(f"array({spans}) AS s")).selectExpr(f"'{t}' AS t", "explode(s) AS s"))
-    out: dict[str, dict[str, tuple]] = {}
-    for r in _union(parts).select("t", "s.*").collect():
-        out.setdefault(r["t"], {})[r["c"]] = (r["lo"], r["hi"])
-    return out
-
-
-def _may_contain(parent, child, min_coverage: float) -> bool:
-    """Whether a full inclusion is possible; a partial one only needs an overlap."""
-    if not parent or not child or parent[0] is None or child[0] is None:
-        return False
-    if min_coverage >= 1.0:
-        return parent[0] <= child[0] and child[1] <= parent[1]
-    return parent[0] <= child[1] and child[0] <= parent[1]
-
-
 def external_references(rels: DataFrame, entities: Sequence[str]) -> DataFrame:
     """References from the model's entities to tables outside it."""
     inside = F.col("parent_table").isin(*entities)
@@ -258,8 +256,9 @@ def logical_model(entities: Sequence[str], columns: DataFrame, rels: DataFrame,
 def usage_metrics(events: DataFrame, conversations: DataFrame, documents: DataFrame, kinds: Sequence[str]) -> DataFrame:
     """Users of some event types, conversations waiting for an answer, and text size in MB."""
     users = events.where(F.col("event_type").isin(*kinds)).agg(F.count_distinct("user_id").alias("user_count"))
-    last = conversations.groupBy("conv_id").agg(F.max_by("role", "turn").alias("role"))
-    waiting = last.agg(F.count_if(F.col("role") == "user").alias("open_conversations"))
+    # A flag and a number: texts among the aggregates would be sorted instead of hashed.
+    last = conversations.groupBy("conv_id").agg(F.max_by(F.col("role") == "user", F.col("turn")).alias("waits"))
+    waiting = last.agg(F.count_if("waits").alias("open_conversations"))
     size = documents.agg(F.expr("sum(octet_length(text)) div 1048576").alias("text_mb"))
     # Three single rows, so these joins only put columns side by side.
     return users.join(F.broadcast(waiting)).join(F.broadcast(size))

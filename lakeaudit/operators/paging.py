@@ -71,6 +71,12 @@ def page_info(df: DataFrame, page: object, page_size: object) -> DataFrame:
     )
 
 
+def in_ranges(df: DataFrame, order_by: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Rows dealt into consecutive ranges of their order, with the range's number, and written once."""
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(df.repartitionByRange(buckets, *order_by).withColumn("_range", F.spark_partition_id()), "ranges")
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Add ``row_no`` (from 1) in the order of any columns; NULL keys come first.
 
@@ -78,10 +84,7 @@ def number_rows(df: DataFrame, order_by: Sequence[str], buckets: int | None = No
     each range is moved up by the rows of the ranges before it. So no task holds more than a
     range, no bounds reach the driver, and the numbers stay the same when a task is repeated.
     """
-    spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(buckets, *order_by).withColumn("_range", F.spark_partition_id())
-    ranged = stored(ranged, "numbered")
+    ranged = in_ranges(df, order_by, buckets)
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     # One row per range, so this window holds at most `buckets` rows.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

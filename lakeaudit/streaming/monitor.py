@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeaudit.functions.numbers import half_up, money
+from lakeaudit.operators import paging
 
 # Kinds of rows in an execution log.
 START, SUCCESS, ERROR = "tool.start", "tool.success", "tool.error"
@@ -101,21 +102,19 @@ def kpis_stream(stream: DataFrame, ts: str, key: str, value: str, width: str, sl
     return _finished(stream.withWatermark(ts, delay).groupBy(windows, key).agg(*_figures(F.col(value))), key)
 
 
-def late_rows(df: DataFrame, order: str, ts: str, delay_seconds: int, chunk: int = 1_000_000) -> DataFrame:
+def late_rows(df: DataFrame, order: str, ts: str, delay_seconds: int, ranges: int | None = None) -> DataFrame:
     """Rows a watermark of this delay could drop, when rows arrive in ``order``.
 
     A row is late when it lies more than the delay before the highest time seen. The
-    highest time up to a row is the one of the chunks before it or inside its chunk.
+    highest time up to a row is the one of the ranges before it or inside its range.
     """
-    rows = df.select(order, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us")).withColumn(
-        "_chunk", F.expr(f"{order} div {int(chunk)}")
-    )
-    tops = rows.groupBy("_chunk").agg(F.max("_us").alias("_top"))
-    # One row per chunk of arrivals.
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = tops.select("_chunk", F.max("_top").over(before).alias("_before"))
-    inside = Window.partitionBy("_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    seen = rows.withColumn("_inside", F.max("_us").over(inside)).join(starts, "_chunk")
+    rows = paging.in_ranges(df.select(order, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us")), [order], ranges)
+    tops = rows.groupBy("_range").agg(F.max("_us").alias("_top"))
+    # One row per range.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = F.broadcast(tops.select("_range", F.max("_top").over(before).alias("_before")))
+    inside = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    seen = rows.withColumn("_inside", F.max("_us").over(inside)).join(starts, "_range")
     highest = F.greatest("_inside", "_before")
     late = F.coalesce(F.col("_us") < highest - F.lit(delay_seconds * 1_000_000), F.lit(False))
     return seen.agg(F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("late_rows"))

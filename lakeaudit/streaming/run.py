@@ -20,8 +20,9 @@ def stream_table(lake: Lake, name: str, event_time: str | None = None, files_per
     reader = lake.spark.readStream.format(lake.fmt).schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    # The pattern also matches a table that is one file.
-    rows = reader.load(f"{lake.path(name)}*")
+    # A pattern that matches this path only: without one, a table that is one file can't be a stream.
+    path = lake.path(name)
+    rows = reader.load(f"{path[:-1]}[{path[-1]}]")
     if event_time and not isinstance(schema[event_time].dataType, T.TimestampType):
         rows = rows.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return rows
@@ -61,13 +62,28 @@ def run_to_files(stream: DataFrame, name: str, fmt: str = "parquet", path: str |
 def run_updates(stream: DataFrame, keys: list[str], name: str, path: str | None = None) -> DataFrame:
     """Process everything available in update mode; the newest row of every key is the table.
 
-    Each trigger's changed rows are one folder, written again as a whole when a trigger is
-    repeated after a failure.
+    Each trigger writes the table anew: its own rows, and those of the trigger before whose
+    keys it doesn't have. Written as a whole again when a trigger is repeated after a
+    failure; only the newest table and the one before are kept.
     """
     path = path or session.work_path(stream.sparkSession, name)
+    context = stream.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(f"{path}/tables")
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+    def versions() -> list[int]:
+        return sorted(int(f.getPath().getName()) for f in files.listStatus(folder)) if files.exists(folder) else []
 
     def keep(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/rows/batch={batch}")
+        before = [v for v in versions() if v < batch]
+        table = rows
+        if before:
+            old = rows.sparkSession.read.schema(stream.schema).parquet(f"{path}/tables/{before[-1]}")
+            same = [old[k].eqNullSafe(rows[k]) for k in keys]
+            table = rows.unionByName(old.join(rows.select(*keys), same, "left_anti"))
+        table.write.mode("overwrite").parquet(f"{path}/tables/{batch}")
+        for version in before[:-1]:
+            files.delete(context._jvm.org.apache.hadoop.fs.Path(f"{path}/tables/{version}"), True)
 
     query = (
         stream.writeStream.outputMode("update").foreachBatch(keep)
@@ -75,10 +91,8 @@ def run_updates(stream: DataFrame, keys: list[str], name: str, path: str | None
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
-    rows = stream.sparkSession.read.schema(schema).option("basePath", f"{path}/rows").parquet(f"{path}/rows")
-    newest = F.max_by(F.struct(*stream.columns), "batch").alias("row")
-    return rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(newest).select("row.*")
+    done = versions()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/tables/{done[-1]}") if done else stream.sparkSession.createDataFrame([], stream.schema)
 
 
 def run_to_table(stream: DataFrame, name: str, path: str | None = None) -> DataFrame:

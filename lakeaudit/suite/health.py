@@ -289,7 +289,8 @@ def report_table(lake):
 @query("lake_inventory", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, CAST(1 AS BIGINT) AS files, count(*) AS row_count FROM {t}" for t in TABLES))
 def lake_inventory(lake):
-    return inventory.lake_inventory(lake, TABLES)
+    # Bytes and times of files are no matter of SQL.
+    return inventory.lake_inventory(lake, TABLES).select("table_name", "files", "row_count")
 
 
 SMALL = 100_000
@@ -325,7 +326,7 @@ def _key_sql(table: str, columns) -> str:
 
 
 KEYS = "WITH k AS (" + "\nUNION ALL ".join(
-    [_key_sql(t, (c,)) for t in TABLES for c, kind in COLUMNS[t].items() if kind in ("int", "bigint", "string")]
+    [_key_sql(t, (c,)) for t in TABLES for c, kind in COLUMNS[t].items() if kind in ("int", "bigint", "string", "timestamp_ntz")]
     + [_key_sql(t, cs) for t, cs in COMPOSITES]
 ) + "),\nkeys AS (SELECT * FROM k WHERE row_count = distinct_count AND null_rows = 0 AND row_count > 0)\n"
 
@@ -362,9 +363,10 @@ def wide_entity(lake):
     return model.wide_entities(profile.column_dictionary(_profiles(lake, TABLES, profile.SHAPE)), 5)
 
 
+KINDS = {"int": "whole", "bigint": "whole", "string": "text", "timestamp_ntz": "time"}
 VALUES = "\nUNION ALL ".join(
-    f"SELECT '{t}' AS t, '{c}' AS c, CAST({c} AS BIGINT) AS v FROM {t}"
-    for t in TABLES for c, kind in COLUMNS[t].items() if kind in ("int", "bigint")
+    f"SELECT '{t}' AS t, '{c}' AS c, '{KINDS[kind]} ' || CAST({c} AS VARCHAR) AS v FROM {t}"
+    for t in TABLES for c, kind in COLUMNS[t].items() if kind in KINDS
 )
 RELS = f"""
     WITH vals AS ({VALUES}),

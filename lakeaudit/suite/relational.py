@@ -223,8 +223,9 @@ def left_join_default(lake):
     per_customer = lake.table("orders").groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("order_count"),
         F.sum(numbers.money(F.col("o_totalprice"))).cast("decimal(28,4)").alias("spent"),
-        F.max_by("o_orderstatus", "o_orderkey").alias("last_status"),
-    )
+        # The letter's code: a text among the aggregates would be sorted instead of hashed.
+        F.max_by(F.ascii("o_orderstatus"), F.col("o_orderkey")).alias("last_code"),
+    ).withColumn("last_status", F.char("last_code")).drop("last_code")
     customers = lake.table("customer").select("c_custkey", "c_name")
     joined = joins.left_with_defaults(
         customers, per_customer, F.col("c_custkey") == F.col("o_custkey"),

@@ -182,7 +182,7 @@ def windowed_kpis_updates(lake):
     SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderdate < top - INTERVAL 90 DAY) AS late_rows FROM m
 """)
 def late_rows(lake):
-    return monitor.late_rows(lake.table("orders"), "o_orderkey", "o_orderdate", 90 * 86_400, 1000)
+    return monitor.late_rows(lake.table("orders"), "o_orderkey", "o_orderdate", 90 * 86_400)
 
 
 TOOLLOG = fx.duck(fx.TOOLLOG, "events")

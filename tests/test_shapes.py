@@ -163,7 +163,7 @@ def test_sessions_across_slices(spark):
 
 def test_late_rows(spark):
     df = spark.createDataFrame([(0, 100), (1, 50), (2, 99), (3, 200), (4, 189), (5, 190)], "i long, t long")
-    row = monitor.late_rows(df.withColumn("ts", F.timestamp_seconds("t")), "i", "ts", 10, chunk=2).first()
+    row = monitor.late_rows(df.withColumn("ts", F.timestamp_seconds("t")), "i", "ts", 10, ranges=3).first()
     assert (row["rows"], row["late_rows"]) == (6, 2)
 
 
@@ -270,3 +270,69 @@ def test_hot_client_sessions_and_pages_stay_exact(spark):
     assert monitor.sessions(df, "u", "ts", 22, slice_seconds=3600).agg(F.sum("events")).first()[0] == 6000
     hot = sliding.sliding_counts(df, "u", "ts", 210).where("u = 0 AND id > 100 AND id % 97 <> 0")
     assert {r["requests"] for r in hot.select("requests").distinct().collect()} <= {11, 12}
+
+
+def test_keys_with_odd_names_types_and_no_candidates(spark):
+    import datetime
+    import decimal
+
+    rows = [(i, f"k{i}", datetime.date(2024, 1, 1 + i), decimal.Decimal(i), 1.5 * i, i % 2) for i in range(9)]
+    parent = spark.createDataFrame(rows, "`order id` int, `it's` string, d date, `a``b` decimal(10,2), f double, half int")
+    child = spark.createDataFrame([("k1", datetime.date(2024, 1, 3)), ("k1", None), ("k5", datetime.date(2024, 1, 3))], "name string, day date")
+    keys = {r["key_columns"] for r in model.find_keys({"p": parent}, [("p", ("order id", "half"))]).collect()}
+    assert keys == {"order id", "it's", "d", "a`b", "order id,half"}
+    found = {(r["parent_column"], r["referenced_column"], r["child_values"], r["coverage"]) for r in model.relationships({"p": parent, "c": child}).collect()}
+    assert found == {("name", "it's", 2, 1.0), ("day", "d", 1, 1.0)}
+    only = {"f": parent.select("f")}
+    assert model.find_keys(only).collect() == [] and model.relationships(only).collect() == []
+    nulls = spark.createDataFrame([(None, 1), (1, None)], "a int, b int")
+    checked = model.check_keys({"n": nulls}, [("n", ("a", "b")), ("n", ("a",))]).collect()
+    assert [(r["distinct_count"], r["null_rows"], r["is_key"]) for r in sorted(checked, key=lambda r: r["key_columns"])] == [(2, 1, False), (2, 2, False)]
+
+
+def test_pair_plans_do_not_grow_with_pairs(spark):
+    def size(columns: int) -> int:
+        df = spark.range(3).select(*[F.col("id").alias(f"c{i}") for i in range(columns)])
+        plan = model.relationships({"a": df, "b": df}, model.find_keys({"a": df, "b": df}))._jdf.queryExecution().optimizedPlan()
+        return plan.toString().count("\n")
+
+    assert size(12) == size(4)
+
+
+def test_previous_pages_over_gaps(spark):
+    pages = spark.createDataFrame([(0, 1, 5), (5, 2, 9), (40, 3, 4), (41, 1, 1)], "page long, rows long, max_v int")
+    got = {r["page"]: r["prev_max_v"] for r in layout.with_previous_page(pages, ["v"]).collect()}
+    assert got == {0: None, 5: 5, 40: 9, 41: 4}
+
+
+def test_inventory_shows_empty_tables_and_files(spark, tmp_path):
+    from lakeaudit.sources import inventory
+    from lakeaudit.sources.tables import Lake
+
+    spark.range(5).coalesce(1).write.parquet(f"{tmp_path}/full.parquet")
+    spark.range(0).coalesce(1).write.parquet(f"{tmp_path}/empty.parquet")
+    rows = {r["table_name"]: r for r in inventory.lake_inventory(Lake(spark, str(tmp_path)), ["full", "empty"]).collect()}
+    assert (rows["full"]["files"], rows["full"]["row_count"]) == (1, 5) and rows["full"]["bytes"] > 0 and rows["full"]["modified"] is not None
+    assert rows["empty"]["row_count"] == 0 and rows["empty"]["files"] >= 1
+
+
+def test_texts_do_not_turn_hashes_into_sorts(spark, lake):
+    from lakeaudit.operators import compare, lineage
+    from lakeaudit.suite import QUERIES
+
+    orders = lake.table("orders")
+    plans = [
+        compare.keyed_diff(orders, orders, ["o_orderkey"], ["o_orderstatus", "o_totalprice"]), QUERIES["left_join_default"](spark, lake.root),
+        lineage.ordered_distinct(spark.createDataFrame([(1, 1, "a", "b")], "stmt_id long, position int, schema_name string, table_name string")),
+        QUERIES["usage_metrics"](spark, lake.root),
+    ]
+    for df in plans:
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_digests_need_equal_places(spark):
+    from lakeaudit.operators import compare
+
+    left = spark.createDataFrame([(1, None, "x"), (2, "x", None), (3, "a", "b")], "k int, a string, b string")
+    right = spark.createDataFrame([(1, "x", None), (2, "x", None), (3, "a", "b")], "k int, a string, b string")
+    assert {r["k"]: r["status"] for r in compare.keyed_diff(left, right, ["k"], ["a", "b"]).collect()} == {1: "changed", 2: "same", 3: "same"}
