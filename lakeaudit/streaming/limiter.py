@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections import deque
 from collections.abc import Iterator
 
@@ -177,34 +178,63 @@ def state_expiry(decisions: DataFrame, requests: DataFrame, client: str, ts: str
 # --- stream -------------------------------------------------------------------
 
 class LimiterProcessor(StatefulProcessor):
-    """Keeps one client's limiter state; with ``expire`` it goes after a long pause."""
+    """Keeps one client's limiter state and the requests that the watermark hasn't passed.
+
+    Requests wait in state, in buckets of event time, and a bucket is decided in time order when
+    the watermark passes its end: so the answers don't depend on the order of files or on
+    the size of triggers, and a backlog is decided bucket by bucket. With ``expire`` a
+    client's state goes after a long pause.
+    """
 
     def __init__(self, limits: Limits, expire: bool, tie: str):
         self.limits, self.expire, self.tie = limits, expire, tie
+        self.bucket_us = max(limits.window_us, 1_000_000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("client", "times array<long>, violations int, blocked_until long")
+        self.state = handle.getValueState("client", "times array<long>, violations int, blocked_until long, newest long")
+        self.waiting = handle.getMapState("waiting", "bucket long, part long", "rows binary")
+        self.parts = handle.getValueState("parts", "part long")
 
     def handleInputRows(self, key, rows, timerValues):
-        saved = self.state.get()
-        client = Client(deque(saved[0]), saved[1], saved[2]) if saved else Client()
-        # One trigger's rows of one client; its size is set by the source's trigger options.
-        batch = pd.concat(list(rows)).sort_values(["request_us", self.tie], kind="stable")
-        allowed, retry = client.run(batch["request_us"].to_numpy(), self.limits)
-        batch["allowed"] = allowed
-        batch["retry_after"] = pd.array(retry, dtype="Int64")
-        batch.loc[allowed, "retry_after"] = pd.NA
-        self.state.update(([int(t) for t in client.times], int(client.violations), int(client.blocked_until)))
-        if self.expire:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            newest = int(batch["request_us"].iloc[-1])
-            self.handle.registerTimer((newest + self.limits.quiet_us) // 1000)
-        yield batch.drop(columns="request_us")
+        part = self.parts.get()[0] if self.parts.exists() else 0
+        for frame in rows:
+            buckets = frame["request_us"] // self.bucket_us
+            for bucket in buckets.unique().tolist():
+                self.waiting.updateValue((int(bucket), part), (pickle.dumps(frame[buckets == bucket]),))
+                part += 1
+                self.handle.registerTimer((int(bucket) + 1) * self.bucket_us // 1000)
+        self.parts.update((part,))
+        yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.state.clear()
+        passed = int(timerValues.getCurrentWatermarkInMs()) * 1000
+        keys = sorted((int(bucket), int(part)) for bucket, part in self.waiting.keys())
+        done = [k for k in keys if (k[0] + 1) * self.bucket_us <= passed]
+        saved = self.state.get() if self.state.exists() else None
+        client = Client(deque(saved[0]), saved[1], saved[2]) if saved else Client()
+        newest = int(saved[3]) if saved else 0
+        for bucket in sorted({k[0] for k in done}):
+            own = [k for k in done if k[0] == bucket]
+            batch = pd.concat([pickle.loads(self.waiting.getValue(k)[0]) for k in own])
+            for k in own:
+                self.waiting.removeKey(k)
+            batch = batch.sort_values(["request_us", self.tie], kind="stable")
+            if self.expire and newest and int(batch["request_us"].iloc[0]) > newest + self.limits.quiet_us:
+                client = Client()
+            newest = int(batch["request_us"].iloc[-1])
+            allowed, retry = client.run(batch["request_us"].to_numpy(), self.limits)
+            batch["allowed"] = allowed
+            batch["retry_after"] = pd.array(retry, dtype="Int64")
+            batch.loc[allowed, "retry_after"] = pd.NA
+            yield batch.drop(columns="request_us")
+        if done:
+            self.state.update(([int(t) for t in client.times], int(client.violations), int(client.blocked_until), newest))
+            if self.expire:
+                self.handle.registerTimer((newest + self.limits.quiet_us) // 1000 + 1)
+        elif self.expire and len(keys) == 0 and newest + self.limits.quiet_us < passed:
+            self.state.clear()
+            self.parts.clear()
         yield pd.DataFrame()
 
     def close(self) -> None:
@@ -214,11 +244,10 @@ class LimiterProcessor(StatefulProcessor):
 def rate_limit_stream(stream: DataFrame, client: str, ts: str, tie: str, limits: Limits, expire: bool = False) -> DataFrame:
     """The limiter as keyed state over a request stream.
 
-    The session needs the RocksDB state store; ``ts`` must be a timestamp with a
-    watermark when ``expire`` is set.
+    The session needs the RocksDB state store, and ``ts`` must be a timestamp with a watermark:
+    a request is decided when the watermark has passed it, one later than that is dropped.
+    With ``expire`` a client that was quiet for long starts without violations.
     """
     timed = stream.withColumn("request_us", F.unix_micros(F.col(ts).cast("timestamp")))
     out = T.StructType([*stream.schema.fields, T.StructField("allowed", T.BooleanType()), T.StructField("retry_after", T.LongType())])
-    return timed.groupBy(client).transformWithStateInPandas(
-        LimiterProcessor(limits, expire, tie), out, "Append", "EventTime" if expire else "None"
-    )
+    return timed.groupBy(client).transformWithStateInPandas(LimiterProcessor(limits, expire, tie), out, "Append", "EventTime")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeaudit import fixtures as fx
+from lakeaudit import session
 from lakeaudit.functions.numbers import half_up_sql as hu
 from lakeaudit.functions.numbers import mean_sql
 from lakeaudit.sources import sinks
@@ -55,12 +56,46 @@ def rate_limit(lake):
     return _limited(lake)
 
 
+FILES, DISORDER_DAYS = 6, 60
+
+
+def _arrivals(lake):
+    """The requests as a stream of files in no order of time, two per trigger, and a closing mark.
+
+    The watermark allows for any order among the files; the mark, far behind the last
+    request, moves it past all of them.
+    """
+    folder = session.work_path(lake.spark, "arrivals")
+    rows = _requests(lake).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows.repartition(FILES, F.xxhash64("event_id")).write.parquet(folder)
+    mark = rows.agg((F.max("ts") + F.make_interval(days=F.lit(4 * DISORDER_DAYS))).alias("ts")).select(
+        F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"), "ts"
+    )
+    mark.coalesce(1).write.mode("append").parquet(folder)
+    stream = lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    return stream.withWatermark("ts", f"{DISORDER_DAYS} days")
+
+
+def _limited_stream(lake, expire):
+    with run.state_store(lake.spark):
+        decided = limiter.rate_limit_stream(_arrivals(lake), "user_id", "ts", "event_id", LIMITS, expire)
+        return run.run_to_table(decided, "limiter").where("event_id >= 0").drop("ts")
+
+
 @query("rate_limit_stream", DECISIONS + "SELECT event_id, user_id, allowed, retry AS retry_after FROM sim")
 def rate_limit_stream(lake):
-    requests = run.stream_table(lake, "events", "ts").select("event_id", "user_id", "ts")
-    with run.state_store(lake.spark):
-        decided = limiter.rate_limit_stream(requests, "user_id", "ts", "event_id", LIMITS)
-        return run.run_to_table(decided, "limiter").drop("ts")
+    return _limited_stream(lake, expire=False)
+
+
+# A client that was quiet for window and breaker starts anew, so its violations are gone.
+FORGETFUL = DECISIONS.replace(
+    "s.times, s.v, s.blocked AS b,", f"s.times, CASE WHEN e.t > s.last_t + {LIMITS.quiet_us} THEN 0 ELSE s.v END AS v, s.blocked AS b,"
+).replace("ts, rn, [t] AS times", "ts, rn, t AS last_t, [t] AS times").replace("SELECT user_id, event_id, ts, rn,\n        CASE WHEN b > t THEN times", "SELECT user_id, event_id, ts, rn, t,\n        CASE WHEN b > t THEN times")
+
+
+@query("rate_limit_expiring_stream", FORGETFUL + "SELECT event_id, user_id, allowed, retry AS retry_after FROM sim")
+def rate_limit_expiring_stream(lake):
+    return _limited_stream(lake, expire=True)
 
 
 @query("state_expiry", DECISIONS + f"""

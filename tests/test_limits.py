@@ -1,5 +1,7 @@
 """The limiter's rules, their parallel form, and the stream over several triggers."""
 
+import random
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -89,21 +91,24 @@ def test_batch_equals_simulation(spark, limits):
         assert [got[i] for _, i in own] == answers
 
 
-def test_stream_over_several_triggers(spark, tmp_path):
+@pytest.mark.parametrize("files, per_trigger", [(6, 1), (5, 3), (1, 1)])
+def test_stream_in_any_order_equals_batch(spark, tmp_path, files, per_trigger):
     limits, rows = Limits(10, 5, 8, 2), request_rows()
-    rows.sort(key=lambda r: (r[2], r[0]))
+    shuffled = list(rows)
+    random.Random(files).shuffle(shuffled)
     schema = "id long, client string, t long"
-    for i in range(3):
-        part = rows[i * len(rows) // 3 : (i + 1) * len(rows) // 3]
+    parts = [shuffled[i::files] for i in range(files)] + [[(-1, "mark", 10**6)]]
+    for part in parts:
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    timed = stream.select("id", "client", F.timestamp_seconds("t").alias("ts"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(str(tmp_path / "in"))
+    timed = stream.select("id", "client", F.timestamp_seconds(F.col("t") + 10**7).alias("ts")).withWatermark("ts", "100000 seconds")
     with run.state_store(spark):
         decided = limiter.rate_limit_stream(timed, "client", "ts", "id", limits)
         out = run.run_to_table(decided, "limiter", path=str(tmp_path / "out"))
     got = {r["id"]: (r["allowed"], r["retry_after"]) for r in out.collect()}
+    assert len(got) == len(rows)
     for client in ("hot", "a", "b", "c"):
-        own = [(t, i) for i, c, t in rows if c == client]
+        own = sorted((t, i) for i, c, t in rows if c == client)
         answers, _ = simulate([t for t, _ in own], limits)
         assert [got[i] for _, i in own] == answers
 
@@ -111,8 +116,8 @@ def test_stream_over_several_triggers(spark, tmp_path):
 def test_stream_forgets_old_clients(spark, tmp_path):
     limits = Limits(10, 1, 10, 9)
     schema = "id long, client string, t long"
-    # The second file lies far behind the first one's expiry, the third asks again.
-    for part in ([(1, "a", 100), (2, "a", 101)], [(3, "b", 500)], [(4, "b", 1000), (5, "a", 1000), (6, "a", 1001)]):
+    # Two violations of "a" are forgotten when it asks again after a long pause.
+    for part in ([(1, "a", 100), (2, "a", 101)], [(3, "b", 500)], [(4, "b", 1000), (5, "a", 1000), (6, "a", 1001)], [(-1, "mark", 10**6)]):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     timed = stream.select("id", "client", F.timestamp_seconds("t").alias("ts")).withWatermark("ts", "0 seconds")
