@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,12 +32,29 @@ def build_session(master: str | None = None, app: str = "lakeaudit", **conf: str
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Set the settings results depend on in a session somebody else made."""
+    """Set the settings results depend on in a session somebody else made, and ship the package."""
     for key, value in DEFAULTS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers once per application, so that it need not be installed there."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        root = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="lakeaudit-code-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, Path(root.name) / file.relative_to(root))
+        context.addPyFile(str(archive))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, named by ``spark.checkpoint.dir``.
 
