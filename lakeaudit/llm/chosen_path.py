@@ -33,8 +33,9 @@ TARGET_RECALL = 0.999
 RUN_RECALL = 0.55
 # Buckets of at most this many nodes are compared by brute force.
 SMALL = 128
-# Buckets still larger at this depth are compared block by block.
+# Buckets still larger at this depth are compared block by block, in blocks of about BLOCK nodes.
 DEPTH = 6
+BLOCK = 1024
 # Verification blocks: expected shingles and nodes of one.
 BLOCK_SHINGLES, BLOCK_NODES = 200_000, 400
 # Standard deviations of the token estimate by which a pair may miss the threshold.
@@ -162,39 +163,43 @@ class _Forest:
     """Which pairs join two trees, so that only those need to be told."""
 
     def __init__(self, size: int):
-        self.parent = list(range(size))
+        self.tree = np.arange(size)
 
-    def root(self, x: int) -> int:
-        while self.parent[x] != x:
-            self.parent[x] = self.parent[self.parent[x]]
-            x = self.parent[x]
-        return x
+    def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Which pairs lie in different trees."""
+        return self.tree[left] != self.tree[right]
 
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        if a != b:
-            self.parent[max(a, b)] = min(a, b)
-        return a != b
+    def join(self, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+        """The pairs that joined two trees."""
+        joined = []
+        for i, j in zip(left.tolist(), right.tolist(), strict=True):
+            a, b = sorted((int(self.tree[i]), int(self.tree[j])))
+            if a != b:
+                self.tree[self.tree == b] = a
+                joined.append((i, j))
+        return joined
 
 
 def _compare_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Within each bucket, edges that connect what is alike by its tokens."""
+    """Within each bucket, edges that connect what is alike by its tokens.
+
+    Pairs that edges connect already aren't compared again.
+    """
     least = least_equal()
     for table in grouped_rows(batches, 0):
         buckets, nodes = table.column(0).to_numpy(), table.column(1).to_numpy()
         sketch = _matrix(table.column(2))
-        forest, left, right = _Forest(len(nodes)), [], []
+        forest, edges = _Forest(len(nodes)), []
         for apart in range(1, len(nodes)):
             rows = np.flatnonzero(buckets[apart:] == buckets[:-apart])
             if not len(rows):
                 break
+            rows = rows[forest.apart(rows, rows + apart)]
             for at in range(0, len(rows), 8192):
                 some = rows[at : at + 8192]
                 alike = some[(sketch[some] == sketch[some + apart]).sum(axis=1) >= least]
-                for i in alike.tolist():
-                    if forest.join(i, i + apart):
-                        left.append(i)
-                        right.append(i + apart)
+                edges += forest.join(alike, alike + apart)
+        left, right = np.array(edges, np.int64).reshape(-1, 2).T
         yield pa.RecordBatch.from_arrays([pa.array(nodes[left], pa.int64()), pa.array(nodes[right], pa.int64())], ["u", "v"])
 
 
@@ -218,9 +223,9 @@ def candidate_edges(nodes: DataFrame, runs: int | None = None) -> DataFrame:
             break
         rows = stored(map_batches(big.join(nodes.select("node", "sketch"), "node").select("node", "path", "sketch"), _next_split, "node long, path long"), "paths")
     # A bucket beyond the bound is compared as pairs of its blocks, each pair a bucket of its own.
-    blocks = F.ceil(F.col("n") / SMALL).cast("int")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64(F.lit(7), "node"), blocks)
-    with_block = buckets.withColumn("blocks", F.when(F.col("n") > SMALL, blocks).otherwise(F.lit(1))).withColumn("mine", mine.cast("int"))
+    with_block = buckets.withColumn("blocks", blocks).withColumn("mine", mine.cast("int"))
     bucket = F.when(F.col("blocks") == 1, F.col("path")).otherwise(
         F.xxhash64("path", F.least("mine", "other"), F.greatest("mine", "other"))
     )
@@ -288,11 +293,12 @@ def _verify_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 u.append(int(nodes[rows[i]]))
                 v.append(None)
                 links.append(int(weight[i]))
-                for j in np.flatnonzero(linked[i, :i]).tolist():
-                    if forest.join(i, j):
-                        u.append(int(nodes[rows[i]]))
-                        v.append(int(nodes[rows[j]]))
-                        links.append(0)
+                others = np.flatnonzero(linked[i, :i])
+                others = others[forest.apart(np.full(len(others), i), others)]
+                for _, j in forest.join(np.full(len(others), i), others):
+                    u.append(int(nodes[rows[i]]))
+                    v.append(int(nodes[rows[j]]))
+                    links.append(0)
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(links, pa.int64())], ["u", "v", "links"])
 
 
@@ -312,7 +318,8 @@ def _verified(documents: DataFrame, nodes: DataFrame, candidates: DataFrame) ->
         )
     )
     texts = documents.select(F.col("doc_id").cast("long").alias("first_doc"), "text")
-    rows = texts.join(stored(dealt, "verify"), "first_doc").select("group", "node", "side", "copies", "text")
+    # The candidates grow with the corpus: they are shuffled to the texts at every size.
+    rows = texts.join(stored(dealt, "verify").hint("merge"), "first_doc").select("group", "node", "side", "copies", "text")
     return map_batches(_by_key(rows, "group"), _verify_groups, "u long, v long, links long")
 
 

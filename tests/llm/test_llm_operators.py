@@ -88,6 +88,7 @@ def test_large_buckets_are_compared_whole(spark, monkeypatch):
         rows.append((k, " ".join(own), "en", "a", 0))
     monkeypatch.setattr(chosen_path, "SMALL", 16)
     monkeypatch.setattr(chosen_path, "DEPTH", 2)
+    monkeypatch.setattr(chosen_path, "BLOCK", 16)
     monkeypatch.setattr(chosen_path, "BLOCK_NODES", 20)
     classes, links = similar_classes(rows)
     got = {r.doc_id: (r.class_id, r.n_links) for r in chosen_path.near_duplicates(frame(spark, rows)).collect()}
