@@ -52,13 +52,13 @@ def op3(read):
     "op4_va_file",
     """
     WITH v AS (
-      SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
       FROM embeddings
       WHERE vec_id IS NOT NULL AND len(embedding) > 0
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ), scored AS (
       SELECT q.vec_id AS query_id, c.vec_id,
-        CAST(list_sum(list_transform(list_zip(q.v, c.v), x -> x[1] * x[2])) AS BIGINT) AS score
+        CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
       WHERE q.vec_id % 50 = 0
     )
@@ -76,7 +76,33 @@ def op5(read):
     return mixing.taken_words(read("documents"))
 
 
-@query("op6_line_frequency")
+@query(
+    "op6_line_frequency",
+    r"""
+    WITH d AS (SELECT doc_id, source AS host, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+    windows AS (SELECT doc_id, s, array_to_string(list_slice(ws, s, s + 2), ' ') AS k
+                FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS s FROM w WHERE len(ws) >= 3)),
+    again AS (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, k) AS n FROM windows),
+    repeated AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (
+                   SELECT doc_id, unnest(range(s, s + 3)) AS p FROM again WHERE n > 1) GROUP BY doc_id),
+    split AS (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d),
+    lines AS (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS own FROM split),
+    dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines WHERE len(own) > 0 GROUP BY doc_id),
+    plain AS (SELECT doc_id, host, text, lower(array_to_string(own, ' ')) AS line, len(own) AS words FROM lines WHERE len(own) > 0),
+    limits AS (SELECT host, greatest(30, count(DISTINCT text) * 0.01) AS most FROM d GROUP BY host),
+    frequent AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT text) AS n FROM plain GROUP BY host, line)
+                 JOIN limits USING (host) WHERE n > most),
+    removed AS (SELECT doc_id, CAST(sum(words) AS BIGINT) AS n_removed FROM plain JOIN frequent USING (host, line) GROUP BY doc_id),
+    figures AS (
+      SELECT w.doc_id, host, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+        len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_removed, 0) AS n_removed
+      FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN repeated USING (doc_id) LEFT JOIN removed USING (doc_id)
+    ), judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures)
+    SELECT *, NOT base_failed AND n_words - n_removed >= 0.5 * n_words AS kept FROM judged
+    """,
+)
 def op6(read):
     return line_frequency.verdicts(read("documents"))
 
@@ -86,7 +112,21 @@ def op7(read):
     return host_bayes.judged(read("documents"), read("labels"))
 
 
-@query("op8_phrase_automata")
+@query(
+    "op8_phrase_automata",
+    r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    windows AS (SELECT doc_id, s, array_to_string(list_slice(ws, s, s + 19), ' ') AS k
+                FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM w WHERE len(ws) >= 20)),
+    ranked AS (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM windows),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM ranked WHERE r > 1),
+    every AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text FROM every ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+    removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+    """,
+)
 def op8(read):
     return phrases.repeat_report(read("documents"))
 
