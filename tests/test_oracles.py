@@ -4,9 +4,8 @@ import pytest
 from conftest import SF_DIR
 from oracle_check import compare, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
-
-ORACLES = oracle_sql()
+from __spark_entry__ import entry
+from lakeaudit.suite import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -14,15 +13,15 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_oracle(spark, con, name):
     # File sizes are read from the folder itself, which this text names.
     sql = ORACLES[name].replace("/root/testdata/sf0.01/", f"{SF_DIR}/")
-    assert compare(queries()[name](spark, SF_DIR), con, sql) is None
+    assert compare(QUERIES[name](spark, SF_DIR), con, sql) is None
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLES) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry_has_rows(spark):
