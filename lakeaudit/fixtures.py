@@ -36,11 +36,13 @@ FROM {events}
 
 TOOLLOG = """
 SELECT event_id AS invocation_id, concat('tool_', event_type) AS tool, ts, 'tool.start' AS phase,
-       CAST(NULL AS BIGINT) AS elapsed_ms
+       CAST(NULL AS BIGINT) AS elapsed_ms, CAST(NULL AS VARCHAR(99)) AS error_text, CAST(NULL AS BIGINT) AS result_rows
 FROM {events}
 UNION ALL
 SELECT event_id, concat('tool_', event_type), ts,
-       CASE WHEN event_type = 'error' THEN 'tool.error' ELSE 'tool.success' END, CAST(round(value * 10) AS BIGINT)
+       CASE WHEN event_type = 'error' THEN 'tool.error' ELSE 'tool.success' END, CAST(round(value * 10) AS BIGINT),
+       CASE WHEN event_type = 'error' THEN concat('no answer to call ', CAST(event_id AS VARCHAR(20))) END,
+       CASE WHEN event_type <> 'error' THEN event_id % 100 END
 FROM {events} WHERE event_id % 13 <> 0
 """
 

@@ -123,10 +123,11 @@ def late_rows(df: DataFrame, order: str, ts: str, delay_seconds: int, ranges: in
 # --- execution log ------------------------------------------------------------
 
 def paired_calls(log: DataFrame) -> DataFrame:
-    """One row per invocation with its outcome; an unfinished one has none.
+    """One row per invocation with its outcome, the rows of its result, or its error text.
 
-    The outcome is aggregated as a number and the tool is part of the key, as texts among
-    the aggregates would turn the hash aggregation into a sort.
+    An unfinished call has none of them. The outcome is aggregated as a number and the tool is
+    part of the key, as texts among the aggregates would turn the hash aggregation into a
+    sort; for the same reason error texts, which are few, are joined.
     """
     phase = F.col("phase")
     ended = F.max(F.when(phase == SUCCESS, 2).when(phase == ERROR, 1))
@@ -134,9 +135,14 @@ def paired_calls(log: DataFrame) -> DataFrame:
         F.min(F.when(phase == START, F.col("ts"))).alias("started"),
         ended.alias("_ended"),
         F.max("elapsed_ms").alias("elapsed_ms"),
+        F.max("result_rows").alias("result_rows"),
     )
+    errors = log.where(phase == ERROR).select("invocation_id", "tool", "error_text").dropDuplicates(["invocation_id", "tool"])
     outcome = F.when(F.col("_ended") == 2, SUCCESS).when(F.col("_ended") == 1, ERROR)
-    return grouped.select("invocation_id", "tool", "started", outcome.alias("outcome"), "elapsed_ms")
+    return grouped.join(errors, ["invocation_id", "tool"], "left").select(
+        "invocation_id", "tool", "started", outcome.alias("outcome"), "elapsed_ms", "result_rows",
+        F.when(F.col("_ended") == 1, F.col("error_text")).alias("error_text"),
+    )
 
 
 def call_figures(calls: DataFrame) -> DataFrame:

@@ -141,14 +141,13 @@ def stats_staleness_deletes(lake):
 
 
 @query("iso_records", """
-    SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%dT%H:%M:%S') ||
+    SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%dT%H:%M:%S') ||
       CASE WHEN epoch_us(ts) % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END AS ts,
       left(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), 23) AS ts_millis
     FROM events
 """)
 def iso_records(lake):
-    events = lake.table("events").drop("props")
-    return formats.iso_records(events.withColumn("ts_millis", formats.millis_text(F.col("ts"))))
+    return formats.iso_records(lake.table("events").withColumn("ts_millis", formats.millis_text(F.col("ts"))))
 
 
 @query("iso_records_orders", """

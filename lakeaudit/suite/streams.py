@@ -223,7 +223,8 @@ def late_rows(lake):
 TOOLLOG = fx.duck(fx.TOOLLOG, "events")
 CALLS = f"""
     WITH calls AS (SELECT invocation_id, any_value(tool) AS tool, min(ts) FILTER (WHERE phase = 'tool.start') AS started,
-        max(phase) FILTER (WHERE phase <> 'tool.start') AS outcome, max(elapsed_ms) AS elapsed_ms
+        max(phase) FILTER (WHERE phase <> 'tool.start') AS outcome, max(elapsed_ms) AS elapsed_ms,
+        max(result_rows) AS result_rows, max(error_text) AS error_text
       FROM ({TOOLLOG}) GROUP BY invocation_id)
 """
 
