@@ -19,10 +19,13 @@ TOP_FRAGMENTED = 10
 
 @dataclass(frozen=True)
 class LayoutSpec:
-    """A table, the column giving its stored order, and the columns to look at."""
+    """A table, the column giving its pages, and the columns to look at.
+
+    Without a position pages are the stored rows of each file, in the order in which they lie.
+    """
 
     table: str
-    position: str
+    position: str | None
     columns: tuple[str, ...]
     page_rows: int = 100
     schema: str = "dbo"
@@ -36,6 +39,14 @@ def page_ranges(df: DataFrame, position: str, columns: Sequence[str], page_rows:
     return df.groupBy(page).agg(F.count(F.lit(1)).alias("rows"), *spans)
 
 
+def stored_pages(df: DataFrame, columns: Sequence[str], page_rows: int) -> DataFrame:
+    """The same for stretches of stored rows: a page is a file and a number within it."""
+    spans = [f(names.column(c)).alias(f"{p}_{c}") for c in columns for f, p in ((F.min, "min"), (F.max, "max"))]
+    at = F.floor(F.col("_metadata.row_index") / int(page_rows)).cast("long")
+    page = F.struct(F.col("_metadata.file_path").alias("file"), at.alias("number"))
+    return df.select(page.alias("page"), *[names.column(c) for c in columns]).groupBy("page").agg(F.count(F.lit(1)).alias("rows"), *spans)
+
+
 def with_previous_page(pages: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each page next to the last one before it, whatever page numbers are missing.
 
@@ -62,7 +73,11 @@ def layout_fragmentation(df: DataFrame, spec: LayoutSpec) -> DataFrame:
 
     All columns of a table are measured in one scan.
     """
-    pages = with_previous_page(page_ranges(df, spec.position, spec.columns, spec.page_rows), spec.columns)
+    if spec.position is None:
+        pages = stored_pages(df, spec.columns, spec.page_rows)
+    else:
+        pages = page_ranges(df, spec.position, spec.columns, spec.page_rows)
+    pages = with_previous_page(pages, spec.columns)
     broken = [F.count_if(names.column(f"min_{c}") < names.column(f"prev_max_{c}")).alias(f"b_{i}") for i, c in enumerate(spec.columns)]
     totals = pages.agg(F.count(F.lit(1)).alias("page_count"), *broken)
     cells = [
@@ -76,7 +91,7 @@ def layout_fragmentation(df: DataFrame, spec: LayoutSpec) -> DataFrame:
         F.lit(spec.table).alias("table_name"),
         "index_name",
         "column_name",
-        F.when(F.col("column_name") == spec.position, "CLUSTERED").otherwise("NONCLUSTERED").alias("index_type"),
+        F.when(F.col("column_name") == F.lit(spec.position), "CLUSTERED").otherwise("NONCLUSTERED").alias("index_type"),
         half_up(share, 4).alias("avg_fragmentation_in_percent"),
         "page_count",
     )

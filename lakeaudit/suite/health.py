@@ -148,6 +148,28 @@ def layout_fragmentation(lake):
     return _fragmentation(lake)
 
 
+STORED = (
+    LayoutSpec("orders", None, ("o_orderkey", "o_custkey", "o_orderdate")),
+    LayoutSpec("lineitem", None, ("l_orderkey", "l_shipdate"), 500),
+    LayoutSpec("events", None, ("ts", "user_id")),
+)
+
+
+def _stored_sql(spec: LayoutSpec, column: str) -> str:
+    """The test tables are one file each, which DuckDB reads in its own order."""
+    return f"""SELECT 'dbo' AS schema_name, '{spec.table}' AS table_name, 'ix_{spec.table}_{column}' AS index_name,
+      '{column}' AS column_name, 'NONCLUSTERED' AS index_type,
+      {hu("100 * CAST(count(*) FILTER (WHERE lo < before) AS DOUBLE) / count(*)", 4)} AS avg_fragmentation_in_percent, count(*) AS page_count
+      FROM (SELECT lo, lag(hi) OVER (ORDER BY page) AS before FROM (
+        SELECT n // {spec.page_rows} AS page, min({column}) AS lo, max({column}) AS hi
+        FROM (SELECT {column}, row_number() OVER () - 1 AS n FROM {spec.table}) GROUP BY 1))"""
+
+
+@query("layout_stored_order", "\nUNION ALL ".join(_stored_sql(s, c) for s in STORED for c in s.columns))
+def layout_stored_order(lake):
+    return layout.fragmentation({s.table: lake.table(s.table) for s in STORED}, STORED)
+
+
 @query("prev_page_compare", """
     WITH p AS (SELECT CAST(o_orderkey // 100 AS BIGINT) AS page, count(*) AS rows, min(o_orderdate) AS min_o_orderdate,
                       max(o_orderdate) AS max_o_orderdate FROM orders GROUP BY 1)
