@@ -157,11 +157,12 @@ def redacted(documents: DataFrame, window: int = WINDOW, mark: str = "[secret]")
     """
     found = with_spans(documents, window).where((F.size("strong") > 0) | (F.size("linked") > 0))
     found = found.select(F.col("doc_id").cast("long").alias("own"), F.col("__key").alias("own_key"), F.array_sort(F.concat("strong", "linked")).alias("found")).distinct()
-    joined = held(documents).withColumn("text", F.col(f"{HELD}.text")).join(found, F.col("doc").eqNullSafe(F.col("own")) & (F.col("doc_key") == F.col("own_key")), "left")
+    joined = held(documents).join(found, F.col("doc").eqNullSafe(F.col("own")) & (F.col("doc_key") == F.col("own_key")), "left")
+    text = F.col(f"{HELD}.text")
     start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
 
     def step(done: Column, x: Column) -> Column:
-        gap = F.substring(F.col("text"), done["at"] + 1, x["start"] - done["at"])
+        gap = F.substring(text, done["at"] + 1, x["start"] - done["at"])
         fresh = x["start"] >= done["at"]
         return F.struct(
             F.when(fresh, F.concat(done["text"], gap, F.lit(mark))).otherwise(done["text"]).alias("text"),
@@ -169,7 +170,7 @@ def redacted(documents: DataFrame, window: int = WINDOW, mark: str = "[secret]")
         )
 
     def finish(done: Column) -> Column:
-        return F.concat(done["text"], F.substring(F.col("text"), done["at"] + 1, F.length("text")))
+        return F.concat(done["text"], F.substring(text, done["at"] + 1, F.length(text)))
 
     out = joined.withColumn("clean", F.when(F.col("found").isNotNull(), F.aggregate("found", start, step, finish)))
     new = F.col(HELD).withField("text", F.col("clean"))
