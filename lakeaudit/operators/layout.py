@@ -47,63 +47,70 @@ def stored_pages(df: DataFrame, columns: Sequence[str], page_rows: int) -> DataF
     return df.select(page.alias("page"), *[names.column(c) for c in columns]).groupBy("page").agg(F.count(F.lit(1)).alias("rows"), *spans)
 
 
-def with_previous_page(pages: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Each page next to the last one before it, whatever page numbers are missing.
+def with_previous_page(pages: DataFrame, columns: Sequence[str], within: str | None = None) -> DataFrame:
+    """Each page next to the last one before it (of its own ``within``), whatever page numbers are missing.
 
     Pages lie in ranges; inside a range the page before is the neighbour, and the first
     page of a range takes the last one of the ranges before, of which there are few.
     """
-    ranged = paging.in_ranges(pages, ["page"])
-    tops = [names.column(f"max_{c}") for c in columns]
-    inside = Window.partitionBy("_range").orderBy("page")
-    last = ranged.groupBy("_range").agg(F.max("page").alias("page")).join(ranged, ["_range", "page"])
+    order = [within, "page"] if within else ["page"]
+    ranged = paging.in_ranges(pages, order)
+    shown = F.struct(*[names.column(c) for c in ([within] if within else [])], *[names.column(f"max_{c}") for c in columns])
+    inside = Window.partitionBy("_range").orderBy(*order)
+    numbered = ranged.withColumns({"_near": F.lag(shown).over(inside), "_first": F.row_number().over(inside) == 1})
     # One row per range.
+    last = ranged.groupBy("_range").agg(F.max_by(shown, F.struct(*order)).alias("_last"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    handed = last.select("_range", F.last(F.struct(*tops)).over(earlier).alias("_handed"))
-    near = ranged.withColumns({f"_near_{i}": F.lag(top).over(inside) for i, top in enumerate(tops)}).withColumn("_first", F.row_number().over(inside) == 1)
-    found = [
-        F.when(F.col("_first"), F.col("_handed").getField(f"max_{c}")).otherwise(F.col(f"_near_{i}")).alias(f"prev_max_{c}")
-        for i, c in enumerate(columns)
-    ]
-    return near.join(F.broadcast(handed), "_range").select(*[names.column(c) for c in pages.columns], *found)
+    handed = last.select("_range", F.last("_last").over(earlier).alias("_handed"))
+    near = numbered.join(F.broadcast(handed), "_range").withColumn("_before", F.when(F.col("_first"), F.col("_handed")).otherwise(F.col("_near")))
+    own = F.col("_before").getField(within) == names.column(within) if within else F.lit(True)
+    found = [F.when(own, F.col("_before").getField(f"max_{c}")).alias(f"prev_max_{c}") for c in columns]
+    return near.select(*[names.column(c) for c in pages.columns], *found)
 
 
-def layout_fragmentation(df: DataFrame, spec: LayoutSpec) -> DataFrame:
-    """Share of pages that start below the end of the page before, per column.
+def fragmentation(tables: dict[str, DataFrame], specs: Sequence[LayoutSpec]) -> DataFrame:
+    """Share of pages that start below the end of the page before, per table and column.
 
-    All columns of a table are measured in one scan.
+    Each table is scanned once for all its columns, and the pages of all tables are
+    compared in one pass.
     """
-    if spec.position is None:
-        pages = stored_pages(df, spec.columns, spec.page_rows)
-    else:
-        pages = page_ranges(df, spec.position, spec.columns, spec.page_rows)
-    pages = with_previous_page(pages, spec.columns)
-    broken = [F.count_if(names.column(f"min_{c}") < names.column(f"prev_max_{c}")).alias(f"b_{i}") for i, c in enumerate(spec.columns)]
-    totals = pages.agg(F.count(F.lit(1)).alias("page_count"), *broken)
-    cells = [
-        F.struct(F.lit(f"ix_{spec.table}_{c}").alias("index_name"), F.lit(c).alias("column_name"), F.col(f"b_{i}").alias("broken"))
-        for i, c in enumerate(spec.columns)
+    pages: DataFrame | None = None
+    cells = []
+    for i, spec in enumerate(specs):
+        if spec.position is None:
+            one = stored_pages(tables[spec.table], spec.columns, spec.page_rows)
+        else:
+            one = page_ranges(tables[spec.table], spec.position, spec.columns, spec.page_rows)
+            one = one.withColumn("page", F.struct(F.lit("").alias("file"), F.col("page").alias("number")))
+        spans = [names.column(f"{p}_{c}").alias(f"{p}_{i}_{c}") for c in spec.columns for p in ("min", "max")]
+        one = one.select(F.lit(i).alias("spec"), "page", *spans)
+        pages = one if pages is None else pages.unionByName(one, allowMissingColumns=True)
+        cells += [(i, spec, c, f"{i}_{c}") for c in spec.columns]
+    compared = with_previous_page(pages, [key for _, _, _, key in cells], "spec")
+    broken = [F.count_if(names.column(f"min_{key}") < names.column(f"prev_max_{key}")).alias(f"b_{k}") for k, (_, _, _, key) in enumerate(cells)]
+    totals = compared.groupBy("spec").agg(F.count(F.lit(1)).alias("page_count"), *broken)
+    listed = [
+        F.struct(
+            F.lit(i).alias("of"), F.lit(spec.schema).alias("schema_name"), F.lit(spec.table).alias("table_name"),
+            F.lit(f"ix_{spec.table}_{c}").alias("index_name"), F.lit(c).alias("column_name"),
+            F.lit("CLUSTERED" if c == spec.position else "NONCLUSTERED").alias("index_type"), F.col(f"b_{k}").alias("broken"),
+        )
+        for k, (i, spec, c, _) in enumerate(cells)
     ]
-    rows = totals.select("page_count", F.explode(F.array(*cells)).alias("x")).select("page_count", "x.*")
+    # A table without rows has no pages, and its share is zero.
+    all_specs = totals.sparkSession.createDataFrame([(i,) for i in range(len(specs))], "spec int")
+    counted = all_specs.join(totals, "spec", "left").fillna(0)
+    every = counted.select("spec", "page_count", F.explode(F.array(*listed)).alias("x")).where("x.of = spec").select("page_count", "x.*")
     share = F.coalesce(F.try_divide(F.col("broken") * F.lit(100.0), F.col("page_count")), F.lit(0.0))
-    return rows.select(
-        F.lit(spec.schema).alias("schema_name"),
-        F.lit(spec.table).alias("table_name"),
-        "index_name",
-        "column_name",
-        F.when(F.col("column_name") == F.lit(spec.position), "CLUSTERED").otherwise("NONCLUSTERED").alias("index_type"),
-        half_up(share, 4).alias("avg_fragmentation_in_percent"),
-        "page_count",
+    return every.select(
+        "schema_name", "table_name", "index_name", "column_name", "index_type",
+        half_up(share, 4).alias("avg_fragmentation_in_percent"), "page_count",
     )
 
 
-def fragmentation(tables: dict[str, DataFrame], specs: Sequence[LayoutSpec]) -> DataFrame:
-    """Fragmentation rows of several tables."""
-    out: DataFrame | None = None
-    for spec in specs:
-        one = layout_fragmentation(tables[spec.table], spec)
-        out = one if out is None else out.unionByName(one)
-    return out
+def layout_fragmentation(df: DataFrame, spec: LayoutSpec) -> DataFrame:
+    """The same for one table."""
+    return fragmentation({spec.table: df}, [spec])
 
 
 def top_fragmented(rows: DataFrame, limit: int = TOP_FRAGMENTED) -> DataFrame:
