@@ -4,8 +4,8 @@ Texts are sets of five-word shingles, equal sets are folded into one node, and e
 gets ``COORDINATES`` min-hash tokens, of which two sets share a share equal to their Jaccard
 similarity. A run starts with all nodes in one bucket and splits buckets recursively: each
 bucket samples 1/0.8 token positions on average, and nodes with equal tokens there go to a
-child bucket together. Small buckets are compared by brute force on the tokens, with a
-margin that keeps pairs at the threshold. Pairs meet with probability of at least
+child bucket together. Small buckets, and those that splitting hardly makes smaller, are
+compared by brute force on the tokens, with a margin that keeps pairs at the threshold. Pairs meet with probability of at least
 ``RUN_RECALL`` per run, and runs are repeated until ``TARGET_RECALL``. What met is verified
 exactly on the full shingle sets.
 """
@@ -134,7 +134,8 @@ def _next_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
             nodes, paths = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
             rows, child = _children(paths, _matrix(batch.column(2)))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[rows]), pa.array(child.view(np.int64))], ["node", "path"])
+            above = batch.column(3).to_numpy()[rows]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[rows]), pa.array(child.view(np.int64)), pa.array(above)], ["node", "path", "above"])
 
 
 def grouped_rows(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[pa.Table]:
@@ -212,16 +213,19 @@ def candidate_edges(nodes: DataFrame, runs: int | None = None) -> DataFrame:
     runs = runs or runs_for()
     seeds = mixed(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
     rows = stored(map_batches(nodes.select("node", "sketch"), _first_split(seeds), "node long, path long"), "paths")
+    rows = rows.withColumn("above", F.lit(None).cast("long"))
     buckets = None
     for depth in range(1, DEPTH + 1):
         counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         sized = stored(rows.join(counts, "path"), "buckets")
-        small = sized if depth == DEPTH else sized.where(F.col("n") <= SMALL)
+        # A bucket that kept a share as large as the threshold is one of alike nodes: splitting it on is no use.
+        ends = (F.col("n") <= SMALL) | F.coalesce(F.col("n") >= F.col("above") * (SIMILAR[0] / SIMILAR[1]), F.lit(False))
+        small = sized if depth == DEPTH else sized.where(ends)
         buckets = small if buckets is None else buckets.unionByName(small)
-        big = sized.where(F.col("n") > SMALL).select("node", "path")
+        big = sized.where(~ends).select("node", "path", "n")
         if depth == DEPTH or big.isEmpty():
             break
-        rows = stored(map_batches(big.join(nodes.select("node", "sketch"), "node").select("node", "path", "sketch"), _next_split, "node long, path long"), "paths")
+        rows = stored(map_batches(big.join(nodes.select("node", "sketch"), "node").select("node", "path", "sketch", "n"), _next_split, "node long, path long, above long"), "paths")
     # A bucket beyond the bound is compared as pairs of its blocks, each pair a bucket of its own.
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64(F.lit(7), "node"), blocks)
