@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeaudit.llm.common import Words, binary, listed, map_batches, mixed, signed, stored, text_key, window_anchors
+from lakeaudit.llm.common import Words, binary, listed, map_batches, mixed, signed, stored, text_key, texts_with, window_anchors
 from lakeaudit.llm.rolling import Sums
 
 WINDOW = 20
@@ -167,7 +167,7 @@ def repeated_windows(documents: DataFrame, scanned: DataFrame, window: int = WIN
     ).where("n > 1").select("phrase"), "phrases")
     confirmed = per_row.join(counts, "phrase").groupBy("row").agg(F.collect_set("phrase").alias("confirmed"))
     texts = _with_row(documents)
-    rows = texts.join(stored(confirmed, "confirmed"), "row").dropDuplicates(["row"]).select("row", F.col("doc_id").cast("long").alias("doc_id"), "text", "confirmed")
+    rows = texts_with(texts, stored(confirmed, "confirmed"), "confirmed").dropDuplicates(["row"]).select("row", F.col("doc_id").cast("long").alias("doc_id"), "text", "confirmed")
     schema = "row long, doc_id long, phrase long, context long, first long, last long, windows array<long>"
     marks = stored(map_batches(rows, _mark_batches(window, phrase), schema), "marks")
     # Marks with the same context have the same windows: the earliest stands for them.
@@ -206,7 +206,7 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, phrase: int = PH
         map_batches(_with_row(documents), _phrase_batches(window, phrase), "row long, doc_id long, n_words long, sha256 string, phrases array<long>"), "scan"
     )
     ranges = stored(repeated_windows(documents, scanned, window, phrase), "ranges")
-    texts = _with_row(documents).join(ranges, "row").select("row", F.col("doc_id").cast("long").alias("doc_id"), "text", "ranges")
+    texts = texts_with(_with_row(documents), ranges, "ranges").select("row", F.col("doc_id").cast("long").alias("doc_id"), "text", "ranges")
     schema = "row long, doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
     changed = map_batches(texts, _removed_batches(window), schema)
     same = scanned.join(ranges.select("row"), "row", "left_anti").select(

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeaudit.llm.common import BASE, binary, listed, map_batches, mixed, runs, signed, stored, text_key, window_anchors
+from lakeaudit.llm.common import BASE, binary, listed, map_batches, mixed, runs, signed, stored, text_key, texts_with, window_anchors
 
 WINDOW = 400
 # Starts among which a window's anchor is picked, and the bytes that an anchor's hash reads.
@@ -163,11 +163,13 @@ def repeated_suffixes(documents: DataFrame, scanned: DataFrame, window: int, rea
     whole = own.where("n > 1").groupBy("row").agg(F.collect_set("mark").alias("marks"))
     # Last pass: of each context in a mixed bucket one anchor's windows, through the whole depth.
     todo = stored(own.where("stands").groupBy("row").agg(F.collect_set("mark").alias("todo")), "todo")
-    texts = _with_row(documents).select("row", "text").join(todo, "row").dropDuplicates(["row"]).select("row", "text", "todo")
+    texts = texts_with(_with_row(documents).select("row", "text"), todo, "todo").dropDuplicates(["row"]).select("row", "text", "todo")
     each = stored(map_batches(texts, _window_batches(window, reach, gram), "row long, start int, window long"), "windows")
     again = each.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
     single = each.join(again, "window").groupBy("row").agg(F.collect_set("start").alias("starts"))
-    return whole.join(single, "row", "full")
+    none = F.array().cast("array<int>")
+    both = whole.join(single, "row", "full").select("row", F.coalesce("marks", none).alias("marks"), F.coalesce("starts", none).alias("starts"))
+    return both.withColumn("places", F.concat("marks", "starts"))
 
 
 def without_repeats(documents: DataFrame, window: int = WINDOW, reach: int = REACH, gram: int = GRAM) -> DataFrame:
@@ -188,7 +190,7 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, reach: int = REA
         "suffixes",
     )
     found = stored(repeated_suffixes(documents, scanned, window, reach, gram), "repeats")
-    texts = _with_row(documents).join(found, "row").select("row", F.col("doc_id").cast("long").alias("doc_id"), "text", "marks", "starts")
+    texts = texts_with(_with_row(documents), found, "places").select("row", F.col("doc_id").cast("long").alias("doc_id"), "text", "marks", "starts")
     schema = "row long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<string>, kept binary"
     changed = map_batches(texts, _removed_batches(window, reach, gram), schema)
     zero = F.lit(0).cast("long")
