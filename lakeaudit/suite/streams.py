@@ -56,24 +56,27 @@ def rate_limit(lake):
     return _limited(lake)
 
 
-FILES, DISORDER_DAYS = 6, 60
+FILES = 6
 
 
 def _arrivals(lake):
     """The requests as a stream of files in no order of time, two per trigger, and a closing mark.
 
-    The watermark allows for any order among the files; the mark, far behind the last
-    request, moves it past all of them.
+    The watermark stays behind the newest request by the whole span of the log, so that it
+    allows for any order among the files; the mark, far behind the last request, moves it
+    past all of them.
     """
     folder = session.work_path(lake.spark, "arrivals")
     rows = _requests(lake).withColumn("ts", F.col("ts").cast("timestamp"))
     rows.repartition(FILES, F.xxhash64("event_id")).write.parquet(folder)
-    mark = rows.agg((F.max("ts") + F.make_interval(days=F.lit(4 * DISORDER_DAYS))).alias("ts")).select(
+    first, last = rows.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    delay = 1 if last is None else (last - first) // 1_000_000 + 1
+    mark = rows.agg((F.max("ts") + F.make_dt_interval(secs=F.lit(delay + 2 * (LIMITS.window + LIMITS.breaker)))).alias("ts")).select(
         F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"), "ts"
     )
     mark.coalesce(1).write.mode("append").parquet(folder)
     stream = lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(folder)
-    return stream.withWatermark("ts", f"{DISORDER_DAYS} days")
+    return stream.withWatermark("ts", f"{delay} seconds")
 
 
 def _limited_stream(lake, expire):

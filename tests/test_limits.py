@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeaudit.streaming import limiter, run
 from lakeaudit.streaming.limits import SECOND, Client, Effect, Limits
+from lakeaudit.suite import QUERIES, streams
 
 
 def simulate(seconds, limits, start=0):
@@ -113,6 +114,27 @@ def test_stream_in_any_order_equals_batch(spark, tmp_path, files, per_trigger):
         assert [got[i] for _, i in own] == answers
 
 
+def test_registered_streams_decide_a_log_of_a_year(spark, tmp_path):
+    rng, limits, rows = np.random.default_rng(4), streams.LIMITS, []
+    for user in (1, 2, 3):
+        # Bursts, pauses of hours, and some longer than window and breaker.
+        pauses = rng.choice([600, 14_400, 100_000, 1_000_000], size=300, p=[0.6, 0.2, 0.1, 0.1])
+        rows += [(1000 * user + n, user, int(t)) for n, t in enumerate(np.cumsum(pauses))]
+    assert max(t for _, _, t in rows) > 300 * 86_400
+    events = spark.createDataFrame(rows, "event_id long, user_id long, t long")
+    events.select("event_id", "user_id", F.timestamp_seconds(F.col("t") + 10**9).alias("ts")).write.parquet(str(tmp_path / "events.parquet"))
+    for name, expire in (("rate_limit_stream", False), ("rate_limit_expiring_stream", True)):
+        got = {r["event_id"]: (r["allowed"], r["retry_after"]) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+        assert len(got) == len(rows)
+        for user in (1, 2, 3):
+            own, client, before = sorted((t, n) for n, u, t in rows if u == user), Client(), None
+            for t, n in own:
+                if expire and before is not None and t - before > limits.window + limits.breaker:
+                    client = Client()
+                assert got[n] == client.check((t + 10**9) * SECOND, limits)
+                before = t
+
+
 def test_stream_forgets_old_clients(spark, tmp_path):
     limits = Limits(10, 1, 10, 9)
     schema = "id long, client string, t long"
