@@ -5,13 +5,15 @@ gets ``COORDINATES`` min-hash tokens, of which two sets share a share equal to t
 similarity. A run starts with all nodes in one bucket and splits buckets recursively: each
 bucket samples 1/0.8 token positions on average, and nodes with equal tokens there go to a
 child bucket together. Small buckets, and those that splitting hardly makes smaller, are
-compared by brute force on the tokens, with a margin that keeps pairs at the threshold. Pairs meet with probability of at least
-``RUN_RECALL`` per run, and runs are repeated until ``TARGET_RECALL``. What met is verified
-exactly on the full shingle sets.
+compared by brute force on the tokens, with a margin that keeps pairs at the threshold. Runs
+are repeated until a pair at the threshold meets with probability of at least
+``TARGET_RECALL`` even if its buckets are split ``DEPTH`` times. What met is verified exactly
+on the full shingle sets.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -30,7 +32,8 @@ SHINGLE = 5
 SIMILAR = (4, 5)
 COORDINATES = 128
 TARGET_RECALL = 0.999
-RUN_RECALL = 0.55
+# Share of the paths that sample a second position.
+SECOND = 1 / 4
 # Buckets of at most this many nodes are compared by brute force.
 SMALL = 128
 # Buckets still larger at this depth are compared block by block, in blocks of about BLOCK nodes.
@@ -46,9 +49,35 @@ _FACTORS = _RANDOM.integers(0, 2**32, COORDINATES, np.uint64).astype(np.uint32)
 _SHIFTS = _RANDOM.integers(0, 2**32, COORDINATES, np.uint64).astype(np.uint32)
 
 
-def runs_for(target: float = TARGET_RECALL, once: float = RUN_RECALL) -> int:
-    """Runs after which a pair that one run finds with probability ``once`` is found with ``target``."""
-    return math.ceil(math.log(1 - target) / math.log(1 - once))
+def run_recall(similar: float, depth: int) -> float:
+    """Probability that a pair with this share of equal tokens still shares a path after ``depth`` splits.
+
+    The two positions of a path differ, which makes the true value a little higher.
+    """
+    lost = 0.0
+    for _ in range(depth):
+        child = 1 - similar + similar * lost
+        lost = child * (1 - SECOND + SECOND * child)
+    return 1 - lost
+
+
+def recall(runs: int, similar: float = SIMILAR[0] / SIMILAR[1]) -> float:
+    """Probability that a similar pair meets in one of the runs, which all have the same tokens.
+
+    The mean over its count of equal tokens, of which it needs ``least_equal``.
+    """
+    counts = range(least_equal(similar), COORDINATES + 1)
+    shares = [math.comb(COORDINATES, k) * similar**k * (1 - similar) ** (COORDINATES - k) for k in counts]
+    return sum(p * (1 - (1 - run_recall(k / COORDINATES, DEPTH)) ** runs) for k, p in zip(counts, shares, strict=True))
+
+
+def runs_for(target: float = TARGET_RECALL, once: float | None = None) -> int:
+    """Runs after which a pair is found with ``target``, at the threshold or with probability ``once`` in each run."""
+    if once is not None:
+        return math.ceil(math.log(1 - target) / math.log(1 - once))
+    if recall(10**6) < target:
+        raise ValueError(f"no number of runs finds {target} of the pairs")
+    return next(runs for runs in itertools.count(1) if recall(runs) >= target)
 
 
 def least_equal(similar: float = SIMILAR[0] / SIMILAR[1]) -> int:
