@@ -4,8 +4,8 @@ Every window of ``WINDOW`` words holds one anchor phrase of ``PHRASE`` words, pi
 content alone, so that equal windows have the same phrase at the same place. Phrases that
 occur twice or more in the corpus are confirmed first, by counting. Documents are then streamed
 in shards of bounded size: each shard's confirmed phrases are compiled into an Aho-Corasick
-automaton, which locates all their occurrences in the shard's documents. Only the windows around
-those occurrences are compared across the corpus.
+automaton, which confirms the places in the shard's documents that the hashes found. Only the
+windows around those places are compared across the corpus.
 """
 
 from __future__ import annotations
