@@ -2,9 +2,11 @@
 
 import collections
 import random
+import zlib
 
 import numpy as np
-from corpus import prose, words
+import public_tokenizers
+from corpus import SCHEMA, base_secrets, prose, similar_classes, words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -87,3 +89,67 @@ def test_pipeline_stages_keep_what_they_should(spark):
     assert same(packed) == same(pieces)
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).where("n <> end OR n > 4096").count() == 0
     assert corpus_pipeline.run(spark, sf).count() == packed.count()
+
+
+def test_pipeline_rows_equal_plain_forms(spark, tmp_path):
+    """Rows of the whole run: spam gone, one of all pairs' classes, plain scans, plain filling, plain token ids."""
+    from test_llm_operators import _filled
+    from tokenizers import Tokenizer
+
+    rng, rows, labels = random.Random(8), [], []
+    for k in range(400):
+        bad = rng.random() < 0.3
+        text = " ".join(f"spam{rng.randrange(9)}" for _ in range(60)) if bad else prose(rng, 90)
+        if not bad and k % 3 == 0:
+            text = f"{text} password=hunter{k:04} {prose(rng, 10)}"
+        rows.append((k, text, "en", "abc"[k % 3], len(text)))
+        labels.append((k, int(not bad), 0))
+    for k in range(1, 41, 2):  # near and exact copies, of any class of the above
+        own = rows[k][1].split(" ")
+        own[-1] = "ende" if k % 3 else own[-1]
+        rows.append((1000 + k, " ".join(own), "en", "abc"[k % 2], 0))
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+
+    good = [r for r in rows if "spam" not in r[1]]
+    classes, _ = similar_classes(good)
+    one = [r for i, r in enumerate(good) if classes[i] == r[0]]
+    assert len(one) < len(good) < len(rows)
+    texts = {}
+    for doc, text, *_ in one:
+        for a, _, b, _ in reversed(base_secrets(text)):
+            text = f"{text[:a]}[secret]{text[b:]}"
+        texts[doc] = text
+    assert any("[secret]" in x for x in texts.values())
+    source = {r[0]: r[3] for r in one}
+    sizes = collections.Counter()
+    for doc, text in texts.items():
+        sizes[source[doc]] += len(words(text))
+    order = sorted(sizes)
+    targets = dict(zip(order, _filled([sizes[x] for x in order], (5, 2, 1), 1.5, 2), strict=True))
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.TOKENIZER))
+    crc = lambda text: zlib.crc32(np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4").tobytes())
+    whole = {doc: crc(text) for doc, text in texts.items()}
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} <= set(texts)
+    taken, cut = collections.Counter(), collections.Counter()
+    for r in got:
+        own = words(texts[r.doc_id])
+        assert r.piece == 0 and zlib.crc32(bytes(r.ids)) == r.ids_crc32
+        if r.ids_crc32 == whole[r.doc_id]:
+            taken[source[r.doc_id]] += len(own)
+        else:  # the leading words of the one document that is taken in part
+            taken[source[r.doc_id]] += next(n for n in range(1, len(own)) if crc(" ".join(own[:n])) == r.ids_crc32)
+            cut[source[r.doc_id]] += 1
+    assert all(abs(taken[x] - targets[x]) <= 1 for x in order) and all(n == 1 for n in cut.values())
+    sequences = collections.defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((r.offset, r.length, len(r.ids) // 4))
+    for own in sequences.values():
+        at = 0
+        for offset, length, held in sorted(own):
+            assert offset == at and length == held
+            at += length
+        assert at <= 4096
+    assert len(sequences) <= 1.1 * sum(r.length for r in got) / 4096 + 2
