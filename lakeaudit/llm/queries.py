@@ -8,7 +8,21 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeaudit.llm import chosen_path, host_bayes, interleave, line_frequency, mixing, packing, phrases, secrets, suffixes, vafile
+from lakeaudit.llm import (
+    angular,
+    chosen_path,
+    host_bayes,
+    importance,
+    interleave,
+    line_frequency,
+    mixing,
+    packing,
+    phrases,
+    secrets,
+    suffixes,
+    url_rules,
+    vafile,
+)
 from lakeaudit.session import apply_defaults
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +153,79 @@ def op9(read):
 @query("op10_interleaved_shards")
 def op10(read):
     return interleave.sharded_documents(read("documents"))
+
+
+@query(
+    "op11_angular_negatives",
+    """
+    WITH v AS (
+      SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+      WHERE a.vec_id % 100 = 0
+    ), positives AS (
+      SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same
+      ) WHERE place <= 5
+    )
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM (
+      SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM positives p JOIN scored s USING (anchor_id)
+      WHERE NOT s.same AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+    ) WHERE rank <= 5
+    """,
+)
+def op11(read):
+    return angular.embeddings_negatives(read("embeddings"))
+
+
+@query("op12_weighted_medians")
+def op12(read):
+    return importance.resampled(read("documents"), read("benchmark"))
+
+
+@query(
+    "op13_rarest_token_rules",
+    r"""
+    WITH parts AS (
+      SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+      FROM pages
+    ), fitted AS (
+      SELECT *, CASE
+          WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+          WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+          WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+          WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/'
+        END AS rule,
+        CASE
+          WHEN regexp_matches(host || path, '(?si)/responsible-gambling/') THEN '/responsible-gambling/*'
+          WHEN regexp_matches(host || path, '(?si)/wp-admin/') THEN '/wp-admin/*'
+          WHEN regexp_matches(host || path, '(?si)(^|[^a-z0-9])viagra([^a-z0-9]|$)') THEN '^viagra^'
+          WHEN regexp_matches(host || path, '(?si)(^|[^a-z0-9])casino([^a-z0-9]|$)') THEN '^casino^'
+          WHEN regexp_matches(host || path, '(?si)(^|[^a-z0-9])poker([^a-z0-9]|$)') THEN '^poker^'
+          WHEN regexp_matches(host || path, '(?si)(^|[^a-z0-9])pills([^a-z0-9]|$)') THEN '^pills^'
+          WHEN regexp_matches(host || path, '(?si)/login([^a-z0-9]|$)') THEN '/login^'
+          WHEN regexp_matches(host || path, '(?si)(^|[^a-z0-9])porn([^a-z0-9]|$)') THEN '^porn^'
+          WHEN regexp_matches(host || path, '(?si)(^|[^a-z0-9])bets([^a-z0-9]|$)') THEN '^bets^'
+          WHEN regexp_matches(host || path, '(?si)^([^/]*\.)?ads\.') THEN '||ads.*'
+          WHEN regexp_matches(host || path, '(?si)/cart([^a-z0-9]|$)') THEN '/cart^'
+        END AS fit
+      FROM parts
+    )
+    SELECT page_id, host, path, rule,
+      CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+        WHEN fit IS NULL OR fit = '/responsible-gambling/*' THEN 'allow' ELSE 'block' END AS verdict,
+      CASE WHEN rule IS NULL THEN fit END AS pattern
+    FROM fitted
+    """,
+)
+def op13(read):
+    return url_rules.verdicts(read("pages"))
