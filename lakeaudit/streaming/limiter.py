@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pickle
 from collections import deque
 from collections.abc import Iterator
 
@@ -180,62 +179,75 @@ def state_expiry(decisions: DataFrame, requests: DataFrame, client: str, ts: str
 class LimiterProcessor(StatefulProcessor):
     """Keeps one client's limiter state and the requests that the watermark hasn't passed.
 
-    Requests wait in state, in buckets of event time, and a bucket is decided in time order when
-    the watermark passes its end: so the answers don't depend on the order of files or on
-    the size of triggers, and a backlog is decided bucket by bucket. With ``expire`` a
-    client's state goes after a long pause.
+    Requests wait in state, as one array per column, and are decided in time order when the watermark
+    has passed them: so the answers don't depend on the order of files or on the size of triggers. A
+    client has one timer, at its earliest waiting request. With ``expire`` a client's state goes
+    after a long pause.
     """
 
-    def __init__(self, limits: Limits, expire: bool, tie: str):
-        self.limits, self.expire, self.tie = limits, expire, tie
-        self.bucket_us = max(limits.window_us, 1_000_000)
+    def __init__(self, limits: Limits, expire: bool, client: str, ts: str, tie: str, others: list[tuple[str, str]], out: list[str]):
+        self.limits, self.expire, self.client, self.ts, self.tie, self.others, self.out = limits, expire, client, ts, tie, others, out
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("client", "times array<long>, violations int, blocked_until long, newest long")
-        self.waiting = handle.getMapState("waiting", "bucket long, part long", "rows binary")
-        self.parts = handle.getValueState("parts", "part long")
+        columns = "".join(f", `{name}` array<{kind}>" for name, kind in self.others)
+        self.waiting = handle.getValueState("waiting", f"due long, request_us array<long>{columns}")
+
+    def _frame(self, columns) -> pd.DataFrame:
+        data = {"request_us": np.array(columns[0], np.int64)}
+        return pd.DataFrame(data | {name: pd.Series(list(c), dtype=object) for (name, _), c in zip(self.others, columns[1:], strict=True)})
+
+    def _wait(self, rows: pd.DataFrame, due: int) -> None:
+        first = int(rows["request_us"].min()) // 1000 + 1
+        if first != due:
+            self.handle.registerTimer(first)
+        whole = [[None if pd.isna(v) else v for v in rows[name].tolist()] for name, _ in self.others]
+        self.waiting.update((first, rows["request_us"].tolist(), *whole))
 
     def handleInputRows(self, key, rows, timerValues):
-        part = self.parts.get()[0] if self.parts.exists() else 0
-        for frame in rows:
-            buckets = frame["request_us"] // self.bucket_us
-            for bucket in buckets.unique().tolist():
-                self.waiting.updateValue((int(bucket), part), (pickle.dumps(frame[buckets == bucket]),))
-                part += 1
-                self.handle.registerTimer((int(bucket) + 1) * self.bucket_us // 1000)
-        self.parts.update((part,))
+        saved = self.waiting.get() if self.waiting.exists() else None
+        frames = [frame[["request_us", *[name for name, _ in self.others]]] for frame in rows]
+        if saved:
+            frames.append(self._frame(saved[1:]))
+        self._wait(pd.concat([f.astype({c: object for c in f.columns if c != "request_us"}) for f in frames], ignore_index=True), saved[0] if saved else -1)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         passed = int(timerValues.getCurrentWatermarkInMs()) * 1000
-        keys = sorted((int(bucket), int(part)) for bucket, part in self.waiting.keys())
-        done = [k for k in keys if (k[0] + 1) * self.bucket_us <= passed]
+        held = self.waiting.get() if self.waiting.exists() else None
+        rows = self._frame(held[1:]) if held else None
         saved = self.state.get() if self.state.exists() else None
-        client = Client(deque(saved[0]), saved[1], saved[2]) if saved else Client()
         newest = int(saved[3]) if saved else 0
-        for bucket in sorted({k[0] for k in done}):
-            own = [k for k in done if k[0] == bucket]
-            batch = pd.concat([pickle.loads(self.waiting.getValue(k)[0]) for k in own])
-            for k in own:
-                self.waiting.removeKey(k)
-            batch = batch.sort_values(["request_us", self.tie], kind="stable")
-            if self.expire and newest and int(batch["request_us"].iloc[0]) > newest + self.limits.quiet_us:
-                client = Client()
-            newest = int(batch["request_us"].iloc[-1])
-            allowed, retry = client.run(batch["request_us"].to_numpy(), self.limits)
-            batch["allowed"] = allowed
-            batch["retry_after"] = pd.array(retry, dtype="Int64")
-            batch.loc[allowed, "retry_after"] = pd.NA
-            yield batch.drop(columns="request_us")
-        if done:
-            self.state.update(([int(t) for t in client.times], int(client.violations), int(client.blocked_until), newest))
-            if self.expire:
-                self.handle.registerTimer((newest + self.limits.quiet_us) // 1000 + 1)
-        elif self.expire and len(keys) == 0 and newest + self.limits.quiet_us < passed:
-            self.state.clear()
-            self.parts.clear()
-        yield pd.DataFrame()
+        done = rows[rows["request_us"] < passed].sort_values(["request_us", self.tie], kind="stable") if held else None
+        if done is None or not len(done):
+            if self.expire and not held and newest + self.limits.quiet_us < passed:
+                self.state.clear()
+            yield pd.DataFrame()
+            return
+        client = Client(deque(saved[0]), saved[1], saved[2]) if saved else Client()
+        times = done["request_us"].to_numpy()
+        pauses = np.flatnonzero(np.diff(times, prepend=newest or times[0]) > self.limits.quiet_us) if self.expire else ()
+        answers = []
+        for start, end in zip([0, *pauses], [*pauses, len(times)], strict=True):
+            # A client that was quiet for long starts without violations.
+            client = Client() if start in pauses else client
+            answers.append(client.run(times[start:end], self.limits))
+        allowed, retry = (np.concatenate([a[k] for a in answers]) for k in (0, 1))
+        left = rows[rows["request_us"] >= passed]
+        if len(left):
+            self._wait(left, -1)
+        else:
+            self.waiting.clear()
+        newest = int(times[-1])
+        self.state.update(([int(t) for t in client.times], int(client.violations), int(client.blocked_until), newest))
+        if self.expire:
+            self.handle.registerTimer((newest + self.limits.quiet_us) // 1000 + 1)
+        done = done.drop(columns="request_us").assign(**{
+            self.client: key[0], self.ts: pd.to_datetime(times, unit="us", utc=True), "allowed": allowed, "retry_after": pd.array(retry, dtype="Int64"),
+        })
+        done.loc[done["allowed"], "retry_after"] = pd.NA
+        yield done[self.out]
 
     def close(self) -> None:
         pass
@@ -250,4 +262,6 @@ def rate_limit_stream(stream: DataFrame, client: str, ts: str, tie: str, limits:
     """
     timed = stream.withColumn("request_us", F.unix_micros(F.col(ts).cast("timestamp")))
     out = T.StructType([*stream.schema.fields, T.StructField("allowed", T.BooleanType()), T.StructField("retry_after", T.LongType())])
-    return timed.groupBy(client).transformWithStateInPandas(LimiterProcessor(limits, expire, tie), out, "Append", "EventTime")
+    others = [(f.name, f.dataType.simpleString()) for f in stream.schema.fields if f.name not in (client, ts)]
+    processor = LimiterProcessor(limits, expire, client, ts, tie, others, out.names)
+    return timed.groupBy(client).transformWithStateInPandas(processor, out, "Append", "EventTime")

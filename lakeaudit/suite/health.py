@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import combinations, permutations
+
 from pyspark.sql import functions as F
 
 from lakeaudit import fixtures as fx
 from lakeaudit import session
 from lakeaudit.functions.numbers import half_up_sql as hu
 from lakeaudit.functions.numbers import mean_sql
-from lakeaudit.operators import aggregates, filters, layout, model, profile, workload
+from lakeaudit.operators import aggregates, filters, inclusion, keysearch, layout, model, profile, workload
 from lakeaudit.operators.layout import LayoutSpec
 from lakeaudit.operators.profile import Constraint
 from lakeaudit.operators.small import settle
@@ -366,6 +368,69 @@ def key_discovery(lake):
     return _keys(lake)
 
 
+KEY_COLUMNS = {t: [c for c, kind in cs.items() if kind in ("int", "bigint", "string", "timestamp_ntz")] for t, cs in COLUMNS.items()}
+
+
+def _set_sql(table: str, columns) -> str:
+    nulls = " OR ".join(f"{c} IS NULL" for c in columns)
+    return f"""SELECT '{table}' AS table_name, '{",".join(columns)}' AS key_columns, {len(columns)} AS width, {list(columns)} AS parts, count(*) AS row_count,
+      count(DISTINCT ({", ".join(columns)})) AS distinct_count, count(*) FILTER (WHERE {nulls}) AS null_rows FROM {table}"""
+
+
+# All sets of up to three columns, and of those that are keys the ones without a smaller one inside.
+MINIMAL = "WITH sets AS (" + "\nUNION ALL ".join(
+    _set_sql(t, columns) for t in TABLES for n in range(1, keysearch.WIDTH + 1) for columns in combinations(KEY_COLUMNS[t], n)
+) + """), keys AS (SELECT * FROM sets WHERE row_count = distinct_count AND null_rows = 0 AND row_count > 0)
+SELECT table_name, key_columns, CAST(width AS INTEGER) AS width, row_count FROM keys a
+WHERE NOT EXISTS (SELECT 1 FROM keys b WHERE b.table_name = a.table_name AND b.width < a.width AND list_has_all(a.parts, b.parts))
+"""
+
+
+@query("minimal_keys", MINIMAL)
+def minimal_keys(lake):
+    return keysearch.minimal_keys(_tables(lake))
+
+
+# Answers refer to turns of conversations, lines to what a supplier has of a part.
+DERIVED = {
+    "supply": ("SELECT l_partkey AS ps_partkey, l_suppkey AS ps_suppkey, count(*) AS ps_lines FROM {lineitem} GROUP BY l_partkey, l_suppkey", "lineitem"),
+    "answers": ("SELECT conv_id AS a_conv, turn AS a_turn, length(text) AS a_size FROM {conversations} WHERE role = 'assistant'", "conversations"),
+}
+SIDES = {
+    "supply": ("ps_partkey", "ps_suppkey", "ps_lines"), "answers": ("a_conv", "a_turn", "a_size"), "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"),
+    "conversations": ("conv_id", "turn"), "part": ("p_partkey", "p_size"), "supplier": ("s_suppkey", "s_nationkey"), "orders": ("o_orderkey", "o_custkey"),
+}
+REFERRED = (
+    ("supply", ("ps_partkey", "ps_suppkey")), ("conversations", ("conv_id", "turn")), ("part", ("p_partkey",)), ("supplier", ("s_suppkey",)), ("orders", ("o_orderkey",)),
+)
+
+
+def _reference_sql(child: str, own, parent: str, key) -> str:
+    same = " AND ".join(f"a.{x} = b.{y}" for x, y in zip(own, key, strict=True))
+    whole = lambda columns: " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    return f"""SELECT 'fk_{"_".join([child, *own, parent])}' AS constraint_name, '{child}' AS parent_table, '{",".join(own)}' AS parent_columns,
+      '{parent}' AS referenced_table, '{",".join(key)}' AS referenced_columns,
+      (SELECT count(*) FROM (SELECT DISTINCT {", ".join(own)} FROM {child} WHERE {whole(own)})) AS child_values,
+      (SELECT count(*) FROM (SELECT DISTINCT {", ".join(key)} FROM {parent} WHERE {whole(key)})) AS key_values,
+      (SELECT count(*) FROM (SELECT DISTINCT {", ".join(own)} FROM {child} WHERE {whole(own)}) a
+        WHERE NOT EXISTS (SELECT 1 FROM {parent} b WHERE {same})) AS lost"""
+
+
+REFERENCES = "WITH " + ", ".join(f"{name} AS ({fx.duck(text, table)})" for name, (text, table) in DERIVED.items()) + ", sums AS (" + "\nUNION ALL ".join(
+    _reference_sql(child, own, parent, key) for parent, key in REFERRED for child, cs in SIDES.items() if child != parent for own in permutations(cs, len(key))
+) + f""")
+SELECT constraint_name, parent_table, parent_columns, referenced_table, referenced_columns, child_values, key_values,
+  {hu('child_values / key_values', 4)} AS parent_coverage FROM sums WHERE lost = 0 AND child_values > 0
+"""
+
+
+@query("composite_relationships", REFERENCES)
+def composite_relationships(lake):
+    tables = {t: (lake.sql(*DERIVED[t]) if t in DERIVED else lake.table(t)).select(*cs) for t, cs in SIDES.items()}
+    keys = lake.spark.createDataFrame([(t, ",".join(key)) for t, key in REFERRED], "table_name string, key_columns string")
+    return inclusion.composite_relationships(tables, keys)
+
+
 @query("missing_primary_key", KEYS + f"""
     SELECT 'identifiers' AS category, t AS entity, 'No unique column or key found' AS issue, 'High' AS severity
     FROM (SELECT unnest({list(TABLES)}) AS t) WHERE t NOT IN (SELECT table_name FROM keys WHERE key_columns NOT LIKE '%,%')

@@ -98,6 +98,31 @@ def source_reconcile_summary(lake):
     return compare.diff_summary(source_reconcile(lake))
 
 
+@query("source_changes", DIFF + " SELECT * FROM d WHERE status <> 'same'")
+def source_changes(lake):
+    """The keys whose rows differ, found through the digest tree."""
+    return compare.tree_diff(*_sides(lake), ["o_orderkey"], ["o_custkey", "o_totalprice"])
+
+
+# Two sources that differ in a few orders only.
+FEW = """
+    WITH a AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 4999 <> 3),
+    b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3001 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders),
+    d AS (
+      SELECT CASE WHEN a.o_orderkey IS NULL THEN 'only_right'
+          WHEN a.o_custkey IS NOT DISTINCT FROM b.o_custkey AND a.o_totalprice IS NOT DISTINCT FROM b.o_totalprice THEN 'same' ELSE 'changed' END AS status
+      FROM a FULL OUTER JOIN b ON a.o_orderkey = b.o_orderkey)
+"""
+
+
+@query("source_changes_summary", FEW + "SELECT status, count(*) AS keys FROM d GROUP BY status")
+def source_changes_summary(lake):
+    orders = lake.table("orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    raised = F.when(F.col("o_orderkey") % 3001 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    one, two = orders.where(F.col("o_orderkey") % 4999 != 3), orders.withColumn("o_totalprice", raised)
+    return compare.tree_summary(one, two, ["o_orderkey"], ["o_custkey", "o_totalprice"])
+
+
 SNAPSHOTS = f"""
     WITH cur AS (SELECT o_orderkey, o_custkey,
                    CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice

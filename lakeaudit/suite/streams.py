@@ -13,7 +13,7 @@ from lakeaudit import session
 from lakeaudit.functions.numbers import half_up_sql as hu
 from lakeaudit.functions.numbers import mean_sql
 from lakeaudit.sources import sinks
-from lakeaudit.streaming import limiter, monitor, run
+from lakeaudit.streaming import limiter, livetop, monitor, run
 from lakeaudit.streaming.limits import Limits
 from lakeaudit.suite.registry import query
 
@@ -57,26 +57,29 @@ def rate_limit(lake):
 
 
 FILES = 6
+# What a file may be behind the files before it.
+DISORDER = 3600
 
 
 def _arrivals(lake):
-    """The requests as a stream of files in no order of time, two per trigger, and a closing mark.
+    """The requests as a stream of files in the order of time, two per trigger, and a closing mark.
 
-    The watermark stays behind the newest request by the whole span of the log, so that it
-    allows for any order among the files; the mark, far behind the last request, moves it
-    past all of them.
+    Inside a file, and between the files of one trigger, requests are in any order. The
+    mark, far behind the last request, moves the watermark past all of them.
     """
     folder = session.work_path(lake.spark, "arrivals")
     rows = _requests(lake).withColumn("ts", F.col("ts").cast("timestamp"))
-    rows.repartition(FILES, F.xxhash64("event_id")).write.parquet(folder)
     first, last = rows.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
-    delay = 1 if last is None else (last - first) // 1_000_000 + 1
-    mark = rows.agg((F.max("ts") + F.make_dt_interval(secs=F.lit(delay + 2 * (LIMITS.window + LIMITS.breaker)))).alias("ts")).select(
+    span = 1 if last is None else last - first + 1
+    slices = F.floor((F.unix_micros("ts") - F.lit(first or 0)) * F.lit(FILES / span))
+    for k in range(FILES):
+        rows.where(F.least(slices, F.lit(FILES - 1)) == k).coalesce(1).write.mode("append").parquet(folder)
+    mark = rows.agg((F.max("ts") + F.make_dt_interval(secs=F.lit(2 * (DISORDER + LIMITS.window + LIMITS.breaker)))).alias("ts")).select(
         F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"), "ts"
     )
     mark.coalesce(1).write.mode("append").parquet(folder)
     stream = lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(folder)
-    return stream.withWatermark("ts", f"{delay} seconds")
+    return stream.withWatermark("ts", f"{DISORDER} seconds")
 
 
 def _limited_stream(lake, expire):
@@ -172,6 +175,36 @@ def session_status_stream(lake):
     return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+TOP_ORDER = (("elapsed", True), ("cpu", True), ("user_id", False), ("request_id", False))
+TOP_SESSIONS = f"""
+    SELECT * FROM (
+      SELECT *, CAST(row_number() OVER (PARTITION BY window_start ORDER BY elapsed DESC NULLS LAST, cpu DESC NULLS LAST, user_id, request_id) AS INTEGER) AS rank
+      FROM (SELECT date_trunc('day', ts) AS window_start, user_id, event_id AS request_id, value AS elapsed,
+              CASE WHEN event_type = 'click' THEN value * 0.5 END AS cpu, event_type AS command FROM events))
+    WHERE rank <= {livetop.TOP}
+"""
+
+
+def _session_requests(events):
+    cpu = F.when(F.col("event_type") == "click", F.col("value") * 0.5)
+    return events.select(
+        "ts", "user_id", F.col("event_id").alias("request_id"), F.col("value").alias("elapsed"), cpu.alias("cpu"), F.col("event_type").alias("command")
+    )
+
+
+@query("top_sessions_windows", TOP_SESSIONS)
+def top_sessions_windows(lake):
+    return livetop.top_per_window(_session_requests(lake.table("events")), "ts", "1 day", TOP_ORDER).drop("ts")
+
+
+@query("top_sessions_stream", TOP_SESSIONS)
+def top_sessions_stream(lake):
+    """The live list of each day, as it stands when all requests have come."""
+    requests = _session_requests(run.stream_table(lake, "events", "ts"))
+    rows = livetop.run_live_top(lake.spark, requests, "ts", "1 day", TOP_ORDER, "request_id")
+    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 KPI = f"count(*) AS rows, {hu(mean_sql('value'), 4)} AS avg_value, max(value) AS max_value"
 
 
