@@ -274,11 +274,12 @@ def _searched(search):
 def _met(anchors: DataFrame, file: DataFrame, slices: int, search) -> DataFrame:
     """Every block of anchors meets every file block of its dimension, slice by slice.
 
-    The merge join streams the anchors' side, so that one task sees a slice's blocks in a row.
+    The merge join streams the anchors' side, so that one task sees a slice's blocks in a row. The number
+    of partitions is stated: by their bytes, which tell little of the work, they would be merged.
     """
     names = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
-    asked = anchors.select("*", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
-    theirs = file.select(*[F.col(c).alias(f"file_{c}") for c in names], F.col("slice").alias("file_slice")).hint("merge")
+    asked = anchors.select("*", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice")).repartition(slices, "dim", "slice")
+    theirs = file.select(*[F.col(c).alias(f"file_{c}") for c in names], F.col("slice").alias("file_slice")).repartition(slices, "file_dim", "file_slice").hint("merge")
     joined = asked.join(theirs, (F.col("dim") == F.col("file_dim")) & (F.col("slice") == F.col("file_slice")))
     return joined.select(*names, *[f"file_{c}" for c in names]).mapInArrow(_searched(search), FOUND)
 
