@@ -88,6 +88,37 @@ class Words(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+# Longer words are not remembered, so that a count of words bounds their bytes.
+LONGEST_REMEMBERED = 64
+
+
+class Recent(dict):
+    """What ``make`` gives for a word, remembered for the words met lately.
+
+    There are at most twice ``most`` words: when the newer half is full it becomes the older one, and
+    words met again move to the newer half. So rare words leave and memory stays bounded
+    however many tasks a worker runs.
+    """
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.older = most, {}
+
+    def make(self, word: str):
+        raise NotImplementedError
+
+    def __missing__(self, word: str):
+        value = self.older.pop(word, None)
+        if value is None:
+            value = self.make(word)
+        if len(word) <= LONGEST_REMEMBERED:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[word] = value
+        return value
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A finalizer that spreads every input bit over 64 bits."""
     values = values ^ (values >> np.uint64(33))

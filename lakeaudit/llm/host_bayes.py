@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeaudit.llm.common import map_batches, stored, text_key, with_broadcast_if_small
+from lakeaudit.llm.common import Recent, map_batches, stored, text_key, with_broadcast_if_small
 from lakeaudit.llm.rows import held, released
 
 # About this many labelled documents are used to fit; their ids' hashes decide which.
@@ -39,7 +39,8 @@ REJECT = 0.5
 TARGETS = ("low", "toxic")
 STRIPPED = ".,;:!?\"'()[]{}«»¡¿"
 SIGNS = frozenset("#*$%&|<>!")
-REMEMBERED = 300_000
+# Words a task remembers are twice this at most.
+REMEMBERED = 80_000
 
 
 def _code(kind: str, value: str) -> int:
@@ -51,7 +52,7 @@ def word_features(word: str) -> tuple[int, ...]:
     plain = word.lower().strip(STRIPPED)
     if not plain:
         return ()
-    return (_code("word", plain[:64]), *(_code("first", plain[:k]) for k in range(4, min(7, len(plain)) + 1)))
+    return (_code("word", plain), *(_code("first", plain[:k]) for k in range(4, min(7, len(plain)) + 1)))
 
 
 def shape_features(words: list[str], distinct: set[str], upper: int, signs: int) -> list[int]:
@@ -66,14 +67,11 @@ def shape_features(words: list[str], distinct: set[str], upper: int, signs: int)
     return [_code(kind, str(step)) for kind, (count, of) in counts.items() if count >= LEAST_COUNT for step in STEPS if count >= step * of]
 
 
-class _Known(dict):
+class _Known(Recent):
     """Per word: its features, whether it is in capitals, whether it has signs."""
 
-    def __missing__(self, word: str):
-        value = (word_features(word), len(word) > 1 and word.isupper(), not SIGNS.isdisjoint(word))
-        if len(self) < REMEMBERED and len(word) <= 64:
-            self[word] = value
-        return value
+    def make(self, word: str):
+        return word_features(word), len(word) > 1 and word.isupper(), not SIGNS.isdisjoint(word)
 
 
 def _texts(column: pa.Array) -> list[str]:
@@ -81,8 +79,8 @@ def _texts(column: pa.Array) -> list[str]:
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents, low and toxic ones with each feature, summed per batch."""
-    known = _Known()
+    """Weight of all, of low and of toxic texts with each feature, summed per batch."""
+    known = _Known(REMEMBERED)
     for batch in batches:
         codes, owner = [], []
         for i, text in enumerate(_texts(batch.column(0))):
@@ -97,9 +95,9 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             continue
         code, at = np.unique(np.concatenate(codes), return_inverse=True)
         owner = np.concatenate(owner)
-        columns = [pa.array(code), pa.array(np.bincount(at, minlength=len(code)))]
-        for k in (1, 2):
-            marks = batch.column(k).to_numpy(zero_copy_only=False).astype(np.float64)
+        columns = [pa.array(code)]
+        for k in (1, 2, 3):
+            marks = batch.column(k).to_numpy(zero_copy_only=False)
             columns.append(pa.array(np.bincount(at, weights=marks[owner], minlength=len(code)).astype(np.int64)))
         yield pa.RecordBatch.from_arrays(columns, ["feature", "docs", "low", "toxic"])
 
@@ -113,12 +111,12 @@ class Model:
     rates: dict[str, float]
 
 
-def _weight(bad: Column, docs: Column, all_bad: int, all_docs: int) -> Column:
+def _weight(bad: Column, docs: Column, all_bad: float, all_docs: float) -> Column:
     """Lower end of the log odds ratio's standard error, or null where evidence is thin."""
     fine, all_fine = docs - bad, all_docs - all_bad
     odds = F.log((bad + 0.5) / (all_bad + 1.0)) - F.log((fine + 0.5) / (all_fine + 1.0))
     spread = F.sqrt(1 / (bad + 0.5) + 1 / (fine + 0.5))
-    rate = all_bad / max(all_docs, 1)
+    rate = all_bad / all_docs
     ratio = F.when(bad > 0, bad * F.log(bad / (docs * rate))).otherwise(F.lit(0.0)) + F.when(
         fine > 0, fine * F.log(fine / (docs * max(1 - rate, 1e-9)))
     ).otherwise(F.lit(0.0))
@@ -143,18 +141,27 @@ def labelled_sample(labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
 
 
 def fitted(documents: DataFrame, sample: DataFrame) -> Model:
-    """Feature weights from the sampled labels; the sample is bounded, so it is broadcast."""
-    texts = documents.join(F.broadcast(sample), F.col("doc_id").cast("long") == F.col("label_doc"))
-    # Copies of one text would make its words look telling.
-    texts = texts.select("text", "low", "toxic", text_key().alias("fit_key")).dropDuplicates(["fit_key"]).select("text", "low", "toxic")
-    texts = stored(texts, "fit-texts")
-    totals = texts.agg(F.count(F.lit(1)).alias("docs"), F.sum("low").alias("low"), F.sum("toxic").alias("toxic")).first()
+    """Feature weights from the sampled labels; the sample is bounded, so it is broadcast.
+
+    A text with n labelled copies counts as 1 + log2(n) texts: a label given often is sure, but copies
+    would make each of its words look telling. It is bad to the share of its copies that are. Shares
+    of bad documents are over all labelled rows, as those of hosts are over all rows.
+    """
+    labelled = documents.join(F.broadcast(sample), F.col("doc_id").cast("long") == F.col("label_doc"))
+    marks = labelled.select(text_key().alias("fit_key"), *TARGETS).groupBy("fit_key").agg(F.count(F.lit(1)).alias("n"), *[F.sum(t).alias(t) for t in TARGETS])
+    # Whole thousandths, so that sums do not depend on the order of rows.
+    weight = F.round(1000 * (1 + F.log2("n"))).cast("long")
+    marks = stored(marks.select("fit_key", weight.alias("docs"), "n", *TARGETS, *[F.round(weight * F.col(t) / F.col("n")).cast("long").alias(f"{t}_weight") for t in TARGETS]), "fit-marks")
+    once = labelled.select("text", text_key().alias("fit_key")).dropDuplicates(["fit_key"])
+    texts = stored(once.join(marks, "fit_key").select("text", "docs", *[F.col(f"{t}_weight").alias(t) for t in TARGETS]), "fit-texts")
+    counted = marks.agg(F.sum("n").alias("n"), *[F.sum(t).alias(t) for t in TARGETS]).first()
+    rates = {t: (counted[t] or 0) / max(counted["n"] or 0, 1) for t in TARGETS}
+    totals = texts.agg(*[(F.sum(c) / 1000).alias(c) for c in ("docs", *TARGETS)]).first()
     docs = totals["docs"]
-    rates = {t: (totals[t] or 0) / max(docs, 1) for t in TARGETS}
     weights: dict[int, list[float]] = {}
     if docs:
         counts = map_batches(texts, _count_batches, "feature long, docs long, low long, toxic long")
-        summed = counts.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("docs", *TARGETS)])
+        summed = counts.groupBy("feature").agg(*[(F.sum(c) / 1000).alias(c) for c in ("docs", *TARGETS)])
         useful = stored(
             summed.select("feature", *[_weight(F.col(t), F.col("docs"), totals[t], docs).alias(t) for t in TARGETS]).where("low IS NOT NULL OR toxic IS NOT NULL"),
             "features",
@@ -166,22 +173,22 @@ def fitted(documents: DataFrame, sample: DataFrame) -> Model:
     return Model({k: tuple(v) for k, v in weights.items()}, {}, rates)
 
 
-class _Weighed(dict):
+class _Weighed(Recent):
     """Per word: its largest weight for each target, whether in capitals, whether with signs."""
 
     def __init__(self, weights: dict[int, tuple[float, float]]):
-        super().__init__()
+        super().__init__(REMEMBERED)
         self.weights = weights
+        # Most words are one of these.
+        self.plain = {(0.0, 0.0, upper, signs): (0.0, 0.0, upper, signs) for upper in (False, True) for signs in (False, True)}
 
-    def __missing__(self, word: str):
+    def make(self, word: str):
         found = [self.weights[c] for c in word_features(word) if c in self.weights]
         value = (
             max((x[0] for x in found), default=0.0), max((x[1] for x in found), default=0.0),
             len(word) > 1 and word.isupper(), not SIGNS.isdisjoint(word),
         )
-        if len(self) < REMEMBERED and len(word) <= 64:
-            self[word] = value
-        return value
+        return self.plain.get(value, value)
 
 
 def _scorer(weights):
@@ -245,10 +252,11 @@ def _probability(prior: Column, factor: Column) -> Column:
     return 1 / (1 + F.exp(-(_logit(prior) + factor)))
 
 
-def strength(groups: DataFrame, share: str, rate: float) -> float:
-    """Documents a prior weighs as much as, from how far groups differ (method of moments)."""
+def strength(groups: DataFrame, total: str, rate: float) -> float:
+    """Documents a prior weighs as much as, from how far groups' shares differ (method of moments)."""
+    share = F.col(total) / F.col("docs")
     row = groups.agg(
-        F.sum("docs").alias("docs"), F.count(F.lit(1)).alias("groups"), F.sum(F.col("docs") * (F.col(share) - F.lit(rate)) ** 2).alias("between"),
+        F.sum("docs").alias("docs"), F.count(F.lit(1)).alias("groups"), F.sum(F.col("docs") * (share - F.lit(rate)) ** 2).alias("between"),
     ).first()
     rate = min(max(rate, 1e-4), 1 - 1e-4)
     if not row["docs"] or row["groups"] < 2:
@@ -262,7 +270,7 @@ def judged(documents: DataFrame, labels: DataFrame, host: Column | None = None,
 
     ``host`` and ``path`` are expressions on the documents; by default the source, and the
     language within it. Per target come the document's log factor, the shrunk shares of host and
-    path, and the probability; a document is kept if no probability reaches one half.
+    path without the document itself, and the probability; a document is kept if no probability reaches one half.
 
     Null hosts and paths are groups of their own, null texts are empty ones. Rows equal in
     id and text are judged alike. Without labels nothing is known to be bad and all is kept.
@@ -279,26 +287,25 @@ def judged(documents: DataFrame, labels: DataFrame, host: Column | None = None,
         scores = scores.withColumn(f"{target}_factor", factor).withColumn(
             f"{target}_first", _probability(F.lit(model.rates[target]), F.col(f"{target}_factor"))
         )
-    shares = [F.avg(f"{t}_first").alias(f"{t}_share") for t in TARGETS]
-    hosts = stored(scores.groupBy("host").agg(F.count(F.lit(1)).alias("docs"), *shares), "hosts")
-    paths = stored(scores.groupBy("host", "path").agg(F.count(F.lit(1)).alias("docs"), *shares), "host-paths")
-    totals = hosts.agg(*[(F.sum(F.col("docs") * F.col(f"{t}_share")) / F.sum("docs")).alias(t) for t in TARGETS]).first()
-    for target in TARGETS:
-        rate = totals[target] or 0.0
-        weight = strength(hosts, f"{target}_share", rate)
-        hosts = hosts.withColumn(f"{target}_host", (F.col("docs") * F.col(f"{target}_share") + weight * rate) / (F.col("docs") + weight))
-    above = hosts.select(F.col("host").alias("__host"), *[f"{t}_host" for t in TARGETS])
-    paths = paths.join(above, F.col("host").eqNullSafe(F.col("__host"))).drop("__host")
-    for target in TARGETS:
-        weight = strength(paths, f"{target}_share", totals[target] or 0.0)
-        paths = paths.withColumn(
-            f"{target}_path", (F.col("docs") * F.col(f"{target}_share") + weight * F.col(f"{target}_host")) / (F.col("docs") + weight)
-        )
-    priors = paths.select(
-        F.col("host").alias("__host"), F.col("path").alias("__path"), *[f"{t}_{level}" for t in TARGETS for level in ("host", "path")]
+    sums = [F.sum(f"{t}_first").alias(f"{t}_sum") for t in TARGETS]
+    hosts = stored(scores.groupBy("host").agg(F.count(F.lit(1)).alias("docs"), *sums), "hosts")
+    paths = stored(scores.groupBy("host", "path").agg(F.count(F.lit(1)).alias("docs"), *sums), "host-paths")
+    totals = hosts.agg(F.sum("docs").alias("docs"), *[F.sum(f"{t}_sum").alias(t) for t in TARGETS]).first()
+    rates = {t: (totals[t] or 0.0) / max(totals["docs"] or 0, 1) for t in TARGETS}
+    weights = {(t, level): strength(groups, f"{t}_sum", rates[t]) for t in TARGETS for level, groups in (("host", hosts), ("path", paths))}
+    level = lambda groups, name, *keys: groups.select(
+        *[F.col(k).alias(f"__{k}") for k in keys], F.col("docs").alias(f"{name}_docs"), *[F.col(f"{t}_sum").alias(f"{t}_{name}_sum") for t in TARGETS]
     )
+    above = level(hosts, "host", "host").withColumnRenamed("__host", "__above")
+    priors = level(paths, "path", "host", "path").join(above, F.col("__host").eqNullSafe(F.col("__above"))).drop("__above")
     priors = with_broadcast_if_small(stored(priors, "priors"))
     out = scores.join(priors, F.col("host").eqNullSafe(F.col("__host")) & F.col("path").eqNullSafe(F.col("__path")))
+    for target in TARGETS:
+        # A document's own evidence is no part of its prior.
+        for name, parent in (("host", F.lit(rates[target])), ("path", F.col(f"{target}_host"))):
+            weight = weights[target, name]
+            share = (F.col(f"{target}_{name}_sum") - F.col(f"{target}_first") + weight * parent) / (F.col(f"{name}_docs") - 1 + weight)
+            out = out.withColumn(f"{target}_{name}", F.greatest(share, F.lit(0.0)))
     for target in TARGETS:
         out = out.withColumn(f"p_{target}", _probability(F.col(f"{target}_path"), F.col(f"{target}_factor")))
     figures = [f"{t}_{x}" for t in TARGETS for x in ("factor", "host", "path")]

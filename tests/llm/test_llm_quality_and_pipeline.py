@@ -1,6 +1,7 @@
 """The classifier on held-out labels, and the pipeline's stages."""
 
 import collections
+import math
 import random
 import zlib
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakeaudit.llm import chosen_path, host_bayes, packing
-from lakeaudit.llm.common import window_anchors
+from lakeaudit.llm.common import Recent, window_anchors
 
 SF = "/root/testdata/sf0.1"
 
@@ -43,11 +44,128 @@ def test_sparse_hosts_shrink_towards_the_whole(spark):
     overall = np.mean([r.low_host for r in got.values()])
     # A host with one bad document stays near the whole; the big one moves away from it.
     assert abs(got[204].low_host - overall) < 0.35 and got[0].low_host > got[201].low_host
-    assert not got[0].kept and got[1].low_factor < 0 and got[900].kept
+    assert not got[0].kept and not got[1].kept and got[5].low_factor < 0 and got[5].kept and got[900].kept
     kept = host_bayes.accepted(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {k for k, r in got.items() if r.kept}
 
 
+def plain_weights(rows, labels):
+    """Feature weights of each target from labelled rows (id, text, …), and the shares of bad rows, in plain Python."""
+    marks = {}
+    for doc, quality, toxic in labels:
+        old = marks.get(doc, (0, 0))
+        marks[doc] = (max(old[0], int(quality == 0)), max(old[1], int(toxic == 1)))
+    copies = collections.defaultdict(list)
+    for r in rows:
+        if r[0] in marks:
+            copies[r[1] or ""].append(marks[r[0]])
+    tables = collections.defaultdict(lambda: [0.0, 0.0, 0.0])
+    totals = [0.0, 0.0, 0.0]
+    for text, own in copies.items():
+        weight = round(1000 * (1 + math.log2(len(own))))
+        line = [weight, *(round(weight * sum(m[k] for m in own) / len(own)) for k in (0, 1))]
+        split = text.split()
+        features = {c for w in split for c in host_bayes.word_features(w)}
+        features.update(host_bayes.shape_features(
+            split, set(split), sum(len(w) > 1 and w.isupper() for w in set(split)), sum(not host_bayes.SIGNS.isdisjoint(w) for w in set(split)),
+        ))
+        for table in (totals, *(tables[c] for c in features)):
+            for k in range(3):
+                table[k] += line[k] / 1000
+    found = {}
+    for feature, (docs, *bads) in tables.items():
+        for k, bad in enumerate(bads):
+            fine, all_bad, all_fine = docs - bad, totals[k + 1], totals[0] - totals[k + 1]
+            weight = math.log((bad + 0.5) / (all_bad + 1)) - math.log((fine + 0.5) / (all_fine + 1)) - math.sqrt(1 / (bad + 0.5) + 1 / (fine + 0.5))
+            rate = all_bad / totals[0]
+            ratio = (bad * math.log(bad / (docs * rate)) if bad > 1e-9 else 0) + (fine * math.log(fine / (docs * max(1 - rate, 1e-9))) if fine > 1e-9 else 0)
+            if weight >= host_bayes.LEAST_WEIGHT and ratio >= host_bayes.LEAST_RATIO:
+                found[feature, k] = weight
+    every = [m for own in copies.values() for m in own]
+    return found, [sum(m[k] for m in every) / len(every) for k in (0, 1)]
+
+
+def labelled_rows(seed=3):
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for k in range(500):
+        bad, rude = k % 4 == 0, k % 9 == 0
+        text = "spam " * 60 if bad and k % 8 else prose(rng, 60) + (" | buy || now" * 8 if bad else "") + (" vile@word" if rude else "")
+        rows.append((k, text, rng.choice(["en", None]), rng.choice(["big", "big", f"h{k % 13}", None]), 0))
+        if k % 5:
+            labels.append((k, int(not bad), int(rude)))
+    rows += rows[:20] + [(700 + k, rows[4 * k][1], "en", "copies", 0) for k in range(9)]
+    return rows, labels
+
+
+def test_weights_equal_plain_form(spark):
+    rows, labels = labelled_rows()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    sample = host_bayes.labelled_sample(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    model = host_bayes.fitted(docs.repartition(3), sample)
+    want, rates = plain_weights(rows, labels)
+    got = {(f, k): w for f, own in model.weights.items() for k, w in enumerate(own) if w}
+    assert len(want) > 5 and got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-9 for x in want)
+    assert np.allclose([model.rates[t] for t in host_bayes.TARGETS], rates)
+
+
+def plain_posteriors(first, hosts, paths, factor, rate):
+    """Shares of host and path without the document itself, and the probability, from each row's first probability."""
+    logit = lambda p: math.log(min(max(p, 1e-4), 1 - 1e-4) / (1 - min(max(p, 1e-4), 1 - 1e-4)))
+    overall = sum(first) / len(first)
+
+    def strength(groups):
+        names = collections.Counter(groups)
+        mean = {g: sum(f for f, x in zip(first, groups, strict=True) if x == g) / n for g, n in names.items()}
+        if len(names) < 2:
+            return 1e4
+        r = min(max(overall, 1e-4), 1 - 1e-4)
+        spread = sum(n * (mean[g] - overall) ** 2 for g, n in names.items()) / len(first) - r * (1 - r) * len(names) / len(first)
+        return min(max(r * (1 - r) / max(spread, 1e-9) - 1, 5.0), 1e4)
+
+    weights, out = [strength(hosts), strength(list(zip(hosts, paths, strict=True)))], []
+    for i in range(len(first)):
+        share, prior = [], overall
+        for groups, weight in ((hosts, weights[0]), (list(zip(hosts, paths, strict=True)), weights[1])):
+            others = [first[j] for j in range(len(first)) if groups[j] == groups[i] and j != i]
+            prior = (sum(others) + weight * prior) / (len(others) + weight)
+            share.append(prior)
+        out.append((*share, 1 / (1 + math.exp(-(logit(prior) + factor[i])))))
+    return out
+
+
+def test_posteriors_equal_plain_form(spark):
+    rows, labels = labelled_rows(4)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = host_bayes.judged(docs.repartition(3), frame).collect()
+    assert len(got) == len(rows)
+    _, rates = plain_weights(rows, labels)
+    hosts, paths = [r.host for r in got], [r.path for r in got]
+    for target, rate in zip(host_bayes.TARGETS, rates, strict=True):
+        factor = [r[f"{target}_factor"] for r in got]
+        first = [1 / (1 + math.exp(-(math.log(rate / (1 - rate)) + f))) for f in factor]
+        want = plain_posteriors(first, hosts, paths, factor, rate)
+        assert np.allclose([(r[f"{target}_host"], r[f"{target}_path"], r[f"p_{target}"]) for r in got], want)
+    bad = {r.doc_id for r in got if not r.kept}
+    assert {k for k, text, *_ in rows if text.startswith("spam")} <= bad and not any(k % 4 and k % 9 for k in bad if k < 500)
+
+
+def test_words_met_lately_are_remembered():
+    class Lengths(Recent):
+        made = 0
+
+        def make(self, word):
+            self.made += 1
+            return len(word)
+
+    known = Lengths(10)
+    for k in range(1000):
+        assert known[f"rare{k}"] == len(f"rare{k}") and known["often"] == 5
+    assert known.made == 1001 and len(known) + len(known.older) <= 20
+    assert known["x" * 100] == 100 and "x" * 100 not in known
+
+
 def test_labels_with_nulls_and_repeats(spark):
     docs = spark.createDataFrame([(1, "a b c", "en", "s", 5), (2, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
     labels = spark.createDataFrame([(1, None, None), (1, 0, 1), (None, 0, 1), (3, 1, 0)], "doc_id long, quality int, toxic int")
