@@ -7,9 +7,12 @@ bucket leave after each pass.
 
 Runs of neighbouring suffixes share an anchor, a place picked by content alone inside the
 first ``REACH`` bytes of each window, and pass together as long as they can: the first digit
-is the block every window of the anchor holds, the second all bytes that its windows cover.
-Anchors equal in both are repeated with all their windows. Only windows of anchors
-equal in the first digit and not in the second are ordered one by one by their whole depth.
+is the block every window of the anchor holds. Anchors equal in it are told apart by all bytes
+their windows cover: those equal in these too are repeated with all their windows. Where a bucket
+is still mixed, the next pass takes the windows in ranges of ``STEP`` places before the
+anchor, whose digit is longer, as fewer windows share more bytes; ranges alone in their bucket
+leave, equal ones are repeated as a whole, and only windows of ranges that are still mixed are
+ordered one by one by their whole depth.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ WINDOW = 400
 # Starts among which a window's anchor is picked, and the bytes that an anchor's hash reads.
 REACH = 256
 GRAM = 64
+# Windows of one range between the pass of anchors and that of windows.
+STEP = 16
 _BYTES = 8
 _INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 
@@ -96,19 +101,53 @@ def _digit_batches(window: int, reach: int, gram: int):
     return emit
 
 
-def _window_batches(window: int, reach: int, gram: int):
-    """Hashes of all windows of the listed anchors."""
+def _starts(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All places from each first to its last one."""
+    counts = last - first + 1
+    return np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+
+
+def _range_batches(window: int, reach: int, gram: int, step: int):
+    """Of the listed anchors the ranges of their windows: place, digit and context of each.
+
+    A range holds the windows that start so far before the anchor. Its digit is what all windows of a
+    whole range share, its context what its own windows cover.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, text, marks in zip(batch.column(0).to_pylist(), binary(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                hashes, _, first, last = anchored(text, window, reach, gram)
+                hashes, at, first, last = anchored(text, window, reach, gram)
                 marks = np.array(sorted(set(marks)), np.int64)
-                counts = last[marks] - first[marks] + 1
-                starts = np.repeat(first[marks] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+                at, nearest, farthest = at[marks], (at[marks] - last[marks]) // step, (at[marks] - first[marks]) // step
+                part = _starts(nearest, farthest)
+                own = np.repeat(np.arange(len(marks)), farthest - nearest + 1)
+                at, begin, end = at[own], first[marks][own], last[marks][own]
+                begin, end = np.maximum(begin, at - step * part - step + 1), np.minimum(end, at - step * part)
+                shared = hashes.of(at - step * part, at - step * part - step + 1 + window)
+                seen = (at - begin) * window + (end - begin)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(starts), row), pa.int64()), pa.array(starts.astype(np.int32)), pa.array(signed(hashes.of(starts, starts + window)))],
-                    ["row", "start", "window"],
+                    [
+                        pa.array(np.full(len(part), row), pa.int64()), pa.array(begin << 32 | end), pa.array(signed(mixed(shared ^ mixed(part.astype(np.uint64))))),
+                        pa.array(signed(mixed(hashes.of(begin, end + window) ^ mixed(seen.astype(np.uint64))))),
+                    ],
+                    ["row", "mark", "digit", "context"],
+                )
+
+    return emit
+
+
+def _window_batches(window: int):
+    """Hashes of all windows of the listed ranges."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text, ranges in zip(batch.column(0).to_pylist(), binary(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                ranges = np.array(sorted(set(ranges)), np.int64)
+                starts = _starts(ranges >> 32, ranges & 0xFFFFFFFF)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(starts), row), pa.int64()), pa.array(starts << 32 | starts), pa.array(signed(Hashes(text).of(starts, starts + window)))],
+                    ["row", "mark", "window"],
                 )
 
     return emit
@@ -118,12 +157,15 @@ def _removed_batches(window: int, reach: int, gram: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, spans, digests, kept_texts = [], [], [], [], []
-            for text, marks, starts in zip(binary(batch.column(2)), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                _, _, first, last = anchored(text, window, reach, gram)
-                marks, starts = np.array(marks or [], np.int64), np.array(starts or [], np.int64)
+            for text, marks, ranges in zip(binary(batch.column(2)), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                marks, ranges = np.array(marks, np.int64), np.array(ranges, np.int64)
+                begin, end = ranges >> 32, ranges & 0xFFFFFFFF
+                if len(marks):
+                    _, _, first, last = anchored(text, window, reach, gram)
+                    begin, end = np.concatenate([first[marks], begin]), np.concatenate([last[marks], end])
                 edge = np.zeros(len(text) + 1, np.int64)
-                np.add.at(edge, np.concatenate([first[marks], starts]), 1)
-                np.add.at(edge, np.concatenate([last[marks], starts]) + window, -1)
+                np.add.at(edge, begin, 1)
+                np.add.at(edge, end + window, -1)
                 gone = np.cumsum(edge[: len(text)]) > 0
                 begins, ends = runs(gone)
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
@@ -144,32 +186,44 @@ def _removed_batches(window: int, reach: int, gram: int):
     return emit
 
 
-def repeated_suffixes(documents: DataFrame, scanned: DataFrame, window: int, reach: int, gram: int) -> DataFrame:
-    """(row, marks, starts): anchors all of whose windows are repeated, and single repeated windows."""
-    # First pass: anchors alone with their first digit leave.
-    buckets = stored(
-        scanned.select(F.explode("digits").alias("digit")).groupBy("digit").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digit"), "digits"
-    )
+def _pass(nodes: DataFrame, name: str) -> DataFrame:
+    """(row, mark, n, stands) of the nodes that are not alone with their digit.
+
+    ``n`` nodes are equal in the context as well. In a bucket with several contexts one node of each
+    stands for it in the next pass.
+    """
+    buckets = stored(nodes.groupBy("digit").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digit"), f"{name}-digits")
+    left = stored(nodes.join(buckets, "digit"), name)
+    code = F.xxhash64("row", "mark")
+    contexts = left.groupBy("digit", "context").agg(F.count(F.lit(1)).alias("n"), F.min(code).alias("code"))
+    per_digit = contexts.groupBy("digit").agg(F.count(F.lit(1)).alias("contexts"))
+    sized = stored(contexts.join(per_digit, "digit").where("n > 1 OR contexts > 1"), f"{name}-contexts")
+    own = left.join(sized, ["digit", "context"])
+    return stored(own.select("row", "mark", "n", ((F.col("contexts") > 1) & (code == F.col("code"))).alias("stands")), f"{name}-own")
+
+
+def repeated_suffixes(documents: DataFrame, scanned: DataFrame, window: int, reach: int, gram: int, step: int = STEP) -> DataFrame:
+    """(row, marks, ranges): anchors all of whose windows are repeated, and ranges of repeated windows."""
+
+    def texts_of(todo: DataFrame, name: str) -> DataFrame:
+        listed_ = stored(todo.where("stands").groupBy("row").agg(F.collect_set("mark").alias("todo")), name)
+        return texts_with(_with_row(documents).select("row", "text"), listed_, "todo").dropDuplicates(["row"]).select("row", "text", "todo")
+
     anchors = scanned.select("row", F.posexplode(F.arrays_zip("digits", "contexts")).alias("mark", "x")).select(
         "row", "mark", F.col("x.digits").alias("digit"), F.col("x.contexts").alias("context")
     )
-    anchors = stored(anchors.join(buckets, "digit"), "anchors")
-    # Second pass: equal in all bytes that the anchor's windows cover.
-    code = F.xxhash64("row", "mark")
-    contexts = anchors.groupBy("digit", "context").agg(F.count(F.lit(1)).alias("n"), F.min(code).alias("code"))
-    per_digit = contexts.groupBy("digit").agg(F.count(F.lit(1)).alias("contexts"))
-    sized = stored(contexts.join(per_digit, "digit").where("n > 1 OR contexts > 1"), "contexts")
-    own = stored(anchors.join(sized, ["digit", "context"]).withColumn("stands", (F.col("contexts") > 1) & (code == F.col("code"))), "own")
-    whole = own.where("n > 1").groupBy("row").agg(F.collect_set("mark").alias("marks"))
-    # Last pass: of each context in a mixed bucket one anchor's windows, through the whole depth.
-    todo = stored(own.where("stands").groupBy("row").agg(F.collect_set("mark").alias("todo")), "todo")
-    texts = texts_with(_with_row(documents).select("row", "text"), todo, "todo").dropDuplicates(["row"]).select("row", "text", "todo")
-    each = stored(map_batches(texts, _window_batches(window, reach, gram), "row long, start int, window long"), "windows")
+    first = _pass(anchors, "anchors")
+    schema = "row long, mark long, digit long, context long"
+    ranges = stored(map_batches(texts_of(first, "todo"), _range_batches(window, reach, gram, step), schema), "ranges")
+    second = _pass(ranges, "ranges")
+    each = stored(map_batches(texts_of(second, "todo-ranges"), _window_batches(window), "row long, mark long, window long"), "windows")
     again = each.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
-    single = each.join(again, "window").groupBy("row").agg(F.collect_set("start").alias("starts"))
-    none = F.array().cast("array<int>")
-    both = whole.join(single, "row", "full").select("row", F.coalesce("marks", none).alias("marks"), F.coalesce("starts", none).alias("starts"))
-    return both.withColumn("places", F.concat("marks", "starts"))
+    single = each.join(again, "window").select("row", "mark").unionByName(second.where("n > 1").select("row", "mark"))
+    none = F.array().cast("array<long>")
+    whole = first.where("n > 1").groupBy("row").agg(F.collect_set("mark").alias("marks"))
+    parts = single.groupBy("row").agg(F.collect_set("mark").alias("ranges"))
+    both = whole.join(parts, "row", "full").select("row", F.coalesce(F.col("marks").cast("array<long>"), none).alias("marks"), F.coalesce("ranges", none).alias("ranges"))
+    return both.withColumn("places", F.concat("marks", "ranges"))
 
 
 def without_repeats(documents: DataFrame, window: int = WINDOW, reach: int = REACH, gram: int = GRAM) -> DataFrame:
@@ -190,7 +244,7 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, reach: int = REA
         "suffixes",
     )
     found = stored(repeated_suffixes(documents, scanned, window, reach, gram), "repeats")
-    texts = texts_with(_with_row(documents), found, "places").select("row", F.col("doc_id").cast("long").alias("doc_id"), "text", "marks", "starts")
+    texts = texts_with(_with_row(documents), found, "places").select("row", F.col("doc_id").cast("long").alias("doc_id"), "text", "marks", "ranges")
     schema = "row long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<string>, kept binary"
     changed = map_batches(texts, _removed_batches(window, reach, gram), schema)
     zero = F.lit(0).cast("long")
