@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeaudit.llm.common import text_key
+from lakeaudit.llm.common import stored, text_key
 from lakeaudit.llm.rows import HELD, held, released
 
 # The patterns of the base kinds, in the order in which equal starts are listed.
@@ -127,7 +127,8 @@ def with_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     A null text is empty and has no spans. Rows equal in id and text have equal spans, null
     ids are ids of their own, and no rows give no rows.
     """
-    parts = parts_of(documents)
+    # Read three times below; written once, so that the patterns run over each text once. It holds no text.
+    parts = stored(parts_of(documents), "secret-parts")
     more = linked(parts, window).select(F.col("doc_id").alias("__doc"), F.col("__key").alias("__doc_key"), "linked")
     joined = parts.join(more, parts["doc_id"].eqNullSafe(more["__doc"]) & (parts["__key"] == more["__doc_key"]), "left")
     none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
