@@ -44,21 +44,8 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-# Spark filters the larger side of a join by a Bloom filter of the other one, of this size at most
-# however many rows there are, before it shuffles that side.
-BLOOM = {
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
-    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
-    "spark.sql.optimizer.runtime.bloomFilter.numBits": str(1 << 26),
-    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
-}
-
-
 def texts_with(texts: DataFrame, rows: DataFrame, listed: str, on: str = "row") -> DataFrame:
-    """Texts joined with the rows whose list ``listed`` isn't empty; other texts mostly stay where they are."""
-    for key, value in BLOOM.items():
-        texts.sparkSession.conf.set(key, value)
+    """Texts joined with the rows whose list ``listed`` isn't empty."""
     return texts.join(rows.where(F.size(listed) > 0), on)
 
 

@@ -4,8 +4,9 @@ Every window of ``WINDOW`` words holds one anchor phrase of ``PHRASE`` words, pi
 content alone, so that equal windows have the same phrase at the same place. Phrases that
 occur twice or more in the corpus are confirmed first, by counting. Documents are then streamed
 in shards of bounded size: each shard's confirmed phrases are compiled into an Aho-Corasick
-automaton, which confirms the places in the shard's documents that the hashes found. Only the
-windows around those places are compared across the corpus.
+automaton, which confirms the places in the shard's documents that the hashes found. The automata
+read words as codes of two letters, so that a phrase is sixteen letters however long its words
+are. Only the windows around those places are compared across the corpus.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ WINDOW = 20
 PHRASE = 8
 # Phrases of one automaton, which bounds a worker's memory.
 AUTOMATON = 20_000
+# Words of the documents held at once, so that many copies, which add no phrase, fill no worker.
+SHARD_WORDS = 1_000_000
+# Letters of a word's code.
+LETTERS = 2
 
 
 def _digest(words: list[bytes]) -> str:
@@ -71,33 +76,42 @@ def _automaton(patterns: list[str]) -> ahocorasick.Automaton:
     return built
 
 
+def _coded(hashes: np.ndarray) -> str:
+    """A text in which each word is two letters, the upper 16 bits of its hash."""
+    return (hashes >> np.uint64(48)).astype("<u2").tobytes().decode("latin-1")
+
+
 def _shards(batches: Iterator[pa.RecordBatch], words: Words, window: int, phrase: int):
-    """Documents in shards with the texts of their confirmed phrases, ``AUTOMATON`` at most unless one has more."""
-    held, patterns = [], set()
+    """Documents in shards with the codes of their confirmed phrases.
+
+    A shard has ``AUTOMATON`` phrases and ``SHARD_WORDS`` words at most, unless one document has more.
+    """
+    held, patterns, size = [], set(), 0
     for batch in batches:
         confirmed = batch.column(3).to_pylist()
         for row, doc, text, mine in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), binary(batch.column(2)), confirmed, strict=True):
-            split = text.split()
-            sums = Sums(words.hashes(split))
+            own_hashes = words.hashes(text.split())
+            sums = Sums(own_hashes)
             hashes, places, first, last = _anchors(sums, window, phrase)
+            line = _coded(own_hashes)
             known = np.isin(signed(hashes), np.array(mine, np.int64))
-            own = {f" {b' '.join(split[p : p + phrase]).decode('latin-1')} " for p in places[known].tolist()}
-            if held and len(patterns) + len(own) > AUTOMATON:
+            own = {line[LETTERS * p : LETTERS * (p + phrase)] for p in places[known].tolist()}
+            if held and (len(patterns) + len(own) > AUTOMATON or size + len(own_hashes) > SHARD_WORDS):
                 yield held, list(patterns)
-                held, patterns = [], set()
-            held.append((row, doc, split, sums, hashes, places, first, last))
+                held, patterns, size = [], set(), 0
+            held.append((row, doc, line, sums, hashes, places, first, last))
             patterns |= own
+            size += len(own_hashes)
     if held:
         yield held, list(patterns)
 
 
-def _located(split: list[bytes], automata: list[ahocorasick.Automaton]) -> np.ndarray:
-    """Which words start one of the phrases."""
-    line = f" {b' '.join(split).decode('latin-1')} "
-    ends = [end - size + 1 for built in automata for end, size in built.iter(line)]
-    begins = np.cumsum([0, *(len(w) + 1 for w in split)])[:-1]
-    found = np.zeros(len(split), bool)
-    found[np.searchsorted(begins, np.array(ends, np.int64))] = True
+def _located(line: str, phrase: int, automata: list[ahocorasick.Automaton]) -> np.ndarray:
+    """Which words start one of the phrases; a match between two words' codes is none."""
+    ends = np.array([end for built in automata for end, _ in built.iter(line)], np.int64)
+    begins = ends + 1 - LETTERS * phrase
+    found = np.zeros(len(line) // LETTERS, bool)
+    found[begins[begins % LETTERS == 0] // LETTERS] = True
     return found
 
 
@@ -110,8 +124,8 @@ def _mark_batches(window: int, phrase: int):
             automata = [_automaton(patterns[k : k + AUTOMATON]) for k in range(0, len(patterns), AUTOMATON)]
             columns: list[list[np.ndarray]] = [[], [], [], [], []]
             docs, windows = [], []
-            for row, doc, split, sums, hashes, places, first, last in held:
-                known = _located(split, automata)[places]
+            for row, doc, line, sums, hashes, places, first, last in held:
+                known = _located(line, phrase, automata)[places]
                 hashes, places, first, last = hashes[known], places[known], first[known], last[known]
                 # The context of an anchor is all words that its windows cover, as seen from the anchor.
                 seen = (places - first) * window + (last - first)

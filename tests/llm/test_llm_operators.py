@@ -354,6 +354,26 @@ def test_repeated_phrases_with_many_automata(spark, monkeypatch):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in phrases.repeat_report(frame(spark, rows)).collect()} == want
 
 
+def test_many_copies_fill_no_shard(monkeypatch):
+    """50,000 copies of one text in one partition: they add no phrase, yet shards close by their words."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(phrases, "SHARD_WORDS", 5000)
+    text = prose(random.Random(13), 60)
+    count = len(text.split())
+    known = phrases.signed(phrases._anchors(phrases.Sums(phrases.Words().hashes(text.encode().split())), 20, 8)[0]).tolist()
+
+    def batches():
+        for _ in range(100):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([1] * 500), pa.array([1] * 500), pa.array([text] * 500), pa.array([known] * 500, pa.list_(pa.int64()))], ["row", "doc_id", "text", "confirmed"]
+            )
+
+    sizes = [(len(held), len(patterns)) for held, patterns in phrases._shards(batches(), phrases.Words(), 20, 8)]
+    assert sum(n for n, _ in sizes) == 50_000 and max(n for n, _ in sizes) * count <= 5000
+    assert {k for _, k in sizes} == {len(set(known))}
+
+
 def test_repeated_bytes(docs):
     got = collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.repeat_report(docs).collect())
     assert got == collections.Counter(without_repeated_bytes(ROWS, 400))
