@@ -1,6 +1,7 @@
 """The corpus operators against plain Python forms, on odd rows."""
 
 import collections
+import math
 import random
 import zlib
 
@@ -268,6 +269,35 @@ def test_vector_file_equals_all_products(spark):
     assert got == {k: (int(c), int(s)) for k, (c, s) in want.items()}
 
 
+def test_vector_file_with_huge_components_and_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vafile, "FILE_BLOCK", 16)
+    monkeypatch.setattr(vafile, "QUERY_BLOCK", 2)
+    rng = np.random.default_rng(7)
+    vectors = [(int(k), [float(x) for x in rng.normal(size=6)]) for k in range(500)]
+    vectors += [(600, [1e17, 0.0, 1.0, 0.0, 0.0, 0.0]), (601, [-1e17, 1.0, 0.0, 0.0, 0.0, 0.0]), (650, [3.0] * 6), (602, [1e8] * 6)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    whole = {k: [math.floor(256 * x) for x in v] for k, v in vectors}
+    want = []
+    for q in whole:
+        if q % 50 == 0:
+            scores = sorted((-min(max(sum(x * y for x, y in zip(whole[q], w, strict=True)), -(2**63)), 2**63 - 1), c) for c, w in whole.items() if c != q)
+            want += [(q, rank, c, -s) for rank, (s, c) in enumerate(scores[:5], 1)]
+    assert sorted(tuple(r) for r in vafile.nearest(df.repartition(5)).collect()) == sorted(want)
+
+
+def test_vector_file_bounds_grow_with_queries_only(spark, monkeypatch):
+    """What is stored per query doesn't grow with the blocks of a slice."""
+    rng = np.random.default_rng(8)
+    cells = ({4: np.sort(rng.normal(size=(4, 255)) * 256, axis=1)}, -5000.0, 5000.0)
+    ids = np.arange(4000)
+    block = vafile._Queries(4, ids[:3].tobytes(), np.floor(rng.normal(size=(3, 4)) * 256).tobytes(), vafile._edges(*cells[:1], 4, *cells[1:]), 5)
+    sizes = []
+    for k in range(0, 4000, 50):
+        block.see(ids[k : k + 50].tobytes(), ids[k : k + 50].tobytes(), rng.integers(1, 255, (50, 4)).astype(np.uint8).tobytes())
+        sizes.append(len(block.left()[0]))
+    assert max(sizes[40:]) <= 3 * 5 * 20
+
+
 def _filled(sizes, weights, share, most):
     """Clamp, hand the excess to the others by weight, until none is above."""
     total, capped = share * sum(sizes), set()
