@@ -10,11 +10,11 @@ from lakeaudit import fixtures as fx
 from lakeaudit import session
 from lakeaudit.functions.numbers import half_up_sql as hu
 from lakeaudit.functions.numbers import mean_sql
-from lakeaudit.operators import aggregates, filters, inclusion, keysearch, layout, model, profile, workload
+from lakeaudit.operators import aggregates, filters, inclusion, keysearch, layout, model, overlap, profile, workload
 from lakeaudit.operators.layout import LayoutSpec
 from lakeaudit.operators.profile import Constraint
 from lakeaudit.operators.small import settle
-from lakeaudit.sources import inventory, sinks
+from lakeaudit.sources import footers, inventory, sinks
 from lakeaudit.sources.tables import TABLES
 from lakeaudit.suite.registry import query
 
@@ -335,6 +335,54 @@ def small_file_health(lake):
     return inventory.small_file_health(inventory.file_rows(lake, TABLES), SMALL)
 
 
+STAMPED = "strftime(CAST({0} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f')"
+_bound = lambda side, kind: {
+    "number": f"CASE WHEN type IN ('INT32', 'INT64', 'DOUBLE') AND NOT stamp AND NOT nested THEN CAST(stats_{side}_value AS DOUBLE) END",
+    "text": f"CASE WHEN nested OR greatest(len(stats_min_value), len(stats_max_value)) > {footers.LONGEST_BOUND} OR stats_min_value IS NULL OR stats_max_value IS NULL THEN NULL WHEN stamp THEN {STAMPED.format(f'stats_{side}_value')} WHEN type = 'BYTE_ARRAY' THEN stats_{side}_value END",
+}[kind]
+
+
+@query("column_storage", f"""
+    WITH m AS (SELECT *, regexp_extract(file_name, '([a-z]+)\\.parquet$', 1) AS table_name, split_part(path_in_schema, ', ', 1) AS column_name,
+        contains(path_in_schema, ', ') AS nested, split_part(path_in_schema, ', ', 1) IN ('ts', 'o_orderdate', 'l_shipdate') AS stamp
+      FROM parquet_metadata('/root/testdata/sf0.01/*.parquet')),
+    c AS (SELECT *, {_bound('min', 'number')} AS lo_n, {_bound('max', 'number')} AS hi_n, {_bound('min', 'text')} AS lo_t, {_bound('max', 'text')} AS hi_t FROM m),
+    g AS (SELECT table_name, column_name, count(DISTINCT file_name) AS files, count(*) AS chunks, CAST(sum(num_values) AS BIGINT) AS "values",
+        CAST(sum(stats_null_count) AS BIGINT) AS null_count, CAST(sum(total_compressed_size) AS BIGINT) AS compressed_bytes,
+        CAST(sum(total_uncompressed_size) AS BIGINT) AS plain_bytes, min(lo_n) AS min_number, max(hi_n) AS max_number, min(lo_t) AS min_text, max(hi_t) AS max_text
+      FROM c GROUP BY table_name, column_name)
+    SELECT *, {hu('compressed_bytes / sum(compressed_bytes) OVER (PARTITION BY table_name)', 4)} AS share, {hu('plain_bytes / compressed_bytes', 4)} AS ratio FROM g
+""")
+def column_storage(lake):
+    return footers.column_storage(footers.column_chunks(lake, TABLES))
+
+
+# Orders stored by key, and by month: groups of rows with the bounds of three columns.
+STORED = ("by_key", "o_orderkey // 500", "o_orderkey div 500"), ("by_month", "year(o_orderdate) * 12 + month(o_orderdate)", "year(o_orderdate) * 12 + month(o_orderdate)")
+BOUNDED = ("o_orderkey", "o_custkey", "o_totalprice")
+INTERVALS = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high FROM orders GROUP BY {group}"
+    for name, group, _ in STORED for c in BOUNDED
+)
+
+
+@query("overlap_depth", f"""
+    WITH i AS ({INTERVALS}), b AS (SELECT table_name, column_name, low AS v FROM i UNION SELECT table_name, column_name, high FROM i),
+    d AS (SELECT b.table_name, b.column_name, v, count(*) AS depth FROM b JOIN i ON i.table_name = b.table_name AND i.column_name = b.column_name
+            AND low <= v AND v <= high GROUP BY ALL),
+    n AS (SELECT table_name, column_name, count(*) AS groups FROM i GROUP BY ALL)
+    SELECT table_name, column_name, groups, count(*) AS bounds, max(depth) AS max_depth, {hu('avg(depth)', 4)} AS mean_depth
+    FROM d JOIN n USING (table_name, column_name) GROUP BY ALL
+""")
+def overlap_depth(lake):
+    parts = None
+    for name, _, group in STORED:
+        sides = [F.struct(F.lit(c).alias("column_name"), F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high")) for c in BOUNDED]
+        one = lake.table("orders").groupBy(F.expr(group)).agg(F.array(*sides).alias("x")).select(F.lit(name).alias("table_name"), F.inline("x"))
+        parts = one if parts is None else parts.unionByName(one)
+    return overlap.overlap_depth(parts)
+
+
 COMPOSITES = (
     ("lineitem", ("l_orderkey", "l_linenumber")),
     ("lineitem", ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")),

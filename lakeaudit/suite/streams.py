@@ -281,6 +281,15 @@ def tool_log_figures(lake):
     return monitor.call_figures(monitor.paired_calls(fx.toollog(lake)))
 
 
+CALL_WINDOWS = CALLS + f"""
+    SELECT time_bucket(INTERVAL 6 HOURS, started) AS window_start, tool, count(*) AS calls, count(*) FILTER (WHERE outcome = 'tool.success') AS succeeded,
+      count(*) FILTER (WHERE outcome = 'tool.error') AS failed, count(*) FILTER (WHERE outcome IS NULL) AS never_finished,
+      {hu("count(*) FILTER (WHERE outcome = 'tool.success') / nullif(count(outcome), 0)", 4)} AS success_rate,
+      quantile_disc(elapsed_ms, 0.5) AS p50_ms, quantile_disc(elapsed_ms, 0.95) AS p95_ms
+    FROM calls WHERE time_bucket(INTERVAL 6 HOURS, started) + INTERVAL 6 HOURS <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR GROUP BY ALL
+"""
+
+
 @query("tool_log_stream", f"""
     SELECT event_id AS invocation_id, 'tool_' || event_type AS tool, ts AS started,
       CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_type = 'error' THEN 'tool.error' ELSE 'tool.success' END AS outcome,
@@ -289,6 +298,11 @@ def tool_log_figures(lake):
 """)
 def tool_log_stream(lake):
     """Finished calls, and those that can no longer finish within an hour."""
+    rows = run.run_to_table(_paired_stream(lake), "calls")
+    return rows.withColumn("started", F.col("started").cast("timestamp_ntz"))
+
+
+def _paired_stream(lake):
     events = run.stream_table(lake, "events", "ts")
     starts = events.select(
         F.col("event_id").alias("invocation_id"), F.concat(F.lit("tool_"), "event_type").alias("tool"), F.col("ts").alias("started")
@@ -300,5 +314,11 @@ def tool_log_stream(lake):
         F.when(F.col("event_type") == "error", monitor.ERROR).otherwise(monitor.SUCCESS).alias("outcome"),
         elapsed.alias("elapsed_ms"),
     )
-    rows = run.run_to_table(monitor.paired_calls_stream(starts, ends, "1 hour", "1 HOUR"), "calls")
-    return rows.withColumn("started", F.col("started").cast("timestamp_ntz"))
+    return monitor.paired_calls_stream(starts, ends, "1 hour", "1 HOUR")
+
+
+@query("tool_log_figures_stream", CALL_WINDOWS)
+def tool_log_figures_stream(lake):
+    """Six hours' figures of each tool, of the windows whose calls have all been paired."""
+    rows = run.run_to_table(monitor.call_figures_stream(_paired_stream(lake), "started", "6 hours"), "call-figures")
+    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
