@@ -10,7 +10,7 @@ from lakeaudit import fixtures as fx
 from lakeaudit import session
 from lakeaudit.functions.numbers import half_up_sql as hu
 from lakeaudit.functions.numbers import mean_sql
-from lakeaudit.operators import aggregates, filters, inclusion, keysearch, layout, model, overlap, profile, workload
+from lakeaudit.operators import aggregates, filters, inclusion, keysearch, layout, model, overlap, profile, sketchprofile, workload
 from lakeaudit.operators.layout import LayoutSpec
 from lakeaudit.operators.profile import Constraint
 from lakeaudit.operators.small import settle
@@ -357,6 +357,35 @@ def column_storage(lake):
     return footers.column_storage(footers.column_chunks(lake, TABLES))
 
 
+SKETCHED = {"l_orderkey": "bigint", "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_linenumber": "int", "l_returnflag": "string", "l_shipdate": "stamp"}
+_sketched_sql = lambda c, kind: f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+      {f'CAST(min({c}) AS DOUBLE)' if kind in ('int', 'bigint', 'double') else 'NULL::DOUBLE'} AS min_number,
+      {f'CAST(max({c}) AS DOUBLE)' if kind in ('int', 'bigint', 'double') else 'NULL::DOUBLE'} AS max_number,
+      true AS distinct_close, {'true' if kind in ('int', 'bigint', 'double') else 'NULL::BOOLEAN'} AS median_close FROM lineitem"""
+
+
+@query("sketch_profile", " UNION ALL ".join(_sketched_sql(c, kind) for c, kind in SKETCHED.items()))
+def sketch_profile(lake):
+    """Figures from merged sketches, and whether their estimates lie within 6 per cent of the distinct count and 3 of the median's rank."""
+    sketches, _ = sketchprofile.refreshed(lake, "lineitem", columns=tuple(SKETCHED))
+    found = sketchprofile.merged(sketches)
+    lines = lake.table("lineitem")
+    exact = None
+    for c, kind in SKETCHED.items():
+        one = lines.agg(F.count_distinct(c).alias("exact")).select(F.lit(c).alias("column_name"), "exact")
+        exact = one if exact is None else exact.unionByName(one)
+    # A row per column on both sides; ranks are shares of rows below and up to the estimate.
+    medians = {r["column_name"]: r["q50"] for r in found.collect() if r["q50"] is not None}
+    ranks = lines.agg(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.avg((F.col(c) < m).cast("double")).alias("below"), F.avg((F.col(c) <= m).cast("double")).alias("up_to")) for c, m in medians.items()
+    ]).alias("x")).select(F.inline("x"))
+    return found.join(exact, "column_name").join(ranks, "column_name", "left").select(
+        "column_name", "row_count", "null_count", "min_number", "max_number",
+        (F.abs(F.col("distinct_count") - F.col("exact")) <= 0.06 * F.col("exact")).alias("distinct_close"),
+        ((F.col("below") <= 0.53) & (F.col("up_to") >= 0.47)).alias("median_close"),
+    )
+
+
 # Orders stored by key, and by month: groups of rows with the bounds of three columns.
 STORED = ("by_key", "o_orderkey // 500", "o_orderkey div 500"), ("by_month", "year(o_orderdate) * 12 + month(o_orderdate)", "year(o_orderdate) * 12 + month(o_orderdate)")
 BOUNDED = ("o_orderkey", "o_custkey", "o_totalprice")
