@@ -45,7 +45,10 @@ def missing_flag(left: DataFrame, right: DataFrame, left_key: str, right_key: st
 
 
 def best_per_key(df: DataFrame, key: str, order: Sequence[Column], keep: Sequence[str]) -> DataFrame:
-    """The top row of every key as one partial aggregate: no group is gathered or sorted."""
+    """The top row of every key as one partial aggregate: no group is gathered.
+
+    A struct can't be an entry of Spark's hash aggregation, so each task sorts its rows by key.
+    """
     best = F.max_by(F.struct(*keep), F.struct(*order)).alias("_best")
     return df.groupBy(key).agg(best).select(key, "_best.*")
 

@@ -33,26 +33,28 @@ def ordered_distinct(refs: DataFrame, key: str = "stmt_id") -> DataFrame:
 def _uses_and_pairs(stmts: DataFrame, key: str, sql: str) -> DataFrame:
     """Statements per table (edge ``names``) and per table pair, in one pass over the texts.
 
-    A written table is paired with each table the statement reads; in a pure read the
-    first table is paired with the others. That is one pair per table named, not one
-    per pair of tables.
+    A statement's references are its reads and then its writes; a text of several statements has one such
+    block after the other. A written table is paired with each table read in its block; tables of
+    reads without a write are paired with all that follow. The list of a text is short.
     """
     refs = sqltext.statement_references(stmts.select(key, sql), sql)
-    names = lambda kind: F.array_distinct(
-        F.transform(F.filter("references", lambda r: r["kind"] == kind), _full_name)
-    )
-    used = refs.select(names("read").alias("reads"), names("write").alias("writes")).select(
-        F.when(F.size("writes") > 0, "writes_from").otherwise("read_with").alias("edge"),
-        F.coalesce(F.get("writes", F.lit(0)), F.get("reads", F.lit(0))).alias("anchor"),
-        F.array_distinct(F.concat("reads", "writes")).alias("tables"),
-    )
-    entry = lambda edge, a, b: F.struct(edge.alias("edge"), a.alias("from_table"), b.alias("to_table"))
-    named = F.transform("tables", lambda t: entry(F.lit("names"), t, t))
-    pairs = F.transform(
-        F.filter("tables", lambda t: t != F.col("anchor")), lambda t: entry(F.col("edge"), F.col("anchor"), t)
-    )
+    wrote = lambda x: x["kind"] == "write"
+    turns = lambda i: F.zip_with(F.slice("references", F.lit(1), i), F.slice("references", F.lit(2), i), lambda a, b: wrote(a) & ~wrote(b))
+    block = lambda i: F.size(F.filter(turns(i), lambda turn: turn))
+    named = F.transform("references", lambda x, i: F.struct(_full_name(x).alias("name"), x["kind"].alias("kind"), block(i).alias("block")))
+    entry = lambda edge, a, b: F.struct(F.lit(edge).alias("edge"), a.alias("from_table"), b.alias("to_table"))
+    used = refs.select(named.alias("refs")).withColumn("tables", F.array_distinct(F.col("refs.name")))
+    used = used.withColumn("alone", F.array_distinct(F.transform(
+        F.filter("refs", lambda r: ~F.exists("refs", lambda w: wrote(w) & (w["block"] == r["block"]))), lambda r: r["name"]
+    )))
+    reads = lambda w: F.filter("refs", lambda r: ~wrote(r) & (r["block"] == w["block"]) & (r["name"] != w["name"]))
+    written = F.flatten(F.transform(F.filter("refs", wrote), lambda w: F.transform(reads(w), lambda r: entry("writes_from", w["name"], r["name"]))))
+    later = lambda i: F.slice("alone", i + 2, F.size("alone"))
+    together = F.flatten(F.transform("alone", lambda a, i: F.transform(later(i), lambda b: entry("read_with", a, b))))
+    named = F.transform("tables", lambda t: entry("names", t, t))
+    used = used.select(named.alias("named"), F.array_distinct(F.concat(written, together)).alias("pairs"))
     # The outer form: the inner one would add a filter that finds all references twice.
-    entries = used.select(F.explode_outer(F.concat(named, pairs)).alias("e")).where(F.col("e").isNotNull())
+    entries = used.select(F.explode_outer(F.concat("named", "pairs")).alias("e")).where(F.col("e").isNotNull())
     return entries.groupBy("e.edge", "e.from_table", "e.to_table").agg(F.count(F.lit(1)).alias("statements"))
 
 

@@ -112,9 +112,40 @@ def _flat_list(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.ArrayType) and not _has_list(dtype.elementType)
 
 
+# Items whose sizes are added up item by item; beyond, whole blocks of them are added.
+BLOCK_ITEMS = 32
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _prefix_sums(values: Column) -> Column:
+    """0 and the sums of the first 1, 2, … values; each sum copies the ones before it."""
+    return F.aggregate(values, F.array(F.lit(0).cast("long")), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
+
+
 def _running_sizes(column: Column, element: T.DataType) -> Column:
+    """0 and the characters of the first 1, 2, … items.
+
+    Sums of blocks are summed first, and each block then starts from the sum before it. So the work of a
+    list of n items is n x 32 and the square of n / 32, not the square of n.
+    """
     each = F.transform(column, lambda x: jsonsize.json_chars(x, element).cast("long"))
-    return F.aggregate(each, F.array(F.lit(0).cast("long")), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
+    blocks = F.sequence(F.lit(0), F.greatest(F.floor((F.size(column) - 1) / F.lit(BLOCK_ITEMS)), F.lit(0)).cast("int"))
+
+    def summed(sizes: Column) -> Column:
+        parts = F.transform(blocks, lambda b: F.slice(sizes, b * BLOCK_ITEMS + 1, F.lit(BLOCK_ITEMS)))
+        return _let(parts, lambda own: _let(
+            _prefix_sums(F.transform(own, lambda p: F.aggregate(p, F.lit(0).cast("long"), lambda x, y: x + y))),
+            lambda before: F.concat(
+                F.array(F.lit(0).cast("long")),
+                F.flatten(F.zip_with(own, before, lambda p, start: F.when(p.isNotNull(), F.transform(F.slice(_prefix_sums(p), F.lit(2), F.size(p)), lambda x: x + start)).otherwise(F.array().cast("array<long>")))),
+            ),
+        ))
+
+    return F.when(F.size(column) <= BLOCK_ITEMS, _prefix_sums(each)).when(column.isNotNull(), _let(each, summed))
 
 
 def _with_item_sizes(df: DataFrame) -> DataFrame:

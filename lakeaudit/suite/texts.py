@@ -145,6 +145,26 @@ def dependency_edges(lake):
     return lineage.table_edges(fx.stmts(lake))
 
 
+# Statements of several writes and reads; pairs written down by hand.
+PAIRED = (
+    ("INSERT INTO dbo.a SELECT * FROM dbo.b; INSERT INTO dbo.c SELECT * FROM dbo.d", (("writes_from", "dbo.a", "dbo.b"), ("writes_from", "dbo.c", "dbo.d"))),
+    ("SELECT * FROM dbo.x JOIN dbo.y ON 1 = 1 JOIN dbo.z ON 1 = 1", (("read_with", "dbo.x", "dbo.y"), ("read_with", "dbo.x", "dbo.z"), ("read_with", "dbo.y", "dbo.z"))),
+    ("WITH q AS (SELECT * FROM dbo.s) INSERT INTO dbo.t SELECT * FROM q JOIN dbo.u ON 1 = 1", (("writes_from", "dbo.t", "dbo.s"), ("writes_from", "dbo.t", "dbo.u"))),
+    ("INSERT INTO dbo.a SELECT * FROM dbo.a JOIN dbo.b ON 1 = 1", (("writes_from", "dbo.a", "dbo.b"),)),
+    ("SELECT * FROM dbo.x l JOIN dbo.x r ON 1 = 1", ()),
+)
+
+
+@query("dependency_pairs", f"""
+    WITH e AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{e}', '{a}', '{b}')" for i, (_, edges) in enumerate(PAIRED) for e, a, b in edges)})
+               AS v(form, edge, from_table, to_table))
+    SELECT edge, from_table, to_table, count(*) AS statements FROM events JOIN e ON form = event_id % {len(PAIRED)} GROUP BY ALL
+""")
+def dependency_pairs(lake):
+    texts = F.element_at(F.array(*[F.lit(text) for text, _ in PAIRED]), (F.col("event_id") % len(PAIRED) + 1).cast("int"))
+    return lineage.table_edges(lake.table("events").select(F.col("event_id").alias("stmt_id"), texts.alias("sql_text")))
+
+
 @query("dependency_graph", EDGES + f"""
     , refs AS (SELECT schema_name || '.' || table_name AS table_name, count(*) AS statements
                FROM events JOIN ({EXPECTED_REFS}) ON form = event_id % 8 GROUP BY 1)
