@@ -20,21 +20,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeaudit.llm.common import Recent, map_batches, parts, seeded, stored
+from lakeaudit.llm.common import map_batches, parts, seeded, stored
 
 MAX_TOKENS = 4096
 END_ID = 1
 # Lengths are grouped in so many classes for the fit; a pattern has at most PATTERN documents.
 CLASSES = 128
 PATTERN = 4
-# Words a worker remembers are twice this at most: some 60 MB.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 SEED = 30
 
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 
 
-class WordIds(Recent):
+class WordIds(dict):
     """Little-endian ids of space-free stretches of text.
 
     The tokenizer drops white space after splitting at it, so stretches are independent of
@@ -46,16 +45,27 @@ class WordIds(Recent):
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__(REMEMBERED)
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def make(self, word: str) -> bytes:
+    def _plain(self, text: str) -> bytes:
+        found = self.plain.get(text)
+        if found is None:
+            found = self.encode(text)
+            if len(self.plain) < REMEMBERED:
+                self.plain[text] = found
+        return found
+
+    def __missing__(self, word: str) -> bytes:
         match = _PLAIN.fullmatch(word)
-        plain = match[1].lower() if match else word
-        return self.encode(word) if plain == word else self[plain] + (self[match[2]] if match[2] else b"")
+        value = self._plain(match[1].lower()) + (self._plain(match[2]) if match[2] else b"") if match else self.encode(word)
+        if len(self) < REMEMBERED and len(word) <= 64:
+            self[word] = value
+        return value
 
     @classmethod
     def of(cls, path: str) -> WordIds:
