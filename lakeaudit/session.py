@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,14 +73,6 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder once, for results several branches use."""
-    folder, context = shared_folder(df.sparkSession), df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written once to the shared folder and read again, as Parquet.
 
@@ -91,4 +85,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for one run."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
+    return path
+
+
+# Paths made inside each open ``scratch``, the innermost last.
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Work folders made inside are removed at its end, for steps whose result has been written by then."""
+    made: list[str] = []
+    _scratch.append(made)
+    try:
+        yield
+    finally:
+        _scratch.remove(made)
+        remove(spark, made)
+
+
+def remove(spark: SparkSession, paths: Sequence[str]) -> None:
+    context = spark.sparkContext
+    for path in paths:
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

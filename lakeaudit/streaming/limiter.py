@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -24,71 +24,102 @@ PERIOD = ["_client", "_period"]
 def rate_limit(df: DataFrame, client: str, ts: str, tie: str, limits: Limits) -> DataFrame:
     """Add ``allowed`` and ``retry_after`` to every request.
 
-    The rules are sequential per client, so a client's timeline is cut at its long pauses,
-    after which only the violation count carries over:
+    The rules are sequential per client, but only overloaded stretches need to be walked through:
 
-    1. busy periods come from an aggregate per client and time slice;
-    2. a period with no more requests than the limit is accepted without Python;
-    3. for clients with a larger period, each period's effect on the violation
-       count is found for all starting counts at once, all periods in parallel;
-    4. chaining those effects, a few numbers per period, gives every period its start;
-    5. the large periods are checked in parallel, in time order, each holding at most
+    1. a request with at most ``max_requests`` in the window up to it can't break the limit, whatever
+       came before; where none did for as long as window and breaker last, nothing is blocked any
+       more, all requests are accepted, and the violation count falls by what can be counted;
+    2. what is left are overloaded stretches, each beginning with the accepted requests of the
+       window before it; each one's effect on the violation count is found for all starting
+       counts at once, all in parallel;
+    3. chaining those effects, a few numbers per stretch, gives every stretch its start;
+    4. the stretches are checked in parallel, in time order, each holding at most
        ``max_requests`` times in memory.
-    """
-    keyed = df.withColumns({"_client": F.col(client), "_us": F.unix_micros(F.col(ts).cast("timestamp"))})
-    keyed = keyed.withColumn("_slice", F.expr(f"(_us - pmod(_us, {limits.quiet_us}L)) div {limits.quiet_us}L"))
-    # One row per client and slice, used by every step.
-    periods = session.stored(_busy_periods(keyed, limits), "periods")
-    placed = keyed.join(periods, ["_client", "_slice"])
-    restless = F.col("_busiest") > limits.max_requests
 
+    So the requests of clients that keep to the limit stay in Spark's windows, also if they never
+    pause. Requests without client or time are left out.
+    """
+    keyed = df.withColumns({"_client": F.col(client), "_us": F.unix_micros(F.col(ts).cast("timestamp"))}).where("_client IS NOT NULL AND _us IS NOT NULL")
+    placed = session.stored(_placed(keyed, df.columns, tie, limits), "placed-requests")
+    busy = placed.where(~F.col("_settled"))
+    stretches = session.stored(busy.groupBy(*PERIOD).agg(F.min("_us").alias("_first"), F.max("_low").alias("_low")), "stretches")
+    before = _context(placed, stretches, limits)
+    last = stretches.groupBy("_client").agg(F.max("_period").alias("_last"))
+    walked = busy.select(*PERIOD, "_us", F.lit(False).alias("_context")).unionByName(before)
     effects = (
-        placed.where(restless & (F.col("_period") < F.col("_last"))).select(*PERIOD, "_us")
+        walked.join(last, "_client").where(F.col("_period") < F.col("_last")).drop("_last")
         .repartition(*PERIOD).sortWithinPartitions(*PERIOD, "_us")
         .mapInPandas(_effect_batches(limits), _with_key(df, client, "_period long, _lo long, _hi long, _count long, _shift long"))
     )
-    last = periods.where(restless).select("_client", F.col("_last").alias("_period")).distinct()
     starts = (
-        effects.unionByName(last, allowMissingColumns=True)
+        stretches.select(*PERIOD, "_low").join(effects, PERIOD, "left")
         .repartition("_client").sortWithinPartitions("_client", "_period", "_lo")
         .mapInPandas(_start_batches, _with_key(df, client, "_period long, _start long"))
     )
-    large = F.col("_size") > limits.max_requests
     keep = [*df.columns, *PERIOD, "_us"]
     checked = (
-        placed.where(large).select(*keep).join(starts, PERIOD)
-        .repartition(*PERIOD).sortWithinPartitions(*PERIOD, "_us", tie)
+        busy.select(*keep, F.lit(False).alias("_context")).unionByName(before, allowMissingColumns=True).join(starts, PERIOD)
+        .repartition(*PERIOD).sortWithinPartitions(*PERIOD, "_us", F.desc("_context"), tie)
     )
     out = T.StructType([*df.schema.fields, T.StructField("allowed", T.BooleanType()), T.StructField("retry_after", T.LongType())])
     decided = checked.mapInPandas(_decision_batches(limits, df.columns), out)
-    calm = placed.where(~large).select(*df.columns, F.lit(True).alias("allowed"), F.lit(None).cast("long").alias("retry_after"))
+    calm = placed.where("_settled").select(*df.columns, F.lit(True).alias("allowed"), F.lit(None).cast("long").alias("retry_after"))
     return decided.unionByName(calm)
 
 
-def _with_key(df: DataFrame, client: str, rest: str) -> T.StructType:
-    return T.StructType([T.StructField("_client", df.schema[client].dataType), *T._parse_datatype_string(rest).fields])
+def _cell(width: int) -> Column:
+    """Whole-number division of the time, rounding down, also before 1970."""
+    return F.expr(f"(_us - pmod(_us, {width}L)) div {width}L")
 
 
-def _busy_periods(keyed: DataFrame, limits: Limits) -> DataFrame:
-    """Period of every client and time slice, its size, and the client's largest and last.
+def _placed(keyed: DataFrame, columns: list[str], tie: str, limits: Limits) -> DataFrame:
+    """Each request with ``_settled``, the settled requests before it (``_period``) and how many of them
+    lower the violation count (``_low``). Requests that aren't settled and have one period are a stretch.
 
-    The windows run over one row per client and slice, whatever the number of requests.
+    A client's timeline is cut into slices of a few windows; a slice's last window is copied into
+    the next one to count from, and sums of slices are chained, a row per client and slice. So a hot
+    client is many small groups.
     """
-    slices = keyed.groupBy("_client", "_slice").agg(
-        F.min("_us").alias("_from"), F.max("_us").alias("_to"), F.count(F.lit(1)).alias("_n")
-    )
-    in_order = Window.partitionBy("_client").orderBy("_slice")
-    pause = F.col("_from") - F.lag("_to").over(in_order) > limits.quiet_us
-    whole = Window.partitionBy("_client")
-    return (
-        slices.withColumn("_new", F.coalesce(pause, F.lit(False)).cast("long"))
-        .withColumn("_period", F.sum("_new").over(in_order))
-        .withColumn("_size", F.sum("_n").over(Window.partitionBy(*PERIOD)))
-        .withColumns({"_busiest": F.max("_size").over(whole), "_last": F.max("_period").over(whole)})
-        .select("_client", "_slice", "_period", "_size", "_busiest", "_last")
+    width, span = limits.window_us, 4 * limits.window_us
+    copies = F.when(F.pmod("_us", F.lit(span)) >= span - width, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))
+    spread = keyed.withColumn("_home", _cell(span)).withColumn("_slice", F.explode(copies))
+    timed = Window.partitionBy("_client", "_slice").orderBy("_us")
+    ordered = Window.partitionBy("_client", "_slice").orderBy("_us", tie)
+    count = F.count(F.lit(1))
+    in_window = count.over(timed.rangeBetween(-width, 0))
+    # Requests of the window up to this one, without later ones of the same time.
+    so_far = F.row_number().over(ordered) - (count.over(timed.rangeBetween(Window.unboundedPreceding, 0)) - in_window)
+    counted = spread.withColumns({"_hot": in_window > limits.max_requests, "_lowers": so_far < limits.max_requests // 2})
+    counted = counted.where(F.col("_slice") == F.col("_home")).select(*columns, "_client", "_us", "_slice", "_hot", "_lowers")
+    counted = session.stored(counted, "counted-requests")
+    earlier = Window.partitionBy("_client").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    hot = F.when(F.col("_hot"), F.col("_us"))
+    hottest = counted.groupBy("_client", "_slice").agg(F.max(hot).alias("_top")).select("_client", "_slice", F.max("_top").over(earlier).alias("_before"))
+    last = F.greatest(F.max(hot).over(timed.rangeBetween(Window.unboundedPreceding, 0)), F.col("_before"))
+    marked = counted.join(hottest, ["_client", "_slice"]).withColumn("_settled", ~F.col("_hot") & F.coalesce(F.col("_us") - last > limits.quiet_us, F.lit(True))).drop("_before")
+    settled, lowers = F.col("_settled").cast("long"), (F.col("_settled") & F.col("_lowers")).cast("long")
+    sums = marked.groupBy("_client", "_slice").agg(F.sum(settled).alias("_s"), F.sum(lowers).alias("_l"))
+    zero = F.lit(0).cast("long")
+    chained = sums.select("_client", "_slice", *[F.coalesce(F.sum(c).over(earlier), zero).alias(c) for c in ("_s", "_l")])
+    ahead = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    inside = lambda value: F.coalesce(F.sum(value).over(ahead), zero)
+    return marked.withColumns({"_in_s": inside(settled), "_in_l": inside(lowers)}).join(chained, ["_client", "_slice"]).select(
+        *columns, "_client", "_us", "_settled", (F.col("_s") + F.col("_in_s")).alias("_period"), (F.col("_l") + F.col("_in_l")).alias("_low")
     )
 
 
+def _context(placed: DataFrame, stretches: DataFrame, limits: Limits) -> DataFrame:
+    """(client, period, time, True): the requests in the window before a stretch, all of which were accepted."""
+    width = limits.window_us
+    near = stretches.withColumn("_us", F.col("_first")).select(*PERIOD, "_first", F.explode(F.array(_cell(width), _cell(width) - 1)).alias("_cell"))
+    there = placed.select("_client", "_us", _cell(width).alias("_cell")).join(near, ["_client", "_cell"])
+    return there.where((F.col("_us") < F.col("_first")) & (F.col("_us") >= F.col("_first") - width)).select(*PERIOD, "_us", F.lit(True).alias("_context"))
+
+
+def _with_key(df: DataFrame, client: str, rest: str) -> T.StructType:
+    return T.StructType([T.StructField("_client", df.schema[client].dataType), *T._parse_datatype_string(rest).fields])
+
+
 def _runs(batch: pd.DataFrame) -> Iterator[tuple[tuple, slice]]:
     """Stretches of equal client and period in a sorted batch."""
     client, period = batch["_client"].to_numpy(), batch["_period"].to_numpy()
@@ -110,13 +141,14 @@ def _effect_batches(limits: Limits):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, effect = None, Effect()
         for batch in batches:
-            times, done = batch["_us"].to_numpy(), []
+            times, known, done = batch["_us"].to_numpy(), batch["_context"].to_numpy(), []
             for key, part in _runs(batch):
                 if key != current:
                     if current is not None:
                         done += [(*current, *piece) for piece in effect.rows()]
                     current, effect = key, Effect()
-                for now in times[part].tolist():
+                effect.begin(times[part][known[part].astype(bool)].tolist())
+                for now in times[part][~known[part].astype(bool)].tolist():
                     effect.check(now, limits)
             if done:
                 yield _whole(done, columns)
@@ -127,16 +159,20 @@ def _effect_batches(limits: Limits):
 
 
 def _start_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Violation count at the start of every period; pieces come sorted by client and period."""
-    client, period, start, after = None, None, 0, 0
+    """Violation count at the start of every stretch; pieces come sorted by client and stretch.
+
+    Between two stretches the count falls by the requests that lower it, to zero at least.
+    """
+    client, period, start, after, before = None, None, 0, 0, 0
     for batch in batches:
         starts = []
         columns = [batch[c].astype(object).where(batch[c].notna(), None).tolist() for c in ("_lo", "_hi", "_count", "_shift")]
-        for this, number, lo, hi, count, shift in zip(batch["_client"].tolist(), batch["_period"].tolist(), *columns):
+        for this, number, low, lo, hi, count, shift in zip(batch["_client"].tolist(), batch["_period"].tolist(), batch["_low"].tolist(), *columns):
             if this != client:
-                client, period, after = this, None, 0
+                client, period, after, before = this, None, 0, 0
             if number != period:
-                period, start = number, after
+                period, start = number, max(0, after - (int(low) - before))
+                after, before = start, int(low)
                 starts.append((client, period, start))
             if lo is not None and lo <= start and (hi is None or start <= hi):
                 after = int(start + shift if count is None else count)
@@ -147,17 +183,19 @@ def _decision_batches(limits: Limits, columns: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, state = None, Client()
         for batch in batches:
-            times, starts = batch["_us"].to_numpy(), batch["_start"].to_numpy()
+            times, starts, known = batch["_us"].to_numpy(), batch["_start"].to_numpy(), batch["_context"].to_numpy().astype(bool)
             allowed, retry = np.zeros(len(batch), dtype=bool), np.zeros(len(batch), dtype=np.int64)
             for key, part in _runs(batch):
                 if key != current:
                     current, state = key, Client(violations=int(starts[part.start]))
-                allowed[part], retry[part] = state.run(times[part], limits)
+                state.times.extend(times[part][known[part]].tolist())
+                mine = np.arange(part.start, part.stop)[~known[part]]
+                allowed[mine], retry[mine] = state.run(times[mine], limits)
             out = batch[columns].copy()
             out["allowed"] = allowed
             out["retry_after"] = pd.array(retry, dtype="Int64")
             out.loc[allowed, "retry_after"] = pd.NA
-            yield out
+            yield out[~known]
 
     return run
 

@@ -104,6 +104,11 @@ class Effect:
     def __init__(self):
         self.tracks = [_Track(Client(), [(0, None, None, 0)])]
 
+    def begin(self, times: list[int]) -> None:
+        """Requests accepted before the period."""
+        for track in self.tracks:
+            track.client.times.extend(times)
+
     def check(self, now: int, limits: Limits) -> None:
         forked = []
         for track in self.tracks:

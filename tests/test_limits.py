@@ -92,6 +92,28 @@ def test_batch_equals_simulation(spark, limits):
         assert [got[i] for _, i in own] == answers
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_clients_that_never_pause_stay_in_spark(spark, seed):
+    """Mostly compliant, never quiet for window and breaker, with a few bursts: only those are walked through."""
+    limits, rng, rows = Limits(20, 6, 15, 3), np.random.default_rng(seed), []
+    for client in ("busy", "calm"):
+        pauses = rng.choice([4, 5, 9], size=1500)
+        if client == "busy":
+            for at in rng.integers(0, 1500, 12):
+                pauses[at : at + 12] = rng.choice([0, 1])
+        rows += [(len(rows) + n, client, int(t)) for n, t in enumerate(np.cumsum(pauses))]
+    df = spark.createDataFrame(rows, "id long, client string, t long").select("id", "client", F.timestamp_seconds("t").alias("ts"))
+    got = {r["id"]: (r["allowed"], r["retry_after"]) for r in limiter.rate_limit(df, "client", "ts", "id", limits).collect()}
+    for client in ("busy", "calm"):
+        own = sorted((t, i) for i, c, t in rows if c == client)
+        assert max(b[0] - a[0] for a, b in zip(own, own[1:])) <= limits.window + limits.breaker
+        answers, _ = simulate([t for t, _ in own], limits)
+        assert [got[i] for _, i in own] == answers
+    keyed = df.withColumns({"_client": F.col("client"), "_us": F.unix_micros("ts")})
+    walked = limiter._placed(keyed, df.columns, "id", limits).where("NOT _settled").groupBy("client").count().collect()
+    assert {r["client"] for r in walked} == {"busy"} and walked[0]["count"] < 600
+
+
 @pytest.mark.parametrize("files, per_trigger", [(6, 1), (5, 3), (1, 1)])
 def test_stream_in_any_order_equals_batch(spark, tmp_path, files, per_trigger):
     limits, rows = Limits(10, 5, 8, 2), request_rows()
