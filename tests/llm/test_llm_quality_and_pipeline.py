@@ -2,6 +2,7 @@
 
 import collections
 import math
+import os
 import random
 import zlib
 
@@ -271,3 +272,12 @@ def test_pipeline_rows_equal_plain_forms(spark, tmp_path):
             at += length
         assert at <= 4096
     assert len(sequences) <= 1.1 * sum(r.length for r in got) / 4096 + 2
+
+
+def test_run_leaves_the_last_stage_only(spark, tmp_path):
+    """Of all that the stages write, what they need no longer is gone when ``run`` returns."""
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    packed = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
+    assert left == {"pipeline-mixing", "pieces", "lengths"} and packed.count() > 0
