@@ -387,11 +387,11 @@ def sketch_profile(lake):
 
 
 # Orders stored by key, and by month: groups of rows with the bounds of three columns.
-STORED = ("by_key", "o_orderkey // 500", "o_orderkey div 500"), ("by_month", "year(o_orderdate) * 12 + month(o_orderdate)", "year(o_orderdate) * 12 + month(o_orderdate)")
+LAYOUTS = ("by_key", "o_orderkey // 500", "o_orderkey div 500"), ("by_month", "year(o_orderdate) * 12 + month(o_orderdate)", "year(o_orderdate) * 12 + month(o_orderdate)")
 BOUNDED = ("o_orderkey", "o_custkey", "o_totalprice")
 INTERVALS = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high FROM orders GROUP BY {group}"
-    for name, group, _ in STORED for c in BOUNDED
+    for name, group, _ in LAYOUTS for c in BOUNDED
 )
 
 
@@ -405,7 +405,7 @@ INTERVALS = " UNION ALL ".join(
 """)
 def overlap_depth(lake):
     parts = None
-    for name, _, group in STORED:
+    for name, _, group in LAYOUTS:
         sides = [F.struct(F.lit(c).alias("column_name"), F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high")) for c in BOUNDED]
         one = lake.table("orders").groupBy(F.expr(group)).agg(F.array(*sides).alias("x")).select(F.lit(name).alias("table_name"), F.inline("x"))
         parts = one if parts is None else parts.unionByName(one)
