@@ -30,14 +30,19 @@ PATTERN = 4
 REMEMBERED = 400_000
 SEED = 30
 
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+# Longer stretches are not remembered, so that a count of them bounds their bytes.
+LONGEST = 64
+# Words encoded in one call.
+TOGETHER = 1000
 
 
 class WordIds(dict):
     """Little-endian ids of space-free stretches of text.
 
     The tokenizer drops white space after splitting at it, so stretches are independent of
-    each other. Plain words are looked up without case and without a mark behind them.
+    each other. Plain words are looked up without case and without the marks behind them; those
+    a text has and nobody remembers are encoded in one call.
     """
 
     _loaded: dict[str, WordIds] = {}
@@ -47,25 +52,49 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        # For words of lower-case letters alone, which the normalizer wouldn't change.
+        self.normal = Tokenizer.from_file(path)
+        self.normal.normalizer = None
         self.plain: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _plain(self, text: str) -> bytes:
-        found = self.plain.get(text)
-        if found is None:
-            found = self.encode(text)
-            if len(self.plain) < REMEMBERED:
-                self.plain[text] = found
+    def _encode_words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of each of some plain words in lower case, all of which are one word to the tokenizer."""
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            found = self.normal.encode(" ".join(some), add_special_tokens=False)
+            ends = 4 * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some) + 1))
+            every, ends = np.array(found.ids, "<u4").tobytes(), ends.tolist()
+            yield from (every[i:j] for i, j in zip(ends, ends[1:], strict=False))
+
+    def _plain(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of plain words in lower case."""
+        found = {word: self.plain.get(word) for word in words}
+        new = [word for word, ids in found.items() if ids is None]
+        for word, ids in zip(new, self._encode_words(new), strict=True):
+            found[word] = ids
+            if len(self.plain) < REMEMBERED and len(word) <= LONGEST:
+                self.plain[word] = ids
+        return found
+
+    def _learned(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of stretches that aren't remembered; they are from now on if there is room."""
+        matches = {word: _PLAIN.fullmatch(word) for word in words}
+        plain = self._plain({match[1].lower() for match in matches.values() if match})
+        found = {}
+        for word, match in matches.items():
+            if match is None:
+                found[word] = self.encode(word)
+            else:
+                found[word] = plain[match[1].lower()] + (self[match[2]] if match[2] else b"")
+            if len(self) < REMEMBERED and len(word) <= LONGEST:
+                self[word] = found[word]
         return found
 
     def __missing__(self, word: str) -> bytes:
-        match = _PLAIN.fullmatch(word)
-        value = self._plain(match[1].lower()) + (self._plain(match[2]) if match[2] else b"") if match else self.encode(word)
-        if len(self) < REMEMBERED and len(word) <= 64:
-            self[word] = value
-        return value
+        return self._learned({word})[word]
 
     @classmethod
     def of(cls, path: str) -> WordIds:
@@ -75,7 +104,12 @@ class WordIds(dict):
         return cls._loaded[path]
 
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        words = text.replace("\n", " ").split(" ")
+        found = list(map(self.get, words))
+        if None in found:
+            new = self._learned({word for word, ids in zip(words, found, strict=True) if ids is None})
+            found = [new[word] if ids is None else ids for word, ids in zip(words, found, strict=True)]
+        return b"".join(found)
 
 
 def _piece_batches(path: str, max_tokens: int, with_ids: bool):

@@ -225,6 +225,29 @@ def test_pieces_and_sequences(docs):
     assert len(sequences) <= 1.1 * sum(r.length for r in got) / 512 + 2
 
 
+@pytest.mark.parametrize("remembered", [400_000, 50, 0])
+def test_new_words_are_encoded_together(monkeypatch, remembered):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "REMEMBERED", remembered)
+    monkeypatch.setattr(packing, "TOGETHER", 700, raising=False)
+    rng = random.Random(7)
+    new = ["".join(rng.choice("abcdeghilmnoprstuéßäñ") for _ in range(rng.randint(1, 14))) for _ in range(2000)]
+    new = [rng.choice([x, x.title(), x.upper()]) + rng.choice(["", "", ",", ".", "!!", ".,?"]) for x in new]
+    odd = ["<|endoftext|>", "<|ENDOFTEXT|>", "we'll", "IT'S", "e\u0301t", "\u0301", "İ", "ſ", "ΣΑΣ", "ÀÉ÷", "a\tb\x0bc", "a\xa0b", "x1", "+1", "日本", "", "é" * 300, "ab" * 200 + "."]
+    together, words = [*new, *odd], packing.WordIds(TOKENIZER)
+    rng.shuffle(together)
+    calls, alone = [], words.encode
+    words.encode = lambda text: calls.append(text) or alone(text)
+    for text in ("\n".join(together), " ".join(reversed(together)), "", " \n "):
+        want = Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(words.ids(text), "<u4").tolist() == want
+    # Of the words of letters none is encoded by itself, and no long one is remembered.
+    assert len(set(calls)) < 40
+    assert max(map(len, [*words, *words.plain, ""])) <= 64
+    assert len(words) <= remembered and len(words.plain) <= remembered
+
+
 def test_packing_plans():
     rng = random.Random(4)
     for _ in range(30):
