@@ -442,6 +442,32 @@ def test_repeated_bytes_at_the_threshold(spark):
     assert got == sorted(without_repeated_bytes(rows, 400))
 
 
+def test_contexts_of_a_frequent_digit_are_spread(spark, monkeypatch):
+    """No partition holds most of a digit's contexts, whatever their number."""
+    largest, stored = {}, suffixes.stored
+
+    def spy(df, name):
+        out = stored(df, name)
+        counts = [r["count"] for r in out.groupBy(F.input_file_name()).count().collect()]
+        largest[name] = max(counts) / sum(counts)
+        return out
+
+    monkeypatch.setattr(suffixes, "stored", spy)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        nodes = spark.range(6000).selectExpr("id AS row", "0L AS mark", "if(id < 5000, 7L, id) AS digit", "id DIV 2 AS context")
+        got = suffixes._pass(nodes, "nodes").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r["row"], r["mark"], r["n"]) for r in got) == [(k, 0, 2) for k in range(5000)]
+    assert sorted(r["row"] // 2 for r in got if r["stands"]) == list(range(2500))
+    assert largest["nodes-contexts"] < 0.5
+
+
 def test_shards_match_the_mixture(docs):
     got = interleave.sharded_documents(docs).collect()
     assert len(got) == len(ROWS)
