@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,19 +29,59 @@ def stream_table(lake: Lake, name: str, event_time: str | None = None, files_per
     return rows
 
 
+# Rows of a file of a dealt log, and state partitions for each core.
+FILE_ROWS = 250_000
+CORE_PARTITIONS = 4
+
+
+def deal(rows: DataFrame, ts: str, count: int, slices: int, folder: str) -> int:
+    """Write a log as slices in the order of time, each of equally many files, and return how many.
+
+    The slices have about equally many rows, and rows of one time are in one slice; rows without
+    time are in the last. A stream takes files by the time they were written, so one that takes
+    so many files per trigger, or a multiple, takes whole slices.
+    """
+    at = rows.select(F.unix_micros(ts).cast("double").alias("_at"))
+    cuts = at.approxQuantile("_at", [k / slices for k in range(1, slices)], 0.1 / slices) if slices > 1 else []
+    cuts = [F.timestamp_micros(F.lit(int(c))) for c in sorted(set(cuts))]
+    files = max(1, ceil(count / (slices * FILE_ROWS)))
+    for k, (low, high) in enumerate(zip([None, *cuts], [*cuts, None])):
+        part = rows if low is None else rows.where((F.col(ts) >= low) | F.col(ts).isNull())
+        part = part if high is None else part.where(F.col(ts) < high)
+        part.repartition(files).write.mode("append").parquet(folder)
+        # A slice of few rows may have left files unwritten.
+        for _ in range((k + 1) * files - len(rows.sparkSession.read.schema(rows.schema).parquet(folder).inputFiles())):
+            rows.limit(0).write.mode("append").parquet(folder)
+    return files
+
+
 @contextmanager
 def state_store(spark: SparkSession, provider: str = ROCKSDB):
-    """Use a state store provider for the queries started inside."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, provider)
+    """Use a state store provider for the queries started inside, over a few partitions for each core.
+
+    RocksDB holds the state on disk with a cache that an executor's stores share, and writes a
+    trigger's changes, not the state. A store costs the same for each trigger, however few rows
+    it has, so more partitions than keep the cores busy only take time.
+    """
+    conf, partitions = spark.conf, "spark.sql.shuffle.partitions"
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": provider,
+        "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+        partitions: str(min(int(conf.get(partitions)), CORE_PARTITIONS * spark.sparkContext.defaultParallelism)),
+    }
+    before = {key: conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                conf.unset(key)
+            else:
+                conf.set(key, value)
 
 
 def run_to_files(stream: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> str:

@@ -6,6 +6,8 @@ the watermark has closed.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import functions as F
 
 from lakeaudit import fixtures as fx
@@ -298,12 +300,11 @@ CALL_WINDOWS = CALLS + f"""
 """)
 def tool_log_stream(lake):
     """Finished calls, and those that can no longer finish within an hour."""
-    rows = run.run_to_table(_paired_stream(lake), "calls")
+    rows = run.run_to_table(_paired_stream(run.stream_table(lake, "events", "ts")), "calls")
     return rows.withColumn("started", F.col("started").cast("timestamp_ntz"))
 
 
-def _paired_stream(lake):
-    events = run.stream_table(lake, "events", "ts")
+def _paired_stream(events):
     starts = events.select(
         F.col("event_id").alias("invocation_id"), F.concat(F.lit("tool_"), "event_type").alias("tool"), F.col("ts").alias("started")
     )
@@ -317,8 +318,26 @@ def _paired_stream(lake):
     return monitor.paired_calls_stream(starts, ends, "1 hour", "1 HOUR")
 
 
+# Events of a trigger for each core.
+CORE_EVENTS = 250_000
+
+
+def _events_by_time(lake):
+    """The events as a stream, a long log in the order of time, so that a trigger's state is that of its time and the hours before."""
+    rows = lake.table("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    count = rows.count()
+    slices = ceil(count / (CORE_EVENTS * lake.spark.sparkContext.defaultParallelism))
+    if slices <= 1:
+        return run.stream_table(lake, "events", "ts")
+    folder = session.work_path(lake.spark, "events-by-time")
+    files = run.deal(rows, "ts", count, slices, folder)
+    return lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
 @query("tool_log_figures_stream", CALL_WINDOWS)
 def tool_log_figures_stream(lake):
     """Six hours' figures of each tool, of the windows whose calls have all been paired."""
-    rows = run.run_to_table(monitor.call_figures_stream(_paired_stream(lake), "started", "6 hours"), "call-figures")
+    with run.state_store(lake.spark):
+        calls = _paired_stream(_events_by_time(lake))
+        rows = run.run_to_table(monitor.call_figures_stream(calls, "started", "6 hours"), "call-figures")
     return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
