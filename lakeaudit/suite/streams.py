@@ -58,29 +58,25 @@ def rate_limit(lake):
     return _limited(lake)
 
 
-FILES = 6
-# What a file may be behind the files before it.
+SLICES = 6
+# What a slice may be behind the slices before it.
 DISORDER = 3600
 
 
 def _arrivals(lake):
-    """The requests as a stream of files in the order of time, two per trigger, and a closing mark.
+    """The requests as a stream of slices in the order of time, two per trigger, and a closing mark.
 
-    Inside a file, and between the files of one trigger, requests are in any order. The
+    Inside a slice, and between the slices of one trigger, requests are in any order. The
     mark, far behind the last request, moves the watermark past all of them.
     """
     folder = session.work_path(lake.spark, "arrivals")
     rows = _requests(lake).withColumn("ts", F.col("ts").cast("timestamp"))
-    first, last = rows.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
-    span = 1 if last is None else last - first + 1
-    slices = F.floor((F.unix_micros("ts") - F.lit(first or 0)) * F.lit(FILES / span))
-    for k in range(FILES):
-        rows.where(F.least(slices, F.lit(FILES - 1)) == k).coalesce(1).write.mode("append").parquet(folder)
+    files = run.deal(rows, "ts", rows.count(), SLICES, folder)
     mark = rows.agg((F.max("ts") + F.make_dt_interval(secs=F.lit(2 * (DISORDER + LIMITS.window + LIMITS.breaker)))).alias("ts")).select(
         F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"), "ts"
     )
     mark.coalesce(1).write.mode("append").parquet(folder)
-    stream = lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    stream = lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2 * files).parquet(folder)
     return stream.withWatermark("ts", f"{DISORDER} seconds")
 
 

@@ -178,3 +178,46 @@ def test_state_expiry(spark):
     ).select("c", F.timestamp_seconds("t").alias("ts"), "allowed")
     rows = {r["c"]: r["expired"] for r in limiter.state_expiry(df, df, "c", "ts", Limits(60, 1, 10, 1)).collect()}
     assert rows == {"stale": True, "empty": True, "fresh": False}
+
+
+@pytest.mark.parametrize("expire", [False, True])
+def test_clients_share_rows_of_state(spark, tmp_path, expire):
+    """Many clients, one of them missing, with ids that come again and times that tie, over several triggers."""
+    limits, rng, rows = Limits(10, 5, 8, 2), random.Random(5), []
+    for client in [None, *(f"c{n}" for n in range(60))]:
+        t = 0
+        for _ in range(30):
+            t += rng.choice([0, 0, 1, 2, 7, 40])
+            rows.append((rng.randrange(10**6) + 2**60, client, t, rng.random()))
+    schema, span = "id long, client string, t long, load double", max(r[2] for r in rows) + 1
+    for k in range(5):
+        part = [r for r in rows if r[2] * 5 // span == k] or [(-1, "mark", 0, 0.0)]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    spark.createDataFrame([(-1, "mark", 10**6, None)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    timed = stream.select("id", "client", F.timestamp_seconds(F.col("t") + 10**7).alias("ts"), "load").withWatermark("ts", "3 seconds")
+    with run.state_store(spark):
+        decided = limiter.rate_limit_stream(timed, "client", "ts", "id", limits, expire)
+        query = (
+            decided.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "checkpoint"))
+            .trigger(availableNow=True).start(str(tmp_path / "out"))
+        )
+        query.awaitTermination()
+    got = {}
+    for r in spark.read.schema(decided.schema).parquet(str(tmp_path / "out")).where("id >= 0").collect():
+        got.setdefault(r["client"], []).append((int(r["ts"].timestamp()) - 10**7, r["id"], r["load"], r["allowed"], r["retry_after"]))
+    for key in {r[1] for r in rows}:
+        own, client, before, want = sorted((t, i, load) for i, c, t, load in rows if c == key), Client(), None, []
+        for t, i, load in own:
+            if expire and before is not None and t - before > limits.window + limits.breaker:
+                client = Client()
+            want.append((t, i, load, *client.check((t + 10**7) * SECOND, limits)))
+            before = t
+        assert sorted(got.pop(key)) == want
+    assert not got
+    # As many clients in fewer rows of state.
+    with run.state_store(spark):
+        few = limiter.rate_limit_stream(timed, "client", "ts", "id", limits, expire, buckets=8)
+        query = few.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "few")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    assert max(o["numRowsUpdated"] for p in query.recentProgress for o in p["stateOperators"]) <= 9
