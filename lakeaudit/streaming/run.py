@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from lakeaudit import session
 from lakeaudit.sources.tables import Lake
 
+ON_HEAP = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -39,19 +40,24 @@ def deal(rows: DataFrame, ts: str, count: int, slices: int, folder: str) -> int:
 
     The slices have about equally many rows, and rows of one time are in one slice; rows without
     time are in the last. A stream takes files by the time they were written, so one that takes
-    so many files per trigger, or a multiple, takes whole slices.
+    so many files per trigger, or a multiple, takes whole slices. The log is first written by slice
+    at once, as the slices come one after the other and would each read all of it.
     """
+    spark = rows.sparkSession
     at = rows.select(F.unix_micros(ts).cast("double").alias("_at"))
-    cuts = at.approxQuantile("_at", [k / slices for k in range(1, slices)], 0.1 / slices) if slices > 1 else []
-    cuts = [F.timestamp_micros(F.lit(int(c))) for c in sorted(set(cuts))]
+    cuts = sorted(set(at.approxQuantile("_at", [k / slices for k in range(1, slices)], 0.1 / slices))) if slices > 1 else []
+    number = F.array_size(F.filter(F.lit([int(c) for c in cuts]).cast("array<long>"), lambda c: c <= F.unix_micros(ts)))
     files = max(1, ceil(count / (slices * FILE_ROWS)))
-    for k, (low, high) in enumerate(zip([None, *cuts], [*cuts, None])):
-        part = rows if low is None else rows.where((F.col(ts) >= low) | F.col(ts).isNull())
-        part = part if high is None else part.where(F.col(ts) < high)
-        part.repartition(files).write.mode("append").parquet(folder)
+    sliced = session.work_path(spark, "sliced")
+    placed = rows.withColumn("_slice", F.when(F.col(ts).isNull(), len(cuts)).otherwise(number))
+    placed.repartitionByRange(files * slices, "_slice", F.xxhash64(*rows.columns)).write.partitionBy("_slice").parquet(sliced)
+    parts = spark.read.schema(placed.schema).parquet(sliced)
+    for k in range(len(cuts) + 1):
+        parts.where(F.col("_slice") == k).drop("_slice").repartition(files).write.mode("append").parquet(folder)
         # A slice of few rows may have left files unwritten.
-        for _ in range((k + 1) * files - len(rows.sparkSession.read.schema(rows.schema).parquet(folder).inputFiles())):
+        for _ in range((k + 1) * files - len(spark.read.schema(rows.schema).parquet(folder).inputFiles())):
             rows.limit(0).write.mode("append").parquet(folder)
+    session.remove(spark, [sliced])
     return files
 
 
@@ -60,12 +66,14 @@ def state_store(spark: SparkSession, provider: str = ROCKSDB):
     """Use a state store provider for the queries started inside, over a few partitions for each core.
 
     RocksDB holds the state on disk with a cache that an executor's stores share, and writes a
-    trigger's changes, not the state. A store costs the same for each trigger, however few rows
-    it has, so more partitions than keep the cores busy only take time.
+    trigger's changes, not the state; the other store holds the last trigger's state on the heap. A
+    store costs the same for each trigger, however few rows it has, so more partitions than keep
+    the cores busy only take time.
     """
     conf, partitions = spark.conf, "spark.sql.shuffle.partitions"
     settings = {
         "spark.sql.streaming.stateStore.providerClass": provider,
+        "spark.sql.streaming.maxBatchesToRetainInMemory": "1",
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",

@@ -314,26 +314,32 @@ def _paired_stream(events):
     return monitor.paired_calls_stream(starts, ends, "1 hour", "1 HOUR")
 
 
-# Events of a trigger for each core.
-CORE_EVENTS = 250_000
+# Events of a trigger for each core, so that the heap holds their state.
+CORE_EVENTS = 150_000
 
 
 def _events_by_time(lake):
-    """The events as a stream, a long log in the order of time, so that a trigger's state is that of its time and the hours before."""
+    """The events as a stream, and a store for the state of calls.
+
+    A long log comes in the order of time, so a trigger's state is that of its slice and of the two
+    hours before, in which a call's end may follow. If these are many events, the state is on disk.
+    """
     rows = lake.table("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
-    count = rows.count()
-    slices = ceil(count / (CORE_EVENTS * lake.spark.sparkContext.defaultParallelism))
-    if slices <= 1:
-        return run.stream_table(lake, "events", "ts")
+    count, most = rows.count(), CORE_EVENTS * lake.spark.sparkContext.defaultParallelism
+    if count <= most:
+        return run.stream_table(lake, "events", "ts"), run.ON_HEAP
+    # Any three hours are in two of these windows; rows without time stay in the state.
+    dense, timed = rows.groupBy(F.window("ts", "3 hours")).count().agg(F.max("count"), F.sum("count")).first()
+    store = run.ON_HEAP if 2 * (dense or 0) + count - (timed or 0) <= most else run.ROCKSDB
     folder = session.work_path(lake.spark, "events-by-time")
-    files = run.deal(rows, "ts", count, slices, folder)
-    return lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
+    files = run.deal(rows, "ts", count, ceil(count / most), folder)
+    return lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder), store
 
 
 @query("tool_log_figures_stream", CALL_WINDOWS)
 def tool_log_figures_stream(lake):
     """Six hours' figures of each tool, of the windows whose calls have all been paired."""
-    with run.state_store(lake.spark):
-        calls = _paired_stream(_events_by_time(lake))
-        rows = run.run_to_table(monitor.call_figures_stream(calls, "started", "6 hours"), "call-figures")
+    events, store = _events_by_time(lake)
+    with run.state_store(lake.spark, store):
+        rows = run.run_to_table(monitor.call_figures_stream(_paired_stream(events), "started", "6 hours"), "call-figures")
     return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

@@ -45,13 +45,14 @@ def test_call_figures_hold_a_part_of_the_log_at_a_time(spark, tmp_path, monkeypa
     events = spark.createDataFrame(rows, "event_id long, t long, event_type string, value double")
     events.withColumn("ts", F.timestamp_seconds(F.col("t") + 10**9).cast("timestamp_ntz")).drop("t").write.parquet(str(tmp_path / "events.parquet"))
     shared, found = Path(session.shared_folder(spark).removeprefix("file:")), []
-    for events_for_core in (10**6, 100):
+    # In one trigger; in slices with the state on the heap; and in slices that are shorter than the hours of a call.
+    for events_for_core in (10**6, 150, 40):
         monkeypatch.setattr(streams, "CORE_EVENTS", events_for_core, raising=False)
         before = set(shared.glob("call-figures-*"))
         got = sorted(map(str, QUERIES["tool_log_figures_stream"](spark, str(tmp_path)).collect()))
         (made,) = set(shared.glob("call-figures-*")) - before
         found.append((got, len(list((made / "checkpoint" / "offsets").glob("[0-9]*"))), list((made / "checkpoint" / "state").rglob("*.changelog"))))
-    (whole, few, _), (parts, many, on_disk) = found
-    assert whole and parts == whole
-    # Some eight slices, and the log's end.
-    assert few == 2 and many >= 8 and on_disk
+    (whole, few, first), (parts, some, heap), (small, many, disk) = found
+    assert whole and parts == whole and small == whole
+    assert few == 2 and some >= 5 and many >= 18
+    assert disk and not first and not heap
