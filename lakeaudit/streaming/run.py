@@ -62,34 +62,43 @@ def deal(rows: DataFrame, ts: str, count: int, slices: int, folder: str) -> int:
 
 
 @contextmanager
+def _set(spark: SparkSession, settings: dict[str, str]):
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def state_store(spark: SparkSession, provider: str = ROCKSDB):
-    """Use a state store provider for the queries started inside, over a few partitions for each core.
+    """Use a state store provider for the queries started inside."""
+    return _set(spark, {"spark.sql.streaming.stateStore.providerClass": provider})
+
+
+def bounded_state(spark: SparkSession, provider: str = ROCKSDB):
+    """The same for triggers of bounded size, over a few partitions for each core.
 
     RocksDB holds the state on disk with a cache that an executor's stores share, and writes a
     trigger's changes, not the state; the other store holds the last trigger's state on the heap. A
     store costs the same for each trigger, however few rows it has, so more partitions than keep
     the cores busy only take time.
     """
-    conf, partitions = spark.conf, "spark.sql.shuffle.partitions"
-    settings = {
+    partitions = "spark.sql.shuffle.partitions"
+    most = CORE_PARTITIONS * spark.sparkContext.defaultParallelism
+    return _set(spark, {
         "spark.sql.streaming.stateStore.providerClass": provider,
         "spark.sql.streaming.maxBatchesToRetainInMemory": "1",
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
-        partitions: str(min(int(conf.get(partitions)), CORE_PARTITIONS * spark.sparkContext.defaultParallelism)),
-    }
-    before = {key: conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                conf.unset(key)
-            else:
-                conf.set(key, value)
+        partitions: str(min(int(spark.conf.get(partitions)), most)),
+    })
 
 
 def run_to_files(stream: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> str:

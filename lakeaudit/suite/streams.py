@@ -81,7 +81,7 @@ def _arrivals(lake):
 
 
 def _limited_stream(lake, expire):
-    with run.state_store(lake.spark):
+    with run.bounded_state(lake.spark):
         decided = limiter.rate_limit_stream(_arrivals(lake), "user_id", "ts", "event_id", LIMITS, expire)
         return run.run_to_table(decided, "limiter").where("event_id >= 0").drop("ts")
 
@@ -340,6 +340,6 @@ def _events_by_time(lake):
 def tool_log_figures_stream(lake):
     """Six hours' figures of each tool, of the windows whose calls have all been paired."""
     events, store = _events_by_time(lake)
-    with run.state_store(lake.spark, store):
+    with run.bounded_state(lake.spark, store):
         rows = run.run_to_table(monitor.call_figures_stream(_paired_stream(events), "started", "6 hours"), "call-figures")
     return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

@@ -216,7 +216,7 @@ def test_clients_share_rows_of_state(spark, tmp_path, expire):
         assert sorted(got.pop(key)) == want
     assert not got
     # As many clients in fewer rows of state.
-    with run.state_store(spark):
+    with run.bounded_state(spark):
         few = limiter.rate_limit_stream(timed, "client", "ts", "id", limits, expire, buckets=8)
         query = few.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "few")).trigger(availableNow=True).start()
         query.awaitTermination()
